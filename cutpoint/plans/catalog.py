@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from cutpoint.functions import bands
 from cutpoint.functions.pairs import GRID_DEFAULTS, threshold_grid
-from cutpoint.operators import policy
+from cutpoint.functions import guardrails
+from cutpoint.functions.pairs import neighbourhood_pairs
+from cutpoint.operators import policy, ranking
 from cutpoint.plans.common import round_doubles
 from cutpoint.sources import contract
 from cutpoint.sources.tables import TXN_KEY, txn
@@ -21,6 +23,8 @@ T1, T2 = 0.20, 0.80                      # phase2_guarded profile
 COSTS = dict(c_fn=25.0, c_fd=5.0, c_rev=0.4)
 SIM_GUARDRAILS = dict(max_review_rate=0.08, min_capture=0.95, max_decline_fpr=0.02)
 COST_GUARDRAILS = dict(max_review_rate=0.10, min_capture=0.85, max_decline_fpr=0.02)
+SENSITIVITY_CENTER = (0.11, 0.45)
+SENSITIVITY_GUARDRAILS = dict(max_review_rate=0.102, min_capture=0.95, max_decline_fpr=0.02)
 SIM_PAIRS = [(0.05, 0.45), (0.08, 0.50), (0.11, 0.45), (0.19, 0.80), (0.20, 0.80),
              (0.03, 0.40), (0.12, 0.60), (0.10, 0.30)]
 TARGET_FPR = 0.02
@@ -71,6 +75,60 @@ def q_cost_sweep(spark, sf):
     return round_doubles(policy.search_best_policy(txn(spark, sf), grid, **COSTS))
 
 
+def sim_ranked(spark, sf):
+    return policy.evaluate_threshold_pairs(txn(spark, sf), pairs_df(spark, SIM_PAIRS))
+
+
+def cost_ranked(spark, sf):
+    grid = threshold_grid(spark, **GRID_DEFAULTS)
+    return policy.search_best_policy(txn(spark, sf), grid, **COSTS)
+
+
+def q_guardrail_annotate(spark, sf):
+    g = COST_GUARDRAILS
+    return round_doubles(guardrails.annotate(cost_ranked(spark, sf), "flagged_fraud_capture",
+                                             g["max_review_rate"], g["min_capture"],
+                                             g["max_decline_fpr"], capture_first=True))
+
+
+def q_recommend_sim(spark, sf):
+    return round_doubles(ranking.recommend_simulation(sim_ranked(spark, sf), **SIM_GUARDRAILS))
+
+
+def q_recommend_cost(spark, sf):
+    return round_doubles(ranking.recommend_cost(cost_ranked(spark, sf), **COST_GUARDRAILS))
+
+
+def q_fallback_policy(spark, sf):
+    ranked = sim_ranked(spark, sf)
+    rec = ranking.recommend_simulation(ranked, **SIM_GUARDRAILS)
+    return round_doubles(ranking.fallback_policy(ranked, rec))
+
+
+def q_promotion_gate(spark, sf):
+    rec = ranking.recommend_cost(cost_ranked(spark, sf), **COST_GUARDRAILS)
+    return ranking.promotion_gate(rec)
+
+
+def q_sensitivity(spark, sf):
+    """25 pairs around the primary policy; metric ranges and pass count."""
+    center = spark.range(1).select(F.lit(SENSITIVITY_CENTER[0]).alias("t1"),
+                                   F.lit(SENSITIVITY_CENTER[1]).alias("t2"))
+    ranked = policy.evaluate_threshold_pairs(txn(spark, sf), neighbourhood_pairs(center))
+    g = SENSITIVITY_GUARDRAILS
+    ok = guardrails.meets(F.col("review_rate"), F.col("fraud_capture_flagged"), F.col("decline_fpr"),
+                          g["max_review_rate"], g["min_capture"], g["max_decline_fpr"])
+    out = ranked.agg(F.count(F.lit(1)).alias("n_pairs"),
+                     F.min("review_rate").alias("review_rate_min"),
+                     F.max("review_rate").alias("review_rate_max"),
+                     F.min("decline_fpr").alias("decline_fpr_min"),
+                     F.max("decline_fpr").alias("decline_fpr_max"),
+                     F.min("fraud_capture_flagged").alias("capture_min"),
+                     F.max("fraud_capture_flagged").alias("capture_max"),
+                     F.count_if(ok).alias("pass_count"))
+    return round_doubles(out)
+
+
 QUERIES = {
     "contract_check": q_contract_check,
     "score_band": q_score_band,
@@ -79,4 +137,10 @@ QUERIES = {
     "policy_cost": q_policy_cost,
     "policy_sweep": q_policy_sweep,
     "cost_sweep": q_cost_sweep,
+    "guardrail_annotate": q_guardrail_annotate,
+    "recommend_sim": q_recommend_sim,
+    "recommend_cost": q_recommend_cost,
+    "fallback_policy": q_fallback_policy,
+    "promotion_gate": q_promotion_gate,
+    "sensitivity": q_sensitivity,
 }

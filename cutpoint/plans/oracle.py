@@ -62,8 +62,9 @@ COUNTS_SELECT = """count(*) AS total,
   count(*) FILTER (WHERE label = 0 AND score >= {t2}) AS nonfraud_decline"""
 
 
-def policy_metrics_select(keep: str = "") -> str:
+def policy_metrics_select(keep: str = "", rnd: bool = True) -> str:
     k = f"{keep}, " if keep else ""
+    r6 = globals()["r6"] if rnd else (lambda x: x)
     return f"""{k}approve_threshold, decline_threshold, approve_count, review_count, decline_count,
   {r6(ratio('approve_count', 'total'))} AS approve_rate,
   {r6(ratio('review_count', 'total'))} AS review_rate,
@@ -108,12 +109,39 @@ def sweep_counts_sql() -> str:
             f"FROM txn CROSS JOIN pairs p GROUP BY p.pair_no, p.t1, p.t2")
 
 
-def sim_sweep_sql(pairs_cte: str) -> str:
-    return f"""WITH {TXN_SQL}, {pairs_cte},
+def sim_sweep_sql(pairs_cte: str, rnd: bool = True, final: bool = True) -> str:
+    sql = f"""WITH {TXN_SQL}, {pairs_cte},
 counts AS ({sweep_counts_sql()}),
-m AS (SELECT {policy_metrics_select("pair_no, printf('policy_%02d_t1_%.4f_t2_%.4f', pair_no, approve_threshold, decline_threshold) AS policy_id")} FROM counts)
-SELECT *, row_number() OVER (ORDER BY fraud_capture_flagged DESC, decline_precision DESC,
-  review_rate ASC, decline_fpr ASC, pair_no ASC) AS rank FROM m"""
+m AS (SELECT {policy_metrics_select("pair_no, printf('policy_%02d_t1_%.4f_t2_%.4f', pair_no, approve_threshold, decline_threshold) AS policy_id", rnd)} FROM counts),
+ranked AS (SELECT *, row_number() OVER (ORDER BY fraud_capture_flagged DESC, decline_precision DESC,
+  review_rate ASC, decline_fpr ASC, pair_no ASC) AS rank FROM m)"""
+    return sql + ("\nSELECT * FROM ranked" if final else "")
+
+
+SIM_DOUBLE_COLS = ("approve_rate", "review_rate", "decline_rate", "flagged_rate",
+                   "fraud_capture_decline", "fraud_capture_flagged", "decline_fpr",
+                   "review_precision", "decline_precision")
+SIM_OTHER_COLS = ("pair_no", "policy_id", "approve_threshold", "decline_threshold", "approve_count",
+                  "review_count", "decline_count", "fraud_total", "fraud_approve", "fraud_review",
+                  "fraud_decline", "rank")
+VIOL_COLS = ("review_violation", "capture_violation", "decline_fpr_violation", "violation_score")
+
+
+def annotate_sql(src: str, capture: str, g: dict, capture_first: bool) -> str:
+    rv = f"greatest(0.0, review_rate - {d(g['max_review_rate'])})"
+    cv = f"greatest(0.0, {d(g['min_capture'])} - {capture})"
+    fv = f"greatest(0.0, decline_fpr - {d(g['max_decline_fpr'])})"
+    score = (f"({cv} * 2.0 + {rv} * 1.0 + {fv} * 1.5)" if capture_first else
+             f"({rv} * 1.0 + {cv} * 2.0 + {fv} * 1.5)")
+    return f"""SELECT *, (review_rate <= {d(g['max_review_rate'])} AND {capture} >= {d(g['min_capture'])}
+  AND decline_fpr <= {d(g['max_decline_fpr'])}) AS meets_guardrails,
+  {rv} AS review_violation, {cv} AS capture_violation, {fv} AS decline_fpr_violation,
+  {score} AS violation_score FROM {src}"""
+
+
+def rounded(cols_double, cols_other, src) -> str:
+    return (f"SELECT {', '.join(cols_other)}, "
+            + ", ".join(f"round({c}, 6) AS {c}" for c in cols_double) + f" FROM {src}")
 
 
 def cost_sweep_sql(pairs_cte: str, c_fn, c_fd, c_rev) -> str:
@@ -159,4 +187,53 @@ SELECT {cost_metrics_select('', cf['c_fn'], cf['c_fd'], cf['c_rev'])} FROM c"""
     q["policy_sweep"] = sim_sweep_sql(values_pairs(C.SIM_PAIRS))
     q["cost_sweep"] = cost_sweep_sql(grid_pairs_sql(**GRID_DEFAULTS), cf["c_fn"], cf["c_fd"], cf["c_rev"]) + \
         f"\nSELECT {COST_INT_COLS}, {_round_cost_cols()} FROM r"
+    sg, cg = C.SIM_GUARDRAILS, C.COST_GUARDRAILS
+    cost_cols_d = ("approve_rate", "review_rate", "decline_rate", "flagged_fraud_capture",
+                   "decline_fpr", "total_cost", "cost_per_row")
+    cost_cols_o = tuple(x.strip() for x in COST_INT_COLS.split(","))
+    cost_base = cost_sweep_sql(grid_pairs_sql(**GRID_DEFAULTS), cf["c_fn"], cf["c_fd"], cf["c_rev"])
+    q["guardrail_annotate"] = cost_base + f""",
+a AS ({annotate_sql('r', 'flagged_fraud_capture', cg, True)})
+{rounded(cost_cols_d + VIOL_COLS, cost_cols_o + ('meets_guardrails',), 'a')}"""
+    sim_base = sim_sweep_sql(values_pairs(C.SIM_PAIRS), rnd=False, final=False)
+    q["recommend_sim"] = sim_base + f""",
+a AS ({annotate_sql('ranked', 'fraud_capture_flagged', sg, False)}),
+pick AS (SELECT * FROM a ORDER BY meets_guardrails DESC,
+  CASE WHEN meets_guardrails THEN rank END ASC NULLS LAST, violation_score ASC,
+  fraud_capture_flagged DESC, review_rate ASC, decline_fpr ASC, rank ASC LIMIT 1)
+{rounded(SIM_DOUBLE_COLS + VIOL_COLS, SIM_OTHER_COLS + ('meets_guardrails',), 'pick')}"""
+    q["recommend_cost"] = cost_base + f""",
+a AS ({annotate_sql('r', 'flagged_fraud_capture', cg, True)}),
+pick AS (SELECT * FROM a ORDER BY meets_guardrails DESC,
+  CASE WHEN NOT meets_guardrails THEN violation_score END ASC NULLS FIRST, total_cost ASC,
+  flagged_fraud_capture DESC, review_rate ASC, decline_fpr ASC, rank ASC LIMIT 1)
+{rounded(cost_cols_d + VIOL_COLS, cost_cols_o + ('meets_guardrails',), 'pick')}"""
+    q["fallback_policy"] = sim_base + f""",
+a AS ({annotate_sql('ranked', 'fraud_capture_flagged', sg, False)}),
+rec AS (SELECT policy_id FROM a ORDER BY meets_guardrails DESC,
+  CASE WHEN meets_guardrails THEN rank END ASC NULLS LAST, violation_score ASC,
+  fraud_capture_flagged DESC, review_rate ASC, decline_fpr ASC, rank ASC LIMIT 1),
+pick AS (SELECT * FROM ranked WHERE policy_id NOT IN (SELECT policy_id FROM rec)
+  ORDER BY review_rate ASC, decline_fpr ASC, fraud_capture_flagged DESC, rank ASC LIMIT 1)
+{rounded(SIM_DOUBLE_COLS, SIM_OTHER_COLS, 'pick')}"""
+    q["promotion_gate"] = cost_base + f""",
+a AS ({annotate_sql('r', 'flagged_fraud_capture', cg, True)}),
+pick AS (SELECT * FROM a ORDER BY meets_guardrails DESC,
+  CASE WHEN NOT meets_guardrails THEN violation_score END ASC NULLS FIRST, total_cost ASC,
+  flagged_fraud_capture DESC, review_rate ASC, decline_fpr ASC, rank ASC LIMIT 1)
+SELECT bool_or(meets_guardrails) AS gate_pass FROM pick"""
+    c1, c2 = C.SENSITIVITY_CENTER
+    offs = "(VALUES (0, -0.02), (1, -0.01), (2, 0.0), (3, 0.01), (4, 0.02))"
+    npairs = f"""pairs AS (SELECT row_number() OVER (ORDER BY i, j) AS pair_no, t1, t2 FROM (
+  SELECT a.i, b.j, round({d(c1)} + CAST(a.o AS DOUBLE), 4) AS t1, round({d(c2)} + CAST(b.o AS DOUBLE), 4) AS t2
+  FROM {offs} a(i, o), {offs} b(j, o)) g WHERE t1 >= 0 AND t1 < t2 AND t2 <= 1)"""
+    sgs = C.SENSITIVITY_GUARDRAILS
+    q["sensitivity"] = sim_sweep_sql(npairs, rnd=False, final=False) + f"""
+SELECT count(*) AS n_pairs, round(min(review_rate), 6) AS review_rate_min,
+  round(max(review_rate), 6) AS review_rate_max, round(min(decline_fpr), 6) AS decline_fpr_min,
+  round(max(decline_fpr), 6) AS decline_fpr_max, round(min(fraud_capture_flagged), 6) AS capture_min,
+  round(max(fraud_capture_flagged), 6) AS capture_max,
+  count(*) FILTER (WHERE review_rate <= {d(sgs['max_review_rate'])} AND fraud_capture_flagged >= {d(sgs['min_capture'])}
+    AND decline_fpr <= {d(sgs['max_decline_fpr'])}) AS pass_count
+FROM ranked"""
     return q
