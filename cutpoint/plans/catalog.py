@@ -13,7 +13,9 @@ from cutpoint.functions import bands
 from cutpoint.functions.pairs import GRID_DEFAULTS, threshold_grid
 from cutpoint.functions import guardrails
 from cutpoint.functions.pairs import neighbourhood_pairs
-from cutpoint.operators import policy, ranking
+from cutpoint.functions.pairs import default_pairs
+from cutpoint.operators import curves, policy, ranking
+from cutpoint.operators.prefix import exact_quantiles
 from cutpoint.plans.common import round_doubles
 from cutpoint.sources import contract
 from cutpoint.sources.tables import TXN_KEY, txn
@@ -129,6 +131,48 @@ def q_sensitivity(spark, sf):
     return round_doubles(out)
 
 
+# ------------------------------------------------------------------- curves
+
+def txn_points(spark, sf):
+    return curves.score_points(txn(spark, sf))
+
+
+def q_pr_auc(spark, sf):
+    return round_doubles(curves.auc_metrics(txn_points(spark, sf)).select("pr_auc"))
+
+
+def q_roc_auc(spark, sf):
+    return round_doubles(curves.auc_metrics(txn_points(spark, sf)).select("roc_auc"))
+
+
+def q_recall_at_fpr(spark, sf):
+    pts = txn_points(spark, sf)
+    pr = curves.recall_at_fpr(pts, TARGET_FPR, prune=True).withColumn("pruned", F.lit(True))
+    un = curves.recall_at_fpr(pts, TARGET_FPR, prune=False).withColumn("pruned", F.lit(False))
+    return round_doubles(pr.unionByName(un))
+
+
+def q_roc_points(spark, sf):
+    return round_doubles(curves.roc_points(txn_points(spark, sf), prune=True))
+
+
+def q_suggest_t1(spark, sf):
+    """M8: T1 = 0.90 quantile of scores, T2 = threshold at the FPR cap."""
+    t = txn(spark, sf)
+    t1 = exact_quantiles(t, "score", [0.9]).first()["value"]
+    t2 = curves.recall_at_fpr(curves.score_points(t), TARGET_FPR).first()["threshold"]
+    return round_doubles(spark.range(1).select(
+        F.lit(float(t1)).alias("t1"), F.lit(float(t2)).alias("t2"),
+        F.lit(bool(t1 > t2)).alias("t1_above_t2")))
+
+
+def q_default_pairs(spark, sf):
+    """F4 around the decline threshold found at the FPR cap (the bundle's
+    threshold_for_target_fpr in the reference)."""
+    base = curves.recall_at_fpr(txn_points(spark, sf), TARGET_FPR).select(F.col("threshold").alias("base"))
+    return round_doubles(default_pairs(base))
+
+
 QUERIES = {
     "contract_check": q_contract_check,
     "score_band": q_score_band,
@@ -143,4 +187,10 @@ QUERIES = {
     "fallback_policy": q_fallback_policy,
     "promotion_gate": q_promotion_gate,
     "sensitivity": q_sensitivity,
+    "pr_auc": q_pr_auc,
+    "roc_auc": q_roc_auc,
+    "recall_at_fpr": q_recall_at_fpr,
+    "roc_points": q_roc_points,
+    "suggest_t1": q_suggest_t1,
+    "default_pairs": q_default_pairs,
 }

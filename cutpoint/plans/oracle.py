@@ -162,6 +162,30 @@ COST_INT_COLS = ("pair_no, approve_threshold, decline_threshold, approve_count,
                  "decline_count, fraud_total, fraud_approve, fraud_review, fraud_decline, rank")
 
 
+POINTS_SQL = """pts AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos,
+  count(*) FILTER (WHERE label = 0) AS neg FROM txn GROUP BY score),
+c AS (SELECT score, pos, neg, CAST(sum(pos) OVER w AS BIGINT) AS tps, CAST(sum(neg) OVER w AS BIGINT) AS fps,
+  row_number() OVER w AS pt, lead(pos) OVER w AS npos, lead(neg) OVER w AS nneg
+  FROM pts WINDOW w AS (ORDER BY score DESC)),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N, count(*) AS m FROM pts)"""
+
+
+def roc_sql(prune: bool) -> str:
+    cond = "WHERE pt = 1 OR pt = m OR npos <> pos OR nneg <> neg" if prune else ""
+    return f"""(SELECT pt, threshold, fps, tps,
+  CASE WHEN N > 0 THEN CAST(fps AS DOUBLE) / N END AS fpr,
+  CASE WHEN P > 0 THEN CAST(tps AS DOUBLE) / P END AS tpr
+ FROM (SELECT pt, score AS threshold, fps, tps FROM c, tot {cond}
+       UNION ALL SELECT 0, CAST('inf' AS DOUBLE), 0, 0) r, tot)"""
+
+
+def recall_sql(prune: bool, target: float) -> str:
+    return f"""SELECT {d(target)} AS target_fpr,
+  coalesce(max_by(tpr, pt) FILTER (WHERE fpr <= {d(target)}), 0.0) AS recall,
+  coalesce(max_by(threshold, pt) FILTER (WHERE fpr <= {d(target)}), 1.0) AS threshold,
+  {str(prune).upper()} AS pruned FROM {roc_sql(prune)} x"""
+
+
 def build() -> dict[str, str]:
     t1, t2 = C.T1, C.T2
     cf = C.COSTS
@@ -236,4 +260,30 @@ SELECT count(*) AS n_pairs, round(min(review_rate), 6) AS review_rate_min,
   count(*) FILTER (WHERE review_rate <= {d(sgs['max_review_rate'])} AND fraud_capture_flagged >= {d(sgs['min_capture'])}
     AND decline_fpr <= {d(sgs['max_decline_fpr'])}) AS pass_count
 FROM ranked"""
+    tf = C.TARGET_FPR
+    q["pr_auc"] = f"""WITH {TXN_SQL}, {POINTS_SQL}
+SELECT round(CASE WHEN sum(pos) > 0 THEN sum(CAST(pos AS DOUBLE) * tps / (tps + fps)) / sum(pos) END, 6) AS pr_auc FROM c"""
+    q["roc_auc"] = f"""WITH {TXN_SQL}, {POINTS_SQL}
+SELECT round(CAST(sum(CAST(neg AS HUGEINT) * (2 * tps - pos)) AS DOUBLE)
+  / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 6) AS roc_auc FROM c"""
+    q["recall_at_fpr"] = f"""WITH {TXN_SQL}, {POINTS_SQL}
+SELECT target_fpr, round(recall, 6) AS recall, round(threshold, 6) AS threshold, pruned FROM (
+{recall_sql(True, tf)} UNION ALL {recall_sql(False, tf)}) u"""
+    q["roc_points"] = f"""WITH {TXN_SQL}, {POINTS_SQL}
+SELECT pt, threshold, fps, tps, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM {roc_sql(True)} x"""
+    q["suggest_t1"] = f"""WITH {TXN_SQL}, {POINTS_SQL}, r AS ({recall_sql(True, tf)}),
+qq AS (SELECT quantile_cont(score, 0.9) AS t1 FROM txn)
+SELECT round(t1, 6) AS t1, round(threshold, 6) AS t2, t1 > threshold AS t1_above_t2 FROM qq, r"""
+    lo, hi = 0.25, 0.90
+    q["default_pairs"] = f"""WITH {TXN_SQL}, {POINTS_SQL}, r AS ({recall_sql(True, tf)}),
+b AS (SELECT greatest({d(lo)}, least({d(hi)}, threshold)) AS base FROM r),
+raw AS (SELECT o.ord, greatest(0.0, least(0.95, o.a)) AS a,
+  greatest(0.05, least(0.98, b.base + o.dd)) AS dd
+  FROM b, (VALUES (0, 0.03, -0.06), (1, 0.05, -0.04), (2, 0.08, 0.0), (3, 0.10, 0.03), (4, 0.12, 0.06)) o(ord, a, dd)),
+cl AS (SELECT round(a, 4) AS t1, round(dd, 4) AS t2, min(ord) AS ord FROM raw WHERE a < dd GROUP BY 1, 2),
+fb AS (SELECT f.ord + 100 AS ord, f.t1, f.t2 FROM (VALUES (0, 0.03, 0.40), (1, 0.05, 0.45), (2, 0.08, 0.50), (3, 0.12, 0.60)) f(ord, t1, t2)
+  WHERE NOT EXISTS (SELECT 1 FROM cl WHERE cl.t1 = f.t1 AND cl.t2 = f.t2)),
+fbk AS (SELECT * FROM fb QUALIFY row_number() OVER (ORDER BY ord) <= 4 - (SELECT count(*) FROM cl)),
+al AS (SELECT ord, t1, t2 FROM cl UNION ALL SELECT ord, t1, t2 FROM fbk)
+SELECT row_number() OVER (ORDER BY ord) AS pair_no, round(CAST(t1 AS DOUBLE), 6) AS t1, round(CAST(t2 AS DOUBLE), 6) AS t2 FROM al"""
     return q
