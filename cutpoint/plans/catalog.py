@@ -14,11 +14,11 @@ from cutpoint.functions.pairs import GRID_DEFAULTS, threshold_grid
 from cutpoint.functions import guardrails
 from cutpoint.functions.pairs import neighbourhood_pairs
 from cutpoint.functions.pairs import default_pairs
-from cutpoint.operators import curves, policy, ranking
+from cutpoint.operators import curves, errors, monitor, policy, ranking, split
 from cutpoint.operators.prefix import exact_quantiles
 from cutpoint.plans.common import round_doubles
 from cutpoint.sources import contract
-from cutpoint.sources.tables import TXN_KEY, txn
+from cutpoint.sources.tables import TXN_KEY, TXN_TIEBREAK, read_table, tie_hash, txn
 
 # Query parameters (reference defaults and published policies).
 T1, T2 = 0.20, 0.80                      # phase2_guarded profile
@@ -173,6 +173,125 @@ def q_default_pairs(spark, sf):
     return round_doubles(default_pairs(base))
 
 
+# ------------------------------------------------------------------- splits
+
+SAMPLE_SIZE = 20000
+SEED = 42
+TOP_N = 20
+
+
+def txn_tie(spark, sf):
+    """txn plus two integer spread keys every engine computes identically."""
+    t = txn(spark, sf)
+    ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    return (t.withColumn("tie", tie_hash(ok, ln))
+             .withColumn("h", ((ok % 2147483647) * 48271 + ln * 16807 + SEED) % 2147483647))
+
+
+TIE_ORDER = ["tie", *TXN_TIEBREAK]
+SAMPLE_ORDER = ["h", *TXN_TIEBREAK, "ts"]
+
+
+def split_summary(df: DataFrame, by=("split",)) -> DataFrame:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum("label").cast("long").alias("positives"),
+                               F.sum("l_orderkey").cast("long").alias("key_sum"),
+                               F.sum("l_linenumber").cast("long").alias("line_sum"))
+
+
+def q_temporal_split(spark, sf):
+    return split_summary(split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE))
+
+
+def q_calibration_split(spark, sf):
+    return split_summary(split.temporal_three_way(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE,
+                                                  CALIBRATION_FRACTION))
+
+
+def q_stratified_split(spark, sf):
+    s = split.stratified_split(txn_tie(spark, sf), "label", "h", list(TXN_TIEBREAK) + ["ts"], TEST_SIZE)
+    return split_summary(s, by=("split", "label"))
+
+
+def q_fixed_sample(spark, sf):
+    return split.fixed_sample(txn_tie(spark, sf), SAMPLE_SIZE, SAMPLE_ORDER) \
+        .select(*TXN_KEY, "ts", "h", "score", "label")
+
+
+# --------------------------------------------------------------- monitoring
+
+def scored_txn(spark, sf, t1=T1, t2=T2):
+    t = txn(spark, sf)
+    return t.withColumn("decision", bands.decision(F.col("score"), t1, t2))
+
+
+def q_decision_mix(spark, sf):
+    return round_doubles(monitor.decision_mix(scored_txn(spark, sf)))
+
+
+def q_score_stats(spark, sf):
+    return round_doubles(monitor.score_stats(txn(spark, sf)))
+
+
+def q_label_quality(spark, sf):
+    return round_doubles(monitor.label_quality(scored_txn(spark, sf)))
+
+
+def train_test(spark, sf):
+    s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+def q_psi(spark, sf):
+    tr, te = train_test(spark, sf)
+    return round_doubles(monitor.psi(tr, te))
+
+
+def q_ks_drift(spark, sf):
+    tr, te = train_test(spark, sf)
+    return round_doubles(monitor.ks_drift(tr, te))
+
+
+def q_daily_mix(spark, sf):
+    return round_doubles(monitor.daily_mix(scored_txn(spark, sf)))
+
+
+def q_review_alerts(spark, sf):
+    return round_doubles(monitor.review_alerts(monitor.daily_mix(scored_txn(spark, sf))))
+
+
+def q_segment_metrics(spark, sf):
+    """Policy metrics per amount bucket x ship year."""
+    t = (txn(spark, sf).withColumn("amount_bucket", F.floor(F.col("amount") / 25000.0).cast("long"))
+         .withColumn("year", F.year("ts").cast("long")))
+    return round_doubles(policy.evaluate_policy(t, T1, T2, by=["amount_bucket", "year"]))
+
+
+def q_band_capture(spark, sf):
+    return round_doubles(monitor.band_capture(scored_txn(spark, sf)))
+
+
+def q_duration_percentiles(spark, sf):
+    ev = read_table(spark, sf, "events")
+    return round_doubles(monitor.duration_percentiles(ev, "value", by=["event_type"]))
+
+
+# ------------------------------------------------------------------- errors
+
+def cap_threshold(spark, sf) -> float:
+    return float(curves.recall_at_fpr(txn_points(spark, sf), TARGET_FPR).first()["threshold"])
+
+
+def q_confusion(spark, sf):
+    th = cap_threshold(spark, sf)
+    return round_doubles(errors.confusion(txn(spark, sf), th).withColumn("threshold", F.lit(th)))
+
+
+def q_top_errors(spark, sf):
+    th = cap_threshold(spark, sf)
+    return round_doubles(errors.top_errors(txn(spark, sf), th, TOP_N, keep=[*TXN_KEY, "ts", "amount"],
+                                           tiebreak=list(TXN_TIEBREAK)))
+
+
 QUERIES = {
     "contract_check": q_contract_check,
     "score_band": q_score_band,
@@ -193,4 +312,20 @@ QUERIES = {
     "roc_points": q_roc_points,
     "suggest_t1": q_suggest_t1,
     "default_pairs": q_default_pairs,
+    "temporal_split": q_temporal_split,
+    "calibration_split": q_calibration_split,
+    "stratified_split": q_stratified_split,
+    "fixed_sample": q_fixed_sample,
+    "decision_mix": q_decision_mix,
+    "score_stats": q_score_stats,
+    "label_quality": q_label_quality,
+    "psi": q_psi,
+    "ks_drift": q_ks_drift,
+    "daily_mix": q_daily_mix,
+    "review_alerts": q_review_alerts,
+    "segment_metrics": q_segment_metrics,
+    "band_capture": q_band_capture,
+    "duration_percentiles": q_duration_percentiles,
+    "confusion": q_confusion,
+    "top_errors": q_top_errors,
 }

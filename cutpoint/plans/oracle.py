@@ -186,6 +186,32 @@ def recall_sql(prune: bool, target: float) -> str:
   {str(prune).upper()} AS pruned FROM {roc_sql(prune)} x"""
 
 
+TIE_SQL = """txt AS (SELECT *, ((l_orderkey % 1000003) * 7919 + l_linenumber * 104729) % 1000003 AS tie,
+  ((l_orderkey % 2147483647) * 48271 + l_linenumber * 16807 + 42) % 2147483647 AS h FROM txn)"""
+TIEBREAK = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, amount, l_quantity, l_discount, l_tax, "
+            "l_returnflag, l_linestatus")
+SPLIT_AGG = ("count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, "
+             "CAST(sum(l_linenumber) AS BIGINT) AS line_sum")
+
+
+def ordered_sql() -> str:
+    return f"""o AS (SELECT *, row_number() OVER (ORDER BY ts, tie, {TIEBREAK}) - 1 AS pos,
+  count(*) OVER () AS n FROM txt)"""
+
+
+def split_case(test_size: float) -> str:
+    return f"CASE WHEN pos < CAST(floor(n * {d(1 - test_size)}) AS BIGINT) THEN 'train' ELSE 'test' END"
+
+
+def scored_sql(t1, t2) -> str:
+    return f"""scored AS (SELECT *, CASE WHEN score < {d(t1)} THEN 'approve' WHEN score < {d(t2)} THEN 'review'
+  ELSE 'decline' END AS decision FROM txn)"""
+
+
+def quantile_list(qs) -> str:
+    return "[" + ", ".join(d(q) for q in qs) + "]"
+
+
 def build() -> dict[str, str]:
     t1, t2 = C.T1, C.T2
     cf = C.COSTS
@@ -198,12 +224,12 @@ SELECT * FROM (VALUES ('x', TRUE, 0::BIGINT, 0::BIGINT)) v(column_name, present,
   {f"count(*) FILTER (WHERE isnan({c}))" if c not in ("ts", "label") else "CAST(0 AS BIGINT)"} AS nan_count FROM txn
 """ for c in C.REQUIRED_TXN_COLUMNS)
     q["score_band"] = f"""WITH {TXN_SQL}
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, score,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
   CASE WHEN score < {d(t1)} THEN 'approve' WHEN score < {d(t2)} THEN 'review' ELSE 'decline' END AS decision
 FROM txn"""
     q["predicted_class"] = f"""WITH {TXN_SQL}
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, score,
-  CAST(score >= {d(t2)} AS INTEGER) AS predicted_class FROM txn"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
+  CAST(score >= {d(t2)} AS BIGINT) AS predicted_class FROM txn"""
     q["policy_eval"] = f"""WITH {TXN_SQL}, c AS ({one_policy_counts(t1, t2)})
 SELECT {policy_metrics_select()} FROM c"""
     q["policy_cost"] = f"""WITH {TXN_SQL}, c AS ({one_policy_counts(t1, t2)})
@@ -286,4 +312,115 @@ fb AS (SELECT f.ord + 100 AS ord, f.t1, f.t2 FROM (VALUES (0, 0.03, 0.40), (1, 0
 fbk AS (SELECT * FROM fb QUALIFY row_number() OVER (ORDER BY ord) <= 4 - (SELECT count(*) FROM cl)),
 al AS (SELECT ord, t1, t2 FROM cl UNION ALL SELECT ord, t1, t2 FROM fbk)
 SELECT row_number() OVER (ORDER BY ord) AS pair_no, round(CAST(t1 AS DOUBLE), 6) AS t1, round(CAST(t2 AS DOUBLE), 6) AS t2 FROM al"""
+    ts_ = C.TEST_SIZE
+    q["temporal_split"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()}
+SELECT {split_case(ts_)} AS split, {SPLIT_AGG} FROM o GROUP BY 1"""
+    cf_ = C.CALIBRATION_FRACTION
+    q["calibration_split"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),
+k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k)
+SELECT CASE WHEN pos < c1 THEN 'train' WHEN pos < c2 THEN 'calibration' ELSE 'evaluation' END AS split,
+  {SPLIT_AGG} FROM k2 GROUP BY 1"""
+    q["stratified_split"] = f"""WITH {TXN_SQL}, {TIE_SQL},
+o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, {TIEBREAK}, ts) AS pos,
+  count(*) OVER (PARTITION BY label) AS n FROM txt)
+SELECT CASE WHEN pos <= ceil(n * {d(ts_)}) THEN 'test' ELSE 'train' END AS split, CAST(label AS BIGINT) AS label,
+  {SPLIT_AGG} FROM o GROUP BY 1, 2"""
+    q["fixed_sample"] = f"""WITH {TXN_SQL}, {TIE_SQL}
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, h, score, CAST(label AS BIGINT) AS label FROM txt
+ORDER BY h, {TIEBREAK}, ts LIMIT {C.SAMPLE_SIZE}"""
+    q["decision_mix"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
+SELECT count(*) AS rows, count(*) FILTER (WHERE decision = 'approve') AS approve_count,
+  count(*) FILTER (WHERE decision = 'review') AS review_count,
+  count(*) FILTER (WHERE decision = 'decline') AS decline_count,
+  round(count(*) FILTER (WHERE decision = 'approve') / count(*), 6) AS approve_rate,
+  round(count(*) FILTER (WHERE decision = 'review') / count(*), 6) AS review_rate,
+  round(count(*) FILTER (WHERE decision = 'decline') / count(*), 6) AS decline_rate FROM scored"""
+    q["score_stats"] = f"""WITH {TXN_SQL}
+SELECT count(*) AS rows, round(avg(score), 6) AS mean_score,
+  round(quantile_cont(score, 0.95), 6) AS p95_score, round(quantile_cont(score, 0.99), 6) AS p99_score FROM txn"""
+    q["label_quality"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)},
+g AS (SELECT count(*) FILTER (WHERE label = 1) AS fraud_total, count(*) FILTER (WHERE label = 0) AS nonfraud_total,
+  count(*) FILTER (WHERE label = 1 AND decision IN ('review', 'decline')) AS fraud_flagged,
+  count(*) FILTER (WHERE label = 1 AND decision = 'decline') AS fraud_declined,
+  count(*) FILTER (WHERE label = 0 AND decision = 'decline') AS nonfraud_declined,
+  count(*) FILTER (WHERE decision = 'review') AS review_count,
+  count(*) FILTER (WHERE decision = 'decline') AS decline_count FROM scored)
+SELECT fraud_total, {r6(ratio('fraud_flagged', 'fraud_total'))} AS flagged_capture,
+  {r6(ratio('fraud_declined', 'fraud_total'))} AS decline_capture,
+  {r6(ratio('nonfraud_declined', 'nonfraud_total'))} AS decline_fpr,
+  {r6(ratio('fraud_flagged - fraud_declined', 'review_count'))} AS review_precision,
+  {r6(ratio('fraud_declined', 'decline_count'))} AS decline_precision FROM g"""
+    import numpy as np
+    qs = [float(x) for x in np.linspace(0.0, 1.0, 11)]
+    split_cte = f"""{TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+sp AS (SELECT score, {split_case(ts_)} AS split FROM o)"""
+    q["psi"] = f"""WITH {split_cte},
+e AS (SELECT quantile_cont(score, {quantile_list(qs)}) AS edges FROM sp WHERE split = 'train'),
+b AS (SELECT split, (SELECT count(*) FROM unnest(e.edges[2:10]) t(x) WHERE x <= sp.score) AS bin FROM sp, e),
+bins AS (SELECT range AS bin FROM range(0, 10)),
+h AS (SELECT bins.bin, count(*) FILTER (WHERE b.split = 'train') AS ref_n,
+  count(*) FILTER (WHERE b.split = 'test') AS cur_n FROM bins LEFT JOIN b ON b.bin = bins.bin GROUP BY bins.bin),
+t AS (SELECT sum(ref_n) AS rt, sum(cur_n) AS ct FROM h),
+p AS (SELECT greatest(1e-8, least(1.0, CAST(ref_n AS DOUBLE) / greatest(rt, 1))) AS rp,
+  greatest(1e-8, least(1.0, CAST(cur_n AS DOUBLE) / greatest(ct, 1))) AS cp FROM h, t),
+v AS (SELECT sum((cp - rp) * ln(cp / rp)) AS psi FROM p)
+SELECT round(psi, 6) AS psi, CASE WHEN psi < 0.1 THEN 'low' WHEN psi < 0.25 THEN 'moderate' ELSE 'high' END AS drift_level FROM v"""
+    q["ks_drift"] = f"""WITH {split_cte},
+pts AS (SELECT score, count(*) FILTER (WHERE split = 'train') AS r, count(*) FILTER (WHERE split = 'test') AS c
+  FROM sp GROUP BY score),
+n AS (SELECT sum(r) AS nr, sum(c) AS nc FROM pts),
+cum AS (SELECT sum(r) OVER (ORDER BY score) AS cr, sum(c) OVER (ORDER BY score) AS cc FROM pts)
+SELECT round(max(abs(CAST(cr AS DOUBLE) / greatest(nr, 1) - CAST(cc AS DOUBLE) / greatest(nc, 1))), 6) AS ks_stat,
+  CAST(nr AS BIGINT) AS reference_rows, CAST(nc AS BIGINT) AS current_rows FROM cum, n GROUP BY nr, nc"""
+    daily = f"""{TXN_SQL}, {scored_sql(t1, t2)},
+g AS (SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS rows,
+  count(*) FILTER (WHERE decision = 'approve') AS approve_count,
+  count(*) FILTER (WHERE decision = 'review') AS review_count,
+  count(*) FILTER (WHERE decision = 'decline') AS decline_count,
+  count(*) FILTER (WHERE label = 1) AS fraud_total, count(*) FILTER (WHERE label = 0) AS nonfraud_total,
+  count(*) FILTER (WHERE label = 1 AND decision IN ('review', 'decline')) AS fraud_flagged,
+  count(*) FILTER (WHERE label = 0 AND decision = 'decline') AS nonfraud_declined FROM scored GROUP BY 1),
+dm AS (SELECT day, rows, approve_count, review_count, decline_count,
+  {ratio('approve_count', 'rows')} AS approve_rate, {ratio('review_count', 'rows')} AS review_rate,
+  {ratio('decline_count', 'rows')} AS decline_rate, fraud_total,
+  {ratio('fraud_flagged', 'fraud_total')} AS flagged_capture,
+  {ratio('nonfraud_declined', 'nonfraud_total')} AS decline_fpr FROM g)"""
+    q["daily_mix"] = f"""WITH {daily}
+SELECT day, rows, approve_count, review_count, decline_count, round(approve_rate, 6) AS approve_rate,
+  round(review_rate, 6) AS review_rate, round(decline_rate, 6) AS decline_rate, fraud_total,
+  round(flagged_capture, 6) AS flagged_capture, round(decline_fpr, 6) AS decline_fpr FROM dm"""
+    q["review_alerts"] = f"""WITH {daily}
+SELECT a.day, round(a.review_rate, 6) AS review_rate,
+  (a.review_rate > {d(0.12)} AND coalesce(p.review_rate > {d(0.12)}, FALSE)) AS review_alert,
+  a.flagged_capture < {d(0.93)} AS capture_alert, a.decline_fpr > {d(0.022)} AS fpr_alert
+FROM dm a LEFT JOIN dm p ON CAST(p.day AS DATE) = CAST(a.day AS DATE) - INTERVAL 1 DAY"""
+    q["segment_metrics"] = f"""WITH {TXN_SQL},
+t AS (SELECT *, CAST(floor(amount / 25000.0) AS BIGINT) AS amount_bucket, CAST(year(ts) AS BIGINT) AS year FROM txn),
+c AS (SELECT amount_bucket, year, {d(t1)} AS approve_threshold, {d(t2)} AS decline_threshold,
+  {COUNTS_SELECT.format(t1=d(t1), t2=d(t2))} FROM t GROUP BY amount_bucket, year)
+SELECT {policy_metrics_select('amount_bucket, year')} FROM c"""
+    q["band_capture"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
+SELECT decision AS band, count(*) AS rows, count(*) FILTER (WHERE label = 1) AS fraud,
+  round(CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) / (SELECT count(*) FROM txn WHERE label = 1), 6) AS fraud_share
+FROM scored GROUP BY decision"""
+    q["duration_percentiles"] = """SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean,
+  round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95,
+  round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type"""
+    conf_base = f"""WITH {TXN_SQL}, {POINTS_SQL}, r AS ({recall_sql(True, tf)})"""
+    q["confusion"] = conf_base + f""",
+g AS (SELECT count(*) FILTER (WHERE label = 0 AND score < r.threshold) AS tn,
+  count(*) FILTER (WHERE label = 0 AND score >= r.threshold) AS fp,
+  count(*) FILTER (WHERE label = 1 AND score < r.threshold) AS fn,
+  count(*) FILTER (WHERE label = 1 AND score >= r.threshold) AS tp, r.threshold FROM txn, r GROUP BY r.threshold)
+SELECT tn, fp, fn, tp, {r6(ratio('tp', 'tp + fn'))} AS recall, {r6(ratio('tp', 'tp + fp'))} AS precision,
+  {r6(ratio('fp', 'fp + tn'))} AS fpr, round(threshold, 6) AS threshold FROM g"""
+    q["top_errors"] = conf_base + f""",
+b AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, round(amount, 6) AS amount, score,
+  CAST(label AS BIGINT) AS label, CAST(score >= r.threshold AS BIGINT) AS predicted_class, {TIEBREAK.replace('amount', 'amount AS amt')} FROM txn, r)
+(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, amount, score, label, predicted_class, 'false_positive' AS error_type
+ FROM b WHERE label = 0 AND predicted_class = 1 ORDER BY score DESC, {TIEBREAK.replace('amount', 'amt')} LIMIT {C.TOP_N})
+UNION ALL
+(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, amount, score, label, predicted_class, 'false_negative' AS error_type
+ FROM b WHERE label = 1 AND predicted_class = 0 ORDER BY score ASC, {TIEBREAK.replace('amount', 'amt')} LIMIT {C.TOP_N})"""
     return q
