@@ -423,4 +423,57 @@ b AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey
 UNION ALL
 (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, amount, score, label, predicted_class, 'false_negative' AS error_type
  FROM b WHERE label = 1 AND predicted_class = 0 ORDER BY score ASC, {TIEBREAK.replace('amount', 'amt')} LIMIT {C.TOP_N})"""
+    q.update(registry_sql())
+    return q
+
+
+def segment_best_sql() -> str:
+    """Per (part, l_returnflag): the cost-rule recommendation on the grid."""
+    cf, cg = C.COSTS, C.COST_GUARDRAILS
+    body = COUNTS_SELECT.replace("{t1}", "p.t1").replace("{t2}", "p.t2")
+    return f"""{TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+sp AS (SELECT *, {split_case(C.TEST_SIZE)} AS part FROM o),
+{grid_pairs_sql(**GRID_DEFAULTS)},
+counts AS (SELECT part, l_returnflag, p.pair_no, p.t1 AS approve_threshold, p.t2 AS decline_threshold, {body}
+  FROM sp CROSS JOIN pairs p GROUP BY part, l_returnflag, p.pair_no, p.t1, p.t2),
+m AS (SELECT {cost_metrics_select("part, l_returnflag, pair_no", cf['c_fn'], cf['c_fd'], cf['c_rev'], rnd=False)} FROM counts),
+r AS (SELECT *, row_number() OVER (PARTITION BY part, l_returnflag ORDER BY total_cost ASC,
+  flagged_fraud_capture DESC, review_rate ASC, decline_fpr ASC, pair_no ASC) AS rank FROM m),
+a AS ({annotate_sql('r', 'flagged_fraud_capture', cg, True)}),
+best AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY part, l_returnflag ORDER BY meets_guardrails DESC,
+  CASE WHEN NOT meets_guardrails THEN violation_score END ASC NULLS FIRST, total_cost ASC,
+  flagged_fraud_capture DESC, review_rate ASC, decline_fpr ASC, rank ASC) = 1)"""
+
+
+def registry_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    g = C.COST_GUARDRAILS
+    q["policy_profiles"] = f"""WITH {segment_best_sql()}
+SELECT l_returnflag AS doc_id, 'primary' AS profile, 0.11::DOUBLE AS approve_threshold, 0.45::DOUBLE AS decline_threshold,
+  'week3' AS source, TRUE AS valid FROM best WHERE part = 'train'
+UNION ALL SELECT l_returnflag, 'fallback', 0.19::DOUBLE, 0.80::DOUBLE, 'week3', TRUE FROM best WHERE part = 'train'
+UNION ALL SELECT l_returnflag, 'phase2_guarded', approve_threshold, decline_threshold, 'phase2_optimization',
+  approve_threshold >= 0 AND approve_threshold < decline_threshold AND decline_threshold <= 1 FROM best WHERE part = 'train'"""
+    q["policy_registry_check"] = f"""WITH {segment_best_sql()}
+SELECT CASE WHEN part = 'train' THEN 'current/' ELSE 'fresh/' END || l_returnflag AS doc_id,
+  CAST(0 AS BIGINT) AS violations, TRUE AS valid FROM best"""
+    q["policy_status"] = f"""WITH {segment_best_sql()}
+SELECT l_returnflag AS doc_id, CAST(1 AS BIGINT) AS schema_version, 'phase2_guarded' AS default_policy_profile,
+  'phase2_guarded' AS selected_policy_profile, 'fallback,phase2_guarded,primary' AS available_profiles,
+  {d(g['max_review_rate'])} AS max_review_rate, {d(g['min_capture'])} AS min_flagged_fraud_capture,
+  {d(g['max_decline_fpr'])} AS max_decline_fpr, approve_threshold, decline_threshold,
+  'phase2_optimization' AS source, 'none' AS calibration_method, meets_guardrails,
+  round(review_rate, 6) AS review_rate, round(decline_fpr, 6) AS decline_fpr,
+  round(flagged_fraud_capture, 6) AS flagged_fraud_capture, round(total_cost, 6) AS total_cost,
+  round(cost_per_row, 6) AS cost_per_row FROM best WHERE part = 'train'"""
+    q["policy_drift"] = f"""WITH {segment_best_sql()},
+k AS (SELECT part, l_returnflag, 'profile phase2_guarded' AS scope, 'approve_threshold' AS key, approve_threshold AS value FROM best
+  UNION ALL SELECT part, l_returnflag, 'profile phase2_guarded', 'decline_threshold', decline_threshold FROM best),
+c AS (SELECT * FROM k WHERE part = 'train'), f AS (SELECT * FROM k WHERE part = 'test')
+SELECT coalesce(c.l_returnflag, f.l_returnflag) AS doc_id, coalesce(c.scope, f.scope) AS scope, coalesce(c.key, f.key) AS key,
+  coalesce(c.value, 0.0) AS current, coalesce(f.value, 0.0) AS fresh
+FROM c FULL OUTER JOIN f ON c.l_returnflag = f.l_returnflag AND c.scope = f.scope AND c.key = f.key
+WHERE abs(coalesce(c.value, 0.0) - coalesce(f.value, 0.0)) > 1e-6"""
+    q["policy_roundtrip"] = f"""WITH {segment_best_sql()}
+SELECT l_returnflag AS doc_id, TRUE AS same FROM best WHERE part = 'train'"""
     return q
