@@ -116,8 +116,8 @@ def parse_pair_specs(df: DataFrame, spec_col: str, key_cols=()) -> DataFrame:
     toks = df.select(*key_cols, F.posexplode(F.split(F.col(spec_col), ",")).alias("pos", "tok"))
     toks = toks.withColumn("tok", F.trim("tok")).filter(F.col("tok") != "")
     parts = F.split(F.col("tok"), ":", 2)
-    a = F.try_cast(F.trim(F.element_at(parts, 1)), "double")
-    d = F.try_cast(F.trim(F.element_at(parts, 2)), "double")
+    a = F.trim(F.element_at(parts, 1)).try_cast("double")
+    d = F.trim(F.element_at(parts, 2)).try_cast("double")
     has_colon = F.instr("tok", ":") > 0
     err = (F.when(~has_colon, F.lit("missing ':'"))
            .when(a.isNull() | d.isNull(), F.lit("not a number"))

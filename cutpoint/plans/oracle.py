@@ -424,6 +424,94 @@ UNION ALL
 (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, amount, score, label, predicted_class, 'false_negative' AS error_type
  FROM b WHERE label = 1 AND predicted_class = 0 ORDER BY score ASC, {TIEBREAK.replace('amount', 'amt')} LIMIT {C.TOP_N})"""
     q.update(registry_sql())
+    q.update(extras_sql())
+    return q
+
+
+def extras_sql() -> dict[str, str]:
+    from cutpoint.plans import extras as X
+    q: dict[str, str] = {}
+    t1, t2 = C.T1, C.T2
+    g1, g2 = X.PUBLISHED_PROFILES["phase2_guarded"]
+    q["profile_inference"] = f"""WITH {TXN_SQL},
+prof(profile, approve_threshold, decline_threshold) AS (VALUES ('primary', {d(0.11)}, {d(0.45)}),
+  ('fallback', {d(0.19)}, {d(0.80)}), ('phase2_guarded', {d(g1)}, {d(g2)}),
+  ('artifact', least({d(0.11)}, {d(0.45)} * {d(0.5)}), {d(0.45)})),
+r AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'fallback' WHEN l_returnflag = 'A' THEN 'primary'
+  WHEN l_linestatus = 'O' THEN 'artifact' ELSE 'phase2_guarded' END AS profile FROM txn)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, r.profile,
+  p.approve_threshold, p.decline_threshold, score,
+  CASE WHEN score < p.approve_threshold THEN 'approve' WHEN score < p.decline_threshold THEN 'review' ELSE 'decline' END AS decision,
+  CAST(score >= p.decline_threshold AS BIGINT) AS predicted_class
+FROM r JOIN prof p ON p.profile = r.profile"""
+    a = X.APPROVE_OVERRIDE
+    q["threshold_override"] = f"""WITH {TXN_SQL}, {scored_sql(a, g2)}
+SELECT {d(a)} AS approve_threshold, {d(g2)} AS decline_threshold, count(*) AS rows,
+  count(*) FILTER (WHERE decision = 'approve') AS approve_count,
+  count(*) FILTER (WHERE decision = 'review') AS review_count,
+  count(*) FILTER (WHERE decision = 'decline') AS decline_count,
+  round(count(*) FILTER (WHERE decision = 'approve') / count(*), 6) AS approve_rate,
+  round(count(*) FILTER (WHERE decision = 'review') / count(*), 6) AS review_rate,
+  round(count(*) FILTER (WHERE decision = 'decline') / count(*), 6) AS decline_rate FROM scored"""
+    q["parse_pairs"] = f"""WITH {TXN_SQL},
+qq AS (SELECT CAST(year(ts) AS BIGINT) AS year, quantile_cont(score, 0.5) AS q50, quantile_cont(score, 0.9) AS q90,
+  quantile_cont(score, 0.99) AS q99 FROM txn GROUP BY 1),
+s AS (SELECT year, printf('%.2f', round(q50, 2)) AS a, printf('%.2f', round(q90, 2)) AS b,
+  printf('%.2f', round(q99, 2)) AS c FROM qq),
+toks AS (SELECT year, 1 AS pair_no, a || ':' || b AS tok FROM s UNION ALL SELECT year, 2, b || ':' || c FROM s
+  UNION ALL SELECT year, 3, c || ':' || a FROM s),
+p AS (SELECT year, CAST(pair_no AS BIGINT) AS pair_no, tok, CAST(split_part(tok, ':', 1) AS DOUBLE) AS t1,
+  CAST(split_part(tok, ':', 2) AS DOUBLE) AS t2 FROM toks)
+SELECT year, pair_no, tok, t1, t2,
+  CASE WHEN NOT (t1 >= 0 AND t1 < t2 AND t2 <= 1) THEN 'invalid thresholds' END AS error FROM p"""
+    q["parse_tags"] = """WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
+SELECT event_id, CAST((event_type IS NOT NULL)::INT + (user_id IS NOT NULL)::INT + (k IS NOT NULL)::INT AS BIGINT) AS n_tags,
+  CAST(CASE WHEN value > 100 THEN 1 ELSE 0 END AS BIGINT) AS n_bad, event_type AS type_tag,
+  CAST(user_id AS VARCHAR) AS user_tag, k AS k_tag FROM e"""
+    q["report_rows"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)},
+m AS (SELECT count(*) AS rows, count(*) FILTER (WHERE decision = 'approve') / count(*) AS approve_rate,
+  count(*) FILTER (WHERE decision = 'review') / count(*) AS review_rate,
+  count(*) FILTER (WHERE decision = 'decline') / count(*) AS decline_rate, avg(score) AS mean_score,
+  quantile_cont(score, 0.95) AS p95_score, quantile_cont(score, 0.99) AS p99_score,
+  count(*) FILTER (WHERE label = 1) AS fraud_total, count(*) FILTER (WHERE label = 0) AS nonfraud_total,
+  count(*) FILTER (WHERE label = 1 AND decision IN ('review', 'decline')) AS fraud_flagged,
+  count(*) FILTER (WHERE label = 1 AND decision = 'decline') AS fraud_declined,
+  count(*) FILTER (WHERE label = 0 AND decision = 'decline') AS nonfraud_declined,
+  count(*) FILTER (WHERE decision = 'review') AS review_count,
+  count(*) FILTER (WHERE decision = 'decline') AS decline_count FROM scored)
+SELECT section, metric, round(value, 6) AS value FROM (
+  SELECT 'volume_mix' AS section, 'rows' AS metric, CAST(rows AS DOUBLE) AS value FROM m
+  UNION ALL SELECT 'volume_mix', 'approve_rate', approve_rate FROM m
+  UNION ALL SELECT 'volume_mix', 'review_rate', review_rate FROM m
+  UNION ALL SELECT 'volume_mix', 'decline_rate', decline_rate FROM m
+  UNION ALL SELECT 'score_distribution', 'mean_score', mean_score FROM m
+  UNION ALL SELECT 'score_distribution', 'p95_score', p95_score FROM m
+  UNION ALL SELECT 'score_distribution', 'p99_score', p99_score FROM m
+  UNION ALL SELECT 'label_quality', 'fraud_total', CAST(fraud_total AS DOUBLE) FROM m
+  UNION ALL SELECT 'label_quality', 'flagged_capture', {ratio('fraud_flagged', 'fraud_total')} FROM m
+  UNION ALL SELECT 'label_quality', 'decline_capture', {ratio('fraud_declined', 'fraud_total')} FROM m
+  UNION ALL SELECT 'label_quality', 'decline_fpr', {ratio('nonfraud_declined', 'nonfraud_total')} FROM m
+  UNION ALL SELECT 'label_quality', 'review_precision', {ratio('fraud_flagged - fraud_declined', 'review_count')} FROM m
+  UNION ALL SELECT 'label_quality', 'decline_precision', {ratio('fraud_declined', 'decline_count')} FROM m) u"""
+    q["scored_export"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
+SELECT decision, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM scored GROUP BY decision"""
+    q["stream_daily_mix"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)},
+lim AS (SELECT max(CAST(ts AS DATE)) - 2 AS last_closed FROM txn)
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS rows,
+  count(*) FILTER (WHERE decision = 'approve') AS approve_count,
+  count(*) FILTER (WHERE decision = 'review') AS review_count,
+  count(*) FILTER (WHERE decision = 'decline') AS decline_count,
+  count(*) FILTER (WHERE label = 1) AS fraud_total,
+  count(*) FILTER (WHERE label = 1 AND decision <> 'approve') AS fraud_flagged
+FROM scored, lim WHERE CAST(ts AS DATE) <= lim.last_closed GROUP BY 1"""
+    ts_, cf_ = C.TEST_SIZE, C.CALIBRATION_FRACTION
+    q["calibration_none"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),
+k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
+  CAST(label AS BIGINT) AS label FROM k2 WHERE pos >= c2"""
+    q["logreg_fit"] = "SELECT 'raw_logreg_c1.0' AS candidate, TRUE AS gradient_small"
+    q["platt_calibration"] = "SELECT 'platt' AS method, TRUE AS gradient_small"
     return q
 
 

@@ -1,5 +1,5 @@
 """All registered queries, in one mapping."""
 
-from cutpoint.plans import catalog, registry
+from cutpoint.plans import catalog, extras, models, registry
 
-QUERIES = {**catalog.QUERIES, **registry.QUERIES}
+QUERIES = {**catalog.QUERIES, **registry.QUERIES, **models.QUERIES, **extras.QUERIES}
