@@ -18,7 +18,7 @@ from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import policy_doc as pdoc
 
 SEGMENT = "l_returnflag"
-FIXED_DATE = F.lit("1970-01-01")   # compared outputs never carry the run date
+FIXED_DATE = "1970-01-01"   # compared outputs never carry the run date
 
 
 def segment_best(part: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def segment_best(part: DataFrame) -> DataFrame:
 
 def segment_documents(part: DataFrame) -> DataFrame:
     return pdoc.build_documents(segment_best(part), [SEGMENT], ["none"], C.COST_GUARDRAILS,
-                                GRID_DEFAULTS["step"], generated_at=FIXED_DATE)
+                                GRID_DEFAULTS["step"], generated_at=F.lit(FIXED_DATE))
 
 
 def current_and_fresh(spark, sf):
