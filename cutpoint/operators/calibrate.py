@@ -29,15 +29,19 @@ def calibrate_none(ev: DataFrame, score: str = "score") -> DataFrame:
     return ev.withColumn(score, F.col(score).cast("double"))
 
 
-def fit_platt(cal: DataFrame, score: str = "score", label: str = "label", max_iter: int = 2000):
+def fit_platt(cal: DataFrame, score: str = "score", label: str = "label", max_iter: int = 2000,
+              weight: str | None = None):
     """M5: unweighted logistic regression on the score, C = 1.0, so
-    regParam = 1 / n with no standardisation."""
-    n = cal.count()
+    regParam = 1 / n with no standardisation. On a (score, label, count)
+    histogram (``weight``) the objective is the same sum over rows."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    data = cal.select(F.col(score).cast("double").alias(score), F.col(label).cast("double").alias(label),
+                      w.alias("__pw"))
+    n = data.agg(F.sum("__pw")).first()[0]
     va = VectorAssembler(inputCols=[score], outputCol="__pf")
-    lr = LogisticRegression(featuresCol="__pf", labelCol=label, regParam=1.0 / float(n),
+    lr = LogisticRegression(featuresCol="__pf", labelCol=label, weightCol="__pw", regParam=1.0 / float(n),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-9)
-    model = lr.fit(va.transform(cal.select(F.col(score).cast("double").alias(score),
-                                           F.col(label).cast("double").alias(label))))
+    model = lr.fit(va.transform(data))
     return va, model
 
 
@@ -48,13 +52,14 @@ def apply_platt(fitted, ev: DataFrame, score: str = "score") -> DataFrame:
     return t.select(*cols, vector_to_array("probability")[1].alias(score))
 
 
-def fit_isotonic(cal: DataFrame, score: str = "score", label: str = "label"):
+def fit_isotonic(cal: DataFrame, score: str = "score", label: str = "label", weight: str | None = None):
     """M6: increasing isotonic fit. Rows are first reduced to one weighted
     point per distinct score (mean label, count), so the pool-adjacent-
     violators pass that MLlib finishes on the driver sees distinct scores,
     not rows."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
     pts = cal.groupBy(F.col(score).cast("double").alias("x")).agg(
-        F.avg(F.col(label).cast("double")).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
+        (F.sum(F.col(label).cast("double") * w) / F.sum(w)).alias("y"), F.sum(w).alias("w"))
     iso = IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", isotonic=True)
     return iso.fit(pts)
 
@@ -68,8 +73,9 @@ def apply_isotonic(model, ev: DataFrame, score: str = "score") -> DataFrame:
 
 
 def calibrated_union(cal: DataFrame, ev: DataFrame, methods=METHODS, score: str = "score",
-                     label: str = "label") -> DataFrame:
-    """Evaluation rows once per method, scores mapped by that method."""
+                     label: str = "label", weight: str | None = None) -> DataFrame:
+    """Evaluation rows (or histogram rows) once per method, scores
+    mapped by that method."""
     parts = []
     if any(m != "none" for m in methods):
         require_both_classes(cal, label)
@@ -77,9 +83,9 @@ def calibrated_union(cal: DataFrame, ev: DataFrame, methods=METHODS, score: str
         if m == "none":
             out = calibrate_none(ev, score)
         elif m == "platt":
-            out = apply_platt(fit_platt(cal, score, label), ev, score)
+            out = apply_platt(fit_platt(cal, score, label, weight=weight), ev, score)
         elif m == "isotonic":
-            out = apply_isotonic(fit_isotonic(cal, score, label), ev, score)
+            out = apply_isotonic(fit_isotonic(cal, score, label, weight=weight), ev, score)
         else:
             raise ValueError(f"Unsupported method: {m}")
         parts.append(out.withColumn("method", F.lit(m)).withColumn("method_no", F.lit(i + 1)))

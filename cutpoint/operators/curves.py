@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.operators.prefix import DEFAULT_BUCKETS, running_total
+from cutpoint.operators.prefix import DEFAULT_BUCKETS, reuse, running_total
 
 
 def score_points(scored: DataFrame, by: Sequence[str] = (), score: str = "score",
@@ -32,8 +32,9 @@ def score_points(scored: DataFrame, by: Sequence[str] = (), score: str = "score"
            .withColumn("one", F.lit(1)))
     cum = running_total(pts, "score", ["pos", "neg", "one"], by=by, descending=True,
                         buckets=buckets)
-    return cum.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tps"),
-                      F.col("cum_neg").alias("fps"), F.col("cum_one").alias("pt"))
+    # Read by several jobs (totals, successor join, sums): one row per distinct score.
+    return reuse(cum.select(*by, "score", "pos", "neg", F.col("cum_pos").alias("tps"),
+                            F.col("cum_neg").alias("fps"), F.col("cum_one").alias("pt")))
 
 
 def _totals(points: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import APPROVE, DECLINE, REVIEW
 from cutpoint.operators.policy import ratio
-from cutpoint.operators.prefix import DEFAULT_BUCKETS, exact_quantiles, running_total
+from cutpoint.operators.prefix import DEFAULT_BUCKETS, exact_quantiles, reuse, running_total
 
 PSI_EPS = 1e-8
 # Fixed drift-label cut points.
@@ -84,30 +84,51 @@ def psi_quantiles(bins: int) -> list[float]:
     return [float(x) for x in np.linspace(0.0, 1.0, bins + 1)]
 
 
+def split_histogram(split_df: DataFrame, ref_label: str, cur_label: str, split_col: str = "split",
+                    score: str = "score") -> DataFrame:
+    """(pop, score, n) from one pass over a labelled split."""
+    pop = (F.when(F.col(split_col) == ref_label, F.lit("ref"))
+            .when(F.col(split_col) == cur_label, F.lit("cur")))
+    return reuse(split_df.select(pop.alias("pop"), F.col(score).cast("double").alias("score"))
+                 .filter(F.col("pop").isNotNull()).groupBy("pop", "score").agg(F.count(F.lit(1)).alias("n")))
+
+
+def score_histogram(reference: DataFrame, current: DataFrame, score: str = "score") -> DataFrame:
+    """(pop, score, n): both populations reduced to distinct scores with
+    counts (map-side combine); every drift measure below reads only this."""
+    s = F.col(score).cast("double").alias("score")
+    u = (reference.select(F.lit("ref").alias("pop"), s)
+         .unionByName(current.select(F.lit("cur").alias("pop"), s)))
+    return reuse(u.groupBy("pop", "score").agg(F.count(F.lit(1)).alias("n")))
+
+
 def psi(reference: DataFrame, current: DataFrame, score: str = "score", bins: int = 10,
         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    return psi_from_histogram(score_histogram(reference, current, score), bins, buckets)
+
+
+def psi_from_histogram(h0: DataFrame, bins: int = 10, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """G9 + P18: population stability index of ``current`` against quantile
     bins of ``reference``; outer edges open; empty bins count at 1e-8.
 
     Edges are bins + 1 exact quantiles (collected: bounded by ``bins``). A
     value goes to bin count(edges[:-1] <= x) - 1, so tied edges leave empty
-    bins exactly as numpy's histogram does.
+    bins exactly as numpy's histogram does. ``h0`` is (pop in {ref, cur},
+    score, n).
     """
     qs = psi_quantiles(bins)
-    edges_rows = exact_quantiles(reference, score, qs, buckets=buckets).collect()
+    edges_rows = exact_quantiles(h0.filter(F.col("pop") == "ref"), "score", qs, buckets=buckets,
+                                 weight="n").collect()
     by_q = {float(r["q"]): float(r["value"]) for r in edges_rows}
     inner = [by_q[q] for q in qs[1:-1]]           # edges 1..bins-1; outer ones are -inf/+inf
     arr = F.array(*[F.lit(e) for e in inner])
-
-    def hist(df: DataFrame, name: str) -> DataFrame:
-        s = F.col(score).cast("double")
-        b = F.size(F.filter(arr, lambda e: e <= s))
-        return (df.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias(name)))
-
-    spark = reference.sparkSession
+    s = F.col("score")
+    binned = (h0.select("pop", F.size(F.filter(arr, lambda e: e <= s)).alias("bin"), "n")
+              .groupBy("bin").agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("ref_n"),
+                                  F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(0)).alias("cur_n")))
+    spark = h0.sparkSession
     grid = spark.range(0, bins).select(F.col("id").cast("int").alias("bin"))
-    h = (grid.join(hist(reference, "ref_n"), "bin", "left").join(hist(current, "cur_n"), "bin", "left")
-         .na.fill(0, ["ref_n", "cur_n"]))
+    h = reuse(grid.join(binned, "bin", "left").na.fill(0, ["ref_n", "cur_n"]))   # `bins` rows
     tot = h.agg(F.sum("ref_n").alias("rt"), F.sum("cur_n").alias("ct")).first()
     rt, ct = max(int(tot["rt"] or 0), 1), max(int(tot["ct"] or 0), 1)
 
@@ -127,13 +148,16 @@ def drift_level(p: Column) -> Column:
 
 def ks_drift(reference: DataFrame, current: DataFrame, score: str = "score",
              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    return ks_from_histogram(score_histogram(reference, current, score), buckets)
+
+
+def ks_from_histogram(h0: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Two-sample KS statistic max |F_ref(x) - F_cur(x)| over all
     distinct scores, via one running total over both populations."""
-    s = F.col(score).cast("double").alias("score")
-    u = (reference.select(s, F.lit(1).alias("r"), F.lit(0).alias("c"))
-         .unionByName(current.select(s, F.lit(0).alias("r"), F.lit(1).alias("c"))))
-    pts = u.groupBy("score").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    n = pts.agg(F.sum("r").alias("nr"), F.sum("c").alias("nc")).first()
+    pts = h0.groupBy("score").agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("r"),
+                                  F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(0)).alias("c"))
+    n = h0.groupBy().agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("nr"),
+                         F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(0)).alias("nc")).first()
     nr, nc = int(n["nr"] or 0), int(n["nc"] or 0)
     cum = running_total(pts, "score", ["r", "c"], buckets=buckets)
     gap = F.abs(F.col("cum_r") / F.lit(float(max(nr, 1))) - F.col("cum_c") / F.lit(float(max(nc, 1))))

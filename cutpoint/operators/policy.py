@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import _c
+from cutpoint.operators.prefix import reuse
 
 # Upper bound on distinct thresholds a sweep may carry as a literal split list.
 MAX_CUTS = 200_000
@@ -157,16 +158,21 @@ def bucket_by_cuts(df: DataFrame, col: str, cuts: Sequence[float], out: str) ->
 
 
 def cumulative_histogram(scored: DataFrame, cuts: Sequence[float], by: Sequence[str] = (),
-                         score: str = "score", label: str = "label") -> DataFrame:
+                         score: str = "score", label: str = "label",
+                         weight: str | None = None) -> DataFrame:
     """Per group and bucket b in 0..m: rows/positives/negatives with bucket <= b,
-    plus group totals. Dense in b, so any cut index can be looked up."""
+    plus group totals. Dense in b, so any cut index can be looked up.
+    ``weight`` names a row-count column when ``scored`` is already a
+    (score, label, count) histogram."""
     spark = scored.sparkSession
     m = len(cuts)
-    base = bucket_by_cuts(scored.select(*by, score, label), score, cuts, "b")
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    base = bucket_by_cuts(scored.select(*by, score, label, w.alias("__wt")), score, cuts, "b")
+    zero = F.lit(0).cast("long")
     hist = base.groupBy(*by, "b").agg(
-        F.count(F.lit(1)).alias("h_n"),
-        F.count_if(F.col(label) == 1).alias("h_pos"),
-        F.count_if(F.col(label) == 0).alias("h_neg"))
+        F.sum("__wt").alias("h_n"),
+        F.sum(F.when(F.col(label) == 1, F.col("__wt")).otherwise(zero)).alias("h_pos"),
+        F.sum(F.when(F.col(label) == 0, F.col("__wt")).otherwise(zero)).alias("h_neg"))
     if by:
         grid = hist.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(0), F.lit(m))).alias("b"))
     else:
@@ -183,14 +189,14 @@ def cumulative_histogram(scored: DataFrame, cuts: Sequence[float], by: Sequence[
 
 
 def sweep_counts(scored: DataFrame, pairs: DataFrame, by: Sequence[str] = (),
-                 score: str = "score", label: str = "label") -> DataFrame:
+                 score: str = "score", label: str = "label", weight: str | None = None) -> DataFrame:
     """Base counts for every (group, pair) from one pass over ``scored``.
 
     ``pairs`` has columns (pair_no, t1, t2). Output: group columns, pair_no,
     approve_threshold, decline_threshold and COUNT_COLS.
     """
     cuts = pair_cuts(pairs)
-    cum = cumulative_histogram(scored, cuts, by, score, label)
+    cum = cumulative_histogram(scored, cuts, by, score, label, weight)
     cut_arr = F.array(*[F.lit(c) for c in cuts])
     # score < c_k  <=>  bucket <= k - 1, so a threshold reads the entry at k - 1.
     pk = pairs.select("pair_no", F.col("t1").cast("double").alias("approve_threshold"),
@@ -222,9 +228,10 @@ def policy_id(pair_no: Column, t1: Column, t2: Column) -> Column:
 
 
 def evaluate_threshold_pairs(scored: DataFrame, pairs: DataFrame, by: Sequence[str] = (),
-                             score: str = "score", label: str = "label") -> DataFrame:
+                             score: str = "score", label: str = "label",
+                             weight: str | None = None) -> DataFrame:
     """G5 (simulation rule): G3 metrics per pair, policy_id, rank by O2."""
-    counts = sweep_counts(scored, pairs, by, score, label)
+    counts = sweep_counts(scored, pairs, by, score, label, weight)
     m = policy_metrics(counts.withColumn("policy_id", policy_id(F.col("pair_no"), F.col("approve_threshold"),
                                                                 F.col("decline_threshold"))),
                        keep=[*by, "pair_no", "policy_id"])
@@ -236,11 +243,20 @@ def evaluate_threshold_pairs(scored: DataFrame, pairs: DataFrame, by: Sequence[s
 
 def search_best_policy(scored: DataFrame, pairs: DataFrame, c_fn: float, c_fd: float,
                        c_rev: float, by: Sequence[str] = (), score: str = "score",
-                       label: str = "label") -> DataFrame:
+                       label: str = "label", weight: str | None = None) -> DataFrame:
     """G5 (cost rule): G4 metrics per pair, rank by O3."""
-    counts = sweep_counts(scored, pairs, by, score, label)
+    counts = sweep_counts(scored, pairs, by, score, label, weight)
     m = cost_metrics(counts, c_fn, c_fd, c_rev, keep=[*by, "pair_no"])
     w = Window.partitionBy(*by).orderBy(
         F.col("total_cost").asc(), F.col("flagged_fraud_capture").desc(),
         F.col("review_rate").asc(), F.col("decline_fpr").asc(), F.col("pair_no").asc())
     return m.withColumn("rank", F.row_number().over(w))
+
+
+def score_label_histogram(scored: DataFrame, by: Sequence[str] = (), score: str = "score",
+                          label: str = "label") -> DataFrame:
+    """(by, score, label, n): rows reduced to distinct (score, label) with
+    counts. Every sweep, calibration and drift step can run on this table
+    (``weight="n"``), so work after it grows with distinct scores, not rows."""
+    return reuse(scored.groupBy(*by, F.col(score).cast("double").alias(score), label)
+                 .agg(F.count(F.lit(1)).alias("n")))

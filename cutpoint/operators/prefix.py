@@ -21,6 +21,25 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 MAX_BUCKETS = 100_000
 
+_PERSISTED: list[DataFrame] = []
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Persist a reduced table read by more than one job (the bounds job and
+    the main plan). Memory first, spilling to disk; a lost block is rebuilt
+    from lineage, which is deterministic. ``release()`` drops them all."""
+    from pyspark import StorageLevel
+    if df.isStreaming:
+        return df
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
+def release() -> None:
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def range_bounds(df: DataFrame, col: str | Column, buckets: int) -> list[float]:
     """Up to ``buckets - 1`` increasing interior bounds at equal-count quantiles."""
@@ -58,7 +77,7 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
     """
     key = "__rt_key"
     k = F.col(order_col).cast("double")
-    d = df.withColumn(key, -k if descending else k)
+    d = reuse(df.withColumn(key, -k if descending else k))
     bounds = range_bounds(d, key, buckets)
     d = assign_range(d, key, bounds, "__rt_b")
     tot = d.groupBy(*by, "__rt_b").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
@@ -82,7 +101,7 @@ def global_position(df: DataFrame, order_cols: Sequence[str], by: Sequence[str]
     column, which should have many distinct values."""
     first = order_cols[0]
     key = "__gp_key"
-    d = df.withColumn(key, F.col(first).cast("double"))
+    d = reuse(df.withColumn(key, F.col(first).cast("double")))
     bounds = range_bounds(d, key, buckets)
     d = assign_range(d, key, bounds, "__gp_b")
     cnt = d.groupBy(*by, "__gp_b").agg(F.count(F.lit(1)).alias("__gp_n"))
@@ -96,21 +115,23 @@ def global_position(df: DataFrame, order_cols: Sequence[str], by: Sequence[str]
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int = DEFAULT_BUCKETS, weight: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``quantile`` default).
 
     For n values sorted x[0..n-1], q -> h = (n-1) q, result
     x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
     Distinct values with counts get running totals; each distinct value emits
     the requested order statistics it covers (a bounded literal list), so no
-    row is ever compared with a table of positions.
+    row is ever compared with a table of positions. ``weight`` names an
+    integer count column when ``df`` is already a (value, count) histogram.
     Output: by columns, ``q`` (double), ``value``.
     """
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     v = F.col(col).cast("double")
-    base = df.select(*by, v.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    dist = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    cum = running_total(dist, "__v", ["__c"], by=by, buckets=buckets)
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    base = df.select(*by, v.alias("__v"), w.alias("__w")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    dist = reuse(base.groupBy(*by, "__v").agg(F.sum("__w").alias("__c")))
+    cum = reuse(running_total(dist, "__v", ["__c"], by=by, buckets=buckets))
     if by:
         sizes = dist.groupBy(*by).agg(F.sum("__c").alias("__n"))
         cum = cum.join(sizes, list(by))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.operators.prefix import DEFAULT_BUCKETS, global_position, running_total
+from cutpoint.operators.prefix import DEFAULT_BUCKETS, global_position, reuse, running_total
 
 
 def numeric_key(df: DataFrame, col: str) -> Column:
@@ -32,18 +32,22 @@ def numeric_key(df: DataFrame, col: str) -> Column:
 
 
 def cut_by_position(df: DataFrame, order_col: str, tiebreak: Sequence[str],
-                    cuts: Sequence[int], labels: Sequence[str], out: str = "split",
+                    cuts, labels: Sequence[str], out: str = "split",
                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Label rows by position in the order (order_col, *tiebreak):
     positions [0, cuts[0]) -> labels[0], [cuts[0], cuts[1]) -> labels[1], ...
 
+    ``cuts`` is a list of positions or a function of the row count n
+    returning one (n then comes from the per-key counts, not another scan).
     ``tiebreak`` must make the order total; its first column should be a
     spread key with many distinct values.
     """
-    assert len(labels) == len(cuts) + 1
     key = "__pk"
     d = df.withColumn(key, numeric_key(df, order_col))
-    per = d.groupBy(key).agg(F.count(F.lit(1)).alias("__c"))
+    per = reuse(d.groupBy(key).agg(F.count(F.lit(1)).alias("__c")))
+    if callable(cuts):
+        cuts = cuts(int(per.agg(F.sum("__c")).first()[0] or 0))
+    assert len(labels) == len(cuts) + 1
     cum = running_total(per, key, ["__c"], buckets=buckets)
     cut_arr = F.array(*[F.lit(int(c)) for c in cuts])
     before = F.col("cum___c") - F.col("__c")
@@ -84,9 +88,8 @@ def cut_by_position(df: DataFrame, order_col: str, tiebreak: Sequence[str],
 def temporal_split(df: DataFrame, ts_col: str, tiebreak: Sequence[str], test_size: float = 0.2,
                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``split`` in {train, test}; train = first int(n * (1 - test_size)) rows."""
-    n = df.count()
-    cut = int(n * (1 - test_size))
-    return cut_by_position(df, ts_col, tiebreak, [cut], ["train", "test"], buckets=buckets)
+    return cut_by_position(df, ts_col, tiebreak, lambda n: [int(n * (1 - test_size))],
+                           ["train", "test"], buckets=buckets)
 
 
 def temporal_three_way(df: DataFrame, ts_col: str, tiebreak: Sequence[str],
@@ -96,14 +99,16 @@ def temporal_three_way(df: DataFrame, ts_col: str, tiebreak: Sequence[str],
     is cut at int(len(test) * fraction), both sides non-empty."""
     if not (0.1 <= calibration_fraction <= 0.9):
         raise ValueError("calibration fraction must be in [0.1, 0.9].")
-    n = df.count()
-    c1 = int(n * (1 - test_size))
-    n_test = n - c1
-    k = int(n_test * calibration_fraction)
-    if k <= 0 or k >= n_test:
-        raise ValueError("Calibration split produced empty partition.")
-    return cut_by_position(df, ts_col, tiebreak, [c1, c1 + k],
-                           ["train", "calibration", "evaluation"], buckets=buckets)
+
+    def cuts(n: int) -> list[int]:
+        c1 = int(n * (1 - test_size))
+        n_test = n - c1
+        k = int(n_test * calibration_fraction)
+        if k <= 0 or k >= n_test:
+            raise ValueError("Calibration split produced empty partition.")
+        return [c1, c1 + k]
+    return cut_by_position(df, ts_col, tiebreak, cuts, ["train", "calibration", "evaluation"],
+                           buckets=buckets)
 
 
 def stratified_split(df: DataFrame, label_col: str, spread: str, tiebreak: Sequence[str],

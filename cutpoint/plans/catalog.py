@@ -241,14 +241,17 @@ def train_test(spark, sf):
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
+def split_hist(spark, sf):
+    s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
+    return monitor.split_histogram(s, "train", "test")
+
+
 def q_psi(spark, sf):
-    tr, te = train_test(spark, sf)
-    return round_doubles(monitor.psi(tr, te))
+    return round_doubles(monitor.psi_from_histogram(split_hist(spark, sf)))
 
 
 def q_ks_drift(spark, sf):
-    tr, te = train_test(spark, sf)
-    return round_doubles(monitor.ks_drift(tr, te))
+    return round_doubles(monitor.ks_from_histogram(split_hist(spark, sf)))
 
 
 def q_daily_mix(spark, sf):

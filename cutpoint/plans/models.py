@@ -96,10 +96,14 @@ def q_calibration_none(spark, sf):
 def optimizer_summary(spark, sf, methods=calibrate.METHODS):
     """M7: per method -> cost sweep -> guardrails -> recommendation, then the
     best method (O7); one sweep job for all methods (``by=method``)."""
-    _, cal, ev = _parts(spark, sf)
-    u = calibrate.calibrated_union(cal, ev.select(*TXN_KEY, "score", "label"), methods)
+    # One pass over the split: (split, score, label, n); everything after it
+    # (both calibration fits, every method's sweep) reads this histogram.
+    h = policy.score_label_histogram(three_way(spark, sf), by=["split"])
+    cal = h.filter(F.col("split") == "calibration").drop("split")
+    ev = h.filter(F.col("split") == "evaluation").drop("split")
+    u = calibrate.calibrated_union(cal, ev, methods, weight="n")
     grid = threshold_grid(spark, **GRID_DEFAULTS)
-    ranked = policy.search_best_policy(u, grid, **C.COSTS, by=["method", "method_no"])
+    ranked = policy.search_best_policy(u, grid, **C.COSTS, by=["method", "method_no"], weight="n")
     rec = ranking.recommend_cost(ranked, **C.COST_GUARDRAILS, by=["method", "method_no"])
     best = ranking.best_method(rec).select("method", F.lit(True).alias("is_best"))
     return rec.join(best, "method", "left").withColumn("is_best", F.coalesce("is_best", F.lit(False)))

@@ -21,20 +21,27 @@ SEGMENT = "l_returnflag"
 FIXED_DATE = "1970-01-01"   # compared outputs never carry the run date
 
 
-def segment_best(part: DataFrame) -> DataFrame:
-    grid = threshold_grid(part.sparkSession, **GRID_DEFAULTS)
-    ranked = policy.search_best_policy(part, grid, **C.COSTS, by=[SEGMENT])
-    return ranking.recommend_cost(ranked, **C.COST_GUARDRAILS, by=[SEGMENT]).withColumn("method", F.lit("none"))
-
-
-def segment_documents(part: DataFrame) -> DataFrame:
-    return pdoc.build_documents(segment_best(part), [SEGMENT], ["none"], C.COST_GUARDRAILS,
+def segment_best(split_df: DataFrame) -> DataFrame:
+    """Cost-rule recommendation per (split, segment) from one sweep over a
+    (split, segment, score, label, n) histogram of the split rows."""
+    grid = threshold_grid(split_df.sparkSession, **GRID_DEFAULTS)
+    h = policy.score_label_histogram(split_df, by=["split", SEGMENT])
+    ranked = policy.search_best_policy(h, grid, **C.COSTS, by=["split", SEGMENT], weight="n")
+    return ranking.recommend_cost(ranked, **C.COST_GUARDRAILS, by=["split", SEGMENT]) \
+        .withColumn("method", F.lit("none"))
+
+
+def segment_documents(best: DataFrame) -> DataFrame:
+    return pdoc.build_documents(best, [SEGMENT], ["none"], C.COST_GUARDRAILS,
                                 GRID_DEFAULTS["step"], generated_at=F.lit(FIXED_DATE))
 
 
 def current_and_fresh(spark, sf):
-    tr, te = C.train_test(spark, sf)
-    return segment_documents(tr), segment_documents(te)
+    from cutpoint.operators import split
+    s = split.temporal_split(C.txn_tie(spark, sf), "ts", C.TIE_ORDER, C.TEST_SIZE)
+    best = segment_best(s)
+    return (segment_documents(best.filter(F.col("split") == "train")),
+            segment_documents(best.filter(F.col("split") == "test")))
 
 
 def q_policy_profiles(spark, sf):
