@@ -196,7 +196,9 @@ def sweep_counts(scored: DataFrame, pairs: DataFrame, by: Sequence[str] = (),
     approve_threshold, decline_threshold and COUNT_COLS.
     """
     cuts = pair_cuts(pairs)
-    cum = cumulative_histogram(scored, cuts, by, score, label, weight)
+    # Read at two cut indices: persist the small table (groups x (cuts + 1)
+    # rows) so the rows are scanned once, not once per join side.
+    cum = reuse(cumulative_histogram(scored, cuts, by, score, label, weight))
     cut_arr = F.array(*[F.lit(c) for c in cuts])
     # score < c_k  <=>  bucket <= k - 1, so a threshold reads the entry at k - 1.
     pk = pairs.select("pair_no", F.col("t1").cast("double").alias("approve_threshold"),
