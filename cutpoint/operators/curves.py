@@ -19,11 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.operators.prefix import DEFAULT_BUCKETS, reuse, running_total
+from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, reuse, running_total
 
 
 def score_points(scored: DataFrame, by: Sequence[str] = (), score: str = "score",
-                 label: str = "label", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 label: str = "label", buckets: int | None = AUTO) -> DataFrame:
     """One row per (group, distinct score), descending-order cumulative counts:
     pos, neg, tps, fps, pt (1-based point index in descending score order)."""
     pts = (scored.groupBy(*by, F.col(score).cast("double").alias("score"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import APPROVE, DECLINE, REVIEW
 from cutpoint.operators.policy import ratio
-from cutpoint.operators.prefix import DEFAULT_BUCKETS, exact_quantiles, reuse, running_total
+from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, exact_quantiles, reuse, running_total
 
 PSI_EPS = 1e-8
 # Fixed drift-label cut points.
@@ -45,7 +45,7 @@ def decision_mix(scored: DataFrame, by: Sequence[str] = (), decision: str = "dec
 
 
 def score_stats(scored: DataFrame, score: str = "score", qs: Sequence[float] = (0.95, 0.99),
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int | None = AUTO) -> DataFrame:
     """Mean and exact interpolated percentiles, one row."""
     quant = exact_quantiles(scored, score, qs, buckets=buckets)
     names = {float(q): f"p{int(round(q * 100))}_score" for q in qs}
@@ -103,11 +103,11 @@ def score_histogram(reference: DataFrame, current: DataFrame, score: str = "scor
 
 
 def psi(reference: DataFrame, current: DataFrame, score: str = "score", bins: int = 10,
-        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+        buckets: int | None = AUTO) -> DataFrame:
     return psi_from_histogram(score_histogram(reference, current, score), bins, buckets)
 
 
-def psi_from_histogram(h0: DataFrame, bins: int = 10, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def psi_from_histogram(h0: DataFrame, bins: int = 10, buckets: int | None = AUTO) -> DataFrame:
     """G9 + P18: population stability index of ``current`` against quantile
     bins of ``reference``; outer edges open; empty bins count at 1e-8.
 
@@ -147,11 +147,11 @@ def drift_level(p: Column) -> Column:
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, score: str = "score",
-             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             buckets: int | None = AUTO) -> DataFrame:
     return ks_from_histogram(score_histogram(reference, current, score), buckets)
 
 
-def ks_from_histogram(h0: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def ks_from_histogram(h0: DataFrame, buckets: int | None = AUTO) -> DataFrame:
     """Two-sample KS statistic max |F_ref(x) - F_cur(x)| over all
     distinct scores, via one running total over both populations."""
     pts = h0.groupBy("score").agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("r"),
@@ -218,7 +218,7 @@ def band_capture(scored: DataFrame, decision: str = "decision", label: str = "la
 
 def duration_percentiles(df: DataFrame, value: str, by: Sequence[str] = (),
                          qs: Sequence[float] = (0.5, 0.95, 0.99),
-                         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                         buckets: int | None = AUTO) -> DataFrame:
     """G16 re-aimed: count, mean and exact P50/P95/P99 per key."""
     quant = exact_quantiles(df, value, qs, by=by, buckets=buckets)
     names = {float(q): f"p{int(round(q * 100))}" for q in qs}

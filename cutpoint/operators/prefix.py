@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+AUTO = None   # buckets=None: derive from spark.sql.shuffle.partitions
 MAX_BUCKETS = 100_000
 
 _PERSISTED: list[DataFrame] = []
@@ -41,14 +42,26 @@ def release() -> None:
         _PERSISTED.pop().unpersist()
 
 
-def range_bounds(df: DataFrame, col: str | Column, buckets: int) -> list[float]:
+def default_buckets(df: DataFrame) -> int:
+    """Ranges follow the cluster's shuffle width (sized for the data by the
+    operator of the job), never fewer than DEFAULT_BUCKETS."""
+    try:
+        sp = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        sp = DEFAULT_BUCKETS
+    return max(DEFAULT_BUCKETS, min(sp, MAX_BUCKETS))
+
+
+def range_bounds(df: DataFrame, col: str | Column, buckets: int | None) -> list[float]:
     """Up to ``buckets - 1`` increasing interior bounds at equal-count quantiles."""
+    buckets = default_buckets(df) if buckets is None else buckets
     buckets = max(1, min(int(buckets), MAX_BUCKETS))
     if buckets == 1:
         return []
     c = F.col(col) if isinstance(col, str) else col
     qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(c.cast("double"), qs, 10_000).alias("q")).first()
+    accuracy = max(10_000, 4 * buckets)
+    row = df.agg(F.percentile_approx(c.cast("double"), qs, accuracy).alias("q")).first()
     vals = row["q"] or []
     out = sorted({float(v) for v in vals if v is not None and not math.isnan(v)
                   and not math.isinf(v)})
@@ -67,7 +80,7 @@ def assign_range(df: DataFrame, col: str, bounds: Sequence[float], out: str) ->
 
 def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
                   by: Sequence[str] = (), descending: bool = False,
-                  buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
+                  buckets: int | None = AUTO, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<v>`` = sum of v over rows whose order key comes at or before
     this row's (ties included, RANGE semantics), within each ``by`` group.
 
@@ -95,7 +108,7 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],
 
 
 def global_position(df: DataFrame, order_cols: Sequence[str], by: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS, out: str = "pos") -> DataFrame:
+                    buckets: int | None = AUTO, out: str = "pos") -> DataFrame:
     """1-based position of each row in the total order ``order_cols`` (which
     must be unique per row within ``by``). Ranges come from the first order
     column, which should have many distinct values."""
@@ -115,7 +128,7 @@ def global_position(df: DataFrame, order_cols: Sequence[str], by: Sequence[str]
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS, weight: str | None = None) -> DataFrame:
+                    buckets: int | None = AUTO, weight: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``quantile`` default).
 
     For n values sorted x[0..n-1], q -> h = (n-1) q, result

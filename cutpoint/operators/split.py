@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.operators.prefix import DEFAULT_BUCKETS, global_position, reuse, running_total
+from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, global_position, reuse, running_total
 
 
 def numeric_key(df: DataFrame, col: str) -> Column:
@@ -33,7 +33,7 @@ def numeric_key(df: DataFrame, col: str) -> Column:
 
 def cut_by_position(df: DataFrame, order_col: str, tiebreak: Sequence[str],
                     cuts, labels: Sequence[str], out: str = "split",
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = AUTO) -> DataFrame:
     """Label rows by position in the order (order_col, *tiebreak):
     positions [0, cuts[0]) -> labels[0], [cuts[0], cuts[1]) -> labels[1], ...
 
@@ -86,7 +86,7 @@ def cut_by_position(df: DataFrame, order_col: str, tiebreak: Sequence[str],
 
 
 def temporal_split(df: DataFrame, ts_col: str, tiebreak: Sequence[str], test_size: float = 0.2,
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = AUTO) -> DataFrame:
     """``split`` in {train, test}; train = first int(n * (1 - test_size)) rows."""
     return cut_by_position(df, ts_col, tiebreak, lambda n: [int(n * (1 - test_size))],
                            ["train", "test"], buckets=buckets)
@@ -94,7 +94,7 @@ def temporal_split(df: DataFrame, ts_col: str, tiebreak: Sequence[str], test_siz
 
 def temporal_three_way(df: DataFrame, ts_col: str, tiebreak: Sequence[str],
                        test_size: float = 0.2, calibration_fraction: float = 0.5,
-                       buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                       buckets: int | None = AUTO) -> DataFrame:
     """W4 then W5: ``split`` in {train, calibration, evaluation}; the test part
     is cut at int(len(test) * fraction), both sides non-empty."""
     if not (0.1 <= calibration_fraction <= 0.9):
@@ -112,7 +112,7 @@ def temporal_three_way(df: DataFrame, ts_col: str, tiebreak: Sequence[str],
 
 
 def stratified_split(df: DataFrame, label_col: str, spread: str, tiebreak: Sequence[str],
-                     test_size: float = 0.2, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     test_size: float = 0.2, buckets: int | None = AUTO) -> DataFrame:
     """M9: per label, the first ceil(n_c * test_size) rows in hash order are
     test. ``spread`` is an integer hash column; deterministic under any
     partitioning."""
@@ -124,8 +124,32 @@ def stratified_split(df: DataFrame, label_col: str, spread: str, tiebreak: Seque
             .drop("__pos", "__n")
 
 
-def fixed_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+def fixed_sample(df: DataFrame, n: int, order: Sequence[str], oversample: float = 2.0) -> DataFrame:
     """A fixed-size uniform sample without replacement: the n smallest
-    rows by (seeded hash, key). ``limit`` is the feature here; Spark plans
-    it as a per-partition top-n merged once (TakeOrderedAndProject)."""
-    return df.orderBy(*order).limit(int(n))
+    rows by (seeded hash, key). ``limit`` is the feature here.
+
+    A plain ordered limit merges n rows from *every* partition in one task.
+    Instead one aggregate returns the row count and a ladder of approximate
+    quantiles of the hash; the smallest rung expected to keep about
+    ``oversample * n`` rows becomes a cut, a count verifies that at least n
+    rows fall under it (else the next rung is tried), and the ordered limit
+    runs on those candidates only. Exact: every row below the cut is kept,
+    and the n smallest rows are all below it.
+    """
+    n = int(n)
+    first = F.col(order[0]).cast("double")
+    ladder = sorted({min(1.0, 2.0 ** -k) for k in range(0, 41)})
+    r = df.agg(F.count(F.lit(1)).alias("rows"),
+               F.percentile_approx(first, ladder, 10_000).alias("q")).first()
+    total = int(r["rows"] or 0)
+    if total <= n:
+        return df.orderBy(*order).limit(n)
+    qv = list(zip(ladder, r["q"]))
+    want = min(1.0, oversample * n / total)
+    for q, cut in qv:
+        if q < want or cut is None:
+            continue
+        cand = df.filter(first <= F.lit(float(cut)))
+        if q >= 1.0 or cand.count() >= n:
+            return cand.orderBy(*order).limit(n)
+    return df.orderBy(*order).limit(n)

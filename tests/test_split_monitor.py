@@ -128,3 +128,11 @@ def test_top_errors_fixture(spark):
                                "id long, Time double, Amount double, label int, score double")
     out = errors.top_errors(df, 0.5, 2, keep=["id", "Time", "Amount"], tiebreak=["id"]).collect()
     assert sorted((r["id"], r["error_type"]) for r in out) == [(1, "false_positive"), (3, "false_negative")]
+
+
+@pytest.mark.parametrize("n", [1, 37, 500, 5000])
+def test_fixed_sample_is_exact_top_n(spark, n):
+    rows, df = timed(spark, n=3000, seed=11)
+    got = [r["id"] for r in split.fixed_sample(df, n, ["tie", "id"]).collect()]
+    exp = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))[:n]]
+    assert sorted(got) == sorted(exp)
