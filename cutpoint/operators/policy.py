@@ -153,8 +153,10 @@ def bucket_by_cuts(df: DataFrame, col: str, cuts: Sequence[float], out: str) ->
     tmp = f"__{out}_d"
     bz = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol=col, outputCol=tmp,
                     handleInvalid="keep")
+    # Non-null by construction (-1 for a null score, which matches no bucket), so
+    # joins on it infer no extra filter that would evaluate the score twice.
     return bz.transform(df.withColumn(col, F.col(col).cast("double"))) \
-             .withColumn(out, F.col(tmp).cast("int")).drop(tmp)
+             .withColumn(out, F.coalesce(F.col(tmp).cast("int"), F.lit(-1))).drop(tmp)
 
 
 def cumulative_histogram(scored: DataFrame, cuts: Sequence[float], by: Sequence[str] = (),

@@ -75,7 +75,7 @@ def assign_range(df: DataFrame, col: str, bounds: Sequence[float], out: str) ->
     tmp = f"__{out}_d"
     bz = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol=col,
                     outputCol=tmp, handleInvalid="keep")
-    return bz.transform(df).withColumn(out, F.col(tmp).cast("int")).drop(tmp)
+    return bz.transform(df).withColumn(out, F.coalesce(F.col(tmp).cast("int"), F.lit(-1))).drop(tmp)
 
 
 def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str],

@@ -166,3 +166,15 @@ def test_default_pairs(spark, base, expected):
 def test_neighbourhood_has_25_pairs(spark):
     c = spark.createDataFrame([(0.11, 0.45)], "t1 double, t2 double")
     assert neighbourhood_pairs(c).count() == 25
+
+
+def test_weighted_histogram_sweep_equals_rows(spark):
+    rng = np.random.default_rng(12)
+    s = np.round(rng.random(2000), 2)
+    y = (rng.random(2000) < s / 3).astype(int)
+    df = ys(spark, y, s, 3)
+    pairs = threshold_grid(spark, 0.02, 0.20, 0.20, 0.80, 0.05)
+    h = policy.score_label_histogram(df)
+    a = {r["pair_no"]: r.asDict() for r in policy.search_best_policy(df, pairs, 25, 5, 0.4).collect()}
+    b = {r["pair_no"]: r.asDict() for r in policy.search_best_policy(h, pairs, 25, 5, 0.4, weight="n").collect()}
+    assert a == b
