@@ -27,6 +27,24 @@ def confusion(scored: DataFrame, threshold, by: Sequence[str] = (), score: str =
                     ratio(c("fp"), c("fp") + c("tn")).alias("fpr"))
 
 
+def confusion_from_points(points: DataFrame, threshold, by: Sequence[str] = ()) -> DataFrame:
+    """G1 + G2 read off a distinct-score table (score, pos, neg), e.g. the
+    one ``curves.score_points`` already built: no second pass over rows."""
+    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    pred = F.col("score") >= t
+    z = F.lit(0).cast("long")
+    aggs = [F.sum(F.when(~pred, F.col("neg")).otherwise(z)).alias("tn"),
+            F.sum(F.when(pred, F.col("neg")).otherwise(z)).alias("fp"),
+            F.sum(F.when(~pred, F.col("pos")).otherwise(z)).alias("fn"),
+            F.sum(F.when(pred, F.col("pos")).otherwise(z)).alias("tp")]
+    g = points.groupBy(*by).agg(*aggs) if by else points.agg(*aggs)
+    c = F.col
+    return g.select(*by, "tn", "fp", "fn", "tp",
+                    ratio(c("tp"), c("tp") + c("fn")).alias("recall"),
+                    ratio(c("tp"), c("tp") + c("fp")).alias("precision"),
+                    ratio(c("fp"), c("fp") + c("tn")).alias("fpr"))
+
+
 def top_errors(scored: DataFrame, threshold: float, top_n: int, keep: Sequence[str],
                tiebreak: Sequence[str], score: str = "score", label: str = "label") -> DataFrame:
     """O8 + U1: the top_n false positives by score desc and the top_n false

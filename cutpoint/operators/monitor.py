@@ -47,12 +47,14 @@ def decision_mix(scored: DataFrame, by: Sequence[str] = (), decision: str = "dec
 def score_stats(scored: DataFrame, score: str = "score", qs: Sequence[float] = (0.95, 0.99),
                 buckets: int | None = AUTO) -> DataFrame:
     """Mean and exact interpolated percentiles, one row."""
-    quant = exact_quantiles(scored, score, qs, buckets=buckets)
+    # One pass: distinct scores with counts; quantiles and the mean both read it.
+    dist = reuse(scored.groupBy(F.col(score).cast("double").alias("__s")).agg(F.count(F.lit(1)).alias("__n")))
+    quant = exact_quantiles(dist, "__s", qs, buckets=buckets, weight="__n")
     names = {float(q): f"p{int(round(q * 100))}_score" for q in qs}
     piv = quant.groupBy().pivot("q", [float(q) for q in qs]).agg(F.first("value"))
     piv = piv.select(*[F.col(f"`{float(q)}`").alias(names[float(q)]) for q in qs])
-    mean = scored.agg(F.avg(F.col(score).cast("double")).alias("mean_score"),
-                      F.count(F.lit(1)).alias("rows")).first()
+    mean = dist.agg((F.sum(F.col("__s") * F.col("__n")) / F.sum("__n")).alias("mean_score"),
+                    F.sum("__n").alias("rows")).first()
     return piv.select(F.lit(int(mean["rows"])).cast("long").alias("rows"),
                       F.lit(mean["mean_score"]).cast("double").alias("mean_score"), *piv.columns)
 

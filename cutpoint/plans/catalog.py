@@ -285,8 +285,9 @@ def cap_threshold(spark, sf) -> float:
 
 
 def q_confusion(spark, sf):
-    th = cap_threshold(spark, sf)
-    return round_doubles(errors.confusion(txn(spark, sf), th).withColumn("threshold", F.lit(th)))
+    pts = txn_points(spark, sf)
+    th = float(curves.recall_at_fpr(pts, TARGET_FPR).first()["threshold"])
+    return round_doubles(errors.confusion_from_points(pts, th).withColumn("threshold", F.lit(th)))
 
 
 def q_top_errors(spark, sf):

@@ -69,11 +69,20 @@ def check_resolved(resolved: DataFrame) -> None:
             f"{bad} rows resolve to thresholds outside 0 <= approve_threshold < decline_threshold <= 1")
 
 
-def apply_bands(resolved: DataFrame, score: str = "score") -> DataFrame:
-    """P4 + P5 with per-row thresholds."""
+def apply_bands(resolved: DataFrame, score: str = "score", validate: bool = True) -> DataFrame:
+    """P4 + P5 with per-row thresholds. With ``validate`` a row whose final
+    pair breaks 0 <= t1 < t2 <= 1 (or whose profile is unknown) fails the
+    query in the same pass (``raise_error``), with no separate scan."""
     s = F.col(score).cast("double")
-    return (resolved.withColumn("decision", bands.decision(s, F.col("approve_threshold"), F.col("decline_threshold")))
-                    .withColumn("predicted_class", bands.predicted_class(s, F.col("decline_threshold"))))
+    t1, t2 = F.col("approve_threshold"), F.col("decline_threshold")
+    d = bands.decision(s, t1, t2)
+    if validate:
+        ok = F.coalesce(bands.thresholds_valid(t1, t2), F.lit(False))
+        d = F.when(ok, d).otherwise(F.raise_error(F.concat(
+            F.lit("Thresholds must satisfy 0 <= approve_threshold < decline_threshold <= 1; profile="),
+            F.coalesce(F.col("profile"), F.lit("null")))))
+    return (resolved.withColumn("decision", d)
+                    .withColumn("predicted_class", bands.predicted_class(s, t2)))
 
 
 def run_inference(df: DataFrame, score_fn: Callable[[DataFrame], DataFrame], profiles: DataFrame,
@@ -85,9 +94,7 @@ def run_inference(df: DataFrame, score_fn: Callable[[DataFrame], DataFrame], pro
         contract.require_columns(df, required)
     scored = score_fn(df)
     resolved = resolve_thresholds(scored, profiles, profile, approve_override, decline_override)
-    if validate and not df.isStreaming:
-        check_resolved(resolved)
-    return apply_bands(resolved)
+    return apply_bands(resolved, validate=validate)
 
 
 # ------------------------------------------------------------------ X1

@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import ThresholdError
-from cutpoint.plans.inference import profile_table, python_model_scorer, run_inference
+from cutpoint.plans.inference import (check_resolved, profile_table, python_model_scorer,
+                                      resolve_thresholds, run_inference)
 from cutpoint.sources.policy_doc import build_documents, parse_documents, to_json_text
 
 
@@ -42,14 +43,16 @@ def test_override_wins_per_side(spark):
 
 def test_bad_order_rejected(spark):
     prof = profile_table(spark)
-    with pytest.raises(ThresholdError):
+    with pytest.raises(Exception, match="approve_threshold < decline_threshold"):
         run_inference(scores(spark, [0.1]), lambda d: d, prof, "primary", approve_override=0.7,
-                      decline_override=0.6)
+                      decline_override=0.6).collect()
+    with pytest.raises(ThresholdError):
+        check_resolved(resolve_thresholds(scores(spark, [0.1]), prof, "primary", 0.7, 0.6))
 
 
 def test_unknown_profile_rejected(spark):
-    with pytest.raises(ThresholdError):
-        run_inference(scores(spark, [0.1]), lambda d: d, profile_table(spark), "nope")
+    with pytest.raises(Exception, match="profile=nope"):
+        run_inference(scores(spark, [0.1]), lambda d: d, profile_table(spark), "nope").collect()
 
 
 def test_profiles_from_document(spark):

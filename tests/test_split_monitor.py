@@ -136,3 +136,13 @@ def test_fixed_sample_is_exact_top_n(spark, n):
     got = [r["id"] for r in split.fixed_sample(df, n, ["tie", "id"]).collect()]
     exp = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))[:n]]
     assert sorted(got) == sorted(exp)
+
+
+def test_confusion_from_points_equals_rows(spark):
+    from cutpoint.operators import curves
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.random() < 0.2), float(np.round(rng.random(), 2))) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    a = errors.confusion(df, 0.37).first().asDict()
+    b = errors.confusion_from_points(curves.score_points(df), 0.37).first().asDict()
+    assert a == b
