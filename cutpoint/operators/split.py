@@ -17,18 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cutpoint.functions.timekeys import epoch_micros
 from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, global_position, reuse, running_total
 
 
 def numeric_key(df: DataFrame, col: str) -> Column:
     """Order-preserving double for numeric, date and timestamp columns."""
     t = dict(df.dtypes)[col]
-    c = F.col(col)
-    if t.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if t == "date":
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+    if t.startswith("timestamp") or t == "date":
+        return epoch_micros(df, col).cast("double")      # exact below 2^53 us (285 years)
+    return F.col(col).cast("double")
 
 
 def cut_by_position(df: DataFrame, order_col: str, tiebreak: Sequence[str],

@@ -18,7 +18,7 @@ from cutpoint.operators import curves, errors, monitor, policy, ranking, split
 from cutpoint.operators.prefix import exact_quantiles
 from cutpoint.plans.common import round_doubles
 from cutpoint.sources import contract
-from cutpoint.sources.tables import TXN_KEY, TXN_TIEBREAK, read_table, tie_hash, txn
+from cutpoint.sources.tables import TXN_KEY, TXN_TIEBREAK, read_table, tie_hash, txn, typed_load
 
 # Query parameters (reference defaults and published policies).
 T1, T2 = 0.20, 0.80                      # phase2_guarded profile
@@ -61,7 +61,10 @@ def q_predicted_class(spark, sf):
 # ------------------------------------------------------------------ policies
 
 def q_policy_eval(spark, sf):
-    return round_doubles(policy.evaluate_policy(txn(spark, sf), T1, T2))
+    """Flagship: typed scan (S2: contract, double features, tinyint label)
+    -> bands at (T1, T2) -> the 18 policy metrics (G3)."""
+    typed = typed_load(txn(spark, sf))
+    return round_doubles(policy.evaluate_policy(typed, T1, T2))
 
 
 def q_policy_cost(spark, sf):
@@ -292,8 +295,11 @@ def q_confusion(spark, sf):
 
 def q_top_errors(spark, sf):
     th = cap_threshold(spark, sf)
-    return round_doubles(errors.top_errors(txn(spark, sf), th, TOP_N, keep=[*TXN_KEY, "ts", "amount"],
-                                           tiebreak=list(TXN_TIEBREAK)))
+    out = errors.top_errors(txn(spark, sf), th, TOP_N, keep=[*TXN_KEY, "ts", "amount"],
+                            tiebreak=list(TXN_TIEBREAK))
+    # Export the listed columns that exist, in order (row id = the key).
+    return round_doubles(errors.export_columns(out, [*TXN_KEY, "ts", "amount", "Time", "Amount", "score",
+                                                     "label", "predicted_class", "error_type"]))
 
 
 QUERIES = {

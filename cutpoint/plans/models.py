@@ -10,6 +10,7 @@ from cutpoint.operators import calibrate, curves, model, policy, ranking
 from cutpoint.plans import catalog as C
 from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import policy_doc as pdoc
+from cutpoint.sources.contract import resolve_feature_columns
 from cutpoint.sources.tables import TXN_FEATURES, TXN_KEY
 
 # Optimality tolerance on the normalised gradient (the reference solver's
@@ -126,8 +127,9 @@ def q_bundle_roundtrip(spark, sf):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundle_{abs(hash(sf)) % 10**8}"
     model.save_bundle(m, TXN_FEATURES, C.TARGET_FPR, 0.5, path)
     b = model.load_bundle(spark, path)
+    feats = resolve_feature_columns(te, b.feature_columns)        # P3: bundle order wins
     a = model.score(m, te, "s1")
-    c = model.score(b.model, te, "s2").select(*TXN_KEY, "s2")
+    c = model.score(b.model, te.select(*TXN_KEY, *feats), "s2").select(*TXN_KEY, "s2")
     j = a.join(c, list(TXN_KEY))
     return j.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("s1") - F.col("s2"))).alias("max_abs_diff"),
                  F.lit(",".join(b.feature_columns or [])).alias("feature_columns"))

@@ -3,7 +3,8 @@
 Event time is the transaction time. A watermark bounds the state: a day's
 window is emitted once, in append mode, when the watermark passes its end;
 later rows for a closed day are dropped by design. ``TIMESTAMP_NTZ`` columns
-are cast to ``TIMESTAMP`` first (a watermark needs a zoned timestamp).
+become instants read as UTC wall-clock time (a watermark needs a zoned
+timestamp), so days are the naive dates whatever the session zone.
 """
 
 from __future__ import annotations
@@ -12,6 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cutpoint.functions import bands
+from cutpoint.functions.timekeys import as_instant
+
+
+def _utc_day(instant):
+    """The UTC calendar day of an instant, independent of the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(instant) / 86_400_000_000).cast("int"))
 
 
 def daily_mix_stream(events: DataFrame, t1: float, t2: float, ts: str = "ts",
@@ -20,7 +27,7 @@ def daily_mix_stream(events: DataFrame, t1: float, t2: float, ts: str = "ts",
     """Streaming (or batch) DataFrame of per-day counts by decision band."""
     s = F.col(score).cast("double")
     d = bands.decision(s, t1, t2)
-    e = (events.withColumn("event_time", F.col(ts).cast("timestamp"))
+    e = (events.withColumn("event_time", as_instant(events, ts))
          .withWatermark("event_time", delay))
     y = F.col(label)
     return (e.groupBy(F.window("event_time", "1 day").alias("w"))
@@ -30,7 +37,7 @@ def daily_mix_stream(events: DataFrame, t1: float, t2: float, ts: str = "ts",
                   F.count_if(d == bands.DECLINE).alias("decline_count"),
                   F.count_if(y == 1).alias("fraud_total"),
                   F.count_if((y == 1) & (d != bands.APPROVE)).alias("fraud_flagged"))
-             .select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "rows",
+             .select(F.date_format(_utc_day(F.col("w.start")), "yyyy-MM-dd").alias("day"), "rows",
                      "approve_count", "review_count", "decline_count", "fraud_total", "fraud_flagged"))
 
 
