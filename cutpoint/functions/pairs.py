@@ -109,12 +109,15 @@ def default_pairs(base: DataFrame, base_col: str = "base") -> DataFrame:
 def parse_pair_specs(df: DataFrame, spec_col: str, key_cols=()) -> DataFrame:
     """F5 re-aimed on a column of "t1:t2,t1:t2" strings.
 
-    One output row per non-empty token: ordinal, parsed t1/t2 and an
-    ``error`` (null when valid). A spec whose every token is empty gets one
-    row with error 'empty'.
+    One output row per non-empty token: its ordinal among the spec's
+    non-empty tokens (from ``posexplode``, so no window), parsed t1/t2 and
+    an ``error`` (null when valid). A spec with no token gets one row with
+    error 'empty'.
     """
-    toks = df.select(*key_cols, F.posexplode(F.split(F.col(spec_col), ",")).alias("pos", "tok"))
-    toks = toks.withColumn("tok", F.trim("tok")).filter(F.col("tok") != "")
+    toks = F.filter(F.transform(F.split(F.coalesce(F.col(spec_col), F.lit("")), ","), lambda t: F.trim(t)),
+                    lambda t: t != "")
+    base = df.select(*key_cols, toks.alias("__toks"))
+    ex = base.select(*key_cols, F.posexplode("__toks").alias("pos", "tok"))
     parts = F.split(F.col("tok"), ":", 2)
     a = F.trim(F.element_at(parts, 1)).try_cast("double")
     d = F.trim(F.element_at(parts, 2)).try_cast("double")
@@ -122,17 +125,13 @@ def parse_pair_specs(df: DataFrame, spec_col: str, key_cols=()) -> DataFrame:
     err = (F.when(~has_colon, F.lit("missing ':'"))
            .when(a.isNull() | d.isNull(), F.lit("not a number"))
            .when(~thresholds_valid(a, d), F.lit("invalid thresholds")))
-    w = Window.partitionBy(*key_cols).orderBy("pos") if key_cols else Window.orderBy("pos")
-    parsed = toks.select(*key_cols, F.row_number().over(w).alias("pair_no"), "tok",
-                         F.when(has_colon, a).alias("t1"), F.when(has_colon, d).alias("t2"),
-                         err.alias("error"))
-    if not key_cols:
-        return parsed
-    empty = (df.select(*key_cols, spec_col)
-             .join(parsed.select(*key_cols).distinct(), list(key_cols), "left_anti")
-             .select(*key_cols, F.lit(0).alias("pair_no"), F.lit(None).cast("string").alias("tok"),
-                     F.lit(None).cast("double").alias("t1"), F.lit(None).cast("double").alias("t2"),
-                     F.lit("empty").alias("error")))
+    parsed = ex.select(*key_cols, (F.col("pos") + 1).alias("pair_no"), "tok",
+                       F.when(has_colon, a).alias("t1"), F.when(has_colon, d).alias("t2"),
+                       err.alias("error"))
+    empty = base.filter(F.size("__toks") == 0).select(
+        *key_cols, F.lit(0).alias("pair_no"), F.lit(None).cast("string").alias("tok"),
+        F.lit(None).cast("double").alias("t1"), F.lit(None).cast("double").alias("t2"),
+        F.lit("empty").alias("error"))
     return parsed.unionByName(empty)
 
 
