@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cutpoint.functions.pairs import GRID_DEFAULTS, threshold_grid
 from cutpoint.operators import calibrate, curves, model, policy, ranking
+from cutpoint.operators.prefix import reuse
 from cutpoint.plans import catalog as C
 from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import policy_doc as pdoc
@@ -44,8 +45,10 @@ def q_model_sweep(spark, sf):
     """M2 + O1: fit each candidate on train, score the test part once per
     candidate, and measure all candidates in one curve job (by candidate)."""
     s = three_way(spark, sf)
-    tr = s.filter(F.col("split") == "train")
-    te = s.filter(F.col("split") != "train")
+    # Five fits read the same training rows: keep the narrow projection
+    # (what each MLlib fit would persist anyway) instead of re-running the split.
+    tr = reuse(s.filter(F.col("split") == "train").select(*TXN_FEATURES, "label"))
+    te = reuse(s.filter(F.col("split") != "train").select(*TXN_KEY, *TXN_FEATURES, "label"))
     scored = None
     cands = model.default_candidates()
     for i, c in enumerate(cands):
