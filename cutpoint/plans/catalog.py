@@ -29,6 +29,7 @@ SENSITIVITY_CENTER = (0.11, 0.45)
 SENSITIVITY_GUARDRAILS = dict(max_review_rate=0.102, min_capture=0.95, max_decline_fpr=0.02)
 SIM_PAIRS = [(0.05, 0.45), (0.08, 0.50), (0.11, 0.45), (0.19, 0.80), (0.20, 0.80),
              (0.03, 0.40), (0.12, 0.60), (0.10, 0.30)]
+WIDE_GRID = dict(t1_min=0.01, t1_max=0.50, t2_min=0.10, t2_max=0.99, step=0.01)
 TARGET_FPR = 0.02
 TEST_SIZE = 0.2
 CALIBRATION_FRACTION = 0.5
@@ -115,6 +116,16 @@ def q_promotion_gate(spark, sf):
     return ranking.promotion_gate(rec)
 
 
+def q_wide_sweep(spark, sf):
+    """D3: the simulation rule over a wide grid (thousands of pairs); the
+    cost stays one scan plus a histogram of (cuts + 1) x 2 rows."""
+    ranked = policy.evaluate_threshold_pairs(txn(spark, sf), threshold_grid(spark, **WIDE_GRID))
+    g = SIM_GUARDRAILS
+    ok = guardrails.meets(F.col("review_rate"), F.col("fraud_capture_flagged"), F.col("decline_fpr"),
+                          g["max_review_rate"], g["min_capture"], g["max_decline_fpr"])
+    return round_doubles(ranked.withColumn("meets_guardrails", ok))
+
+
 def q_sensitivity(spark, sf):
     """25 pairs around the primary policy; metric ranges and pass count."""
     center = spark.range(1).select(F.lit(SENSITIVITY_CENTER[0]).alias("t1"),
@@ -316,6 +327,7 @@ QUERIES = {
     "fallback_policy": q_fallback_policy,
     "promotion_gate": q_promotion_gate,
     "sensitivity": q_sensitivity,
+    "wide_sweep": q_wide_sweep,
     "pr_auc": q_pr_auc,
     "roc_auc": q_roc_auc,
     "recall_at_fpr": q_recall_at_fpr,

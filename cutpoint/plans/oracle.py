@@ -234,7 +234,8 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_su
 SELECT {policy_metrics_select()} FROM c"""
     q["policy_cost"] = f"""WITH {TXN_SQL}, c AS ({one_policy_counts(t1, t2)})
 SELECT {cost_metrics_select('', cf['c_fn'], cf['c_fd'], cf['c_rev'])} FROM c"""
-    q["policy_sweep"] = sim_sweep_sql(values_pairs(C.SIM_PAIRS))
+    q["policy_sweep"] = sim_sweep_sql(values_pairs(C.SIM_PAIRS), rnd=False, final=False) + \
+        "\n" + rounded(SIM_DOUBLE_COLS, SIM_OTHER_COLS, "ranked")
     q["cost_sweep"] = cost_sweep_sql(grid_pairs_sql(**GRID_DEFAULTS), cf["c_fn"], cf["c_fd"], cf["c_rev"]) + \
         f"\nSELECT {COST_INT_COLS}, {_round_cost_cols()} FROM r"
     sg, cg = C.SIM_GUARDRAILS, C.COST_GUARDRAILS
@@ -423,6 +424,11 @@ b AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey
 UNION ALL
 (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, amount, score, label, predicted_class, 'false_negative' AS error_type
  FROM b WHERE label = 1 AND predicted_class = 0 ORDER BY score ASC, {TIEBREAK.replace('amount', 'amt')} LIMIT {C.TOP_N})"""
+    sgw = C.SIM_GUARDRAILS
+    q["wide_sweep"] = sim_sweep_sql(grid_pairs_sql(**C.WIDE_GRID), rnd=False, final=False) + f""",
+f AS (SELECT *, (review_rate <= {d(sgw['max_review_rate'])} AND fraud_capture_flagged >= {d(sgw['min_capture'])}
+  AND decline_fpr <= {d(sgw['max_decline_fpr'])}) AS meets_guardrails FROM ranked)
+{rounded(SIM_DOUBLE_COLS, SIM_OTHER_COLS + ('meets_guardrails',), 'f')}"""
     q.update(registry_sql())
     q.update(extras_sql())
     return q
