@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql.types import _parse_datatype_string
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +137,7 @@ def q_scored_export(spark, sf):
     path = _scratch(spark, "scored_csv", sf)
     out.write.mode("overwrite").partitionBy("decision").option("header", True).csv(path)
     schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, score double, label int"
-    back = read_csv_typed(spark, path, _parse_datatype_string(schema))
+    back = read_csv_typed(spark, path, schema)
     return back.groupBy("decision").agg(F.count(F.lit(1)).alias("rows"),
                                         F.sum("label").cast("long").alias("positives"))
 

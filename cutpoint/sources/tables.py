@@ -34,7 +34,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with header and an explicit schema (no inference pass)."""
     return (spark.read.schema(schema).option("header", True)
             .option("mode", "FAILFAST").csv(path))
