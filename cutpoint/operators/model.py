@@ -102,11 +102,18 @@ def gradient_check(model: PipelineModel, train: DataFrame, label: str = "label",
     r = F.col(WEIGHT) * (p - F.col(label))
     aggs = [F.sum(r).alias("g0"), F.sum(WEIGHT).alias("n")]
     aggs += [F.sum(r * x[j]).alias(f"g{j + 1}") for j in range(len(coef))]
+    aggs += [F.stddev_pop(x[j]).alias(f"s{j + 1}") for j in range(len(coef))]
     row = t.agg(*aggs).first()
     n = float(row["n"])
     grads = [row["g0"] / n] + [row[f"g{j + 1}"] / n + coef[j] / (c_value * n) for j in range(len(coef))]
+    # The same gradient in standardised coordinates (coefficient x std), the
+    # space MLlib optimises in whatever ``standardization`` says: d/dgamma_j =
+    # g_j / std_j. It makes the check independent of feature units.
+    stds = [1.0] + [float(row[f"s{j + 1}"] or 0.0) or 1.0 for j in range(len(coef))]
+    scaled = [g / sd for g, sd in zip(grads, stds)]
     spark = train.sparkSession
-    return spark.range(1).select(F.lit(max(abs(g) for g in grads)).alias("max_abs_gradient"))
+    return spark.range(1).select(F.lit(max(abs(g) for g in grads)).alias("max_abs_gradient"),
+                                 F.lit(max(abs(g) for g in scaled)).alias("max_abs_scaled_gradient"))
 
 
 # ---------------------------------------------------------------- bundle S7/S8
