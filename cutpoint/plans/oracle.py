@@ -517,6 +517,18 @@ k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k)
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
   CAST(label AS BIGINT) AS label FROM k2 WHERE pos >= c2"""
     q["logreg_fit"] = "SELECT 'raw_logreg_c1.0' AS candidate, TRUE AS gradient_small"
+    tf = C.TARGET_FPR
+    params = '{"target_fpr":"0.02","test_size":"0.2"}'
+    tags = '{"stage":"dev","team":"risk"}'
+    q["run_log"] = f"""WITH {TXN_SQL}, {POINTS_SQL}, r AS ({recall_sql(True, tf)}),
+a AS (SELECT sum(CAST(pos AS DOUBLE) * tps / (tps + fps)) / sum(pos) AS pr_auc,
+  CAST(sum(CAST(neg AS HUGEINT) * (2 * tps - pos)) AS DOUBLE) / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS roc_auc FROM c)
+SELECT 'train_baseline' AS run_name, metric, round(value, 6) AS value, '{params}' AS params, '{tags}' AS tags FROM (
+  SELECT 'pr_auc' AS metric, pr_auc AS value FROM a UNION ALL SELECT 'roc_auc', roc_auc FROM a
+  UNION ALL SELECT 'recall_at_target_fpr', recall FROM r UNION ALL SELECT 'threshold_at_target_fpr', threshold FROM r) u"""
+    q["bundle_roundtrip"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()}
+SELECT count(*) AS rows, 0.0::DOUBLE AS max_abs_diff, 'amount,l_discount,l_quantity,l_tax' AS feature_columns
+FROM o WHERE pos >= CAST(floor(n * {d(1 - ts_)}) AS BIGINT)"""
     q["platt_calibration"] = "SELECT 'platt' AS method, TRUE AS gradient_small"
     return q
 

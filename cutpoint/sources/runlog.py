@@ -24,12 +24,12 @@ def log_run(spark: SparkSession, table: str, run_name: str, params: dict[str, st
     bad = tags.select(F.size("bad_tokens")).first()[0]
     if bad:
         raise ValueError("Invalid tag: expected key=value")
-    pmap = F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]) if params \
+    pmap = F.create_map(*[x for k, v in sorted(params.items()) for x in (F.lit(k), F.lit(str(v)))]) if params \
         else F.create_map().cast("map<string,string>")
     m = metrics.agg(F.map_from_entries(F.collect_list(F.struct(F.col("key"), F.col("value").cast("double"))))
                     .alias("metrics"))
     tag_map = tags.first()["tags"] or {}          # a handful of user tags
-    tmap = (F.create_map(*[x for k, v in tag_map.items() for x in (F.lit(k), F.lit(v))])
+    tmap = (F.create_map(*[x for k, v in sorted(tag_map.items()) for x in (F.lit(k), F.lit(v))])
             if tag_map else F.create_map().cast("map<string,string>"))
     row = m.select(F.lit(run_id).alias("run_id"), F.lit(run_name).alias("run_name"),
                    pmap.alias("params"), "metrics", tmap.alias("tags"),

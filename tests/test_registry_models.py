@@ -147,3 +147,17 @@ def test_logistic_fit_is_optimal_and_bundle_roundtrips(spark, tmp_path):
     s1 = model.score(m, df, "s").select("s").collect()
     s2 = model.score(b.model, df, "s").select("s").collect()
     assert s1 == s2
+
+
+def test_isotonic_query_matches_pava_on_small_tables(spark, sf001):
+    from cutpoint.plans import models as M
+    _, cal, _ = M._parts(spark, sf001)
+    c = [(r["score"], r["label"]) for r in cal.select("score", "label").collect()]
+    s = np.array([x for x, _ in c]); y = np.array([v for _, v in c])
+    ux = np.unique(s)
+    uy = np.array([y[s == v].mean() for v in ux])
+    uw = np.array([np.sum(s == v) for v in ux])
+    fx, fy = pava(ux, uy, uw)
+    out = M.q_isotonic_calibration(spark, sf001).select("raw_score", "calibrated_score").collect()
+    exp = np.interp(np.clip([r[0] for r in out], fx[0], fx[-1]), fx, fy)
+    assert np.allclose([r[1] for r in out], exp, atol=1e-9)
