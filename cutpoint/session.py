@@ -39,6 +39,29 @@ def build_session(master: str | None = None, app: str = "cutpoint",
     return spark
 
 
+def scale_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at input / 256 MB (AQE coalesces small ones
+    and splits skewed ones); scans split at 256 MB; explicit broadcasts in
+    the library are parameter-sized, so the automatic threshold stays at
+    Spark's size check.
+    """
+    slots = executors * cores_per_executor
+    shuffle = max(slots * 2, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(int(min(shuffle, 200_000))),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, reading ``spark.checkpoint.dir``.
 
