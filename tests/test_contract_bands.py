@@ -76,3 +76,10 @@ def test_artifact_profile(spark):
     assert math.isclose(r["a"], 0.11) and math.isclose(r["b"], 0.45)
     t1, t2 = bands.artifact_thresholds(0.1)
     assert math.isclose(spark.range(1).select(t1).first()[0], 0.05)
+
+
+def test_text_helpers(spark):
+    from cutpoint.functions.text import fixed_text, pct_text, today_iso
+    r = spark.range(1).select(pct_text(F.lit(0.1234)).alias("p"), fixed_text(F.lit(0.2)).alias("f"),
+                              today_iso().alias("d")).first()
+    assert r["p"] == "12.34%" and r["f"] == "0.2000" and len(r["d"]) == 10
