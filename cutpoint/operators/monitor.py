@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import APPROVE, DECLINE, REVIEW
@@ -87,12 +87,43 @@ def psi_quantiles(bins: int) -> list[float]:
 
 
 def split_histogram(split_df: DataFrame, ref_label: str, cur_label: str, split_col: str = "split",
-                    score: str = "score") -> DataFrame:
-    """(pop, score, n) from one pass over a labelled split."""
+                    score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """(by, pop, score, n) from one pass over a labelled split."""
     pop = (F.when(F.col(split_col) == ref_label, F.lit("ref"))
             .when(F.col(split_col) == cur_label, F.lit("cur")))
-    return reuse(split_df.select(pop.alias("pop"), F.col(score).cast("double").alias("score"))
-                 .filter(F.col("pop").isNotNull()).groupBy("pop", "score").agg(F.count(F.lit(1)).alias("n")))
+    return reuse(split_df.select(*by, pop.alias("pop"), F.col(score).cast("double").alias("score"))
+                 .filter(F.col("pop").isNotNull()).groupBy(*by, "pop", "score")
+                 .agg(F.count(F.lit(1)).alias("n")))
+
+
+def psi_by(h0: DataFrame, by: Sequence[str], bins: int = 10, buckets: int | None = AUTO) -> DataFrame:
+    """G9 + P18 per group from a (by, pop, score, n) histogram. Each group's
+    edges are its own reference quantiles; they travel as an array column
+    joined on the group keys (no per-group driver work), and every group
+    keeps all ``bins`` bins (empty ones at 1e-8)."""
+    qs = psi_quantiles(bins)
+    inner = [float(q) for q in qs[1:-1]]
+    quant = exact_quantiles(h0.filter(F.col("pop") == "ref"), "score", qs, by=by, buckets=buckets, weight="n")
+    edges = (quant.filter(F.col("q").isin(inner)).groupBy(*by)
+             .agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("e"))
+             .select(*by, F.transform("e", lambda x: x["value"]).alias("edges")))
+    s = F.col("score")
+    zero = F.lit(0).cast("long")
+    binned = (h0.join(edges, list(by))
+              .select(*by, "pop", F.size(F.filter("edges", lambda e: e <= s)).alias("bin"), "n")
+              .groupBy(*by, "bin")
+              .agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(zero)).alias("ref_n"),
+                   F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(zero)).alias("cur_n")))
+    grid = edges.select(*by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    h = grid.join(binned, [*by, "bin"], "left").na.fill(0, ["ref_n", "cur_n"])
+    w = Window.partitionBy(*by)                       # bins rows per group
+    rt = F.greatest(F.sum("ref_n").over(w), F.lit(1)).cast("double")
+    ct = F.greatest(F.sum("cur_n").over(w), F.lit(1)).cast("double")
+    rp = F.greatest(F.lit(PSI_EPS), F.least(F.lit(1.0), F.col("ref_n") / rt))
+    cp = F.greatest(F.lit(PSI_EPS), F.least(F.lit(1.0), F.col("cur_n") / ct))
+    terms = h.select(*by, ((cp - rp) * F.ln(cp / rp)).alias("t"))
+    return terms.groupBy(*by).agg(F.sum("t").alias("psi")) \
+        .select(*by, "psi", drift_level(F.col("psi")).alias("drift_level"))
 
 
 def score_histogram(reference: DataFrame, current: DataFrame, score: str = "score") -> DataFrame:

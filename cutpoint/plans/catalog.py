@@ -264,6 +264,13 @@ def q_psi(spark, sf):
     return round_doubles(monitor.psi_from_histogram(split_hist(spark, sf)))
 
 
+def q_psi_by_segment(spark, sf):
+    """G9 by segment: each return flag's test part against its own train part."""
+    s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
+    h = monitor.split_histogram(s, "train", "test", by=["l_returnflag"])
+    return round_doubles(monitor.psi_by(h, ["l_returnflag"]))
+
+
 def q_ks_drift(spark, sf):
     return round_doubles(monitor.ks_from_histogram(split_hist(spark, sf)))
 
@@ -342,6 +349,7 @@ QUERIES = {
     "score_stats": q_score_stats,
     "label_quality": q_label_quality,
     "psi": q_psi,
+    "psi_by_segment": q_psi_by_segment,
     "ks_drift": q_ks_drift,
     "daily_mix": q_daily_mix,
     "review_alerts": q_review_alerts,

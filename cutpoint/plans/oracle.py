@@ -367,6 +367,21 @@ p AS (SELECT greatest(1e-8, least(1.0, CAST(ref_n AS DOUBLE) / greatest(rt, 1)))
   greatest(1e-8, least(1.0, CAST(cur_n AS DOUBLE) / greatest(ct, 1))) AS cp FROM h, t),
 v AS (SELECT sum((cp - rp) * ln(cp / rp)) AS psi FROM p)
 SELECT round(psi, 6) AS psi, CASE WHEN psi < 0.1 THEN 'low' WHEN psi < 0.25 THEN 'moderate' ELSE 'high' END AS drift_level FROM v"""
+    q["psi_by_segment"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+sp AS (SELECT l_returnflag, score, {split_case(ts_)} AS split FROM o),
+e AS (SELECT l_returnflag, quantile_cont(score, {quantile_list(qs)}) AS edges FROM sp WHERE split = 'train' GROUP BY 1),
+b AS (SELECT sp.l_returnflag, split,
+  (SELECT count(*) FROM unnest(e.edges[2:10]) t(x) WHERE x <= sp.score) AS bin FROM sp JOIN e ON e.l_returnflag = sp.l_returnflag),
+bins AS (SELECT e.l_returnflag, r.range AS bin FROM e, range(0, 10) r),
+h AS (SELECT bins.l_returnflag, bins.bin, count(b.bin) FILTER (WHERE b.split = 'train') AS ref_n,
+  count(b.bin) FILTER (WHERE b.split = 'test') AS cur_n
+  FROM bins LEFT JOIN b ON b.l_returnflag = bins.l_returnflag AND b.bin = bins.bin GROUP BY 1, 2),
+t AS (SELECT l_returnflag, sum(ref_n) AS rt, sum(cur_n) AS ct FROM h GROUP BY 1),
+p AS (SELECT h.l_returnflag, greatest(1e-8, least(1.0, CAST(ref_n AS DOUBLE) / greatest(rt, 1))) AS rp,
+  greatest(1e-8, least(1.0, CAST(cur_n AS DOUBLE) / greatest(ct, 1))) AS cp FROM h JOIN t ON t.l_returnflag = h.l_returnflag),
+v AS (SELECT l_returnflag, sum((cp - rp) * ln(cp / rp)) AS psi FROM p GROUP BY 1)
+SELECT l_returnflag, round(psi, 6) AS psi,
+  CASE WHEN psi < 0.1 THEN 'low' WHEN psi < 0.25 THEN 'moderate' ELSE 'high' END AS drift_level FROM v"""
     q["ks_drift"] = f"""WITH {split_cte},
 pts AS (SELECT score, count(*) FILTER (WHERE split = 'train') AS r, count(*) FILTER (WHERE split = 'test') AS c
   FROM sp GROUP BY score),

@@ -146,3 +146,19 @@ def test_confusion_from_points_equals_rows(spark):
     a = errors.confusion(df, 0.37).first().asDict()
     b = errors.confusion_from_points(curves.score_points(df), 0.37).first().asDict()
     assert a == b
+
+
+def test_psi_by_group_matches_numpy(spark):
+    rng = np.random.default_rng(21)
+    rows = []
+    for g in range(3):
+        ref = rng.choice([0.1, 0.2, 0.2, 0.5, 0.9 - g * 0.1], 200)
+        cur = rng.choice([0.1, 0.3, 0.5, 0.7], 150)
+        rows += [(g, "ref", float(x)) for x in ref] + [(g, "cur", float(x)) for x in cur]
+    df = spark.createDataFrame(rows, "g int, pop string, score double")
+    h = df.groupBy("g", "pop", "score").count().withColumnRenamed("count", "n")
+    got = {r["g"]: r["psi"] for r in monitor.psi_by(h, ["g"]).collect()}
+    for g in range(3):
+        ref = np.array([x for gg, p, x in rows if gg == g and p == "ref"])
+        cur = np.array([x for gg, p, x in rows if gg == g and p == "cur"])
+        assert got[g] == pytest.approx(np_psi(ref, cur), rel=1e-12, abs=1e-12)
