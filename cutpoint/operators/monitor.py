@@ -199,6 +199,19 @@ def ks_from_histogram(h0: DataFrame, buckets: int | None = AUTO) -> DataFrame:
         F.lit(nc).cast("long").alias("current_rows"))
 
 
+def ks_by(h0: DataFrame, by: Sequence[str], buckets: int | None = AUTO) -> DataFrame:
+    """D5 per group from a (by, pop, score, n) histogram."""
+    zero = F.lit(0).cast("long")
+    pts = h0.groupBy(*by, "score").agg(
+        F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(zero)).alias("r"),
+        F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(zero)).alias("c"))
+    sizes = pts.groupBy(*by).agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+    cum = running_total(pts, "score", ["r", "c"], by=by, buckets=buckets).join(sizes, list(by))
+    gap = F.abs(F.col("cum_r") / F.greatest(F.col("nr"), F.lit(1)) - F.col("cum_c") / F.greatest(F.col("nc"), F.lit(1)))
+    return cum.groupBy(*by).agg(F.max(gap).alias("ks_stat"), F.first("nr").alias("reference_rows"),
+                                F.first("nc").alias("current_rows"))
+
+
 def daily_mix(scored: DataFrame, ts: str = "ts", decision: str = "decision",
               label: str = "label") -> DataFrame:
     """Per calendar day, the decision mix and label-aware quality, from

@@ -271,6 +271,20 @@ def q_psi_by_segment(spark, sf):
     return round_doubles(monitor.psi_by(h, ["l_returnflag"]))
 
 
+def q_ks_by_segment(spark, sf):
+    s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
+    h = monitor.split_histogram(s, "train", "test", by=["l_returnflag"])
+    return round_doubles(monitor.ks_by(h, ["l_returnflag"]))
+
+
+def q_segment_curves(spark, sf):
+    """G10-G12 per segment: one distinct-score pass grouped by return flag."""
+    pts = curves.score_points(txn(spark, sf), by=["l_returnflag"])
+    auc = curves.auc_metrics(pts, by=["l_returnflag"])
+    rec = curves.recall_at_fpr(pts, TARGET_FPR, by=["l_returnflag"])
+    return round_doubles(auc.join(rec, "l_returnflag"))
+
+
 def q_ks_drift(spark, sf):
     return round_doubles(monitor.ks_from_histogram(split_hist(spark, sf)))
 
@@ -351,6 +365,8 @@ QUERIES = {
     "psi": q_psi,
     "psi_by_segment": q_psi_by_segment,
     "ks_drift": q_ks_drift,
+    "ks_by_segment": q_ks_by_segment,
+    "segment_curves": q_segment_curves,
     "daily_mix": q_daily_mix,
     "review_alerts": q_review_alerts,
     "segment_metrics": q_segment_metrics,

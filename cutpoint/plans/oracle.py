@@ -382,6 +382,37 @@ p AS (SELECT h.l_returnflag, greatest(1e-8, least(1.0, CAST(ref_n AS DOUBLE) / g
 v AS (SELECT l_returnflag, sum((cp - rp) * ln(cp / rp)) AS psi FROM p GROUP BY 1)
 SELECT l_returnflag, round(psi, 6) AS psi,
   CASE WHEN psi < 0.1 THEN 'low' WHEN psi < 0.25 THEN 'moderate' ELSE 'high' END AS drift_level FROM v"""
+    q["ks_by_segment"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+sp AS (SELECT l_returnflag, score, {split_case(ts_)} AS split FROM o),
+pts AS (SELECT l_returnflag, score, count(*) FILTER (WHERE split = 'train') AS r,
+  count(*) FILTER (WHERE split = 'test') AS c FROM sp GROUP BY 1, 2),
+n AS (SELECT l_returnflag, sum(r) AS nr, sum(c) AS nc FROM pts GROUP BY 1),
+cum AS (SELECT l_returnflag, sum(r) OVER (PARTITION BY l_returnflag ORDER BY score) AS cr,
+  sum(c) OVER (PARTITION BY l_returnflag ORDER BY score) AS cc FROM pts)
+SELECT cum.l_returnflag, round(max(abs(CAST(cr AS DOUBLE) / greatest(nr, 1) - CAST(cc AS DOUBLE) / greatest(nc, 1))), 6) AS ks_stat,
+  CAST(max(nr) AS BIGINT) AS reference_rows, CAST(max(nc) AS BIGINT) AS current_rows
+FROM cum JOIN n ON n.l_returnflag = cum.l_returnflag GROUP BY cum.l_returnflag"""
+    q["segment_curves"] = f"""WITH {TXN_SQL},
+pts AS (SELECT l_returnflag, score, count(*) FILTER (WHERE label = 1) AS pos,
+  count(*) FILTER (WHERE label = 0) AS neg FROM txn GROUP BY 1, 2),
+c AS (SELECT l_returnflag, score, pos, neg, CAST(sum(pos) OVER w AS BIGINT) AS tps, CAST(sum(neg) OVER w AS BIGINT) AS fps,
+  row_number() OVER w AS pt, lead(pos) OVER w AS npos, lead(neg) OVER w AS nneg
+  FROM pts WINDOW w AS (PARTITION BY l_returnflag ORDER BY score DESC)),
+tot AS (SELECT l_returnflag, sum(pos) AS P, sum(neg) AS N, count(*) AS m FROM pts GROUP BY 1),
+auc AS (SELECT l_returnflag,
+  CASE WHEN sum(pos) > 0 THEN sum(CAST(pos AS DOUBLE) * tps / (tps + fps)) / sum(pos) END AS pr_auc,
+  CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN CAST(sum(CAST(neg AS HUGEINT) * (2 * tps - pos)) AS DOUBLE)
+    / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS roc_auc FROM c GROUP BY 1),
+roc AS (SELECT c.l_returnflag, pt, score AS threshold, fps, tps FROM c JOIN tot ON tot.l_returnflag = c.l_returnflag
+    WHERE pt = 1 OR pt = m OR npos <> pos OR nneg <> neg
+  UNION ALL SELECT l_returnflag, 0, CAST('inf' AS DOUBLE), 0, 0 FROM tot),
+r2 AS (SELECT roc.l_returnflag, pt, threshold,
+  CASE WHEN N > 0 THEN CAST(fps AS DOUBLE) / N END AS fpr, CASE WHEN P > 0 THEN CAST(tps AS DOUBLE) / P END AS tpr
+  FROM roc JOIN tot ON tot.l_returnflag = roc.l_returnflag),
+rec AS (SELECT l_returnflag, coalesce(max_by(tpr, pt) FILTER (WHERE fpr <= {d(tf)}), 0.0) AS recall,
+  coalesce(max_by(threshold, pt) FILTER (WHERE fpr <= {d(tf)}), 1.0) AS threshold FROM r2 GROUP BY 1)
+SELECT auc.l_returnflag, round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc, {d(tf)} AS target_fpr,
+  round(recall, 6) AS recall, round(threshold, 6) AS threshold FROM auc JOIN rec ON rec.l_returnflag = auc.l_returnflag"""
     q["ks_drift"] = f"""WITH {split_cte},
 pts AS (SELECT score, count(*) FILTER (WHERE split = 'train') AS r, count(*) FILTER (WHERE split = 'test') AS c
   FROM sp GROUP BY score),
