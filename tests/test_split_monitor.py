@@ -162,3 +162,14 @@ def test_psi_by_group_matches_numpy(spark):
         ref = np.array([x for gg, p, x in rows if gg == g and p == "ref"])
         cur = np.array([x for gg, p, x in rows if gg == g and p == "cur"])
         assert got[g] == pytest.approx(np_psi(ref, cur), rel=1e-12, abs=1e-12)
+
+
+def test_published_confusion_rates(spark):
+    # TN / FP / FN / TP = 55,753 / 1,134 / 8 / 67 at one threshold
+    i = F.col("id")
+    df = spark.range(56962).select(
+        F.when(i < 55753 + 1134, 0).otherwise(1).alias("label"),
+        F.when((i < 55753) | ((i >= 55753 + 1134) & (i < 55753 + 1134 + 8)), 0.1).otherwise(0.9).alias("score"))
+    r = errors.confusion(df, 0.5).first()
+    assert (r["tn"], r["fp"], r["fn"], r["tp"]) == (55753, 1134, 8, 67)
+    assert (round(r["recall"], 6), round(r["precision"], 6), round(r["fpr"], 6)) == (0.893333, 0.055787, 0.019934)
