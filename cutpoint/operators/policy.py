@@ -108,13 +108,16 @@ def cost_metrics(counts: DataFrame, c_fn: float, c_fd: float, c_rev: float,
 
 def policy_counts(scored: DataFrame, t1, t2, by: Sequence[str] = (),
                   score: str = "score", label: str = "label") -> DataFrame:
-    """Base counts of one policy; ``t1``/``t2`` may be numbers or row columns."""
+    """Base counts of one policy. ``t1``/``t2`` are numbers, or per-row
+    columns (then the output threshold columns are null: they vary by row)."""
     t1c, t2c = _c(t1), _c(t2)
     aggs = band_count_aggs(F.col(score).cast("double"), F.col(label), t1c, t2c)
     grouped = scored.groupBy(*by) if by else scored
     out = grouped.agg(*aggs) if by else scored.agg(*aggs)
-    return out.select(*by, F.lit(float(t1)).alias("approve_threshold"),
-                      F.lit(float(t2)).alias("decline_threshold"), *COUNT_COLS)
+    def shown(t) -> Column:
+        return F.lit(None).cast("double") if isinstance(t, Column) else F.lit(float(t))
+    return out.select(*by, shown(t1).alias("approve_threshold"), shown(t2).alias("decline_threshold"),
+                      *COUNT_COLS)
 
 
 def evaluate_policy(scored: DataFrame, t1: float, t2: float, by: Sequence[str] = (),

@@ -250,11 +250,6 @@ def q_label_quality(spark, sf):
     return round_doubles(monitor.label_quality(scored_txn(spark, sf)))
 
 
-def train_test(spark, sf):
-    s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
-    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-
-
 def split_hist(spark, sf):
     s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
     return monitor.split_histogram(s, "train", "test")

@@ -71,16 +71,20 @@ def check_resolved(resolved: DataFrame) -> None:
 
 def apply_bands(resolved: DataFrame, score: str = "score", validate: bool = True) -> DataFrame:
     """P4 + P5 with per-row thresholds. With ``validate`` a row whose final
-    pair breaks 0 <= t1 < t2 <= 1 (or whose profile is unknown) fails the
-    query in the same pass (``raise_error``), with no separate scan."""
+    pair breaks 0 <= t1 < t2 <= 1 (or whose profile is unknown), or whose
+    score is null or NaN, fails the query in the same pass (``raise_error``),
+    with no separate scan."""
     s = F.col(score).cast("double")
     t1, t2 = F.col("approve_threshold"), F.col("decline_threshold")
     d = bands.decision(s, t1, t2)
     if validate:
         ok = F.coalesce(bands.thresholds_valid(t1, t2), F.lit(False))
-        d = F.when(ok, d).otherwise(F.raise_error(F.concat(
-            F.lit("Thresholds must satisfy 0 <= approve_threshold < decline_threshold <= 1; profile="),
-            F.coalesce(F.col("profile"), F.lit("null")))))
+        good_score = s.isNotNull() & ~F.isnan(s)           # trap 2: never band a null/NaN score
+        d = (F.when(~ok, F.raise_error(F.concat(
+                F.lit("Thresholds must satisfy 0 <= approve_threshold < decline_threshold <= 1; profile="),
+                F.coalesce(F.col("profile"), F.lit("null")))))
+             .when(~good_score, F.raise_error(F.lit("null or NaN score")))
+             .otherwise(d))
     return (resolved.withColumn("decision", d)
                     .withColumn("predicted_class", bands.predicted_class(s, t2)))
 

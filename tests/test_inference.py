@@ -91,3 +91,9 @@ def test_per_row_profile_join(spark):
     df = spark.createDataFrame([(0, 0.15, "primary"), (1, 0.15, "fallback")], "id long, score double, p string")
     out = run_inference(df, lambda d: d, profile_table(spark), F.col("p"))
     assert decisions(out) == ["review", "approve"]
+
+
+def test_nan_score_fails_the_pass(spark):
+    df = spark.createDataFrame([(0, 0.1), (1, float("nan"))], "id long, score double")
+    with pytest.raises(Exception, match="null or NaN score"):
+        run_inference(df, lambda d: d, profile_table(spark), "primary").collect()
