@@ -38,8 +38,10 @@ def decision_mix(scored: DataFrame, by: Sequence[str] = (), decision: str = "dec
              F.count_if(d == APPROVE).alias("approve_count"),
              F.count_if(d == REVIEW).alias("review_count"),
              F.count_if(d == DECLINE).alias("decline_count"))
+    empty = F.raise_error(F.lit("Scored data is empty."))
     return g.select(*by, "rows", "approve_count", "review_count", "decline_count",
-                    ratio(F.col("approve_count"), F.col("rows")).alias("approve_rate"),
+                    F.when(F.col("rows") > 0, ratio(F.col("approve_count"), F.col("rows")))
+                    .otherwise(empty).alias("approve_rate"),
                     ratio(F.col("review_count"), F.col("rows")).alias("review_rate"),
                     ratio(F.col("decline_count"), F.col("rows")).alias("decline_rate"))
 

@@ -64,6 +64,12 @@ COST_METRICS = ("approve_threshold", "decline_threshold", "approve_count", "revi
                 "decline_fpr", "total_cost", "cost_per_row")
 
 
+def nonempty(total: Column, value: Column) -> Column:
+    """Trap 6: a global aggregate over no rows still returns a row; the
+    reference refuses empty input, so that row fails when it is read."""
+    return F.when(total > 0, value).otherwise(F.raise_error(F.lit("Cannot evaluate policy on empty arrays.")))
+
+
 def policy_metrics(counts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """G3 metrics from base counts (+ approve/decline threshold columns)."""
     c = F.col
@@ -71,7 +77,7 @@ def policy_metrics(counts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *keep,
         c("approve_threshold"), c("decline_threshold"),
         c("approve_count"), c("review_count"), c("decline_count"),
-        ratio(c("approve_count"), c("total")).alias("approve_rate"),
+        nonempty(c("total"), ratio(c("approve_count"), c("total"))).alias("approve_rate"),
         ratio(c("review_count"), c("total")).alias("review_rate"),
         ratio(c("decline_count"), c("total")).alias("decline_rate"),
         ratio(c("review_count") + c("decline_count"), c("total")).alias("flagged_rate"),
@@ -95,7 +101,7 @@ def cost_metrics(counts: DataFrame, c_fn: float, c_fd: float, c_rev: float,
         *keep,
         c("approve_threshold"), c("decline_threshold"),
         c("approve_count"), c("review_count"), c("decline_count"),
-        ratio(c("approve_count"), c("total")).alias("approve_rate"),
+        nonempty(c("total"), ratio(c("approve_count"), c("total"))).alias("approve_rate"),
         ratio(c("review_count"), c("total")).alias("review_rate"),
         ratio(c("decline_count"), c("total")).alias("decline_rate"),
         c("fraud_total"), c("fraud_approve"), c("fraud_review"), c("fraud_decline"),

@@ -178,3 +178,14 @@ def test_weighted_histogram_sweep_equals_rows(spark):
     a = {r["pair_no"]: r.asDict() for r in policy.search_best_policy(df, pairs, 25, 5, 0.4).collect()}
     b = {r["pair_no"]: r.asDict() for r in policy.search_best_policy(h, pairs, 25, 5, 0.4, weight="n").collect()}
     assert a == b
+
+
+def test_zero_denominators_and_empty_input(spark):
+    df = ys(spark, [0, 0, 0], [0.1, 0.5, 0.9])          # no fraud at all
+    r = policy.evaluate_policy(df, 0.2, 0.8).first()
+    assert r["fraud_capture_flagged"] == 0.0 and r["fraud_capture_decline"] == 0.0
+    assert r["review_precision"] == 0.0 and r["decline_fpr"] == pytest.approx(1 / 3)
+    with pytest.raises(Exception, match="empty"):
+        policy.evaluate_policy(df.filter("score > 5"), 0.2, 0.8).collect()
+    with pytest.raises(Exception, match="empty"):
+        policy.evaluate_policy_cost(df.filter("score > 5"), 0.2, 0.8, 25, 5, 0.4).collect()

@@ -161,3 +161,11 @@ def test_isotonic_query_matches_pava_on_small_tables(spark, sf001):
     out = M.q_isotonic_calibration(spark, sf001).select("raw_score", "calibrated_score").collect()
     exp = np.interp(np.clip([r[0] for r in out], fx[0], fx[-1]), fx, fy)
     assert np.allclose([r[1] for r in out], exp, atol=1e-9)
+
+
+def test_scaler_uses_population_std(spark):
+    x = np.array([1.0, 2.0, 4.0, 8.0])
+    df = spark.createDataFrame([(float(v), 7.0) for v in x], "a double, c double")
+    sc = model.population_scaler(df, ["a", "c"])
+    assert sc["a"] == (pytest.approx(x.mean()), pytest.approx(x.std(ddof=0)))
+    assert sc["c"] == (7.0, 1.0)                       # zero variance -> scale 1
