@@ -16,7 +16,7 @@ from cutpoint.functions.pairs import neighbourhood_pairs
 from cutpoint.functions.pairs import default_pairs
 from cutpoint.operators import curves, errors, monitor, policy, ranking, split
 from cutpoint.operators.prefix import exact_quantiles
-from cutpoint.plans.common import round_doubles
+from cutpoint.plans.common import round_doubles, ts_text
 from cutpoint.sources import contract
 from cutpoint.sources.tables import TXN_KEY, TXN_TIEBREAK, read_table, tie_hash, txn, typed_load
 
@@ -50,12 +50,12 @@ def q_contract_check(spark, sf):
 
 def q_score_band(spark, sf):
     t = txn(spark, sf)
-    return t.select(*TXN_KEY, "ts", "score", bands.decision(F.col("score"), T1, T2).alias("decision"))
+    return t.select(*TXN_KEY, ts_text(), "score", bands.decision(F.col("score"), T1, T2).alias("decision"))
 
 
 def q_predicted_class(spark, sf):
     t = txn(spark, sf)
-    return t.select(*TXN_KEY, "ts", "score",
+    return t.select(*TXN_KEY, ts_text(), "score",
                     bands.predicted_class(F.col("score"), T2).alias("predicted_class"))
 
 
@@ -228,7 +228,7 @@ def q_stratified_split(spark, sf):
 
 def q_fixed_sample(spark, sf):
     return split.fixed_sample(txn_tie(spark, sf), SAMPLE_SIZE, SAMPLE_ORDER) \
-        .select(*TXN_KEY, "ts", "h", "score", "label")
+        .select(*TXN_KEY, ts_text(), "h", "score", "label")
 
 
 # --------------------------------------------------------------- monitoring
@@ -325,8 +325,9 @@ def q_top_errors(spark, sf):
     out = errors.top_errors(txn(spark, sf), th, TOP_N, keep=[*TXN_KEY, "ts", "amount"],
                             tiebreak=list(TXN_TIEBREAK))
     # Export the listed columns that exist, in order (row id = the key).
-    return round_doubles(errors.export_columns(out, [*TXN_KEY, "ts", "amount", "Time", "Amount", "score",
-                                                     "label", "predicted_class", "error_type"]))
+    out = errors.export_columns(out, [*TXN_KEY, "ts", "amount", "Time", "Amount", "score",
+                                      "label", "predicted_class", "error_type"])
+    return round_doubles(out.withColumn("ts", ts_text()))
 
 
 QUERIES = {

@@ -24,3 +24,9 @@ def round_doubles(df: DataFrame, places: int = DECIMALS) -> DataFrame:
 
 def one_row_bool(df: DataFrame, col: str) -> bool:
     return bool(df.select(col).first()[0])
+
+
+def ts_text(col: str = "ts"):
+    """Row-level outputs carry time as text: identical in every engine and
+    free of timestamp-precision differences between result converters."""
+    return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss").alias(col)

@@ -12,6 +12,7 @@ from cutpoint.functions.pairs import parse_pair_specs, parse_tag_specs
 from cutpoint.operators import curves, monitor
 from cutpoint.operators.prefix import exact_quantiles
 from cutpoint.plans import catalog as C
+from cutpoint.plans.common import ts_text
 from cutpoint.plans.inference import profile_table, run_inference
 from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import runlog
@@ -41,7 +42,7 @@ def q_profile_inference(spark, sf):
     prof = profile_table(spark, extra=PUBLISHED_PROFILES)
     out = run_inference(txn(spark, sf), lambda d: d, prof, row_profile(),
                         required=C.REQUIRED_TXN_COLUMNS)
-    return out.select(*TXN_KEY, "ts", "profile", "approve_threshold", "decline_threshold", "score",
+    return out.select(*TXN_KEY, ts_text(), "profile", "approve_threshold", "decline_threshold", "score",
                       "decision", "predicted_class")
 
 

@@ -9,6 +9,7 @@ from cutpoint.functions.pairs import GRID_DEFAULTS, threshold_grid
 from cutpoint.operators import calibrate, curves, model, policy, ranking
 from cutpoint.operators.prefix import reuse
 from cutpoint.plans import catalog as C
+from cutpoint.plans.common import ts_text
 from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import policy_doc as pdoc
 from cutpoint.sources.contract import resolve_feature_columns
@@ -89,13 +90,13 @@ def q_isotonic_calibration(spark, sf):
     _, cal, ev = _parts(spark, sf)
     iso = calibrate.fit_isotonic(cal)
     out = calibrate.apply_isotonic(iso, ev.select(*TXN_KEY, "ts", "score", "label").withColumn("raw_score", F.col("score")))
-    return out.select(*TXN_KEY, "ts", "label", "raw_score", F.col("score").alias("calibrated_score"))
+    return out.select(*TXN_KEY, ts_text(), "label", "raw_score", F.col("score").alias("calibrated_score"))
 
 
 def q_calibration_none(spark, sf):
     """M4: evaluation-part scores as doubles."""
     _, _, ev = _parts(spark, sf)
-    return calibrate.calibrate_none(ev).select(*TXN_KEY, "ts", "score", "label")
+    return calibrate.calibrate_none(ev).select(*TXN_KEY, ts_text(), "score", "label")
 
 
 def optimizer_summary(spark, sf, methods=calibrate.METHODS):

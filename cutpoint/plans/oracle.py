@@ -224,11 +224,11 @@ SELECT * FROM (VALUES ('x', TRUE, 0::BIGINT, 0::BIGINT)) v(column_name, present,
   {f"count(*) FILTER (WHERE isnan({c}))" if c not in ("ts", "label") else "CAST(0 AS BIGINT)"} AS nan_count FROM txn
 """ for c in C.REQUIRED_TXN_COLUMNS)
     q["score_band"] = f"""WITH {TXN_SQL}
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, score,
   CASE WHEN score < {d(t1)} THEN 'approve' WHEN score < {d(t2)} THEN 'review' ELSE 'decline' END AS decision
 FROM txn"""
     q["predicted_class"] = f"""WITH {TXN_SQL}
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, score,
   CAST(score >= {d(t2)} AS BIGINT) AS predicted_class FROM txn"""
     q["policy_eval"] = f"""WITH {TXN_SQL}, c AS ({one_policy_counts(t1, t2)})
 SELECT {policy_metrics_select()} FROM c"""
@@ -328,8 +328,8 @@ o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, {TIEBREAK}, ts
 SELECT CASE WHEN pos <= ceil(n * {d(ts_)}) THEN 'test' ELSE 'train' END AS split, CAST(label AS BIGINT) AS label,
   {SPLIT_AGG} FROM o GROUP BY 1, 2"""
     q["fixed_sample"] = f"""WITH {TXN_SQL}, {TIE_SQL}
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, h, score, CAST(label AS BIGINT) AS label FROM txt
-ORDER BY h, {TIEBREAK}, ts LIMIT {C.SAMPLE_SIZE}"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, h, score, CAST(label AS BIGINT) AS label FROM txt
+ORDER BY h, {TIEBREAK}, txt.ts LIMIT {C.SAMPLE_SIZE}"""
     q["decision_mix"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
 SELECT count(*) AS rows, count(*) FILTER (WHERE decision = 'approve') AS approve_count,
   count(*) FILTER (WHERE decision = 'review') AS review_count,
@@ -463,7 +463,7 @@ g AS (SELECT count(*) FILTER (WHERE label = 0 AND score < r.threshold) AS tn,
 SELECT tn, fp, fn, tp, {r6(ratio('tp', 'tp + fn'))} AS recall, {r6(ratio('tp', 'tp + fp'))} AS precision,
   {r6(ratio('fp', 'fp + tn'))} AS fpr, round(threshold, 6) AS threshold FROM g"""
     q["top_errors"] = conf_base + f""",
-b AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, round(amount, 6) AS amount, score,
+b AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, round(amount, 6) AS amount, score,
   CAST(label AS BIGINT) AS label, CAST(score >= r.threshold AS BIGINT) AS predicted_class, {TIEBREAK.replace('amount', 'amount AS amt')} FROM txn, r)
 (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, amount, score, label, predicted_class, 'false_positive' AS error_type
  FROM b WHERE label = 0 AND predicted_class = 1 ORDER BY score DESC, {TIEBREAK.replace('amount', 'amt')} LIMIT {C.TOP_N})
@@ -491,7 +491,7 @@ prof(profile, approve_threshold, decline_threshold) AS (VALUES ('primary', {d(0.
   ('artifact', least({d(0.11)}, {d(0.45)} * {d(0.5)}), {d(0.45)})),
 r AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'fallback' WHEN l_returnflag = 'A' THEN 'primary'
   WHEN l_linestatus = 'O' THEN 'artifact' ELSE 'phase2_guarded' END AS profile FROM txn)
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, r.profile,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(r.ts, '%Y-%m-%d %H:%M:%S') AS ts, r.profile,
   p.approve_threshold, p.decline_threshold, score,
   CASE WHEN score < p.approve_threshold THEN 'approve' WHEN score < p.decline_threshold THEN 'review' ELSE 'decline' END AS decision,
   CAST(score >= p.decline_threshold AS BIGINT) AS predicted_class
@@ -560,7 +560,7 @@ FROM scored, lim WHERE CAST(ts AS DATE) <= lim.last_closed GROUP BY 1"""
     q["calibration_none"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
 k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),
 k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k)
-SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, ts, score,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, score,
   CAST(label AS BIGINT) AS label FROM k2 WHERE pos >= c2"""
     q["logreg_fit"] = "SELECT 'raw_logreg_c1.0' AS candidate, TRUE AS gradient_small"
     tf = C.TARGET_FPR
