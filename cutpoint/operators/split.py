@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.functions.timekeys import epoch_micros
+from cutpoint.functions.timekeys import epoch_micros, literal_like
 from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, global_position, reuse, running_total
 
 
@@ -77,8 +77,12 @@ def cut_by_position(df: DataFrame, order_col: str, tiebreak: Sequence[str],
         return d.withColumn(out, label_of(None)).drop(key)
     in_ties = F.col(key).isin([F.lit(k) for k in tie_keys])
     plain = d.filter(~in_ties).withColumn(out, label_of(None))
-    tied = global_position(d.filter(in_ties), list(tiebreak), by=[key], buckets=buckets,
-                           out="__wpos")
+    # The straddling groups are found with a predicate on the raw column,
+    # which the Parquet scan can push down (row-group statistics skip the
+    # rest of the table when it is stored roughly in time order).
+    raw = F.col(order_col).isin([literal_like(df, order_col, k) for k in tie_keys])
+    tied_rows = df.filter(raw).withColumn(key, numeric_key(df, order_col)).filter(in_ties)
+    tied = global_position(tied_rows, list(tiebreak), by=[key], buckets=buckets, out="__wpos")
     tied = tied.withColumn(out, label_of(F.col("__wpos"))).drop("__wpos")
     return plain.unionByName(tied).drop(key)
 
