@@ -25,13 +25,24 @@ MAX_BUCKETS = 100_000
 _PERSISTED: list[DataFrame] = []
 
 
+RELIABLE_REUSE = "spark.cutpoint.reliableReuse"
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Persist a reduced table read by more than one job (the bounds job and
     the main plan). Memory first, spilling to disk; a lost block is rebuilt
-    from lineage, which is deterministic. ``release()`` drops them all."""
+    from lineage, which is deterministic. ``release()`` drops them all.
+
+    With ``spark.cutpoint.reliableReuse=true`` the table is instead written
+    as a reliable checkpoint into ``spark.checkpoint.dir`` (shared storage),
+    cutting the lineage: for long pipelines on clusters where recomputing
+    after an executor loss costs more than the write."""
     from pyspark import StorageLevel
     if df.isStreaming:
         return df
+    if (df.sparkSession.conf.get(RELIABLE_REUSE, "false") or "false").lower() == "true":
+        from cutpoint.session import cut_lineage
+        return cut_lineage(df)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(df)
     return df
