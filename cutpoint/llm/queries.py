@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cutpoint.llm import bpe, exact_dedup, packing, token_files
+from cutpoint.llm import bpe, exact_dedup, jaccard, packing, token_files
 from cutpoint.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op6_packing, op9_exact_dedup, op10_token_files)}
+    f.__name__: f for f in (op4_bpe, op5_jaccard_join, op6_packing, op9_exact_dedup, op10_token_files)}
 
-ORACLE: dict[str, str] = {"op9_exact_dedup": exact_dedup.ORACLE}
+ORACLE: dict[str, str] = {"op5_jaccard_join": jaccard.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
