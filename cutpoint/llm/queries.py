@@ -7,10 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cutpoint.llm import bpe, exact_dedup, jaccard, packing, token_files
+from cutpoint.llm import bpe, convnet, exact_dedup, jaccard, packing, token_files
 from cutpoint.llm.common import read_table
 
 
+def op3_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    net = convnet.fit(docs, read_table(spark, sf_dir, "labels"))
+    return convnet.score(docs, net).drop("text_hash")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +38,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op5_jaccard_join, op6_packing, op9_exact_dedup, op10_token_files)}
+    f.__name__: f for f in (op3_convnet, op4_bpe, op5_jaccard_join, op6_packing, op9_exact_dedup, op10_token_files)}
 
 ORACLE: dict[str, str] = {"op5_jaccard_join": jaccard.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
