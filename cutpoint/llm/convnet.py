@@ -194,7 +194,7 @@ def document_scores(net: Net | float, texts: list[bytes]) -> np.ndarray:
         counts.append(len(starts))
     logits = chunk_logits(net, chunks).astype(np.float64)
     first = np.cumsum([0, *counts[:-1]])
-    return 1 / (1 + np.exp(-np.add.reduceat(logits, first) / counts))
+    return np.round(1 / (1 + np.exp(-np.add.reduceat(logits, first) / counts)), 6)
 
 
 def score(docs: DataFrame, net: Net | float, cut: float = CUT) -> DataFrame:

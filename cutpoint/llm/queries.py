@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cutpoint.llm import bpe, convnet, exact_dedup, jaccard, packing, pii, token_files
+from cutpoint.llm import bpe, convnet, exact_dedup, jaccard, outliers, packing, pii, token_files
 from cutpoint.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op2_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op3_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     net = convnet.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -42,6 +46,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_convnet, op4_bpe, op5_jaccard_join, op6_packing, op9_exact_dedup, op10_token_files)}
+    f.__name__: f for f in (op1_pii, op2_outliers, op3_convnet, op4_bpe, op5_jaccard_join, op6_packing, op9_exact_dedup, op10_token_files)}
 
 ORACLE: dict[str, str] = {"op5_jaccard_join": jaccard.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}

@@ -31,10 +31,11 @@ def keys(seed: int, n: int) -> np.ndarray:
 
 
 @functools.cache
-def letters(seed: int) -> np.ndarray:
-    """The 64-bit letter of each byte, the same for both cases of A-Z."""
+def letters(seed: int, fold: bool = True) -> np.ndarray:
+    """The 64-bit letter of each byte; ``fold`` gives both cases of A-Z the same one."""
     t = keys(seed, 256)
-    t[65:91] = t[97:123]
+    if fold:
+        t[65:91] = t[97:123]
     return t
 
 
@@ -47,17 +48,17 @@ def _powers(seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def _block(a: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _block(a: np.ndarray, seed: int, fold: bool) -> tuple[np.ndarray, np.ndarray]:
     space = SPACES[a]
     edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
     starts, ends = edge[::2], edge[1::2]
     up, down = _powers(seed, max(18, int(len(a)).bit_length()))
     run = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum(letters(seed)[a] * up[:len(a)], out=run[1:])
+    np.cumsum(letters(seed, fold)[a] * up[:len(a)], out=run[1:])
     return mix((run[ends] - run[starts]) * down[starts]), starts
 
 
-def word_hashes(texts: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], seed: int = 0, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words, bounds): text ``i`` has words ``bounds[i]:bounds[i + 1]``."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     first = np.cumsum([0] + [len(t) + 1 for t in texts])
@@ -67,7 +68,7 @@ def word_hashes(texts: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarr
         while b < len(joined) and not SPACES[joined[b - 1]]:
             step = np.flatnonzero(SPACES[joined[b:b + BLOCK_BYTES]])
             b = min(len(joined), b + (int(step[0]) + 1 if len(step) else BLOCK_BYTES))
-        h, s = _block(joined[a:b], seed)
+        h, s = _block(joined[a:b], seed, fold)
         hashes.append(h)
         at.append(s + a)
         a = b

@@ -64,7 +64,7 @@ def test_odd_rows_and_missing_labels(spark):
     assert len(rows) == 7 and {r.score for r in rows} == {0.5}
     net = convnet.start()
     by = {r.doc_id: r for r in convnet.score(docs, net).collect()}
-    assert by[0].score == by[1].score and by[3].score == by[4].score and not by[None].held_out
+    assert by[0].score == by[1].score and abs(by[3].score - by[4].score) < 1e-5 and not by[None].held_out
     assert convnet.keep(docs, net, 2.0).count() == 0
     kept = convnet.keep(docs, net, 0.0)
     assert kept.columns == docs.columns and kept.count() == 7
