@@ -36,10 +36,7 @@ def heavy_winners(digests: DataFrame, support: float = SUPPORT) -> DataFrame:
                   .select(F.unhex("d").alias("digest")).distinct())
     counted = (digests.join(F.broadcast(candidates), "digest")
                .groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    total = digests.agg(F.count(F.lit(1)).alias("total"))
-    return (counted.join(F.broadcast(total))
-            .where(F.col("group_size") > F.col("total") * F.lit(support))
-            .drop("total"))
+    return counted.where(F.col("group_size") > digests.count() * support)
 
 
 def split(digests: DataFrame, support: float = SUPPORT) -> tuple[DataFrame, DataFrame]:

@@ -9,12 +9,12 @@ when ``100 * intersection >= 80 * union``, in integers.
 2. Prefixes. Of ``n`` shingles the first ``n - ceil(4n/5) + 1`` are probed, the first
    ``n - ceil(8n/9) + 1`` are indexed: two linked sets always share a shingle that is
    indexed for the smaller and probed for the larger one.
-3. Stars. Every list (prefix shingle) links its members to its smallest indexed member.
+3. Stars. Every list (prefix shingle) links its members to its first and last indexed member.
    This is linear in the list, whatever its length, and settles groups of near copies.
-4. The rest. Only lists whose members still have different labels are left; further stars
-   with other centres run while that leaves fewer pairs, then all pairs of unlike labels in
-   those lists are checked, each pair once. So no link between components is missed, and
-   within a component no pair needs to be listed.
+4. The rest. Only lists whose members still have different labels are left; while an entry has
+   very many unlike neighbours, further stars with other centres run; then all pairs of unlike
+   labels that pass the filters are checked, each pair once. So no link between components is
+   missed, and within a component no pair needs to be listed.
 5. Filters before any set is fetched: length and position per list entry, then, per pair,
    the suffix filter: sets counted in hash ranges differ by at least the sum of the counts'
    differences.
@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutpoint.llm import shingles
@@ -49,9 +49,9 @@ PRESENCE_BITS = 26
 KEY_SHIFT = 16
 #: Hash ranges of the suffix filter.
 RANGES = 16
-#: All pairs of unlike labels are listed once there are at most so many per list entry;
-#: before that, up to MAX_STARS more rounds of stars thin them out.
-FEW_PAIRS = 2
+#: All unlike neighbours are compared once an entry has at most so many of them in its list on
+#: average (before any filter); until then up to MAX_STARS more rounds of stars thin them out.
+FEW_PAIRS = 256
 MAX_STARS = 6
 
 SETS = "doc_id long, n int, d1 long, d2 long, prefix array<long>, parts array<int>, text_hash long"
@@ -183,15 +183,17 @@ def label(df: DataFrame, labels: DataFrame, node: str = "node") -> DataFrame:
 
 def star_entries(sets: DataFrame) -> DataFrame:
     """Prefix entries of lists with an indexed member other than themselves: ``h, x, xn, xpos``,
-    the list's centre ``y`` (its first indexed row) and whether it has ``several`` indexed rows.
+    the list's two centres ``y`` and ``z`` (its first and last indexed rows) and ``before``, the
+    key right before ``h`` in the row's prefix, where that one is in the table too.
     The join key is written anew so that both sides are shuffled for the join, which lets
     Spark split a list that very many rows share."""
     entries = sets.where("n > 0").select(F.col("row").alias("x"), F.col("n").alias("xn"),
                                          F.posexplode("prefix").alias("xpos", "h"))
-    lists = (entries.where(INDEXED).groupBy("h").agg(F.min("x").alias("y"), F.max("x").alias("last"))
-             .select(F.bitwise_not("h").alias("k"), "y", "last"))
-    return (entries.join(lists, F.bitwise_not("h") == F.col("k")).where("x <> y OR y <> last")
-            .select("h", "x", "xn", "xpos", "y", (F.col("y") != F.col("last")).alias("several")))
+    lists = (entries.where(INDEXED).groupBy("h").agg(F.min("x").alias("y"), F.max("x").alias("z"))
+             .select(F.bitwise_not("h").alias("k"), "y", "z"))
+    found = entries.join(lists, F.bitwise_not("h") == F.col("k")).where("x <> y OR y <> z").drop("k")
+    own = Window.partitionBy("x").orderBy("xpos")
+    return found.withColumn("before", F.when(F.lag("xpos").over(own) == F.col("xpos") - 1, F.lag("h").over(own)))
 
 
 def unlike(live: DataFrame, labels: DataFrame) -> DataFrame:
@@ -209,16 +211,20 @@ def unlike(live: DataFrame, labels: DataFrame) -> DataFrame:
 
 def candidates(left: DataFrame, turn: int | None) -> DataFrame:
     """Pairs ``x, y`` of unlike labels that share a list: with one centre for each list and
-    size class (another one each turn), or with all indexed entries (``turn`` None)."""
+    size class (another one each turn), or with all indexed entries (``turn`` None). Of all
+    indexed entries, a pair whose keys right before are equal too is left to that earlier list:
+    its first common key never has equal ones before it."""
     centres = left.where(INDEXED)
+    columns = ["x", "xn", "xpos", "label", "before"]
     if turn is not None:
-        first = F.struct(F.xxhash64("x", F.lit(turn)).alias("rank"), "x", "xn", "xpos", "label")
+        first = F.struct(F.xxhash64("x", F.lit(turn)).alias("rank"), *columns)
         centres = (centres.groupBy("h", F.floor(F.log("xn") / F.lit(float(np.log(1.25)))).alias("size"))
-                   .agg(F.min(first).alias("c")).select("h", "c.x", "c.xn", "c.xpos", "c.label"))
+                   .agg(F.min(first).alias("c")).select("h", *(f"c.{c}" for c in columns)))
     centres = centres.select(F.bitwise_not("h").alias("k"), F.col("x").alias("y"), F.col("xn").alias("yn"),
-                             F.col("xpos").alias("ypos"), F.col("label").alias("other"))
+                             F.col("xpos").alias("ypos"), F.col("label").alias("other"), F.col("before").alias("ybefore"))
+    once = "" if turn is not None else " AND (before IS NULL OR ybefore IS NULL OR before <> ybefore)"
     return (left.join(centres, (F.bitwise_not("h") == F.col("k")) & F.expr(
-        f"label <> other AND (yn < xn OR (yn = xn AND y < x)) AND {LENGTH} AND {POSITION}")).select("x", "y"))
+        f"label <> other AND (yn < xn OR (yn = xn AND y < x)) AND {LENGTH} AND {POSITION}{once}")).select("x", "y"))
 
 
 def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -239,13 +245,13 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, Data
         return df.join(nodes, column).drop(column).withColumnRenamed("_node", column)
 
     star = store(star_entries(sets), "stars")
-    near = star.where("x <> y").select("x", "y").distinct()
+    near = star.select("x", F.explode(F.array("y", "z")).alias("y")).where("x <> y").distinct()
     near = as_pairs(to_nodes(to_nodes(near, "x"), "y").where("x <> y"), "x", "y")
     tried = store(suffix_filter(near, classes), "tried")
     edges = store(verify(docs, tried, classes, size), "links")
     labels = components(edges)
 
-    live = store(to_nodes(star.where("several").select("h", "x", "xn", "xpos"), "x").distinct(), "live")
+    live = store(to_nodes(star.where("y <> z").select("h", "x", "xn", "xpos", "before"), "x").distinct(), "live")
     for turn in range(MAX_STARS + 1):
         left = store(unlike(live, labels), "left")
         rows, pairs = left.agg(F.count(F.lit(1)), F.sum("share")).first()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cutpoint.llm import bpe, convnet, exact_dedup, jaccard, outliers, packing, pii, pseudo_likelihood, token_files
+from cutpoint.llm import bpe, convnet, exact_dedup, jaccard, licenses, outliers, packing, pii, pseudo_likelihood, token_files
 from cutpoint.llm.common import read_table
 
 
@@ -37,6 +37,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
 def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood.score_corpus(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_outliers, op3_convnet, op4_bpe, op5_jaccard_join, op6_packing, op8_pseudo_likelihood, op9_exact_dedup, op10_token_files)}
+    f.__name__: f for f in (op1_pii, op2_outliers, op3_convnet, op4_bpe, op5_jaccard_join, op6_packing, op7_licenses, op8_pseudo_likelihood, op9_exact_dedup, op10_token_files)}
 
 ORACLE: dict[str, str] = {"op5_jaccard_join": jaccard.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}

@@ -90,7 +90,7 @@ def shingle_sets(texts: list[bytes], size: int = 5, seed: int = 0) -> list[np.nd
         if b - a >= size:
             out.append(np.unique(rows[a:b - size + 1]))
         elif b > a:
-            short = (words[a:b] * times[:b - a]).sum(dtype=np.uint64) + keys(seed + 3, size)[b - a]
+            short = (words[a:b] * times[:b - a]).sum(dtype=np.uint64) ^ keys(seed + 3, size)[b - a]
             out.append(mix(np.array([short], np.uint64)))
         else:
             out.append(np.empty(0, np.uint64))
