@@ -15,18 +15,16 @@ ignored; repeated rows are encoded alike.
 from __future__ import annotations
 
 import functools
-import json
 from collections.abc import Iterable
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cutpoint.llm.common import map_slices, raw_texts
 from cutpoint.llm.token_files import id_lists
-from cutpoint.llm.tokens import (KEPT_PIECES, KEPT_WORDS, PIECES, PLAIN, Generations, byte_letters, load,
-                                 vocabulary_path)
+from cutpoint.llm.tokens import (KEPT_PIECES, KEPT_WORDS, PIECES, PLAIN, Generations, byte_letters, load, merger,
+                                 packed, spec, vocabulary_path)
 
 
 def inner_pairs(tokens: Iterable[str], suffix: str) -> set[str]:
@@ -53,26 +51,22 @@ class Codec:
     """Encoder and decoder of one vocabulary file with word-end marks."""
 
     def __init__(self, path: str):
-        from tokenizers import models
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model = spec["model"]
+        model = spec(path)["model"]
         suffix = model["end_of_word_suffix"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.tokenizer = load(path)
         self.letters = byte_letters()
         self.pairs = inner_pairs(model["vocab"], suffix)
         #: At a word's end, and inside a word: the same merges without the mark.
-        self.last = models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=suffix)
-        self.inner = models.BPE(vocab=model["vocab"], merges=merges)
-        names = {i: t for t, i in model["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.last = merger(path)
+        self.inner = merger(path, word_end=False)
+        names = {i: t for t, i in model["vocab"].items()} | {t["id"]: t["content"] for t in spec(path)["added_tokens"]}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
         self.fragments = Generations(self._fragment, KEPT_PIECES)
         self.words = Generations(self._word, KEPT_WORDS)
 
     def _fragment(self, key: tuple[str, bool] | str) -> bytes:
         model, fragment = (self.inner, key[0]) if isinstance(key, tuple) else (self.last, key)
-        return np.array([t.id for t in model.tokenize(fragment)], "<u4").tobytes()
+        return packed([t.id for t in model.tokenize(fragment)])
 
     def _piece(self, piece: str) -> bytes:
         *inner, last = forced_fragments("".join([self.letters[b] for b in piece.encode()]), self.pairs)
@@ -82,7 +76,7 @@ class Codec:
         s = word.decode()
         if "<|" in s or not PLAIN.fullmatch(s):
             if any(t in s for t in ("<|startoftext|>", "<|endoftext|>")):
-                return np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+                return packed(self.tokenizer.encode(s, add_special_tokens=False).ids)
             s = self.tokenizer.normalizer.normalize_str(s)
         else:
             s = s.lower()

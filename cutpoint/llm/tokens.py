@@ -8,8 +8,9 @@ two-generation cache of bounded size; a miss is encoded by the tokenizers librar
 from __future__ import annotations
 
 import functools
+import json
+from array import array
 
-import numpy as np
 import regex
 
 #: Words and pieces kept per cache generation (two generations each).
@@ -18,6 +19,8 @@ KEPT_PIECES = 200_000
 
 #: Letters whose lower case and normal form do not depend on their neighbours.
 PLAIN = regex.compile("[!-~¡-įı-ſ]+")
+#: Marks that may follow a word and make one piece of their own.
+MARKS = ".,;:!?#*$%&|"
 #: The file's own split rule.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -37,6 +40,27 @@ def load(path: str):
     return t
 
 
+def packed(ids) -> bytes:
+    """Ids as 32-bit integers in the machine's order, little-endian here as in the contract."""
+    return array("I", ids).tobytes()
+
+
+@functools.cache
+def spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def merger(path: str, word_end: bool = True):
+    """The library's merge model of the file, with or without the word-end mark. Its own
+    cache is off: the words and pieces kept here make it useless and its upkeep costs."""
+    from tokenizers import models
+    model = spec(path)["model"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    end = {"end_of_word_suffix": model["end_of_word_suffix"]} if word_end else {}
+    return models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, **end)
+
+
 @functools.cache
 def byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies write for each byte:
@@ -69,20 +93,24 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
-        self.model = self.tokenizer.model
+        self.model = merger(path)
         self.letters = byte_letters()
         self.pieces = Generations(self._piece, KEPT_PIECES)
         self.words = Generations(self._word, KEPT_WORDS)
 
     def _piece(self, piece: str) -> bytes:
         shown = "".join([self.letters[b] for b in piece.encode()])
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        return packed([t.id for t in self.model.tokenize(shown)])
 
     def _word(self, word: bytes) -> bytes:
         s = word.decode()
+        core = s.rstrip(MARKS)
+        if core.isalpha() and max(core) <= "\u017f" and "\u0130" not in core:
+            ids = self.pieces[core.lower()]
+            return ids + self.pieces[s[len(core):]] if len(core) < len(s) else ids
         if "<|" not in s and PLAIN.fullmatch(s):
             return b"".join([self.pieces[p] for p in PIECES.findall(s.lower())])
-        return np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(s, add_special_tokens=False).ids)
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, text.split()))
