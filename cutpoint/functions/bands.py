@@ -33,6 +33,18 @@ def decision(score, t1, t2) -> Column:
             .otherwise(F.lit(DECLINE)))
 
 
+def is_bad(score: Column) -> Column:
+    """A score that belongs to no band (trap 2): null or NaN."""
+    return score.isNull() | F.isnan(score)
+
+
+def guarded(value: Column, n_bad: Column) -> Column:
+    """``value``, unless bad scores were counted in the same pass: then reading it
+    fails and names their number. Every score operator ends in this guard."""
+    return F.when(F.coalesce(n_bad, F.lit(0)) > 0, F.raise_error(
+        F.concat(n_bad.cast("string"), F.lit(" rows have a null or NaN score")))).otherwise(value)
+
+
 def predicted_class(score, threshold) -> Column:
     """P5: 1 when score >= threshold (the decline threshold), else 0."""
     s = _c(score) if not isinstance(score, str) else F.col(score)
@@ -48,8 +60,7 @@ def thresholds_valid(t1, t2) -> Column:
 def check_thresholds(t1: float, t2: float) -> None:
     """P7 for driver-side parameters."""
     if not (0.0 <= float(t1) < float(t2) <= 1.0):
-        raise ThresholdError(
-            "Thresholds must satisfy 0 <= approve_threshold < decline_threshold <= 1.")
+        raise ThresholdError(f"need 0 <= approve_threshold < decline_threshold <= 1, got {t1} and {t2}")
 
 
 def artifact_thresholds(bundle_threshold) -> tuple[Column, Column]:

@@ -43,8 +43,9 @@ def threshold_grid(spark: SparkSession, t1_min: float, t1_max: float, t2_min: fl
     if step <= 0:
         raise ValueError("grid step must be > 0")
     n1, n2 = _arange_len(t1_min, t1_max, step), _arange_len(t2_min, t2_max, step)
-    if n1 == 0 or n2 == 0:
-        raise ValueError("Threshold grid generated zero valid pairs.")
+    # The lowest approve against the highest decline threshold: the pair most likely to be valid.
+    if n1 == 0 or n2 == 0 or round(t1_min, 4) >= round(t2_min + (n2 - 1) * step, 4):
+        raise ValueError("no pair of this grid has approve < decline threshold")
     g = (spark.range(1)
          .select(F.explode(F.sequence(F.lit(0), F.lit(n1 - 1))).alias("i"))
          .select("i", F.explode(F.sequence(F.lit(0), F.lit(n2 - 1))).alias("j"))

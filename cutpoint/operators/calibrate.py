@@ -21,7 +21,7 @@ def require_both_classes(cal: DataFrame, label: str = "label") -> None:
     """G15."""
     classes = sorted(r[0] for r in cal.select(label).distinct().limit(3).collect())
     if len(classes) < 2:
-        raise ValueError(f"Calibration requires both classes in calibration labels, got classes={classes}.")
+        raise ValueError(f"calibration labels hold one class only: {classes}")
 
 
 def calibrate_none(ev: DataFrame, score: str = "score") -> DataFrame:
@@ -87,7 +87,7 @@ def calibrated_union(cal: DataFrame, ev: DataFrame, methods=METHODS, score: str
         elif m == "isotonic":
             out = apply_isotonic(fit_isotonic(cal, score, label, weight=weight), ev, score)
         else:
-            raise ValueError(f"Unsupported method: {m}")
+            raise ValueError(f"no such calibration method: {m}")
         parts.append(out.withColumn("method", F.lit(m)).withColumn("method_no", F.lit(i + 1)))
     res = parts[0]
     for p in parts[1:]:

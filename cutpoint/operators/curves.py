@@ -19,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, reuse, running_total
+from cutpoint.functions.bands import guarded, is_bad
+from cutpoint.operators.prefix import AUTO, reuse, running_total
 
 
 def score_points(scored: DataFrame, by: Sequence[str] = (), score: str = "score",
@@ -28,8 +29,9 @@ def score_points(scored: DataFrame, by: Sequence[str] = (), score: str = "score"
     pos, neg, tps, fps, pt (1-based point index in descending score order)."""
     pts = (scored.groupBy(*by, F.col(score).cast("double").alias("score"))
            .agg(F.count_if(F.col(label) == 1).alias("pos"),
-                F.count_if(F.col(label) == 0).alias("neg"))
-           .withColumn("one", F.lit(1)))
+                F.count_if(F.col(label) == 0).alias("neg"), F.count(F.lit(1)).alias("__n"))
+           .withColumn("score", guarded(F.col("score"), F.when(is_bad(F.col("score")), F.col("__n"))))
+           .drop("__n").withColumn("one", F.lit(1)))
     cum = running_total(pts, "score", ["pos", "neg", "one"], by=by, descending=True,
                         buckets=buckets)
     # Read by several jobs (totals, successor join, sums): one row per distinct score.

@@ -62,16 +62,44 @@ def scaler_stage(scaler: dict[str, tuple[float, float]]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
 
 
+@dataclass
+class TrainSummary:
+    """What a fit needs to know of its rows, from one aggregate: G13 and G14."""
+    n: int
+    n_positive: int
+    scaler: dict[str, tuple[float, float]]
+
+    def weight(self, label: str = "label"):
+        """n / (2 n_c) of the row's class."""
+        pos, neg = max(self.n_positive, 1), max(self.n - self.n_positive, 1)
+        return F.when(F.col(label) == 1, F.lit(self.n / (2.0 * pos))).otherwise(F.lit(self.n / (2.0 * neg)))
+
+    @property
+    def classes(self) -> int:
+        return (self.n_positive > 0) + (self.n_positive < self.n)
+
+
+def train_summary(train: DataFrame, features: Sequence[str], label: str = "label") -> TrainSummary:
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("p")]
+    for c in features:
+        aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
+    r = train.agg(*aggs).first()
+    return TrainSummary(r["n"], r["p"], {c: (float(r[f"m_{c}"] or 0.0), float(r[f"s_{c}"] or 0.0) or 1.0) for c in features})
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label",
                  c_value: float = 1.0, max_iter: int = 1000, balanced: bool = True,
-                 scaled: bool = False, tol: float = 1e-10) -> PipelineModel:
-    """M1 / one M2 candidate. Returns a PipelineModel that adds ``probability``."""
-    data = with_class_weights(train, label) if balanced else train.withColumn(WEIGHT, F.lit(1.0))
-    n = data.agg(F.sum(WEIGHT).alias("w")).first()["w"]
+                 scaled: bool = False, tol: float = 1e-10, summary: TrainSummary | None = None) -> PipelineModel:
+    """M1 / one M2 candidate. Returns a PipelineModel that adds ``probability``.
+    One aggregate (``summary``, shared by several fits on the same rows) gives the class
+    weights, their sum and the scaler."""
+    summary = summary or train_summary(train, features, label)
+    data = train.withColumn(WEIGHT, summary.weight(label) if balanced else F.lit(1.0))
+    n = summary.n * summary.classes / 2 if balanced else summary.n
     stages = []
     inputs = list(features)
     if scaled:
-        stages.append(scaler_stage(population_scaler(train, features)))
+        stages.append(scaler_stage(summary.scaler))
         inputs = [f"{c}__z" for c in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     stages.append(LogisticRegression(featuresCol="features", labelCol=label, weightCol=WEIGHT,
@@ -141,14 +169,14 @@ def load_bundle(spark, path: str) -> Bundle:
     """Rejects a missing model or a non-list feature entry."""
     model = PipelineModel.load(f"{path}/model")
     if not model.stages or not hasattr(model.stages[-1], "coefficients"):
-        raise ValueError("Invalid model artifact: last stage must be a fitted classifier.")
+        raise ValueError("bundle rejected: its last stage is no fitted classifier")
     rows = spark.read.parquet(f"{path}/meta").collect()
     if not rows:
         return Bundle(model, None, None, None)
     r = rows[0]
     feats = json.loads(r["feature_columns"]) if r["feature_columns"] else None
     if feats is not None and not isinstance(feats, list):
-        raise ValueError("Invalid model artifact: `feature_columns` must be a list if provided.")
+        raise ValueError("bundle rejected: feature_columns is not a list")
     return Bundle(model, feats, r["threshold_for_target_fpr"], r["target_fpr"])
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import APPROVE, DECLINE, REVIEW
 from cutpoint.operators.policy import ratio
-from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, exact_quantiles, reuse, running_total
+from cutpoint.operators.prefix import AUTO, exact_quantiles, reuse, running_total
 
 PSI_EPS = 1e-8
 # Fixed drift-label cut points.
@@ -38,7 +38,7 @@ def decision_mix(scored: DataFrame, by: Sequence[str] = (), decision: str = "dec
              F.count_if(d == APPROVE).alias("approve_count"),
              F.count_if(d == REVIEW).alias("review_count"),
              F.count_if(d == DECLINE).alias("decline_count"))
-    empty = F.raise_error(F.lit("Scored data is empty."))
+    empty = F.raise_error(F.lit("empty input: there are no scored rows"))
     return g.select(*by, "rows", "approve_count", "review_count", "decline_count",
                     F.when(F.col("rows") > 0, ratio(F.col("approve_count"), F.col("rows")))
                     .otherwise(empty).alias("approve_rate"),

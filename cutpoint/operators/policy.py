@@ -17,12 +17,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cutpoint.functions.bands import _c
+from cutpoint.functions.bands import _c, guarded, is_bad
 from cutpoint.operators.prefix import reuse
 
-# Upper bound on distinct thresholds a sweep may carry as a literal split list.
-MAX_CUTS = 200_000
-
 COUNT_COLS = ("total", "fraud_total", "nonfraud_total", "approve_count", "review_count",
               "decline_count", "fraud_approve", "fraud_review", "fraud_decline",
               "nonfraud_decline")
@@ -49,6 +46,7 @@ def band_count_aggs(score: Column, label: Column, t1: Column, t2: Column) -> lis
         F.count_if(pos & rev).alias("fraud_review"),
         F.count_if(pos & dec).alias("fraud_decline"),
         F.count_if(neg & dec).alias("nonfraud_decline"),
+        F.count_if(is_bad(score)).alias("bad_scores"),
     ]
 
 
@@ -67,7 +65,7 @@ COST_METRICS = ("approve_threshold", "decline_threshold", "approve_count", "revi
 def nonempty(total: Column, value: Column) -> Column:
     """Trap 6: a global aggregate over no rows still returns a row; the
     reference refuses empty input, so that row fails when it is read."""
-    return F.when(total > 0, value).otherwise(F.raise_error(F.lit("Cannot evaluate policy on empty arrays.")))
+    return F.when(total > 0, value).otherwise(F.raise_error(F.lit("empty input: there are no rows to evaluate")))
 
 
 def policy_metrics(counts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -123,7 +121,7 @@ def policy_counts(scored: DataFrame, t1, t2, by: Sequence[str] = (),
     def shown(t) -> Column:
         return F.lit(None).cast("double") if isinstance(t, Column) else F.lit(float(t))
     return out.select(*by, shown(t1).alias("approve_threshold"), shown(t2).alias("decline_threshold"),
-                      *COUNT_COLS)
+                      guarded(F.col("total"), F.col("bad_scores")).alias("total"), *COUNT_COLS[1:])
 
 
 def evaluate_policy(scored: DataFrame, t1: float, t2: float, by: Sequence[str] = (),
@@ -146,12 +144,13 @@ def evaluate_policy_cost(scored: DataFrame, t1: float, t2: float, c_fn: float, c
 # ---------------------------------------------------------------- sweep
 
 def pair_cuts(pairs: DataFrame) -> list[float]:
-    """Sorted distinct thresholds of a pair table (bounded by the grid size)."""
+    """Sorted distinct thresholds of a pair table (their number follows the grid
+    parameters, never the rows). A table without pairs is an error."""
     rows = (pairs.select(F.explode(F.array("t1", "t2")).alias("c")).distinct()
             .orderBy("c").collect())
     cuts = [float(r["c"]) for r in rows]
-    if len(cuts) > MAX_CUTS:
-        raise ValueError(f"{len(cuts)} distinct thresholds exceed MAX_CUTS={MAX_CUTS}")
+    if not cuts:
+        raise ValueError("the pair table has no pair with approve < decline threshold")
     return cuts
 
 
@@ -180,7 +179,12 @@ def cumulative_histogram(scored: DataFrame, cuts: Sequence[float], by: Sequence[
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     base = bucket_by_cuts(scored.select(*by, score, label, w.alias("__wt")), score, cuts, "b")
     zero = F.lit(0).cast("long")
+    # Null (-1) and NaN (the extra bucket) scores are counted, not lost: they go to
+    # bucket 0 with a count of their own, which fails the totals below.
+    bad = (F.col("b") < 0) | (F.col("b") > m)
+    base = base.withColumn("__bad", F.when(bad, F.col("__wt")).otherwise(zero)).withColumn("b", F.when(bad, 0).otherwise(F.col("b")))
     hist = base.groupBy(*by, "b").agg(
+        F.sum("__bad").alias("h_bad"),
         F.sum("__wt").alias("h_n"),
         F.sum(F.when(F.col(label) == 1, F.col("__wt")).otherwise(zero)).alias("h_pos"),
         F.sum(F.when(F.col(label) == 0, F.col("__wt")).otherwise(zero)).alias("h_neg"))
@@ -188,14 +192,14 @@ def cumulative_histogram(scored: DataFrame, cuts: Sequence[float], by: Sequence[
         grid = hist.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(0), F.lit(m))).alias("b"))
     else:
         grid = spark.range(0, m + 1).select(F.col("id").cast("int").alias("b"))
-    dense = grid.join(hist, [*by, "b"], "left").na.fill(0, ["h_n", "h_pos", "h_neg"])
+    dense = grid.join(hist, [*by, "b"], "left").na.fill(0, ["h_n", "h_pos", "h_neg", "h_bad"])
     w = Window.partitionBy(*by).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wall = Window.partitionBy(*by)
     return dense.select(
         *by, "b",
         F.sum("h_n").over(w).alias("cum_n"), F.sum("h_pos").over(w).alias("cum_pos"),
         F.sum("h_neg").over(w).alias("cum_neg"),
-        F.sum("h_n").over(wall).alias("tot_n"), F.sum("h_pos").over(wall).alias("tot_pos"),
+        guarded(F.sum("h_n").over(wall), F.sum("h_bad").over(wall)).alias("tot_n"), F.sum("h_pos").over(wall).alias("tot_pos"),
         F.sum("h_neg").over(wall).alias("tot_neg"))
 
 
@@ -210,19 +214,18 @@ def sweep_counts(scored: DataFrame, pairs: DataFrame, by: Sequence[str] = (),
     # Read at two cut indices: persist the small table (groups x (cuts + 1)
     # rows) so the rows are scanned once, not once per join side.
     cum = reuse(cumulative_histogram(scored, cuts, by, score, label, weight))
-    cut_arr = F.array(*[F.lit(c) for c in cuts])
     # score < c_k  <=>  bucket <= k - 1, so a threshold reads the entry at k - 1.
-    pk = pairs.select("pair_no", F.col("t1").cast("double").alias("approve_threshold"),
-                      F.col("t2").cast("double").alias("decline_threshold"),
-                      (F.array_position(cut_arr, F.col("t1").cast("double")) - 1).cast("int").alias("b1"),
-                      (F.array_position(cut_arr, F.col("t2").cast("double")) - 1).cast("int").alias("b2"))
+    ids = scored.sparkSession.createDataFrame([(c, k) for k, c in enumerate(cuts)], "cut double, k int")
+    pk = (pairs.select("pair_no", F.col("t1").cast("double").alias("approve_threshold"),
+                       F.col("t2").cast("double").alias("decline_threshold"))
+          .join(ids.select(F.col("cut").alias("approve_threshold"), F.col("k").alias("b1")), "approve_threshold")
+          .join(ids.select(F.col("cut").alias("decline_threshold"), F.col("k").alias("b2")), "decline_threshold"))
     lo = cum.select(*by, F.col("b").alias("b1"), F.col("cum_n").alias("lo_n"),
                     F.col("cum_pos").alias("lo_pos"), F.col("cum_neg").alias("lo_neg"),
                     "tot_n", "tot_pos", "tot_neg")
     hi = cum.select(*by, F.col("b").alias("b2"), F.col("cum_n").alias("hi_n"),
                     F.col("cum_pos").alias("hi_pos"), F.col("cum_neg").alias("hi_neg"))
-    # The pair table is bounded by the grid parameters: broadcast it.
-    j = lo.join(F.broadcast(pk), "b1").join(hi, [*by, "b2"])
+    j = lo.join(pk, "b1").join(hi, [*by, "b2"])
     c = F.col
     return j.select(
         *by, "pair_no", "approve_threshold", "decline_threshold",

@@ -18,9 +18,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cutpoint.functions.bands import guarded, is_bad
+
 DEFAULT_BUCKETS = 64
 AUTO = None   # buckets=None: derive from spark.sql.shuffle.partitions
-MAX_BUCKETS = 100_000
 
 _PERSISTED: list[DataFrame] = []
 
@@ -60,13 +61,13 @@ def default_buckets(df: DataFrame) -> int:
         sp = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
         sp = DEFAULT_BUCKETS
-    return max(DEFAULT_BUCKETS, min(sp, MAX_BUCKETS))
+    return max(DEFAULT_BUCKETS, sp)
 
 
 def range_bounds(df: DataFrame, col: str | Column, buckets: int | None) -> list[float]:
     """Up to ``buckets - 1`` increasing interior bounds at equal-count quantiles."""
     buckets = default_buckets(df) if buckets is None else buckets
-    buckets = max(1, min(int(buckets), MAX_BUCKETS))
+    buckets = max(1, int(buckets))
     if buckets == 1:
         return []
     c = F.col(col) if isinstance(col, str) else col
@@ -153,8 +154,10 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     v = F.col(col).cast("double")
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    base = df.select(*by, v.alias("__v"), w.alias("__w")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    dist = reuse(base.groupBy(*by, "__v").agg(F.sum("__w").alias("__c")))
+    base = df.select(*by, v.alias("__v"), w.alias("__w"))
+    dist = base.groupBy(*by, "__v").agg(F.sum("__w").alias("__c"))
+    # Null and NaN values have no place in the order: reading them fails with their count.
+    dist = reuse(dist.withColumn("__v", guarded(F.col("__v"), F.when(is_bad(F.col("__v")), F.col("__c")))))
     cum = reuse(running_total(dist, "__v", ["__c"], by=by, buckets=buckets))
     if by:
         sizes = dist.groupBy(*by).agg(F.sum("__c").alias("__n"))

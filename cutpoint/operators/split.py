@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cutpoint.functions.timekeys import epoch_micros, literal_like
-from cutpoint.operators.prefix import AUTO, DEFAULT_BUCKETS, global_position, reuse, running_total
+from cutpoint.operators.prefix import AUTO, global_position, reuse, running_total
 
 
 def numeric_key(df: DataFrame, col: str) -> Column:
@@ -100,14 +100,14 @@ def temporal_three_way(df: DataFrame, ts_col: str, tiebreak: Sequence[str],
     """W4 then W5: ``split`` in {train, calibration, evaluation}; the test part
     is cut at int(len(test) * fraction), both sides non-empty."""
     if not (0.1 <= calibration_fraction <= 0.9):
-        raise ValueError("calibration fraction must be in [0.1, 0.9].")
+        raise ValueError(f"calibration fraction {calibration_fraction} is outside 0.1 to 0.9")
 
     def cuts(n: int) -> list[int]:
         c1 = int(n * (1 - test_size))
         n_test = n - c1
         k = int(n_test * calibration_fraction)
         if k <= 0 or k >= n_test:
-            raise ValueError("Calibration split produced empty partition.")
+            raise ValueError("the calibration split leaves a part without rows")
         return [c1, c1 + k]
     return cut_by_position(df, ts_col, tiebreak, cuts, ["train", "calibration", "evaluation"],
                            buckets=buckets)

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +16,17 @@ from cutpoint.plans.common import ts_text
 from cutpoint.plans.inference import profile_table, run_inference
 from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import runlog
+from cutpoint.sources.contract import bad_score_counts
 from cutpoint.sources.tables import TXN_KEY, read_table, txn, txn_from_lineitem
-from cutpoint.streaming.daily_mix import daily_mix_stream, run_to_table
+from cutpoint.streaming.daily_mix import run_to_table
 
 PUBLISHED_PROFILES = {"phase2_guarded": (0.20, 0.80)}
 APPROVE_OVERRIDE = 0.10
 
 
-def _scratch(spark, name: str, sf: str) -> str:
-    tag = hashlib.sha1(sf.encode()).hexdigest()[:10]
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}_{tag}"
+def _scratch(spark, name: str) -> str:
+    """A fresh folder for one call, below the folder that all executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}_{uuid.uuid4().hex}"
 
 
 def row_profile():
@@ -96,7 +97,7 @@ def q_run_log(spark, sf):
     metrics = (auc.select(F.explode(F.create_map(F.lit("pr_auc"), "pr_auc", F.lit("roc_auc"), "roc_auc")))
                .unionByName(rec.select(F.explode(F.create_map(F.lit("recall_at_target_fpr"), "recall",
                                                               F.lit("threshold_at_target_fpr"), "threshold")))))
-    table = _scratch(spark, "runs", sf)
+    table = _scratch(spark, "runs")
     run_id = runlog.log_run(spark, table, "train_baseline",
                             params={"test_size": str(C.TEST_SIZE), "target_fpr": str(C.TARGET_FPR)},
                             metrics=metrics, tags_spec="team=risk, stage = dev")
@@ -120,13 +121,21 @@ def q_report_rows(spark, sf):
 
 
 def q_stream_daily_mix(spark, sf):
-    """Lineitem files read as a stream -> txn -> bands -> one-day event
-    windows with a one-day watermark, drained into Parquet."""
+    """The lineitem table (a file or a folder of files) read as a stream -> txn ->
+    bands -> counts per day, merged over the micro-batches."""
     schema = read_table(spark, sf, "lineitem").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
-    agg = daily_mix_stream(txn_from_lineitem(stream), C.T1, C.T2)
-    base = _scratch(spark, "stream_daily_mix", sf) + f"_{id(agg)}"
-    return run_to_table(spark, agg, base + "/out", base + "/_checkpoint")
+    # Written as a pattern, the path may name a single file as well as a folder.
+    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/lineitem.parque[t]")
+    base = _scratch(spark, "stream_daily_mix")
+    return run_to_table(spark, txn_from_lineitem(stream), C.T1, C.T2, base + "/out", base + "/_checkpoint")
+
+
+def q_score_guard(spark, sf):
+    """Trap 2: bad scores per return flag, over txn and a literal group with one null and
+    two NaN scores."""
+    bad = spark.range(4).select(F.lit("bad rows").alias("l_returnflag"), F.when(F.col("id") == 0, F.lit(0.5))
+                                .when(F.col("id") > 1, F.lit(float("nan"))).alias("score"))
+    return bad_score_counts(txn(spark, sf).select("l_returnflag", "score").unionByName(bad), by=["l_returnflag"])
 
 
 def q_scored_export(spark, sf):
@@ -135,7 +144,7 @@ def q_scored_export(spark, sf):
     per-decision row count of what was written."""
     from cutpoint.sources.tables import read_csv_typed
     out = C.scored_txn(spark, sf).select(*TXN_KEY, "score", "label", "decision")
-    path = _scratch(spark, "scored_csv", sf)
+    path = _scratch(spark, "scored_csv")
     out.write.mode("overwrite").partitionBy("decision").option("header", True).csv(path)
     schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, score double, label int"
     back = read_csv_typed(spark, path, schema)
@@ -151,5 +160,6 @@ QUERIES = {
     "run_log": q_run_log,
     "report_rows": q_report_rows,
     "stream_daily_mix": q_stream_daily_mix,
+    "score_guard": q_score_guard,
     "scored_export": q_scored_export,
 }

@@ -20,7 +20,6 @@ from cutpoint.sources import contract
 from cutpoint.sources.policy_doc import FALLBACK, PRIMARY
 
 ARTIFACT = "artifact"
-MAX_PROFILES = 10_000
 
 
 def profile_table(spark: SparkSession, docs: DataFrame | None = None,
@@ -28,10 +27,15 @@ def profile_table(spark: SparkSession, docs: DataFrame | None = None,
                   extra: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """(profile, approve_threshold, decline_threshold) from a parsed policy
     document (S5), plus the ``artifact`` profile resolved from the bundle's
-    threshold (P14). Without a document the two week-3 defaults are used."""
+    threshold (P14). Without a document the two week-3 defaults are used. A name
+    that several documents define is an error when it is read: a row must find
+    one pair of thresholds."""
     if docs is not None:
-        prof = docs.select(F.explode("doc.profiles").alias("profile", "p")).select(
-            "profile", F.col("p.approve_threshold").alias("approve_threshold"),
+        named = docs.select(F.explode("doc.profiles").alias("profile", "p")).groupBy("profile").agg(
+            F.count(F.lit(1)).alias("n"), F.first("p").alias("p"))
+        twice = F.raise_error(F.concat(F.lit("several documents define profile "), F.col("profile")))
+        prof = named.select(
+            "profile", F.when(F.col("n") > 1, twice).otherwise(F.col("p.approve_threshold")).alias("approve_threshold"),
             F.col("p.decline_threshold").alias("decline_threshold"))
     else:
         rows = [("primary",) + PRIMARY, ("fallback",) + FALLBACK] + \
@@ -52,8 +56,8 @@ def resolve_thresholds(scored: DataFrame, profiles: DataFrame, profile: str | Co
     prof_col = profile if isinstance(profile, Column) else F.lit(profile)
     p = profiles.select(F.col("profile").alias("__profile"), F.col("approve_threshold").alias("__t1"),
                         F.col("decline_threshold").alias("__t2"))
-    # Profile tables hold one row per profile name: a bounded broadcast.
-    j = scored.withColumn("profile", prof_col).join(F.broadcast(p), F.col("profile") == F.col("__profile"), "left")
+    # One row per profile name; Spark broadcasts it if its size allows.
+    j = scored.withColumn("profile", prof_col).join(p, F.col("profile") == F.col("__profile"), "left")
     return (j.withColumn("approve_threshold", bands.with_override(F.col("__t1"), approve_override))
              .withColumn("decline_threshold", bands.with_override(F.col("__t2"), decline_override))
              .drop("__profile", "__t1", "__t2"))
@@ -81,7 +85,7 @@ def apply_bands(resolved: DataFrame, score: str = "score", validate: bool = True
         ok = F.coalesce(bands.thresholds_valid(t1, t2), F.lit(False))
         good_score = s.isNotNull() & ~F.isnan(s)           # trap 2: never band a null/NaN score
         d = (F.when(~ok, F.raise_error(F.concat(
-                F.lit("Thresholds must satisfy 0 <= approve_threshold < decline_threshold <= 1; profile="),
+                F.lit("need 0 <= approve_threshold < decline_threshold <= 1; profile="),
                 F.coalesce(F.col("profile"), F.lit("null")))))
              .when(~good_score, F.raise_error(F.lit("null or NaN score")))
              .otherwise(d))
@@ -117,7 +121,7 @@ def python_model_scorer(model, features: Sequence[str]) -> Callable[[DataFrame],
     with the UDF closure; only use it when the model is not expressible
     as a Spark expression or an MLlib stage."""
     if not hasattr(model, "predict_proba"):
-        raise ValueError("Model artifact must support `predict_proba`.")
+        raise ValueError("the model has no predict_proba method")
     cols = list(features)
 
     @F.pandas_udf(T.DoubleType())

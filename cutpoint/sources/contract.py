@@ -76,8 +76,16 @@ def column_profile(df: DataFrame, required: Iterable[str]) -> DataFrame:
             .unionByName(missing))
 
 
+def bad_score_counts(df: DataFrame, by: Sequence[str] = (), score_col: str = "score") -> DataFrame:
+    """Trap 2: per group the rows, and those whose score is null or NaN and so falls in
+    no band. The score operators fail on them; this reports them."""
+    s = F.col(score_col).cast("double")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(s.isNull()).alias("null_scores"),
+                               F.count_if(F.isnan(s)).alias("nan_scores"))
+
+
 def assert_no_bad_scores(df: DataFrame, score_col: str = "score") -> None:
-    """Trap 2: null/NaN scores fall in no band; reject them up front."""
-    bad = df.agg(F.count_if(F.col(score_col).isNull() | F.isnan(score_col)).alias("n")).first()["n"]
-    if bad:
-        raise ContractError(f"{bad} null or NaN values in `{score_col}`")
+    """Trap 2 as a check up front."""
+    r = bad_score_counts(df, score_col=score_col).first()
+    if r["null_scores"] + r["nan_scores"]:
+        raise ContractError(f"{r['null_scores']} null and {r['nan_scores']} NaN values in `{score_col}`")

@@ -26,7 +26,7 @@ PRIMARY = (0.11, 0.45)
 FALLBACK = (0.19, 0.80)
 PROFILE_METADATA_KEYS = ("source", "calibration_method", "meets_guardrails", "review_rate",
                          "decline_fpr", "flagged_fraud_capture", "total_cost", "cost_per_row")
-OPTIMIZER_NAME = "cutpoint.plans.optimizer"
+OPTIMIZER_NAME = "cutpoint.plans.models"
 
 PROFILE_TYPE = T.StructType([
     T.StructField("approve_threshold", T.DoubleType()),
