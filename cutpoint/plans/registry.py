@@ -55,6 +55,15 @@ def q_policy_registry_check(spark, sf):
     cur, fr = current_and_fresh(spark, sf)
     texts = (pdoc.to_json_text(cur).withColumn("doc_id", F.concat(F.lit("current/"), "doc_id"))
              .unionByName(pdoc.to_json_text(fr).withColumn("doc_id", F.concat(F.lit("fresh/"), "doc_id"))))
+    # The same documents spoilt: another version, a lost profile, guardrails out of range, cut text.
+    plain = pdoc.to_json_text(cur)
+    spoilt = {
+        "version/": F.regexp_replace("json", r'"schema_version":\d+', '"schema_version":99'),
+        "profile/": F.regexp_replace("json", '"fallback":', '"spare":'),
+        "range/": F.regexp_replace("json", r'"max_(review_rate|decline_fpr)":[0-9.]+', r'"max_$1":1.5'),
+        "broken/": F.expr("left(json, 40)")}
+    for name, text in spoilt.items():
+        texts = texts.unionByName(plain.select(F.concat(F.lit(name), "doc_id").alias("doc_id"), text.alias("json")))
     return pdoc.registry_status(texts)
 
 

@@ -132,35 +132,35 @@ def validate_documents(texts: DataFrame, require_guardrails: bool = True,
     def rule(cond: Column, name: str, detail: Column) -> Column:
         return F.when(cond, F.struct(F.lit(name).alias("rule"), detail.alias("detail")))
 
-    doc_rules.append(rule(~root_obj, "root_not_object", F.lit("policy config root must be an object")))
+    doc_rules.append(rule(~root_obj, "root_not_object", F.lit("the document is not a JSON object")))
     doc_rules.append(rule(root_obj & (sv.isNull() | ~F.coalesce(sv_type.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit(False))),
-                          "schema_version_type", F.lit("`schema_version` must be an integer")))
+                          "schema_version_type", F.lit("schema_version is absent or no whole number")))
     doc_rules.append(rule(root_obj & F.coalesce(sv_type.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit(False))
                           & (F.try_variant_get(F.col("v"), "$.schema_version", "bigint") != SUPPORTED_SCHEMA_VERSION),
                           "schema_version_unsupported",
-                          F.concat(F.lit("unsupported schema_version="),
+                          F.concat(F.lit("cannot read schema_version "),
                                    F.try_variant_get(F.col("v"), "$.schema_version", "string"))))
-    doc_rules.append(rule(root_obj & ~prof_ok, "profiles_not_object", F.lit("`profiles` must be an object")))
+    doc_rules.append(rule(root_obj & ~prof_ok, "profiles_not_object", F.lit("profiles is absent or no JSON object")))
     pmap = F.try_variant_get(F.col("v"), "$.profiles", "map<string,variant>")
     for p in required_profiles:
         doc_rules.append(rule(root_obj & prof_ok & ~F.coalesce(F.map_contains_key(pmap, F.lit(p)), F.lit(False)),
-                              "missing_profile", F.lit(f"Missing required profile: {p}")))
+                              "missing_profile", F.lit(f"no profile named {p}")))
     if require_guardrails:
         gv = F.variant_get(F.col("v"), "$.guardrails", "variant")
         g_ok = F.coalesce(_vtype(gv).startswith("OBJECT"), F.lit(False))
         doc_rules.append(rule(root_obj & ~g_ok, "guardrails_not_object",
-                              F.lit("`guardrails` must be an object when required")))
+                              F.lit("guardrails is absent or no JSON object")))
         for k in GUARDRAIL_KEYS:
             kv = F.variant_get(F.col("v"), f"$.guardrails.{k}", "variant")
             kt = _vtype(kv)
             numeric = F.coalesce(kt.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "BOOLEAN")
                                  | kt.startswith("DECIMAL"), F.lit(False))
             val = F.try_variant_get(F.col("v"), f"$.guardrails.{k}", "double")
-            doc_rules.append(rule(g_ok & kv.isNull(), "missing_guardrail", F.lit(f"Missing guardrail: {k}")))
+            doc_rules.append(rule(g_ok & kv.isNull(), "missing_guardrail", F.lit(f"guardrail {k} is absent")))
             doc_rules.append(rule(g_ok & kv.isNotNull() & ~numeric, "guardrail_type",
-                                  F.lit(f"Guardrail `{k}` must be numeric")))
+                                  F.lit(f"guardrail {k} is no number")))
             doc_rules.append(rule(g_ok & numeric & ~((val >= 0.0) & (val <= 1.0)), "guardrail_range",
-                                  F.lit(f"Guardrail `{k}` must be in [0, 1]")))
+                                  F.lit(f"guardrail {k} is outside 0 to 1")))
     per_doc = base.select("doc_id", F.explode(F.filter(F.array(*doc_rules), lambda x: x.isNotNull())).alias("r"))
     per_doc = per_doc.select("doc_id", F.col("r.rule").alias("rule"), F.col("r.detail").alias("detail"))
 
@@ -173,15 +173,15 @@ def validate_documents(texts: DataFrame, require_guardrails: bool = True,
     mg = F.variant_get(F.col("p"), "$.meets_guardrails", "variant")
     is_obj = F.coalesce(pt.startswith("OBJECT"), F.lit(False))
     prof_rules = F.array(
-        rule(~is_obj, "profile_not_object", F.concat(F.lit("Profile `"), F.col("profile"), F.lit("` must be an object"))),
+        rule(~is_obj, "profile_not_object", F.concat(F.col("profile"), F.lit(": no JSON object"))),
         rule(is_obj & ~(has_a & has_d), "profile_missing_thresholds",
-             F.concat(F.lit("Profile `"), F.col("profile"), F.lit("` missing thresholds"))),
+             F.concat(F.col("profile"), F.lit(": a threshold is absent"))),
         rule(is_obj & has_a & has_d & ~F.coalesce(thresholds_valid(a, dd), F.lit(False)), "invalid_thresholds",
-             F.concat(F.lit("Profile `"), F.col("profile"), F.lit("` thresholds must satisfy 0 <= approve < decline <= 1"))),
+             F.concat(F.col("profile"), F.lit(": thresholds out of order or outside 0 to 1"))),
         rule(is_obj & mg.isNotNull() & F.coalesce(_vtype(mg) != "BOOLEAN", F.lit(False))
              & ~F.coalesce(F.is_variant_null(mg), F.lit(False)),
              "meets_guardrails_type",
-             F.concat(F.lit("Profile `"), F.col("profile"), F.lit("` has non-boolean meets_guardrails"))))
+             F.concat(F.col("profile"), F.lit(": meets_guardrails is neither true nor false"))))
     per_prof = profs.select("doc_id", F.explode(F.filter(prof_rules, lambda x: x.isNotNull())).alias("r")) \
         .select("doc_id", F.col("r.rule").alias("rule"), F.col("r.detail").alias("detail"))
     return per_doc.unionByName(per_prof)
