@@ -113,7 +113,8 @@ def prefix_sets(docs: DataFrame, counts, size: int = SIZE) -> DataFrame:
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int = SIZE) -> DataFrame:
-    """``node, shingles`` of the wanted classes (``node, doc_id, d1, d2``), from the texts."""
+    """``d1, d2, shingles`` of the wanted classes (``doc_id, d1``), from the texts: once per
+    task. The presence table lets a few others through; they meet no pair."""
     def key(d1: np.ndarray, doc: np.ndarray) -> np.ndarray:
         return shingles.mix(d1.view(np.uint64) ^ shingles.mix(doc.view(np.uint64))) >> np.uint64(64 - PRESENCE_BITS)
 
@@ -129,30 +130,33 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int = SIZE) -> DataFram
     present = docs.sparkSession.sparkContext.broadcast(
         gather(wanted.select("doc_id", "d1"), fill, "u1", np.bitwise_or))
 
+    seen: set[tuple[int, int]] = set()   # every task unpickles its own
+
     def run(s: pa.RecordBatch) -> pa.RecordBatch:
         found = shingles.shingle_sets(raw_texts(s), size)
         digests = np.array([set_digest(u) for u in found], np.int64).reshape(-1, 2)
         at = key(np.ascontiguousarray(digests[:, 0]), ids(s.column(0)))
         hit = np.flatnonzero(present.value[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1)
+        hit = np.array([i for i in hit.tolist() if (d := tuple(digests[i])) not in seen and not seen.add(d)], np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(digests[hit, 0]), pa.array(digests[hit, 1]), _lists([found[i] for i in hit], pa.int64())],
             names=["d1", "d2", "shingles"])
 
-    sets = map_slices(docs.select("doc_id", "text"), run, "d1 long, d2 long, shingles array<long>")
-    return (sets.join(wanted.select("node", "d1", "d2"), ["d1", "d2"])
-            .groupBy("node").agg(F.first("shingles").alias("shingles")))
+    return map_slices(docs.select("doc_id", "text"), run, "d1 long, d2 long, shingles array<long>")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int = SIZE) -> DataFrame:
     """The linked ones of the candidate pairs ``u, v`` (class nodes, ``u < v``)."""
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = store(nodes.join(classes, "node").select("node", "doc_id", "d1", "d2"), "wanted")
+    named = classes.select("node", "doc_id", "d1", "d2")
+    keyed = store(pairs.join(named.toDF("u", "udoc", "u1", "u2"), "u").join(named.toDF("v", "vdoc", "v1", "v2"), "v"), "pairs")
+    wanted = keyed.select(F.col("udoc").alias("doc_id"), F.col("u1").alias("d1")).union(keyed.select("vdoc", "v1")).distinct()
+    # A centre may be in very many pairs: both joins shuffle both sides, so Spark can split it.
     sets = store(fetch_sets(docs, wanted, size), "sets")
-    both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
-            .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
+    both = (keyed.select("u", "u1", "u2", "v", "v1", "v2").join(sets.toDF("v1", "v2", "sv"), ["v1", "v2"])
+            .join(sets.toDF("u1", "u2", "su"), ["u1", "u2"])
             .select("u", "v", F.size("su").alias("n"), F.size("sv").alias("m"),
                     F.size(F.array_intersect("su", "sv")).alias("both")))
-    return both.where("100L * both >= 80L * (n + m - both)").select("u", "v")
+    return both.where("100L * both >= 80L * (n + m - both)").select("u", "v").distinct()
 
 
 def suffix_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -294,11 +298,11 @@ def dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
 ORACLE = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
          WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-         ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s,
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s,
          len(w) >= 5 AS whole FROM words),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 both_ AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b
