@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutpoint.functions.timekeys import epoch_micros, literal_like
@@ -113,17 +113,37 @@ def temporal_three_way(df: DataFrame, ts_col: str, tiebreak: Sequence[str],
                            buckets=buckets)
 
 
+#: Slices of the hash range in which a stratified cut is located.
+SLICES = 1 << 16
+
+
 def stratified_split(df: DataFrame, label_col: str, spread: str, tiebreak: Sequence[str],
                      test_size: float = 0.2, buckets: int | None = AUTO) -> DataFrame:
     """M9: per label, the first ceil(n_c * test_size) rows in hash order are
     test. ``spread`` is an integer hash column; deterministic under any
-    partitioning."""
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__n"))
-    pos = global_position(df, [spread, *tiebreak], by=[label_col], buckets=buckets, out="__pos")
-    j = pos.join(F.broadcast(sizes), label_col)      # one row per class
-    n_test = F.ceil(F.col("__n").cast("double") * F.lit(float(test_size)))
-    return j.withColumn("split", F.when(F.col("__pos") <= n_test, "test").otherwise("train")) \
-            .drop("__pos", "__n")
+    partitioning. Counts of ``SLICES`` equal slices of the hash range find the slice
+    that holds each label's cut; rows left and right of it are labelled by a
+    comparison, and only the rows of that slice are ranked. No row is kept or sorted."""
+    ends = df.agg(F.min(spread).cast("long").alias("lo"), F.max(spread).cast("long").alias("hi")).first()
+    if ends["lo"] is None:
+        return df.withColumn("split", F.lit("train"))
+    width = max(1, -(-(ends["hi"] - ends["lo"] + 1) // SLICES))
+    part = F.expr(f"(CAST(`{spread}` AS DECIMAL(20,0)) - {ends['lo']}) div {width}")
+    counts = df.groupBy(label_col, part.alias("__part")).agg(F.count(F.lit(1)).alias("__k"))
+    run = Window.partitionBy(label_col).orderBy("__part")            # at most SLICES rows per class
+    n = F.sum("__k").over(Window.partitionBy(label_col))
+    cut = (counts.withColumn("__upto", F.sum("__k").over(run))
+           .withColumn("__n_test", F.ceil(n.cast("double") * F.lit(float(test_size))))
+           .filter((F.col("__upto") >= F.col("__n_test")) & (F.col("__upto") - F.col("__k") < F.col("__n_test")))
+           .select(label_col, F.col("__part").alias("__cut"),
+                   (F.col("__n_test") - F.col("__upto") + F.col("__k")).alias("__need")))
+    j = df.withColumn("__part", part).join(F.broadcast(cut), label_col, "left")      # one row per class
+    sides = j.filter(F.col("__cut").isNull() | (F.col("__part") != F.col("__cut")))
+    sides = sides.withColumn("split", F.when(F.col("__part") < F.col("__cut"), "test").otherwise("train"))
+    edge = j.filter(F.col("__part") == F.col("__cut"))
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy(spread, *tiebreak))
+    edge = edge.withColumn("split", F.when(rank <= F.col("__need"), "test").otherwise("train"))
+    return sides.unionByName(edge).drop("__part", "__cut", "__need")
 
 
 def fixed_sample(df: DataFrame, n: int, order: Sequence[str], oversample: float = 2.0) -> DataFrame:

@@ -454,7 +454,8 @@ SELECT decision AS band, count(*) AS rows, count(*) FILTER (WHERE label = 1) AS
 FROM scored GROUP BY decision"""
     q["duration_percentiles"] = """SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean,
   round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95,
-  round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type"""
+  round(quantile_cont(value, 0.99), 6) AS p99,
+  round(count(*) * 1000.0 / sum(value), 6) AS rows_per_sec FROM events GROUP BY event_type"""
     conf_base = f"""WITH {TXN_SQL}, {POINTS_SQL}, r AS ({recall_sql(True, tf)})"""
     q["confusion"] = conf_base + f""",
 g AS (SELECT count(*) FILTER (WHERE label = 0 AND score < r.threshold) AS tn,
