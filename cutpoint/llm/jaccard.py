@@ -185,10 +185,11 @@ def label(df: DataFrame, labels: DataFrame, node: str = "node") -> DataFrame:
             .withColumn("label", F.coalesce("label", F.col(node))).drop("_node"))
 
 
-def star_entries(sets: DataFrame) -> DataFrame:
+def star_entries(sets: DataFrame, members: DataFrame) -> DataFrame:
     """Prefix entries of lists with an indexed member other than themselves: ``h, x, xn, xpos``,
     the list's two centres ``y`` and ``z`` (its first and last indexed rows) and ``before``, the
-    key right before ``h`` in the row's prefix, where that one is in the table too.
+    key right before ``h`` in the row's prefix, where that one is in the table too. Only rows
+    that stand for their class stay: its other rows have the same entries.
     The join key is written anew so that both sides are shuffled for the join, which lets
     Spark split a list that very many rows share."""
     entries = sets.where("n > 0").select(F.col("row").alias("x"), F.col("n").alias("xn"),
@@ -197,7 +198,8 @@ def star_entries(sets: DataFrame) -> DataFrame:
              .select(F.bitwise_not("h").alias("k"), "y", "z"))
     found = entries.join(lists, F.bitwise_not("h") == F.col("k")).where("x <> y OR y <> z").drop("k")
     own = Window.partitionBy("x").orderBy("xpos")
-    return found.withColumn("before", F.when(F.lag("xpos").over(own) == F.col("xpos") - 1, F.lag("h").over(own)))
+    found = found.withColumn("before", F.when(F.lag("xpos").over(own) == F.col("xpos") - 1, F.lag("h").over(own)))
+    return found.join(members.where("row = node").select(F.col("row").alias("x")), "x")
 
 
 def unlike(live: DataFrame, labels: DataFrame) -> DataFrame:
@@ -243,19 +245,15 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, Data
     members = store(named.select("row", "d1", "d2").join(classes.select("d1", "d2", "node"), ["d1", "d2"])
                     .select("row", "node"), "members")
 
-    def to_nodes(df: DataFrame, column: str) -> DataFrame:
-        """Rows replaced by the nodes of their classes."""
-        nodes = members.select(F.col("row").alias(column), F.col("node").alias("_node"))
-        return df.join(nodes, column).drop(column).withColumnRenamed("_node", column)
-
-    star = store(star_entries(sets), "stars")
+    star = store(star_entries(sets, members), "stars")
     near = star.select("x", F.explode(F.array("y", "z")).alias("y")).where("x <> y").distinct()
-    near = as_pairs(to_nodes(to_nodes(near, "x"), "y").where("x <> y"), "x", "y")
+    near = near.join(members.toDF("y", "node"), "y").where("x <> node").select("x", F.col("node").alias("y"))
+    near = as_pairs(near, "x", "y")
     tried = store(suffix_filter(near, classes), "tried")
     edges = store(verify(docs, tried, classes, size), "links")
     labels = components(edges)
 
-    live = store(to_nodes(star.where("y <> z").select("h", "x", "xn", "xpos", "before"), "x").distinct(), "live")
+    live = star.where("y <> z").select("h", "x", "xn", "xpos", "before")
     for turn in range(MAX_STARS + 1):
         left = store(unlike(live, labels), "left")
         rows, pairs = left.agg(F.count(F.lit(1)), F.sum("share")).first()
