@@ -185,6 +185,15 @@ def label(df: DataFrame, labels: DataFrame, node: str = "node") -> DataFrame:
             .withColumn("label", F.coalesce("label", F.col(node))).drop("_node"))
 
 
+def extend(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links ``u, v``: only the labels they join are gone through again."""
+    ends = label(label(links, labels, "u").withColumnRenamed("label", "a"), labels, "v")
+    joined = store(components(ends.select(F.col("a").alias("u"), F.col("label").alias("v"))), "joined")
+    moved = (labels.join(joined.toDF("label", "_new"), "label", "left")
+             .select("node", F.coalesce("_new", "label").alias("label")))
+    return store(moved.union(joined.join(labels, "node", "left_anti").select("node", "label")), "labels")
+
+
 def star_entries(sets: DataFrame, members: DataFrame) -> DataFrame:
     """Prefix entries of lists with an indexed member other than themselves: ``h, x, xn, xpos``,
     the list's two centres ``y`` and ``z`` (its first and last indexed rows) and ``before``, the
@@ -250,8 +259,7 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, Data
     near = near.join(members.toDF("y", "node"), "y").where("x <> node").select("x", F.col("node").alias("y"))
     near = as_pairs(near, "x", "y")
     tried = store(suffix_filter(near, classes), "tried")
-    edges = store(verify(docs, tried, classes, size), "links")
-    labels = components(edges)
+    labels = components(verify(docs, tried, classes, size))
 
     live = star.where("y <> z").select("h", "x", "xn", "xpos", "before")
     for turn in range(MAX_STARS + 1):
@@ -262,9 +270,8 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, Data
         exhaustive = turn == MAX_STARS or pairs <= FEW_PAIRS * rows
         fresh = as_pairs(candidates(left, None if exhaustive else turn), "x", "y").join(tried, ["u", "v"], "left_anti")
         fresh = store(suffix_filter(fresh, classes), "tried")
-        edges = store(edges.union(verify(docs, fresh, classes, size)), "links")
         tried = tried.union(fresh)
-        labels = components(edges)
+        labels = extend(labels, store(verify(docs, fresh, classes, size), "links"))
         if exhaustive:
             break
     return sets, members, labels
