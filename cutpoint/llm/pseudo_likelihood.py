@@ -8,10 +8,12 @@ logarithms of those conditional probabilities scores the document.
   runs of bytes other than white space, A-Z in lower case, known by 64-bit hashes.
 * Network: embeddings of the four neighbours, one hidden layer, and a two-step output (the
   word's class, then the word within its class), so a token costs two short rows.
-* Training: every task runs stochastic descent over a fixed share (one in ``EVERY``) of the
-  places of all its documents; the tasks' networks are averaged by the places they saw, and
-  the average starts the next of ``ROUNDS`` rounds. What is gathered grows with the number of
-  tasks and so with the corpus; the network itself has a fixed size.
+* Training: every place of every document is learned once. The places are dealt by hash over
+  ``EVERY`` rounds; in a round every task runs stochastic descent over the round's places of all
+  its documents, the tasks' networks are averaged by the places they saw, and the average starts
+  the next round. Steps are whole batches; what is left over waits for the next step, and a
+  task's last, short batch moves the network in proportion to its places. What is gathered grows
+  with the number of tasks and so with the corpus; the network itself has a fixed size.
 
 Defined results: null and blank texts have no tokens, log-likelihood 0 and null means; an empty
 table gives an empty table; a single word is predicted from padding alone; repeated rows score
@@ -40,8 +42,9 @@ SIDE = 2
 EMBED = 16
 HIDDEN = 32
 
-EVERY = 16
 ROUNDS = 2
+#: The rounds take turns in the places: each learns one in EVERY of them.
+EVERY = ROUNDS
 BATCH = 512
 RATE = 1.0
 SEED = 8
@@ -191,15 +194,21 @@ def learn(net: Net, ids: np.ndarray, around: np.ndarray, rate: float) -> None:
     dc /= n
     dh = dc @ net.classes.T
     order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in np.unique(kind):
-        rows = order[ends[c]:ends[c + 1]]
-        dw = np.exp(_log_softmax(h[rows] @ net.words[c] + net.word_shift[c]))
-        dw[np.arange(len(rows)), word[rows]] -= 1
-        dw /= n
-        dh[rows] += dw @ net.words[c].T
-        net.words[c] -= rate * h[rows].T @ dw
-        net.word_shift[c] -= rate * dw.sum(0)
+    starts = np.flatnonzero(np.diff(kind[order], prepend=-1))
+    runs = list(zip(kind[order][starts].tolist(), starts.tolist(), [*starts[1:].tolist(), n], strict=True))
+    hs = h[order]
+    z = np.empty((n, IN_CLASS), hs.dtype)
+    for c, a, b in runs:
+        z[a:b] = hs[a:b] @ net.words[c] + net.word_shift[c]
+    dw = np.exp(_log_softmax(z))
+    dw[np.arange(n), word[order]] -= 1
+    dw /= n
+    back = np.empty_like(hs)
+    for c, a, b in runs:
+        back[a:b] = dw[a:b] @ net.words[c].T
+        net.words[c] -= rate * hs[a:b].T @ dw[a:b]
+    dh[order] += back
+    net.word_shift[kind[order][starts]] -= rate * np.add.reduceat(dw, starts, axis=0)
     net.classes[...] -= rate * h.T @ dc
     net.class_shift[...] -= rate * dc.sum(0)
     dh *= 1 - h * h
@@ -207,40 +216,44 @@ def learn(net: Net, ids: np.ndarray, around: np.ndarray, rate: float) -> None:
     net.hidden[...] -= rate * x.T @ dh
     net.hidden_shift[...] -= rate * dh.sum(0)
     # Rare words meet few batches: their embeddings move by the summed, not the mean, step.
-    np.add.at(net.embed, around.ravel(), -rate * 4 * dx)
+    near = around.ravel()
+    order = np.argsort(near, kind="stable")
+    starts = np.flatnonzero(np.diff(near[order], prepend=-1))
+    net.embed[near[order][starts]] -= rate * 4 * np.add.reduceat(dx[order], starts, axis=0)
 
 
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, every: int = EVERY) -> Net:
-    """Rounds of descent in every task, averaged by the number of places seen."""
+    """Rounds of descent in every task, averaged by the number of places seen; with fewer rounds
+    than ``every`` there are ``every`` of them, so that each place has its turn."""
     context, net = docs.sparkSession.sparkContext, start(vocab.counts)
     words = context.broadcast(vocab)
-    for turn in range(rounds):
+    for turn in range(max(rounds, every)):
         before = context.broadcast(flat(net))
 
         def fill(batches, before=before, turn=turn):
             own, seen, held, size = shaped(before.value.copy()), 0, [], 0
-
-            def step():
-                ids, around = (np.concatenate(x) for x in zip(*held, strict=True))
-                for a in range(0, len(ids) - BATCH + 1, BATCH):
-                    learn(own, ids[a:a + BATCH], around[a:a + BATCH], RATE / (1 + turn))
-                rest = len(ids) // BATCH * BATCH
-                if not rest:
-                    learn(own, ids, around, RATE / (1 + turn))
-                return len(ids)
-
+            rate = RATE / (1 + turn)
             for b in batches:
                 for s in slices(b):
                     hashes, bounds = shingles.word_hashes(raw_texts(s))
                     ids = words.value(hashes)
-                    picked = shingles.mix(hashes ^ np.arange(len(hashes), dtype=np.uint64)) % np.uint64(every) == turn % every
+                    place = (np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.uint64)
+                    picked = shingles.mix(hashes ^ place) % np.uint64(every) == turn % every
                     held.append((ids[picked], neighbours(ids, bounds)[picked]))
-                    size += int(picked.sum())
+                    size += len(held[-1][0])
                     if size >= 16 * BATCH:
-                        seen += step()
-                        held, size = [], 0
+                        ids, around = (np.concatenate(x) for x in zip(*held, strict=True))
+                        whole = size // BATCH * BATCH
+                        for a in range(0, whole, BATCH):
+                            learn(own, ids[a:a + BATCH], around[a:a + BATCH], rate)
+                        seen += whole
+                        held, size = [(ids[whole:], around[whole:])], size - whole
             if size:
-                seen += step()
+                ids, around = (np.concatenate(x) for x in zip(*held, strict=True))
+                for a in range(0, size, BATCH):
+                    n = min(BATCH, size - a)
+                    learn(own, ids[a:a + n], around[a:a + n], rate * n / BATCH)
+                seen += size
             return np.append(flat(own).astype(np.float64) * seen, float(seen))
 
         total = gather(docs.select("doc_id", "text"), fill, "<f4")

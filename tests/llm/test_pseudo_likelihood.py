@@ -85,3 +85,19 @@ def test_counts_and_training_beat_single_words(spark):
     plain, own = ((lm.score(rest, vocab, n).agg({"log_likelihood": "sum", "n_tokens": "sum"}).first()) for n in (lm.start(vocab.counts), net))
     assert own["sum(log_likelihood)"] / own["sum(n_tokens)"] > plain["sum(log_likelihood)"] / plain["sum(n_tokens)"] + 0.03
     assert lm.score_corpus(docs.limit(0)).count() == 0
+
+
+def test_every_place_is_learned_once(spark, monkeypatch):
+    texts = [f"w{i} the w{i % 7} end of w{i % 97}" for i in range(3001)] + ["one", "a b", "", None]
+    hashes, bounds = shingles.word_hashes([(t or "").encode() for t in texts])
+    vocab = lm.Vocabulary(np.unique(hashes), np.ones(lm.PAD))
+    learned = []
+    monkeypatch.setattr(lm, "learn", lambda net, ids, around, rate: learned.append((np.column_stack([ids, around]), rate)))
+    monkeypatch.setattr(lm, "gather", lambda df, fill, kind: fill(df.toArrow().to_batches()))
+    lm.train(frame(spark, texts), vocab)
+    ids = vocab(hashes)
+    want = np.column_stack([ids, lm.neighbours(ids, bounds)])
+    got = np.concatenate([x for x, _ in learned])
+    assert sorted(map(tuple, got.tolist())) == sorted(map(tuple, want.tolist()))
+    # A short batch moves the network by its share.
+    assert all(rate in {len(x) / lm.BATCH / (1 + turn) for turn in range(lm.ROUNDS)} for x, rate in learned)
