@@ -8,6 +8,10 @@ logarithms of those conditional probabilities scores the document.
   runs of bytes other than white space, A-Z in lower case, known by 64-bit hashes.
 * Network: embeddings of the four neighbours, one hidden layer, and a two-step output (the
   word's class, then the word within its class), so a token costs two short rows.
+* Words in buckets: the whole table of word counts belongs to the model, so it grows with the
+  corpus. Such a word's probability is its bucket's times ``(n + SMOOTH) / (bucket's n + SMOOTH *
+  (bucket's words + 1))``; the one more is the outcome "a word never counted". Counts reach the
+  documents by a join on the word, of one row per document and distinct word.
 * Training: every place of every document is learned once. The places are dealt by hash over
   ``EVERY`` rounds; in a round every task runs stochastic descent over the round's places of all
   its documents, the tasks' networks are averaged by the places they saw, and the average starts
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cutpoint.llm import shingles
-from cutpoint.llm.common import map_slices, raw_texts, slices, store
+from cutpoint.llm.common import map_slices, raw_texts, shared_path, slices, store
 from cutpoint.llm.tables import gather
 
 CLASSES = 64
@@ -48,6 +52,8 @@ EVERY = ROUNDS
 BATCH = 512
 RATE = 1.0
 SEED = 8
+#: Added to every word's count within its bucket.
+SMOOTH = 0.5
 #: Distinct words a task holds before it sends its counts on.
 HELD_WORDS = 1 << 20
 #: Tokens predicted at once.
@@ -88,6 +94,9 @@ def shaped(values: np.ndarray) -> Net:
     return Net(*(v.reshape(s).astype(np.float32) for v, s in zip(np.split(values[:ends[-1]], ends[:-1]), SHAPES, strict=True)))
 
 
+WORDS = "word long, n long"
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n``: how often each word (by its hash) occurs in all documents."""
     def run(batches):
@@ -113,16 +122,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
             words, n = sums()
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
 
-    return (docs.select("doc_id", "text").mapInArrow(run, "word long, n long")
+    return (docs.select("doc_id", "text").mapInArrow(run, WORDS)
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
 class Vocabulary:
     """Ids of word hashes: rank by frequency for known words, a bucket for the others;
-    ``counts`` has the corpus's count of each id."""
+    ``counts`` has the corpus's count of each id, ``distinct`` the number of words of each bucket
+    and ``table`` the path of all words' counts (without it, buckets are scored as wholes)."""
 
-    def __init__(self, ranked: np.ndarray, counts: np.ndarray):
-        self.counts = counts
+    def __init__(self, ranked: np.ndarray, counts: np.ndarray, distinct: np.ndarray | None = None, table: str | None = None):
+        self.counts, self.distinct, self.table = counts, distinct, table
         order = np.argsort(ranked)
         self.sorted = np.append(ranked[order], np.uint64(2**64 - 1))
         self.ids = np.append(order, 0).astype(np.int32)
@@ -135,16 +145,21 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, known: int = KNOWN) -> Vocabulary:
-    words = store(word_counts(docs), "words")
+    spark, table = docs.sparkSession, shared_path(docs.sparkSession, "words")
+    word_counts(docs).write.parquet(table)
+    words = spark.read.schema(WORDS).parquet(table)
     top = words.orderBy(F.desc("n"), "word").limit(known).collect()
     ranked = np.array([r.word for r in top], np.int64).view(np.uint64)
     counts = np.zeros(PAD)
     counts[:len(top)] = [r.n for r in top]
-    buckets = words.groupBy(F.col("word").bitwiseAND(OTHERS - 1).alias("bucket")).agg(F.sum("n").alias("n")).collect()
+    buckets = words.groupBy(F.col("word").bitwiseAND(OTHERS - 1).alias("bucket")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    distinct = np.zeros(OTHERS)
     for r in buckets:
-        counts[KNOWN + r.bucket] = r.n
-    np.subtract.at(counts, KNOWN + (ranked & np.uint64(OTHERS - 1)).astype(np.int64), counts[:len(top)])
-    return Vocabulary(ranked, counts)
+        counts[KNOWN + r.bucket], distinct[r.bucket] = r.n, r.words
+    own = (ranked & np.uint64(OTHERS - 1)).astype(np.int64)
+    np.subtract.at(counts, KNOWN + own, counts[:len(top)])
+    np.subtract.at(distinct, own, 1)
+    return Vocabulary(ranked, counts, distinct, table)
 
 
 def neighbours(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -262,6 +277,15 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, every: int =
     return net
 
 
+def in_documents(hashes: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words among ``others`` (a mask) of each document: words, times, bounds."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[others]
+    order = np.lexsort((hashes[others], doc))
+    doc, word = doc[order], hashes[others][order]
+    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))[:len(doc)])
+    return word[first], np.diff(np.append(first, len(doc))), np.searchsorted(doc[first], np.arange(len(bounds)))
+
+
 def score(docs: DataFrame, vocab: Vocabulary, net: Net) -> DataFrame:
     """One row per input row: ``doc_id, n_tokens, log_likelihood, mean_log_probability, perplexity``."""
     shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
@@ -270,16 +294,43 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Net) -> DataFrame:
         words, own = shared.value
         hashes, bounds = shingles.word_hashes(raw_texts(s))
         ids = words(hashes)
-        each = np.concatenate([[0.0], np.cumsum(log_probabilities(own, ids, neighbours(ids, bounds)))])
-        return pa.RecordBatch.from_arrays(
-            [s.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.array(each[bounds[1:]] - each[bounds[:-1]])],
-            names=["doc_id", "n_tokens", "log_likelihood"])
-
-    scored = map_slices(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, log_likelihood double")
+        each = log_probabilities(own, ids, neighbours(ids, bounds))
+        columns = {}
+        if words.table:
+            bucket = np.log(words.counts[KNOWN:] + SMOOTH * (words.distinct + 1))
+            others = ids >= KNOWN
+            each[others] -= bucket[ids[others] - KNOWN]
+            word, times, ends = in_documents(hashes, bounds, others)
+            ends = pa.array(ends.astype(np.int32))
+            columns = {"word": pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64))),
+                       "times": pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))}
+        each = np.concatenate([[0.0], np.cumsum(each)])
+        return pa.RecordBatch.from_pydict({
+            "doc_id": s.column(0), "n_tokens": pa.array(np.diff(bounds).astype(np.int64)),
+            "log_likelihood": pa.array(each[bounds[1:]] - each[bounds[:-1]]), **columns})
+
+    plain = "doc_id long, n_tokens long, log_likelihood double"
+    some = docs.select("doc_id", "text")
+    scored = (with_word_counts(map_slices(some, run, plain + ", word array<long>, times array<int>"), vocab.table)
+              if vocab.table else map_slices(some, run, plain))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_probability", mean).withColumn("perplexity", F.exp(-mean))
 
 
+def with_word_counts(scored: DataFrame, table: str) -> DataFrame:
+    """Adds the logarithm of each listed word's smoothed count, as often as it occurs, to its row."""
+    # Row numbers hold for both readings because the rows are stored with them.
+    rows = store(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    counts = rows.sparkSession.read.schema(WORDS).parquet(table)
+    listed = rows.select("row", F.inline(F.arrays_zip("word", "times")))
+    parts = listed.join(counts, "word", "left").select(
+        "row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
+        (F.col("times") * F.log(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("log_likelihood"))
+    return (rows.select("row", "doc_id", "n_tokens", "log_likelihood").unionByName(parts).groupBy("row")
+            .agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("log_likelihood").alias("log_likelihood"))
+            .drop("row"))
+
+
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Vocabulary, training and scores, all from ``docs``."""
     vocab = vocabulary(docs)

@@ -101,3 +101,33 @@ def test_every_place_is_learned_once(spark, monkeypatch):
     assert sorted(map(tuple, got.tolist())) == sorted(map(tuple, want.tolist()))
     # A short batch moves the network by its share.
     assert all(rate in {len(x) / lm.BATCH / (1 + turn) for turn in range(lm.ROUNDS)} for x, rate in learned)
+
+
+def test_every_word_has_a_probability_of_its_own(spark):
+    # Each of 5 frequent words 20 times, 60 rare ones once to three times each; 5 ids of their own.
+    rare = [f"rare{i}" for i in range(60)]
+    texts = ["the cat sat on mat " * 20, *(" ".join([w] * (1 + i % 3)) for i, w in enumerate(rare)), None, " "]
+    docs = frame(spark, texts)
+    vocab = lm.vocabulary(docs, known=5)
+    net = lm.start(vocab.counts)
+    asked = [*rare, "neverseen", "the", "rare0 the rare0 neverseen rare1", "", None]
+    twice = frame(spark, asked).unionByName(frame(spark, asked).withColumn("doc_id", lm.F.lit(None).cast("long")))
+    rows = lm.score(twice, vocab, net).collect()
+    assert len(rows) == 2 * len(asked) and sum(r.doc_id is None for r in rows) == len(asked)
+
+    counts = {w: 1 + i % 3 for i, w in enumerate(rare)}
+    place = {w: int(vocab(shingles.word_hashes([w.encode()])[0])[0]) for w in [*rare, "neverseen"]}
+
+    def within(w):
+        if w not in place:
+            return 0.0
+        same = [x for x in rare if place[x] == place[w]]
+        return np.log((counts.get(w, 0) + 0.5) / (sum(counts[x] for x in same) + 0.5 * (len(same) + 1)))
+    for r in rows:
+        if r.doc_id is not None:
+            words = (asked[r.doc_id] or "").split()
+            want = brute(net, vocab(shingles.word_hashes([" ".join(words).encode()])[0])) + sum(map(within, words))
+            assert r.n_tokens == len(words) and abs(r.log_likelihood - want) < 1e-5, words
+    # The words of a bucket and one never counted share the bucket's probability.
+    for b in {place[w] for w in rare}:
+        assert abs(sum(np.exp(within(w)) for w in rare if place[w] == b) + 0.5 / (sum(counts[w] for w in rare if place[w] == b) + 0.5 * (sum(place[w] == b for w in rare) + 1)) - 1) < 1e-9
