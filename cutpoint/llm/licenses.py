@@ -1,6 +1,7 @@
 """Operator 7: licence scans with a trained paragraph classifier, in SQL functions and MLlib only.
 
-Paragraphs (lines) are described by the set of their words and word pairs. A multinomial
+Lines, and runs of neighbouring lines, are described by the set of their words and word pairs
+(marks of comments are no words). A multinomial
 logistic regression with an L1 part, so that few n-grams carry weight, tells licence families
 from ``unknown``. It is trained on the family templates and altered forms of them, against a
 bounded sample of the corpus's own paragraphs (``SAMPLE_DOCS``, ``SAMPLE_LINES``), word-shuffled
@@ -9,7 +10,12 @@ turns the margin over ``unknown`` into a calibrated probability; below ``MIN_KNO
 is unknown. A prediction counts once a template of that family confirms it: at least
 ``MIN_TEMPLATE`` of the template's word pairs stand in the paragraph.
 
-Scoring reads every paragraph of every text. Paragraphs without any of the trigger words are
+Scoring reads every line of every text, and for notices wrapped over lines every run of
+neighbouring lines with words, at any width: from a run's first line its last ``RUN_WORDS`` words
+count, from its last line the first as many, and the lines between hold fewer than that in all,
+which is about twice the longest template. A run counts if it is confirmed, no line or shorter
+run inside it is confirmed for its family, and no counted run of that family overlaps it. Lines
+and runs without any of the trigger words are
 passed over, which loses nothing: the triggers are chosen so that all other n-grams together
 cannot lift a family over ``unknown``. No rows are exploded, joined or shuffled.
 
@@ -89,6 +95,8 @@ SAMPLE_DOCS = 400
 SAMPLE_LINES = 2000
 MIN_KNOWN = 0.5
 MIN_TEMPLATE = 0.6
+#: Words of a notice that runs over lines; the longest template has about half as many.
+RUN_WORDS = 64
 L1 = 0.001
 
 GRAMS = ("array_distinct(concat(w, transform(sequence(1, greatest(size(w), 1)), "
@@ -240,28 +248,57 @@ def _templates(family: str) -> str:
     return f"case {family} {cases} end"
 
 
+def _units(text: str) -> str:
+    """All lines of a text and all runs of two or more neighbouring lines with words (SQL): ``t``
+    (text), ``line`` and ``last`` (from 0)."""
+    ends = (f"aggregate(if(i + 1 < size(w) and size(w[i]) > 0, sequence(i + 1, least(i + {RUN_WORDS}, size(w) - 1)), cast(array() as array<int>)), "
+            "named_struct('open', true, 'n', 0, 'ends', cast(array() as array<int>)), "
+            "(s, k) -> if(not s.open or size(w[k]) = 0, named_struct('open', false, 'n', s.n, 'ends', s.ends), "
+            f"named_struct('open', s.n + size(w[k]) < {RUN_WORDS}, 'n', s.n + size(w[k]), 'ends', concat(s.ends, array(k)))), s -> s.ends)")
+    first = f"slice(w[i], greatest(size(w[i]) - {RUN_WORDS - 1}, 1), {RUN_WORDS})"
+    run = f"concat({first}, flatten(slice(w, i + 2, k - i - 1)), slice(w[k], 1, {RUN_WORDS}))"
+    runs = (f"transform(array(transform({text}, t -> {words('t')})), w -> flatten(transform(sequence(0, size(w) - 1), "
+            f"i -> transform({ends}, k -> named_struct('t', array_join({run}, ' '), 'line', i, 'last', k)))))[0]")
+    return f"concat(transform({text}, (t, i) -> named_struct('t', t, 'line', i, 'last', i)), {runs})"
+
+
 def findings(model: Model, text: str = "text") -> Column:
-    """An array over the paragraphs that the classifier names: ``line`` (from 0), ``family``,
-    ``probability``, ``template`` (share of the best template found), ``confirmed``."""
+    """An array over the lines that the classifier names and the runs of lines that count: ``line``
+    and ``last`` (from 0), ``family``, ``probability``, ``template`` (share of the best template
+    found), ``confirmed``."""
     trigger = "\\\\b(?:" + "|".join(model.triggers) + ")\\\\b" if model.triggers else "(?!)"
     slope, shift = model.calibration
     names = _array(FAMILIES)
     share = (f"array_max(transform({_templates('x.v.family')}, t -> size(array_intersect(t, {grams('x.t')})) / size(t)))")
-    none = "cast(array() as array<struct<line: int, family: string, probability: double, template: double, confirmed: boolean>>)"
-    return F.expr(f"""
-      if(not lower({text}) rlike '{trigger}', {none},
-      transform(filter(transform(filter(transform(split({text}, '\\n'), (t, i) -> named_struct('t', t, 'line', i)),
+    kind = "array<struct<line: int, last: int, family: string, probability: double, template: double, confirmed: boolean>>"
+    none = f"cast(array() as {kind})"
+    named = f"""
+      transform(filter(transform(filter({_units(f"split({text}, '\\n')")},
           x -> lower(x.t) rlike '{trigger}'),
-        x -> named_struct('t', x.t, 'line', x.line, 'v', {_verdict(model, 'x.t')})),
+        x -> named_struct('t', x.t, 'line', x.line, 'last', x.last, 'v', {_verdict(model, 'x.t')})),
         x -> x.v.margin * {slope!r}D + {shift!r}D >= {math.log(MIN_KNOWN / (1 - MIN_KNOWN))!r}D),
-        x -> transform(array({share}), c -> named_struct('line', x.line, 'family', {names}[int(x.v.family)],
-          'probability', 1 / (1 + exp(-(x.v.margin * {slope!r}D + {shift!r}D))), 'template', c, 'confirmed', c >= {MIN_TEMPLATE}))[0]))""")
+        x -> transform(array({share}), c -> named_struct('line', x.line, 'last', x.last, 'family', {names}[int(x.v.family)],
+          'probability', 1 / (1 + exp(-(x.v.margin * {slope!r}D + {shift!r}D))), 'template', c, 'confirmed', c >= {MIN_TEMPLATE}))[0])"""
+    # By last line and then from the shortest: for each family the latest start of what is
+    # confirmed so far, and the last line of the latest run that counts.
+    order = ("(a, b) -> case when a.last <> b.last then a.last - b.last else b.line - a.line end")
+    zero = f"array_repeat(-1, {len(FAMILIES)})"
+    at = f"array_position({names}, x.family) - 1"
+    counts = f"x.last > x.line and x.line > s.start[int({at})] and x.line > s.kept[int({at})]"
+    runs = (f"aggregate(array_sort(filter(a, x -> x.confirmed), {order}), named_struct('start', {zero}, 'kept', {zero}, 'runs', {none}), "
+            f"(s, x) -> named_struct('start', transform(s.start, (v, f) -> if(f = {at}, greatest(v, x.line), v)), "
+            f"'kept', if({counts}, transform(s.kept, (v, f) -> if(f = {at}, x.last, v)), s.kept), "
+            f"'runs', if({counts}, concat(s.runs, array(x)), s.runs)), s -> s.runs)")
+    return F.expr(f"""
+      if(not lower({text}) rlike '{trigger}', {none},
+        transform(array(cast({named} as {kind})), a -> if(size(a) = 0, a,
+          array_sort(concat(filter(a, x -> x.line = x.last), {runs}))))[0])""")
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per input row: ``doc_id, n_paragraphs`` (lines with a word), ``n_named`` (by the
-    classifier), ``n_confirmed`` (by a template too), ``families`` (confirmed, sorted, comma-joined),
-    ``found`` (``line:family`` of the confirmed ones), ``probability`` (the highest, 0 without any)."""
+    """One row per input row: ``doc_id, n_paragraphs`` (lines with a word), ``n_named`` (lines
+    named by the classifier and runs that count), ``n_confirmed`` (by a template too), ``families``
+    (confirmed, sorted, comma-joined), ``found`` (``line:family`` of the confirmed ones, a run by its first line), ``probability`` (the highest, 0 without any)."""
     rows = docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", "text", findings(model).alias("all"))
     sure = F.filter("all", lambda x: x["confirmed"])
     return rows.select(

@@ -63,3 +63,43 @@ def test_all_statements_of_the_corpus_are_found(spark, model):
 
 def test_training_on_an_empty_table(spark):
     assert licenses.fit(frame(spark, [])).weights
+
+
+WRAPPED = {
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining
+a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction,""",
+    "apache-2.0": """Licensed under the Apache License,
+Version 2.0 (the "License"); you may not use
+this file except in compliance
+with the License.""",
+}
+
+
+def test_wrapped_notices_are_found_once(spark, model):
+    texts, want = [], []
+    for family, notice in WRAPPED.items():
+        lines = notice.split("\n")
+        plain, words = "A first line of prose about the sea.", notice.split()
+        narrow = [" ".join(words[k:k + 3]) for k in range(0, len(words), 3)]
+        for form in (lines, [" * " + x for x in lines], ["# " + x for x in lines], [x + "\r" for x in lines], narrow):
+            texts += ["\n".join(form), "\n".join([plain, "", *form, "", plain]), "\n".join([plain, *form, plain])]
+            want += [family] * 3
+        # A blank line, also one of a comment, parts the notice.
+        texts += ["\n\n".join(narrow), "\n *\n".join(" * " + x for x in narrow)]
+        want += [""] * 2
+    rows = {r.doc_id: r for r in licenses.scan(frame(spark, texts), model).collect()}
+    for i, family in enumerate(want):
+        assert (rows[i].families, rows[i].n_confirmed) == (family, int(family != "")), texts[i]
+    twice = WRAPPED["bsd"] + "\n\n" + WRAPPED["gpl"] + "\n" + WRAPPED["bsd"]
+    [r] = licenses.scan(frame(spark, [twice]), model).collect()
+    assert r.found == "0:bsd,4:gpl,8:bsd"
+    every = model._replace(triggers=["[a-z0-9]+"])
+    assert sorted(map(tuple, rows.values())) == sorted(map(tuple, licenses.scan(frame(spark, texts), every).collect()))
