@@ -8,7 +8,8 @@ bounded sample of the corpus's own paragraphs (``SAMPLE_DOCS``, ``SAMPLE_LINES``
 templates and fixed other sentences. A second logistic regression on held-out paragraphs
 turns the margin over ``unknown`` into a calibrated probability; below ``MIN_KNOWN`` a paragraph
 is unknown. A prediction counts once a template of that family confirms it: at least
-``MIN_TEMPLATE`` of the template's word pairs stand in the paragraph.
+``MIN_TEMPLATE`` of the template's word pairs stand in the paragraph, among them one that no
+other family's template has. Licences that only share words with a family stay unconfirmed.
 
 Scoring reads every line of every text, and for notices wrapped over lines every run of
 neighbouring lines with words, at any width: from a run's first line its last ``RUN_WORDS`` words
@@ -54,11 +55,26 @@ TEMPLATES = {
         "SPDX-License-Identifier: GPL-3.0-or-later"],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "agpl": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-or-later"],
     "bsd": [
         "Released under the 3-clause BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "SPDX-License-Identifier: BSD-3-Clause"],
+    "isc": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC"],
+    "epl-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0"],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense"],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0"],
@@ -68,6 +84,18 @@ TEMPLATES = {
     "cc-by-nc": [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0."],
+    "cc-by-sa": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-SA 4.0."],
+    "cc-by-nd": [
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0."],
+    "cc-by-nc-sa": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-NC-SA 4.0."],
+    "cc-by-nc-nd": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-NC-ND 4.0."],
     "cc0": [
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
         "Released into the public domain under CC0 1.0."],
@@ -237,14 +265,24 @@ def _verdict(model: Model, line: str) -> str:
     return f"transform(array({scores}), s -> named_struct('family', array_position(s, {best}) - 1, 'margin', {best} - s[0]))[0]"
 
 
+def _pairs(text: str) -> list[str]:
+    import re
+    w = re.findall("[a-z0-9]+", text.lower())
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))
+
+
+def _own(family: str, text: str) -> list[str]:
+    """A template's word pairs that no other family's template has."""
+    others = {p for f, texts in TEMPLATES.items() if f != family for t in texts for p in _pairs(t)}
+    return [p for p in _pairs(text) if p not in others]
+
+
 def _templates(family: str) -> str:
-    """Word-pair sets of a family's templates, by the family's number (SQL)."""
-    def pairs(text: str) -> list[str]:
-        import re
-        w = re.findall("[a-z0-9]+", text.lower())
-        return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))
-    cases = " ".join(f"when {k} then array({', '.join(_array(pairs(t)) for t in texts)})"
-                     for k, texts in enumerate(TEMPLATES.values(), 1))
+    """Word-pair sets ``pairs`` and ``own`` of a family's templates, by the family's number (SQL)."""
+    def sets(f: str, text: str) -> str:
+        return f"named_struct('pairs', {_array(_pairs(text))}, 'own', {_array(_own(f, text))})"
+    cases = " ".join(f"when {k} then array({', '.join(sets(f, t) for t in texts)})"
+                     for k, (f, texts) in enumerate(TEMPLATES.items(), 1))
     return f"case {family} {cases} end"
 
 
@@ -265,11 +303,12 @@ def _units(text: str) -> str:
 def findings(model: Model, text: str = "text") -> Column:
     """An array over the lines that the classifier names and the runs of lines that count: ``line``
     and ``last`` (from 0), ``family``, ``probability``, ``template`` (share of the best template
-    found), ``confirmed``."""
+    found with a pair of its own), ``confirmed``."""
     trigger = "\\\\b(?:" + "|".join(model.triggers) + ")\\\\b" if model.triggers else "(?!)"
     slope, shift = model.calibration
     names = _array(FAMILIES)
-    share = (f"array_max(transform({_templates('x.v.family')}, t -> size(array_intersect(t, {grams('x.t')})) / size(t)))")
+    share = (f"transform(array({grams('x.t')}), g -> array_max(transform({_templates('x.v.family')}, "
+             "t -> if(arrays_overlap(t.own, g), size(array_intersect(t.pairs, g)) / size(t.pairs), 0D))))[0]")
     kind = "array<struct<line: int, last: int, family: string, probability: double, template: double, confirmed: boolean>>"
     none = f"cast(array() as {kind})"
     named = f"""

@@ -103,3 +103,16 @@ def test_wrapped_notices_are_found_once(spark, model):
     assert r.found == "0:bsd,4:gpl,8:bsd"
     every = model._replace(triggers=["[a-z0-9]+"])
     assert sorted(map(tuple, rows.values())) == sorted(map(tuple, licenses.scan(frame(spark, texts), every).collect()))
+
+
+def test_neighbours_of_a_family_are_told_apart(spark, model):
+    assert all(licenses._own(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts)
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    gnu = "This work is licensed under the GNU {}General Public License, version 3."
+    lines = {cc.format("-ShareAlike"): "cc-by-sa", cc.format("-NoDerivatives"): "cc-by-nd", cc.format("-NonCommercial-ShareAlike"): "cc-by-nc-sa",
+             cc.format(""): "cc-by", cc.format("-NonCommercial"): "cc-by-nc", gnu.format("Affero "): "agpl", gnu.format("Lesser "): "lgpl", gnu.format(""): "gpl",
+             "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: MIT": "mit", "Released under the ISC License.": "isc",
+             # Of no listed family: nothing is confirmed.
+             "SPDX-License-Identifier: EUPL-1.2": "", "SPDX-License-Identifier: Zlib": "", cc.format("-Sampling"): "", gnu.format("Quux "): ""}
+    rows = {r.doc_id: r.families for r in licenses.scan(frame(spark, list(lines)), model).collect()}
+    assert [rows[i] for i in range(len(lines))] == list(lines.values())
