@@ -4,8 +4,10 @@ Lines, and runs of neighbouring lines, are described by the set of their words a
 (marks of comments are no words). A multinomial
 logistic regression with an L1 part, so that few n-grams carry weight, tells licence families
 from ``unknown``. It is trained on the family templates and altered forms of them, against a
-bounded sample of the corpus's own paragraphs (``SAMPLE_DOCS``, ``SAMPLE_LINES``), word-shuffled
-templates and fixed other sentences. A second logistic regression on held-out paragraphs
+bounded sample of the corpus's own lines (``SAMPLE_DOCS``, ``SAMPLE_LINES``; whole up to
+``LINE_CHARS`` characters, of longer ones ``PIECES`` pieces spread over the line, as many
+characters in all), word-shuffled templates and fixed other sentences. The sampled lines have no
+labels: those that hold half of a template's words are left out, the rest is taken as unknown. A second logistic regression on held-out paragraphs
 turns the margin over ``unknown`` into a calibrated probability; below ``MIN_KNOWN`` a paragraph
 is unknown. A prediction counts once a template of that family confirms it: at least
 ``MIN_TEMPLATE`` of the template's word pairs stand in the paragraph, among them one that no
@@ -121,6 +123,8 @@ FAMILIES = [UNKNOWN, *TEMPLATES]
 
 SAMPLE_DOCS = 400
 SAMPLE_LINES = 2000
+LINE_CHARS = 32_000
+PIECES = 16
 MIN_KNOWN = 0.5
 MIN_TEMPLATE = 0.6
 #: Words of a notice that runs over lines; the longest template has about half as many.
@@ -165,7 +169,15 @@ def sample_lines(docs: DataFrame) -> DataFrame:
     own = " OR ".join(f"size(array_intersect({words('line')}, {_array(_words(t))})) >= {math.ceil(len(_words(t)) / 2)}"
                       for texts in TEMPLATES.values() for t in texts)
     return (lines.where(f"NOT ({own})").orderBy(F.xxhash64("line", "at"), "line").limit(SAMPLE_LINES)
-            .select(F.substring("line", 1, 2000).alias("line")))
+            .select(F.expr(_spread("line")).alias("line")))
+
+
+def _spread(line: str) -> str:
+    """A line, or of one longer than LINE_CHARS evenly spread pieces of that many characters in all (SQL)."""
+    size = LINE_CHARS // PIECES
+    pieces = (f"transform(sequence(0, {PIECES - 1}), k -> "
+              f"substring({line}, int(k * (bigint(length({line})) - {size}) div {PIECES - 1}) + 1, {size}))")
+    return f"if(length({line}) <= {LINE_CHARS}, {line}, array_join({pieces}, ' '))"
 
 
 def _words(text: str) -> list[str]:
@@ -304,7 +316,8 @@ def findings(model: Model, text: str = "text") -> Column:
     """An array over the lines that the classifier names and the runs of lines that count: ``line``
     and ``last`` (from 0), ``family``, ``probability``, ``template`` (share of the best template
     found with a pair of its own), ``confirmed``."""
-    trigger = "\\\\b(?:" + "|".join(model.triggers) + ")\\\\b" if model.triggers else "(?!)"
+    # As words are runs of a-z and 0-9, an underscore ends them too.
+    trigger = "(?<![a-z0-9])(?:" + "|".join(model.triggers) + ")(?![a-z0-9])" if model.triggers else "(?!)"
     slope, shift = model.calibration
     names = _array(FAMILIES)
     share = (f"transform(array({grams('x.t')}), g -> array_max(transform({_templates('x.v.family')}, "

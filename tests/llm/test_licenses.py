@@ -116,3 +116,20 @@ def test_neighbours_of_a_family_are_told_apart(spark, model):
              "SPDX-License-Identifier: EUPL-1.2": "", "SPDX-License-Identifier: Zlib": "", cc.format("-Sampling"): "", gnu.format("Quux "): ""}
     rows = {r.doc_id: r.families for r in licenses.scan(frame(spark, list(lines)), model).collect()}
     assert [rows[i] for i in range(len(lines))] == list(lines.values())
+
+
+def test_words_between_underscores_are_words(spark, model):
+    texts = ["released_under_the_MIT_License_", "_SPDX_License_Identifier_Apache_2_0_", "mit_license_", "x_copyright_the_authors_all_rights_reserved_x"]
+    rows = licenses.scan(frame(spark, texts), model).collect()
+    every = model._replace(triggers=["[a-z0-9]+"])
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, licenses.scan(frame(spark, texts), every).collect()))
+    assert {r.doc_id: r.families for r in rows}[0] == "mit"
+
+
+def test_sampled_lines_are_whole_or_spread(spark):
+    long = " ".join(f"w{i}" for i in range(4000))
+    longer = " ".join(f"w{i}" for i in range(40_000))
+    got = {r.line for r in licenses.sample_lines(frame(spark, [long, longer])).collect()}
+    assert long in got and len(got) == 2
+    [some] = got - {long}
+    assert some.startswith("w0 w1 ") and some.endswith(" w39998 w39999") and len(some) == licenses.LINE_CHARS + licenses.PIECES - 1
