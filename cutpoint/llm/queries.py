@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cutpoint.llm import (alignment, bpe, convnet, exact_dedup, jaccard, lexical, licenses, outliers, packing, pii,
-                          pseudo_likelihood, token_files)
+from cutpoint.llm import (alignment, bpe, convnet, exact_dedup, jaccard, lexical, licenses, outliers, packing,
+                          permutation_index, pii, pseudo_likelihood, token_files)
 from cutpoint.llm.common import read_table
 
 
@@ -59,13 +59,17 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read_table(spark, sf_dir, "documents"))
 
 
+def op12_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_outliers, op3_convnet, op4_bpe, op5_jaccard_join, op6_packing, op7_licenses, op8_pseudo_likelihood, op9_exact_dedup, op10_token_files,
-                               op11_alignment, op13_lexical_search)}
+                               op11_alignment, op12_permutation_index, op13_lexical_search)}
 
 ORACLE: dict[str, str] = {"op5_jaccard_join": jaccard.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE,
                           "op13_lexical_search": lexical.ORACLE}
