@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cutpoint.operators import isotonic
+
 METHODS = ("none", "platt", "isotonic")
 
 
@@ -52,24 +53,14 @@ def apply_platt(fitted, ev: DataFrame, score: str = "score") -> DataFrame:
     return t.select(*cols, vector_to_array("probability")[1].alias(score))
 
 
-def fit_isotonic(cal: DataFrame, score: str = "score", label: str = "label", weight: str | None = None):
-    """M6: increasing isotonic fit. Rows are first reduced to one weighted
-    point per distinct score (mean label, count), so the pool-adjacent-
-    violators pass that MLlib finishes on the driver sees distinct scores,
-    not rows."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    pts = cal.groupBy(F.col(score).cast("double").alias("x")).agg(
-        (F.sum(F.col(label).cast("double") * w) / F.sum(w)).alias("y"), F.sum(w).alias("w"))
-    iso = IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", isotonic=True)
-    return iso.fit(pts)
+def fit_isotonic(cal: DataFrame, score: str = "score", label: str = "label", weight: str | None = None) -> DataFrame:
+    """M6: increasing isotonic fit as a table of segments (see ``isotonic``)."""
+    return isotonic.fit(cal, score, label, weight)
 
 
-def apply_isotonic(model, ev: DataFrame, score: str = "score") -> DataFrame:
+def apply_isotonic(fitted: DataFrame, ev: DataFrame, score: str = "score") -> DataFrame:
     """Linear interpolation between fitted points, clipped outside their range."""
-    cols = [c for c in ev.columns if c != score]
-    t = model.setFeaturesCol("x").setPredictionCol("__iso").transform(
-        ev.withColumn("x", F.col(score).cast("double")))
-    return t.select(*cols, F.col("__iso").alias(score))
+    return isotonic.apply(fitted, ev, score)
 
 
 def calibrated_union(cal: DataFrame, ev: DataFrame, methods=METHODS, score: str = "score",

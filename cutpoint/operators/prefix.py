@@ -139,6 +139,30 @@ def global_position(df: DataFrame, order_cols: Sequence[str], by: Sequence[str]
     return j.select(*df.columns, (F.col("__gp_o") + F.row_number().over(w_in)).alias(out))
 
 
+def as_of(df: DataFrame, key: str, table: DataFrame, table_key: str, buckets: int | None = AUTO) -> DataFrame:
+    """Each row of ``df`` with the row of ``table`` whose ``table_key`` is the largest at or
+    below ``key`` (null columns where there is none).
+
+    Both sides are cut into the same ranges; within a range one window carries the last table
+    row forward, and a range starts with the last table row of the ranges before it (one row
+    per range, broadcast). Neither side needs to be small. Keys should be distinct in both:
+    a repeated key is one row in one range."""
+    names = table.columns
+    left = df.select(F.struct(*df.columns).alias("__row"), F.col(key).cast("double").alias("__k"), F.lit(1).alias("__side"),
+                     F.lit(None).cast(table.select(F.struct(*names).alias("t")).schema["t"].dataType).alias("__t"))
+    right = table.select(F.lit(None).cast(left.schema["__row"].dataType).alias("__row"),
+                         F.col(table_key).cast("double").alias("__k"), F.lit(0).alias("__side"), F.struct(*names).alias("__t"))
+    both = reuse(left.unionByName(right))
+    cut = assign_range(both, "__k", range_bounds(both, "__k", buckets), "__b")
+    last = cut.groupBy("__b").agg(F.max_by("__t", F.when(F.col("__side") == 0, F.col("__k"))).alias("__last"))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)     # one row per range
+    start = last.select("__b", F.last("__last", ignorenulls=True).over(before).alias("__start"))
+    carried = F.last("__t", ignorenulls=True).over(Window.partitionBy("__b").orderBy("__k", "__side"))
+    found = (cut.join(F.broadcast(start), "__b").withColumn("__f", F.coalesce(carried, F.col("__start")))
+             .where(F.col("__side") == 1))
+    return found.select("__row.*", *[F.col("__f")[n].alias(n) for n in names])
+
+
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
                     buckets: int | None = AUTO, weight: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``quantile`` default).
