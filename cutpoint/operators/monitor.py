@@ -254,6 +254,19 @@ def review_alerts(daily: DataFrame, review_rate: float = REVIEW_ALERT_RATE,
                     (F.col("decline_fpr") > F.lit(float(fpr_max))).alias("fpr_alert"))
 
 
+def review_runs(daily: DataFrame, review_rate: float = REVIEW_ALERT_RATE) -> DataFrame:
+    """D6 on event time: session windows merge the consecutive days whose review rate is above
+    the cap into runs: ``run_start, run_end, days, rows, review_count, peak_rate``. A day opens a
+    session of a day and a half, so the next day joins it and a missing day ends it. Works
+    on the daily table of a batch; on a stream of days it needs a watermark on ``day``."""
+    over = daily.where(F.col("review_rate") > F.lit(float(review_rate)))
+    run = over.withColumn("__at", F.to_timestamp_ltz(F.concat("day", F.lit(" 00:00:00+00:00")), F.lit("yyyy-MM-dd HH:mm:ssXXX")))
+    g = run.groupBy(F.session_window("__at", "36 hours")).agg(
+        F.min("day").alias("run_start"), F.max("day").alias("run_end"), F.count(F.lit(1)).alias("days"),
+        F.sum("rows").alias("rows"), F.sum("review_count").alias("review_count"), F.max("review_rate").alias("peak_rate"))
+    return g.drop("session_window")
+
+
 def band_capture(scored: DataFrame, decision: str = "decision", label: str = "label") -> DataFrame:
     """Rows, fraud and the share of all fraud per decision band."""
     g = scored.groupBy(F.col(decision).alias("band")).agg(

@@ -18,10 +18,13 @@ from cutpoint.session import ensure_checkpoint_dir
 from cutpoint.sources import runlog
 from cutpoint.sources.contract import bad_score_counts
 from cutpoint.sources.tables import TXN_KEY, read_table, txn, txn_from_lineitem
+from cutpoint.streaming import event_time
 from cutpoint.streaming.daily_mix import run_to_table
 
 PUBLISHED_PROFILES = {"phase2_guarded": (0.20, 0.80)}
 APPROVE_OVERRIDE = 0.10
+#: Above about half of the days of the test tables, so that runs of many lengths occur.
+REVIEW_RUN_RATE = 0.30
 
 
 def _scratch(spark, name: str) -> str:
@@ -130,6 +133,25 @@ def q_stream_daily_mix(spark, sf):
     return run_to_table(spark, txn_from_lineitem(stream), C.T1, C.T2, base + "/out", base + "/_checkpoint")
 
 
+#: How long the event-time stream waits for late rows.
+STREAM_DELAY = "30 days"
+
+
+def q_stream_event_time(spark, sf):
+    """D7 on event time: the same stream through watermark, one-day windows and the state store;
+    days the watermark has passed come from the append-only output, the others from the state."""
+    schema = read_table(spark, sf, "lineitem").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/lineitem.parque[t]")
+    base = _scratch(spark, "stream_event_time")
+    event_time.run_event_time(txn_from_lineitem(stream), C.T1, C.T2, base + "/out", base + "/_checkpoint", STREAM_DELAY)
+    return event_time.days(spark, base + "/out", base + "/_checkpoint")
+
+
+def q_review_runs(spark, sf):
+    """D6 on event time: consecutive days whose review rate is over the cap, as one run each."""
+    return monitor.review_runs(monitor.daily_mix(C.scored_txn(spark, sf)), REVIEW_RUN_RATE)
+
+
 def q_score_guard(spark, sf):
     """Trap 2: bad scores per return flag, over txn and a literal group with one null and
     two NaN scores."""
@@ -160,6 +182,8 @@ QUERIES = {
     "run_log": q_run_log,
     "report_rows": q_report_rows,
     "stream_daily_mix": q_stream_daily_mix,
+    "stream_event_time": q_stream_event_time,
+    "review_runs": q_review_runs,
     "score_guard": q_score_guard,
     "scored_export": q_scored_export,
 }

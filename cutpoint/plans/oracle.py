@@ -10,6 +10,7 @@ from __future__ import annotations
 from cutpoint.sources.tables import TXN_FEATURES
 from cutpoint.functions.pairs import GRID_DEFAULTS, _arange_len
 from cutpoint.plans import catalog as C
+from cutpoint.plans.extras import REVIEW_RUN_RATE, STREAM_DELAY
 
 TXN_SQL = """txn AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -557,6 +558,22 @@ SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS rows,
   count(*) FILTER (WHERE label = 1) AS fraud_total,
   count(*) FILTER (WHERE label = 1 AND decision <> 'approve') AS fraud_flagged
 FROM scored GROUP BY 1"""
+    counts = """count(*) AS rows, count(*) FILTER (WHERE decision = 'approve') AS approve_count,
+  count(*) FILTER (WHERE decision = 'review') AS review_count, count(*) FILTER (WHERE decision = 'decline') AS decline_count,
+  count(*) FILTER (WHERE label = 1) AS fraud_total, count(*) FILTER (WHERE label = 1 AND decision <> 'approve') AS fraud_flagged"""
+    q["stream_event_time"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)},
+mark AS (SELECT max(ts) - INTERVAL {STREAM_DELAY} AS watermark FROM txn)
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+  CASE WHEN CAST(ts AS DATE) + INTERVAL 1 DAY <= any_value(watermark) THEN 'closed' ELSE 'open' END AS state, {counts}
+FROM scored, mark GROUP BY CAST(ts AS DATE)"""
+    q["review_runs"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)},
+dm AS (SELECT CAST(ts AS DATE) AS day, count(*) AS rows, count(*) FILTER (WHERE decision = 'review') AS review_count
+  FROM scored GROUP BY 1),
+over_cap AS (SELECT *, CAST(review_count AS DOUBLE) / rows AS rate, row_number() OVER (ORDER BY day) AS k
+  FROM dm WHERE CAST(review_count AS DOUBLE) / rows > {d(REVIEW_RUN_RATE)})
+SELECT strftime(min(day), '%Y-%m-%d') AS run_start, strftime(max(day), '%Y-%m-%d') AS run_end, count(*) AS days,
+  CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(review_count) AS BIGINT) AS review_count, round(max(rate), 6) AS peak_rate
+FROM over_cap GROUP BY day - CAST(k AS INTEGER)"""
     q["score_guard"] = f"""WITH {TXN_SQL}
 SELECT l_returnflag, count(*) AS rows, count(*) FILTER (WHERE score IS NULL) AS null_scores,
   count(*) FILTER (WHERE isnan(score)) AS nan_scores FROM txn GROUP BY 1

@@ -18,7 +18,7 @@ from cutpoint.functions.timekeys import as_instant
 COUNTS = ("rows", "approve_count", "review_count", "decline_count", "fraud_total", "fraud_flagged")
 
 
-def _utc_day(instant):
+def utc_day(instant):
     """The UTC calendar day of an instant, independent of the session zone."""
     return F.date_from_unix_date(F.floor(F.unix_micros(instant) / 86_400_000_000).cast("int"))
 
@@ -28,7 +28,7 @@ def daily_counts(events: DataFrame, t1: float, t2: float, ts: str = "ts", score:
     """Counts per day of one batch (or of a whole batch table)."""
     s, y = F.col(score).cast("double"), F.col(label)
     d = bands.decision(s, t1, t2)
-    day = F.date_format(_utc_day(as_instant(events, ts)), "yyyy-MM-dd").alias("day")
+    day = F.date_format(utc_day(as_instant(events, ts)), "yyyy-MM-dd").alias("day")
     counted = events.groupBy(day).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(d == bands.APPROVE).alias("approve_count"),
         F.count_if(d == bands.REVIEW).alias("review_count"), F.count_if(d == bands.DECLINE).alias("decline_count"),
