@@ -17,6 +17,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -110,10 +111,12 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label"
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    """M3: probability of class 1 as a double column; other columns kept."""
+    """M3: probability of class 1 as a double column; other columns kept. A scorecard's
+    ``probability`` is that number already, an MLlib classifier's is a vector."""
     cols = df.columns
     t = model.transform(df)
-    return t.select(*cols, vector_to_array("probability")[1].alias(out))
+    p = F.col("probability") if dict(t.dtypes)["probability"] == "double" else vector_to_array("probability")[1]
+    return t.select(*cols, p.alias(out))
 
 
 def gradient_check(model: PipelineModel, train: DataFrame, label: str = "label",
@@ -165,19 +168,31 @@ class Bundle:
     target_fpr: float | None
 
 
-def load_bundle(spark, path: str) -> Bundle:
-    """Rejects a missing model or a non-list feature entry."""
-    model = PipelineModel.load(f"{path}/model")
-    if not model.stages or not hasattr(model.stages[-1], "coefficients"):
-        raise ValueError("bundle rejected: its last stage is no fitted classifier")
-    rows = spark.read.parquet(f"{path}/meta").collect()
-    if not rows:
+def _meta_row(spark: SparkSession, path: str):
+    """The metadata row of a bundle, or None where it has none."""
+    try:
+        rows = spark.read.parquet(f"{path}/meta").limit(1).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows[0] if rows else None
+
+
+def load_bundle(spark: SparkSession, path: str) -> Bundle:
+    """A bundle, or a bare saved pipeline without metadata; rejects a model that gives no
+    probability and a feature entry that is no list."""
+    meta = _meta_row(spark, path)
+    model = PipelineModel.load(f"{path}/model" if meta is not None else path)
+    last = model.stages[-1] if model.stages else None
+    if not (hasattr(last, "coefficients") or isinstance(last, SQLTransformer) and " AS probability " in last.getStatement()):
+        raise ValueError("bundle rejected: its last stage gives no probability")
+    if meta is None:
         return Bundle(model, None, None, None)
-    r = rows[0]
-    feats = json.loads(r["feature_columns"]) if r["feature_columns"] else None
+    feats = json.loads(meta["feature_columns"]) if meta["feature_columns"] else None
     if feats is not None and not isinstance(feats, list):
         raise ValueError("bundle rejected: feature_columns is not a list")
-    return Bundle(model, feats, r["threshold_for_target_fpr"], r["target_fpr"])
+    return Bundle(model, feats, meta["threshold_for_target_fpr"], meta["target_fpr"])
 
 
 def default_candidates(c_values: Sequence[float] = (0.1, 0.3, 1.0, 3.0), max_iter: int = 2000) -> list[Candidate]:

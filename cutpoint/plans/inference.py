@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cutpoint.functions import bands
+from cutpoint.operators import model
 from cutpoint.sources import contract
 from cutpoint.sources.policy_doc import FALLBACK, PRIMARY
 
@@ -105,6 +106,19 @@ def run_inference(df: DataFrame, score_fn: Callable[[DataFrame], DataFrame], pro
     return apply_bands(resolved, validate=validate)
 
 
+def infer_with_bundle(spark: SparkSession, df: DataFrame, bundle: model.Bundle, profile: str | Column = bands.DEFAULT_PROFILE,
+                      docs: DataFrame | None = None, extra: dict[str, tuple[float, float]] | None = None,
+                      required: Sequence[str] = (), approve_override: float | None = None,
+                      decline_override: float | None = None) -> DataFrame:
+    """P6 / P16 with a loaded bundle: the bundle's feature order (P3) and its threshold for the
+    ``artifact`` profile (P14); a bare model takes the frame's feature columns and the
+    fallback threshold. One plan from the scan to the decision."""
+    features = contract.resolve_feature_columns(df, bundle.feature_columns)
+    profiles = profile_table(spark, docs, bundle.decline_threshold, extra)
+    return run_inference(df, lambda d: model.score(bundle.model, d), profiles, profile, [*required, *features],
+                         approve_override, decline_override)
+
+
 # ------------------------------------------------------------------ X1
 
 def logistic_expr(coefficients: Sequence[float], intercept: float, features: Sequence[str]) -> Column:
@@ -115,19 +129,19 @@ def logistic_expr(coefficients: Sequence[float], intercept: float, features: Seq
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def python_model_scorer(model, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+def python_model_scorer(estimator, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
     """Any object with ``predict_proba`` (duck typing, as the reference
     allows) scored on Arrow batches. The model is shipped once per executor
     with the UDF closure; only use it when the model is not expressible
     as a Spark expression or an MLlib stage."""
-    if not hasattr(model, "predict_proba"):
+    if not hasattr(estimator, "predict_proba"):
         raise ValueError("the model has no predict_proba method")
     cols = list(features)
 
     @F.pandas_udf(T.DoubleType())
     def _score(*series: pd.Series) -> pd.Series:
         x = pd.concat(series, axis=1).to_numpy(dtype="float64")
-        return pd.Series(model.predict_proba(x)[:, 1]).astype("float64")
+        return pd.Series(estimator.predict_proba(x)[:, 1]).astype("float64")
 
     def run(df: DataFrame) -> DataFrame:
         return df.withColumn("score", _score(*[F.col(c).cast("double") for c in cols]))

@@ -1,5 +1,6 @@
 """All registered queries, in one mapping."""
 
-from cutpoint.plans import catalog, extras, models, registry
+from cutpoint.plans import catalog, extras, models, registry, serving
 
-QUERIES = {**catalog.QUERIES, **registry.QUERIES, **models.QUERIES, **extras.QUERIES}
+QUERIES = {**catalog.QUERIES, **registry.QUERIES, **models.QUERIES, **extras.QUERIES,
+           **serving.QUERIES}
