@@ -17,8 +17,8 @@ groups; an A and a B token whose byte ranges overlap are linked.
   j-th bit of (links - 1), one bit per set place.
 * **Counts.** Chunks share no documents, so the popcount of a pair's bitmap over the corpus
   is the sum of its chunks' popcounts, added up on the map side first.
-* **Scores.** The counts join the postings on the pair, and the postings return to their chunk,
-  where bitmaps and planes give each place its sums. A's highest counts are one row per A id,
+* **Scores.** The counts join the postings' keys on the pair and return to their chunks, where they
+  meet the bitmaps and planes, which give each place its sums. A's highest counts are one row per A id,
   bounded by the vocabulary, and are the only thing broadcast.
 
 What is shuffled is one row per pair and chunk, not one per link or per document and pair.
@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ SPACE_MARK = "\u2581"
 
 ROW_SCHEMA = ("chunk long, place int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
               "groups_sha256 string, a int, b int, n_docs int, bits binary, planes binary, chunk_docs int")
-DOC_COLUMNS = ["chunk", "place", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+DOC_COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 POSTING_COLUMNS = ["chunk", "a", "b", "n_docs", "bits", "planes", "chunk_docs"]
 RESULT_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
                  "groups_sha256 string")
@@ -270,7 +271,7 @@ class Chunk:
 
     def batches(self, chunk: int, width: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         n = len(self.rows)
-        doc = dict(zip(DOC_COLUMNS[2:], map(list, zip(*self.rows)))) | {"chunk": [chunk] * n, "place": list(range(n))}
+        doc = dict(zip(DOC_COLUMNS, map(list, zip(*self.rows)))) | {"chunk": [chunk] * n, "place": list(range(n))}
         yield fitted(doc, n, schema)
         if self.links:
             places = np.repeat(np.arange(n), self.sizes)
@@ -318,28 +319,36 @@ def pair_counts(posted: DataFrame) -> DataFrame:
     return posted.groupBy("a", "b").agg(F.sum(F.col("n_docs").cast("long")).alias("n"))
 
 
-def scores(rows: DataFrame, posted: DataFrame) -> DataFrame:
-    """Per document the result columns; ``posted`` carries each posting's ``n`` and ``best``."""
+def scores(rows: DataFrame, judged: DataFrame) -> DataFrame:
+    """Per document the result columns. ``judged`` has ``n`` and ``best`` of each (a, b). Only the
+    keys of the postings meet it; bitmaps and planes go to their chunk once."""
     schema = arrow_schema(RESULT_SCHEMA)
 
-    def run(docs: pa.Table, held: pa.Table) -> pa.Table:
-        docs = docs.combine_chunks()
+    def run(held: pa.Table, counts: pa.Table) -> pa.Table:
+        is_doc = pc.is_null(held.column("a"))
+        docs, post = held.filter(is_doc).combine_chunks(), held.filter(pc.invert(is_doc)).combine_chunks()
         place, size = docs.column("place").to_numpy(), docs.num_rows
         best, total = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        if held.num_rows:
-            held = held.combine_chunks()
-            owner, at, links = read_postings(held.column("n_docs").to_numpy(), held.column("bits").to_pylist(),
-                                             held.column("planes").to_pylist(), size)
-            n, top = held.column("n").to_numpy()[owner], held.column("best").to_numpy(zero_copy_only=False)[owner]
+        if post.num_rows:
+            key, asked = (t.column(a).to_numpy().astype(np.int64) << 32 | t.column(b).to_numpy()
+                          for t, a, b in ((post, "a", "b"), (counts, "of_a", "of_b")))
+            order = np.argsort(asked)
+            spot = order[np.searchsorted(asked, key, sorter=order)]
+            owner, at, links = read_postings(post.column("n_docs").to_numpy(), post.column("bits").to_pylist(),
+                                             post.column("planes").to_pylist(), size)
+            spot = spot[owner]
+            n, top = counts.column("n").to_numpy()[spot], counts.column("best").to_numpy(zero_copy_only=False)[spot]
             np.add.at(total, at, links * n)
             np.add.at(best, at[top], links[top])
         columns = {c: docs.column(c) for c in docs.column_names}
         columns |= {"n_best": pa.array(best[place]), "count_sum": pa.array(total[place])}
         return pa.Table.from_arrays([columns[f.name] for f in schema], schema=schema)
 
-    # A new name for the key: both sides stem from one table.
-    left = rows.where(F.col("a").isNull()).select(F.col("chunk").alias("own"), *DOC_COLUMNS[1:]).groupBy("own")
-    return left.cogroup(posted.groupBy("chunk")).applyInArrow(run, RESULT_SCHEMA)
+    keys = rows.where(F.col("a").isNotNull()).select("chunk", "a", "b")
+    # New names: both sides stem from one table.
+    counts = keys.join(judged, ["a", "b"]).select(F.col("chunk").alias("own"), F.col("a").alias("of_a"),
+                                                  F.col("b").alias("of_b"), "n", "best")
+    return rows.groupBy("chunk").cogroup(counts.groupBy("own")).applyInArrow(run, RESULT_SCHEMA)
 
 
 def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
@@ -350,7 +359,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
     highest = counts.groupBy("a").agg(F.max("n").alias("highest"))                 # one row per A id at most
     judged = (counts.join(F.broadcast(highest), "a")
               .select("a", "b", "n", (F.col("n") == F.col("highest")).alias("best")))
-    return scores(rows, posted.join(judged, ["a", "b"]).select("chunk", "n_docs", "bits", "planes", "n", "best"))
+    return scores(rows, judged)
 
 
 def links(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
