@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.llm.common import raw_texts, slices, store
+from cutpoint.llm.common import bound_batches, raw_texts, slices, store
 from cutpoint.llm.tokens import Generations, byte_letters, load, merger, vocabulary_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -298,6 +298,8 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 def index(docs: DataFrame, a_path: str, b_path: str, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     """Rows of ``ROW_SCHEMA``: one per document (``a`` null), and one per pair and chunk."""
+    bound_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, schema = aligner(a_path, b_path), arrow_schema(ROW_SCHEMA)
         part, made, chunk = TaskContext.get().partitionId(), 0, Chunk()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -20,6 +21,39 @@ SLICE_ROWS = 1024
 SLICE_BYTES = 8 << 20
 
 
+#: What Spark hands to a Python worker at once (and buffers on both sides of the pipe).
+BATCH_ROWS = 2048
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+              "spark.sql.execution.arrow.maxBytesPerBatch": SLICE_BYTES}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to the library's, where they are higher or unset."""
+    for key, most in BATCH_CONF.items():
+        now = re.match(r"-?\d+", spark.conf.get(key))
+        if not now or int(now[0]) <= 0 or int(now[0]) > most:
+            spark.conf.set(key, str(most))
+
+
+def whole(docs: DataFrame, *columns) -> DataFrame:
+    """The row as one struct ``row`` beside the given columns: names of the input cannot clash
+    with an operator's own. ``select("row.*")`` gives the input's columns back."""
+    return docs.select(F.struct("*").alias("row"), *columns)
+
+
+def first_by_hash(df: DataFrame, hashed, rows: int, *ties) -> DataFrame:
+    """The ``rows`` rows with the smallest 64-bit hash: a bounded sample. An ordered limit alone
+    would send ``rows`` rows of every task to one; a cut on the hash, widened where it leaves
+    too few, lets only about four times ``rows`` through in all."""
+    count, widen = df.count(), 4.0
+    while True:
+        share = widen * rows / max(1, count)
+        some = df if share >= 1 else df.where(hashed <= F.lit(int(-2 ** 63 + share * 2 ** 64)).cast("long"))
+        if share >= 1 or some.count() >= rows:
+            return some.orderBy(hashed, *ties).limit(rows)
+        widen *= 4
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -54,6 +88,8 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
                column: str = "text") -> DataFrame:
     """``mapInArrow`` over bounded slices; ``fn`` turns one slice into one batch."""
+    bound_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in slices(b, column):

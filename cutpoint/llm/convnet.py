@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.llm.common import map_slices, raw_texts
+from cutpoint.llm.common import first_by_hash, map_slices, raw_texts
 
 CHUNK = 256
 STEP = 224
@@ -152,28 +152,27 @@ def remainder(column: str = "doc_id"):
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(chunks, labels, document numbers) of at most ``rows`` labelled documents outside the
     held-out fold, chosen by a hash of their id."""
-    chosen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(remainder() != 0)
-              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    known = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(remainder() != 0)
+             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
+    chosen = first_by_hash(known, F.xxhash64("doc_id"), rows, "doc_id")
     chosen = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)
 
     def cut(s: pa.RecordBatch) -> pa.RecordBatch:
-        doc, quality, out = [], [], []
-        for i, (text, q) in enumerate(zip(raw_texts(s), s.column(2).to_pylist(), strict=True)):
+        out = []
+        for text in raw_texts(s):
             starts = chunk_starts(len(text))
-            for k in sorted({int(x) for x in np.linspace(0, len(starts) - 1, SAMPLE_CHUNKS)}):
-                doc.append(s.column(0)[i].as_py())
-                quality.append(q)
-                out.append(text[starts[k]:starts[k] + CHUNK])
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(quality, pa.int32()), pa.array(out, pa.binary())],
-                                          names=["doc_id", "quality", "chunk"])
+            at = sorted({int(x) for x in np.linspace(0, len(starts) - 1, SAMPLE_CHUNKS)})
+            out.append([text[starts[k]:starts[k] + CHUNK] for k in at])
+        return pa.RecordBatch.from_arrays([s.column(0), s.column(2), s.column(3), pa.array(out, pa.list_(pa.binary()))],
+                                          names=["doc_id", "quality", "text_hash", "chunks"])
 
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows_ = map_slices(found.select("doc_id", "text", F.col("quality").cast("int")), cut,
-                       "doc_id long, quality int, chunk binary").collect()
-    rows_ = sorted(rows_, key=lambda r: (r.doc_id, bytes(r.chunk)))
-    return ([bytes(r.chunk) for r in rows_], np.array([r.quality for r in rows_], np.int64),
-            np.array([r.doc_id for r in rows_], np.int64))
+    cuts = map_slices(found.select("doc_id", "text", F.col("quality").cast("int"), F.xxhash64("text").alias("text_hash")), cut,
+                      "doc_id long, quality int, text_hash long, chunks array<binary>")
+    # A repeated id is one document: one row of it is chosen before anything goes to the driver.
+    one = cuts.groupBy("doc_id").agg(F.min(F.struct("text_hash", "quality", "chunks")).alias("r")).select("doc_id", "r.*")
+    got = sorted((r.doc_id, bytes(c), r.quality) for r in one.collect() for c in r.chunks)
+    return ([c for _, c, _ in got], np.array([q for *_, q in got], np.int64), np.array([i for i, *_ in got], np.int64))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Net | float:

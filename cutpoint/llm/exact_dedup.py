@@ -10,16 +10,16 @@ shuffle, where no key holds more than ``support`` of the rows.
 
 Defined results: null texts count as empty; an empty table gives no rows; rows
 with a null ``doc_id`` lose to any numbered row, and stay if their whole group is
-unnumbered; repeated rows with the same ``doc_id`` and text share one verdict.
-Other columns are ignored by ``annotate`` and passed through by ``dedup``.
+unnumbered; repeated rows with the same ``doc_id`` and text share one verdict in
+``annotate``, and ``dedup`` keeps the one whose raw text sorts first. Other columns are ignored by ``annotate`` and passed through by ``dedup``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cutpoint.llm.common import SPACE_RUN, store, text_or_empty
+from cutpoint.llm.common import SPACE_RUN, store, text_or_empty, whole
 
 SUPPORT = 0.001
 
@@ -60,22 +60,34 @@ def annotate(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def repeated(digests: DataFrame) -> DataFrame:
+    """``lost_id, lost``: the (id, digest) pairs that occur in more than one row."""
+    return (digests.groupBy(F.col("doc_id").alias("lost_id"), F.col("digest").alias("lost"))
+            .agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
+
+
 def dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged. Texts are not
-    shuffled for the heavy digests; the others meet only the ids that go."""
+    """The rows of ``docs`` that stay, one of each text, all columns unchanged. Texts are not
+    shuffled for the heavy digests; the others meet only the ids that go. Rows repeated
+    with their id and text, rare as they are, are settled apart: one of them stays."""
     digests = store(docs.select("doc_id", digest().alias("digest")), "digests")
     winners, groups = split(digests, support)
     losers = (digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
               .join(groups.where("group_size > 1"), "digest")
               .where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-              .select(F.col("doc_id").alias("_lost_id"), F.col("digest").alias("_lost")).distinct())
-    rows = docs.withColumn("_digest", digest())
-    heavy = F.broadcast(winners.select(F.col("digest").alias("_heavy"), F.col("keep_id").alias("_keep")))
-    rows = (rows.join(heavy, F.col("_digest") == F.col("_heavy"), "left")
-            .where(F.col("_heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep"))))
-    return (rows.join(losers, (F.col("_digest") == F.col("_lost"))
-                      & F.col("doc_id").eqNullSafe(F.col("_lost_id")), "left_anti")
-            .drop("_digest", "_heavy", "_keep"))
+              .select(F.col("doc_id").alias("lost_id"), F.col("digest").alias("lost")).distinct())
+    rows = whole(docs, F.col("doc_id").alias("id"), digest().alias("digest"))
+    heavy = F.broadcast(winners.select(F.col("digest").alias("heavy"), F.col("keep_id").alias("keep")))
+    rows = (rows.join(heavy, F.col("digest") == F.col("heavy"), "left")
+            .where(F.col("heavy").isNull() | F.col("id").eqNullSafe(F.col("keep"))))
+    same = (F.col("digest") == F.col("lost")) & F.col("id").eqNullSafe(F.col("lost_id"))
+    rows = rows.join(losers, same, "left_anti")
+    again = store(repeated(digests), "repeated-rows")
+    if not again.isEmpty():
+        at = F.row_number().over(Window.partitionBy("id", "digest").orderBy("row.text"))
+        once = rows.join(again, same, "left_semi").withColumn("at", at).where("at = 1").drop("at")
+        rows = rows.join(again, same, "left_anti").unionByName(once)
+    return rows.select("row.*")
 
 
 ORACLE = f"""

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutpoint.llm import shingles
-from cutpoint.llm.common import map_slices, raw_texts, slices, store
+from cutpoint.llm.common import map_slices, raw_texts, slices, store, whole
 from cutpoint.llm.components import components
 from cutpoint.llm.tables import gather
 
@@ -295,9 +295,10 @@ def dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest
     ``doc_id``; all columns unchanged."""
     lost = (near_duplicates(docs, size).where("n_shingles > 0 AND NOT (doc_id <=> component_id)")
-            .select(F.col("doc_id").alias("_lost"), F.col("text_hash").alias("_hash")).distinct())
-    return docs.join(lost, (F.xxhash64("text") == F.col("_hash"))
-                     & F.col("doc_id").eqNullSafe(F.col("_lost")), "left_anti")
+            .select(F.col("doc_id").alias("lost"), F.col("text_hash").alias("lost_hash")).distinct())
+    rows = whole(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    return (rows.join(lost, (F.col("hash") == F.col("lost_hash")) & F.col("id").eqNullSafe(F.col("lost")), "left_anti")
+            .select("row.*"))
 
 
 ORACLE = r"""

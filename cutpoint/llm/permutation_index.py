@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cutpoint.llm.common import store
+from cutpoint.llm.common import bound_batches, first_by_hash, store
 
 TOP = 10
 #: A query's own rows are those whose id is divisible by this.
@@ -85,20 +85,13 @@ def matrix(vec: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(rows), "<f8").reshape(len(rows), -1) if rows else np.zeros((0, 1))
 
 
-def choose_pivots(found: DataFrame, count: int, pivots: int = PIVOTS) -> np.ndarray:
-    """The vectors with the smallest hashes. A cut on the hash leaves few candidates, so no
-    task gathers more than these; it is widened where it left too few."""
-    key, widen = F.xxhash64("vec", F.lit(12)), 4.0
+def choose_pivots(found: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
+    """The vectors with the smallest hashes."""
     lengths = found.agg(F.min(F.length("vec")).alias("least"), F.max(F.length("vec")).alias("most")).first()
     if lengths.least != lengths.most:
         raise ValueError(f"vectors of {lengths.least // 8} and {lengths.most // 8} components in one table")
-    while True:
-        share = min(1.0, widen * pivots / count)
-        cut = int(-2 ** 63 + share * (2 ** 64 - 1)) if share < 1 else 2 ** 63 - 1
-        rows = found.where(key <= F.lit(min(cut, 2 ** 63 - 1)).cast("long")).orderBy(key, "vec").limit(pivots).collect()
-        if len(rows) >= min(pivots, count):
-            return np.frombuffer(b"".join(bytes(r.vec) for r in rows), "<f8").reshape(len(rows), -1)
-        widen *= 4
+    rows = first_by_hash(found, F.xxhash64("vec", F.lit(12)), pivots, "vec").collect()
+    return np.frombuffer(b"".join(bytes(r.vec) for r in rows), "<f8").reshape(len(rows), -1)
 
 
 def orders(x: np.ndarray, pivots: np.ndarray, prefix: int = PREFIX) -> np.ndarray:
@@ -193,13 +186,14 @@ def search(table: DataFrame, query_every: int = QUERY_EVERY, top: int = TOP, piv
            share: float = SHARE, least: int = LEAST, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score`` for the rows whose ``vec_id`` is divisible by ``query_every``."""
     spark = table.sparkSession
+    bound_batches(spark)
     vectors = store(valid(table), "vectors")
     found = store(classes(vectors, top), "vector-classes")
     count = found.count()
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     blocks = -(-count // block_rows)
-    chosen = choose_pivots(found, count, pivots)
+    chosen = choose_pivots(found, pivots)
     indexed = store(index(found, chosen, blocks, prefix), "permutations")
     # Rows that ask, once each: the class of a hot vector is searched once and answers them all.
     asking = vectors.where(F.col("vec_id") % query_every == 0).select(F.col("vec_id").alias("query_id"), "vec").distinct()

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutpoint.llm.common import text_or_empty
+from cutpoint.llm.common import text_or_empty, whole
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
@@ -135,9 +135,10 @@ def redact(docs: DataFrame) -> DataFrame:
           concat(s.out, array(substring(_text, s.at + 1, x.start - s.at), concat('[', upper(x.kind), ']'))))),
         s -> array_join(concat(s.out, array(substring(_text, s.at + 1))), ''))"""
     some = F.expr(" + ".join(f"size(_spans_{k})" for k in KINDS) + " > 0")
-    rows = with_spans(docs).withColumn("_some", some).withColumn("_clean", F.when(F.col("_some"), F.expr(clean)))
+    counted = ["n_chars"] if "n_chars" in docs.columns else []
+    rows = with_spans(whole(docs, "text", *counted)).withColumn("_some", some).withColumn("_clean", F.when(F.col("_some"), F.expr(clean)))
     new = {"text": F.when(F.col("_some"), F.col("_clean")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
+    if counted:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.when(F.col("_some"), F.char_length("_clean").cast(kind)).otherwise(F.col("n_chars"))
-    return rows.withColumns(new).select(*docs.columns)
+    return rows.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

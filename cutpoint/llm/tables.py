@@ -11,6 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cutpoint.llm.common import bound_batches
+
 #: Pieces a table is sent in, and partial sums per piece on the way.
 PIECES = 256
 FAN = 64
@@ -20,11 +22,16 @@ def gather(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray]
            combine: np.ufunc = np.add) -> np.ndarray:
     """``fill`` turns a partition into one array, of the same length in every task; the
     arrays are combined element by element. The result has a fixed size, set by a
-    parameter and not by the data, and so may be sent to the driver and broadcast."""
+    parameter and not by the data, and so may be sent to the driver and broadcast. Pieces
+    without a value are not sent: zero must be the neutral element of ``combine``."""
+    bound_batches(df.sparkSession)
+
     def parts(batches):
         table = fill(batches)
         task = TaskContext.get().partitionId() % FAN
         for piece, values in enumerate(np.array_split(table, PIECES)):
+            if not values.any():
+                continue
             yield pa.RecordBatch.from_arrays(
                 [pa.array([piece], pa.int32()), pa.array([task], pa.int32()),
                  pa.array([np.ascontiguousarray(values, kind).tobytes()], pa.binary())],
@@ -41,7 +48,7 @@ def gather(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray]
     schema = "piece int, task int, data binary"
     some = df.mapInArrow(parts, schema).groupBy("piece", "task").applyInArrow(merge, schema)
     rows = some.withColumn("task", F.lit(0)).groupBy("piece", "task").applyInArrow(merge, schema).collect()
-    data = {r.piece: r.data for r in rows}
-    if not data:
-        return fill(iter(()))
-    return np.frombuffer(b"".join(bytes(data[p]) for p in sorted(data)), kind)
+    total = np.array(fill(iter(())), kind)
+    for r, values in ((r, np.frombuffer(r.data, kind)) for r in rows):
+        np.array_split(total, PIECES)[r.piece][:] = values
+    return total

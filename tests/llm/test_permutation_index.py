@@ -85,7 +85,7 @@ def test_footrule_of_places():
 
 def test_pivots_are_distinct_vectors_and_bounded(spark):
     found = index.classes(index.valid(frame(spark, odd_rows())))
-    chosen = index.choose_pivots(found, found.count(), 32)
+    chosen = index.choose_pivots(found, 32)
     assert chosen.shape == (32, 8) and len(np.unique(chosen, axis=0)) == 32
 
 
