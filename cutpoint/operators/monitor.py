@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import APPROVE, DECLINE, REVIEW
+from cutpoint.operators import brackets
 from cutpoint.operators.policy import ratio
 from cutpoint.operators.prefix import AUTO, exact_quantiles, reuse, running_total
 
@@ -46,19 +47,13 @@ def decision_mix(scored: DataFrame, by: Sequence[str] = (), decision: str = "dec
                     ratio(F.col("decline_count"), F.col("rows")).alias("decline_rate"))
 
 
-def score_stats(scored: DataFrame, score: str = "score", qs: Sequence[float] = (0.95, 0.99),
-                buckets: int | None = AUTO) -> DataFrame:
+def score_stats(scored: DataFrame, score: str = "score", qs: Sequence[float] = (0.95, 0.99)) -> DataFrame:
     """Mean and exact interpolated percentiles, one row."""
-    # One pass: distinct scores with counts; quantiles and the mean both read it.
-    dist = reuse(scored.groupBy(F.col(score).cast("double").alias("__s")).agg(F.count(F.lit(1)).alias("__n")))
-    quant = exact_quantiles(dist, "__s", qs, buckets=buckets, weight="__n")
-    names = {float(q): f"p{int(round(q * 100))}_score" for q in qs}
-    piv = quant.groupBy().pivot("q", [float(q) for q in qs]).agg(F.first("value"))
-    piv = piv.select(*[F.col(f"`{float(q)}`").alias(names[float(q)]) for q in qs])
-    mean = dist.agg((F.sum(F.col("__s") * F.col("__n")) / F.sum("__n")).alias("mean_score"),
-                    F.sum("__n").alias("rows")).first()
-    return piv.select(F.lit(int(mean["rows"])).cast("long").alias("rows"),
-                      F.lit(mean["mean_score"]).cast("double").alias("mean_score"), *piv.columns)
+    # Two scans: sketch, mean and count, then exact ranks inside brackets.
+    names = {f"p{int(round(q * 100))}_score": float(q) for q in qs}
+    out = brackets.summary(scored, score, names, {"rows": F.count(F.lit(1)), "mean_score": F.avg(F.col(score).cast("double"))})
+    empty = F.raise_error(F.lit("empty input: there are no scored rows"))
+    return out.withColumn("rows", F.when(F.col("rows") > 0, F.col("rows")).otherwise(empty))
 
 
 def label_quality(scored: DataFrame, by: Sequence[str] = (), decision: str = "decision",
@@ -128,51 +123,39 @@ def psi_by(h0: DataFrame, by: Sequence[str], bins: int = 10, buckets: int | None
         .select(*by, "psi", drift_level(F.col("psi")).alias("drift_level"))
 
 
-def score_histogram(reference: DataFrame, current: DataFrame, score: str = "score") -> DataFrame:
-    """(pop, score, n): both populations reduced to distinct scores with
-    counts (map-side combine); every drift measure below reads only this."""
+def populations(reference: DataFrame, current: DataFrame, score: str = "score") -> DataFrame:
+    """(pop, score): the rows of both populations; every drift measure below reads only this."""
     s = F.col(score).cast("double").alias("score")
-    u = (reference.select(F.lit("ref").alias("pop"), s)
-         .unionByName(current.select(F.lit("cur").alias("pop"), s)))
-    return reuse(u.groupBy("pop", "score").agg(F.count(F.lit(1)).alias("n")))
+    return (reference.select(F.lit("ref").alias("pop"), s).unionByName(current.select(F.lit("cur").alias("pop"), s)))
+
 
+def split_populations(split_df: DataFrame, ref_label: str, cur_label: str, split_col: str = "split",
+                      score: str = "score") -> DataFrame:
+    """(pop, score) of a labelled split."""
+    pop = F.when(F.col(split_col) == ref_label, F.lit("ref")).when(F.col(split_col) == cur_label, F.lit("cur"))
+    return split_df.select(pop.alias("pop"), F.col(score).cast("double").alias("score")).filter(F.col("pop").isNotNull())
 
-def psi(reference: DataFrame, current: DataFrame, score: str = "score", bins: int = 10,
-        buckets: int | None = AUTO) -> DataFrame:
-    return psi_from_histogram(score_histogram(reference, current, score), bins, buckets)
 
+def psi(reference: DataFrame, current: DataFrame, score: str = "score", bins: int = 10) -> DataFrame:
+    return psi_of(populations(reference, current, score), bins)
 
-def psi_from_histogram(h0: DataFrame, bins: int = 10, buckets: int | None = AUTO) -> DataFrame:
-    """G9 + P18: population stability index of ``current`` against quantile
-    bins of ``reference``; outer edges open; empty bins count at 1e-8.
 
-    Edges are bins + 1 exact quantiles (collected: bounded by ``bins``). A
-    value goes to bin count(edges[:-1] <= x) - 1, so tied edges leave empty
-    bins exactly as numpy's histogram does. ``h0`` is (pop in {ref, cur},
-    score, n).
+def psi_of(rows: DataFrame, bins: int = 10) -> DataFrame:
+    """G9 + P18: population stability index of ``current`` against quantile bins of
+    ``reference``; outer edges open; empty bins count at 1e-8. ``rows`` is (pop in {ref, cur},
+    score). Edges are exact quantiles, found and counted in two scans (``brackets``). A value
+    goes to bin count(edges[:-1] <= x) - 1, so tied edges leave empty bins exactly as
+    numpy's histogram does.
     """
-    qs = psi_quantiles(bins)
-    edges_rows = exact_quantiles(h0.filter(F.col("pop") == "ref"), "score", qs, buckets=buckets,
-                                 weight="n").collect()
-    by_q = {float(r["q"]): float(r["value"]) for r in edges_rows}
-    inner = [by_q[q] for q in qs[1:-1]]           # edges 1..bins-1; outer ones are -inf/+inf
-    arr = F.array(*[F.lit(e) for e in inner])
-    s = F.col("score")
-    binned = (h0.select("pop", F.size(F.filter(arr, lambda e: e <= s)).alias("bin"), "n")
-              .groupBy("bin").agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("ref_n"),
-                                  F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(0)).alias("cur_n")))
-    spark = h0.sparkSession
-    grid = spark.range(0, bins).select(F.col("id").cast("int").alias("bin"))
-    h = reuse(grid.join(binned, "bin", "left").na.fill(0, ["ref_n", "cur_n"]))   # `bins` rows
-    tot = h.agg(F.sum("ref_n").alias("rt"), F.sum("cur_n").alias("ct")).first()
-    rt, ct = max(int(tot["rt"] or 0), 1), max(int(tot["ct"] or 0), 1)
-
-    def pct(c: str, t: int) -> Column:
-        return F.greatest(F.lit(PSI_EPS), F.least(F.lit(1.0), F.col(c) / F.lit(float(t))))
-
-    terms = h.select((pct("cur_n", ct) - pct("ref_n", rt))
-                     * F.ln(pct("cur_n", ct) / pct("ref_n", rt))).toDF("t")
-    value = terms.agg(F.sum("t").alias("psi"))
+    h = brackets.psi_bins(rows, "pop", psi_quantiles(bins))
+    all_ = Window.partitionBy()                           # `bins` rows
+
+    def pct(c: str) -> Column:
+        total = F.greatest(F.sum(c).over(all_), F.lit(1)).cast("double")
+        return F.greatest(F.lit(PSI_EPS), F.least(F.lit(1.0), F.col(c) / total))
+
+    terms = h.select(pct("ref_n").alias("r"), pct("cur_n").alias("c"))
+    value = terms.agg(F.sum((F.col("c") - F.col("r")) * F.ln(F.col("c") / F.col("r"))).alias("psi"))
     return value.select("psi", drift_level(F.col("psi")).alias("drift_level"))
 
 
@@ -181,24 +164,9 @@ def drift_level(p: Column) -> Column:
     return (F.when(p < PSI_LOW, "low").when(p < PSI_MODERATE, "moderate").otherwise("high"))
 
 
-def ks_drift(reference: DataFrame, current: DataFrame, score: str = "score",
-             buckets: int | None = AUTO) -> DataFrame:
-    return ks_from_histogram(score_histogram(reference, current, score), buckets)
-
-
-def ks_from_histogram(h0: DataFrame, buckets: int | None = AUTO) -> DataFrame:
-    """Two-sample KS statistic max |F_ref(x) - F_cur(x)| over all
-    distinct scores, via one running total over both populations."""
-    pts = h0.groupBy("score").agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("r"),
-                                  F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(0)).alias("c"))
-    n = h0.groupBy().agg(F.sum(F.when(F.col("pop") == "ref", F.col("n")).otherwise(0)).alias("nr"),
-                         F.sum(F.when(F.col("pop") == "cur", F.col("n")).otherwise(0)).alias("nc")).first()
-    nr, nc = int(n["nr"] or 0), int(n["nc"] or 0)
-    cum = running_total(pts, "score", ["r", "c"], buckets=buckets)
-    gap = F.abs(F.col("cum_r") / F.lit(float(max(nr, 1))) - F.col("cum_c") / F.lit(float(max(nc, 1))))
-    return cum.agg(F.max(gap).alias("ks_stat")).select(
-        "ks_stat", F.lit(nr).cast("long").alias("reference_rows"),
-        F.lit(nc).cast("long").alias("current_rows"))
+def ks_drift(reference: DataFrame, current: DataFrame, score: str = "score") -> DataFrame:
+    """Two-sample KS statistic max |F_ref(x) - F_cur(x)|, refined only where it can be."""
+    return brackets.ks(populations(reference, current, score), "pop")
 
 
 def ks_by(h0: DataFrame, by: Sequence[str], buckets: int | None = AUTO) -> DataFrame:
@@ -276,20 +244,11 @@ def band_capture(scored: DataFrame, decision: str = "decision", label: str = "la
 
 
 def duration_percentiles(df: DataFrame, value: str, by: Sequence[str] = (),
-                         qs: Sequence[float] = (0.5, 0.95, 0.99),
-                         buckets: int | None = AUTO) -> DataFrame:
+                         qs: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
     """G16 re-aimed: count, mean, exact P50/P95/P99 and rows per second per key, the values
-    being milliseconds. One scan: everything reads the values with their counts."""
-    dist = reuse(df.groupBy(*by, F.col(value).cast("double").alias("__d")).agg(F.count(F.lit(1)).alias("__k")))
-    quant = exact_quantiles(dist, "__d", qs, by=by, buckets=buckets, weight="__k")
-    names = {float(q): f"p{int(round(q * 100))}" for q in qs}
-    piv = quant.groupBy(*by).pivot("q", [float(q) for q in qs]).agg(F.first("value"))
-    piv = piv.select(*by, *[F.col(f"`{float(q)}`").alias(names[float(q)]) for q in qs])
-    total = F.sum(F.col("__d") * F.col("__k"))
-    stats = _agg(dist, by, F.sum("__k").alias("n"), (total / F.sum("__k")).alias("mean"),
-                 F.when(total > 0, F.sum("__k") * 1000.0 / total).alias("rows_per_sec"))
-    if by:
-        return stats.join(piv, list(by))
-    r = stats.first()
-    return piv.select(F.lit(int(r["n"])).cast("long").alias("n"), F.lit(r["mean"]).cast("double").alias("mean"),
-                      F.lit(r["rows_per_sec"]).cast("double").alias("rows_per_sec"), *piv.columns)
+    being milliseconds. Two scans (``brackets``)."""
+    v = F.col(value).cast("double")
+    total = F.sum(v)
+    extra = {"n": F.count(F.lit(1)), "mean": total / F.count(F.lit(1)),
+             "rows_per_sec": F.when(total > 0, F.count(F.lit(1)) * 1000.0 / total)}
+    return brackets.summary(df, value, {f"p{int(round(q * 100))}": float(q) for q in qs}, extra, by)

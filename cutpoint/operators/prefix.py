@@ -175,7 +175,6 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     integer count column when ``df`` is already a (value, count) histogram.
     Output: by columns, ``q`` (double), ``value``.
     """
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
     v = F.col(col).cast("double")
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     base = df.select(*by, v.alias("__v"), w.alias("__w"))
@@ -189,8 +188,15 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[s
     else:
         n = dist.agg(F.sum("__c").alias("n")).first()["n"] or 0
         cum = cum.withColumn("__n", F.lit(int(n)))
-    s = F.col("cum___c") - F.col("__c")      # 0-based index of the first copy
-    e = F.col("cum___c")                     # exclusive end
+    return interpolate(cum.select(*by, "__v", (F.col("cum___c") - F.col("__c")).alias("__s"), F.col("cum___c").alias("__e"),
+                                  "__n"), qs, by)
+
+
+def interpolate(cum: DataFrame, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles from values ``__v`` that cover the 0-based positions ``__s`` to ``__e`` (exclusive)
+    of the ``__n`` ordered rows of their group; only the values at the wanted positions are needed."""
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    s, e = F.col("__s"), F.col("__e")
     # order statistics needed by q: lo = floor(h) and lo + 1
     need = F.transform(qarr, lambda q: F.struct(
         q.alias("q"),

@@ -14,7 +14,7 @@ from cutpoint.functions.pairs import GRID_DEFAULTS, threshold_grid
 from cutpoint.functions import guardrails
 from cutpoint.functions.pairs import neighbourhood_pairs
 from cutpoint.functions.pairs import default_pairs
-from cutpoint.operators import curves, errors, monitor, policy, ranking, split
+from cutpoint.operators import brackets, curves, errors, monitor, policy, ranking, split
 from cutpoint.operators.prefix import exact_quantiles
 from cutpoint.plans.common import round_doubles, ts_text
 from cutpoint.sources import contract
@@ -251,13 +251,13 @@ def q_label_quality(spark, sf):
     return round_doubles(monitor.label_quality(scored_txn(spark, sf)))
 
 
-def split_hist(spark, sf):
+def split_pops(spark, sf):
     s = split.temporal_split(txn_tie(spark, sf), "ts", TIE_ORDER, TEST_SIZE)
-    return monitor.split_histogram(s, "train", "test")
+    return monitor.split_populations(s, "train", "test")
 
 
 def q_psi(spark, sf):
-    return round_doubles(monitor.psi_from_histogram(split_hist(spark, sf)))
+    return round_doubles(monitor.psi_of(split_pops(spark, sf)))
 
 
 def q_psi_by_segment(spark, sf):
@@ -282,7 +282,7 @@ def q_segment_curves(spark, sf):
 
 
 def q_ks_drift(spark, sf):
-    return round_doubles(monitor.ks_from_histogram(split_hist(spark, sf)))
+    return round_doubles(brackets.ks(split_pops(spark, sf), "pop"))
 
 
 def q_daily_mix(spark, sf):
