@@ -12,11 +12,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -110,6 +112,35 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "label"
     return Pipeline(stages=stages).fit(data.withColumn(label, F.col(label).cast("double")))
 
 
+def fit_candidates(train: DataFrame, features: Sequence[str], candidates: Sequence[Candidate], label: str = "label",
+                   tol: float = 1e-10, summary: TrainSummary | None = None) -> list[PipelineModel]:
+    """M2: all candidates over one cached table of vectors (raw and scaled, assembled once). The
+    fits run at the same time: each is a row of small jobs, which leave most of a cluster idle
+    when they run one after the other. Same models as ``fit_logistic``, in the given order."""
+    summary = summary or train_summary(train, features, label)
+    assemble = {False: [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")],
+                True: [scaler_stage(summary.scaler),
+                       VectorAssembler(inputCols=[f"{c}__z" for c in features], outputCol="features", handleInvalid="error")]}
+    rows = train.select(*features, F.col(label).cast("double").alias(label), summary.weight(label).alias(WEIGHT))
+    for scaled, name in ((False, "__raw"), (True, "__scaled")):
+        for stage in assemble[scaled]:
+            rows = stage.transform(rows)
+        rows = rows.withColumnRenamed("features", name)
+    rows = rows.select(label, WEIGHT, "__raw", "__scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = summary.n * summary.classes / 2
+        lr = LogisticRegression(labelCol=label, weightCol=WEIGHT, elasticNetParam=0.0, standardization=False,
+                                fitIntercept=True, tol=tol, family="binomial")
+        maps = [{lr.regParam: 1.0 / (float(c.c_value) * n), lr.maxIter: int(c.max_iter),
+                 lr.featuresCol: "__scaled" if c.scaled else "__raw"} for c in candidates]
+        fits = lr.fitMultiple(rows, maps)
+        with ThreadPool(max(1, len(maps))) as pool:
+            found = dict(pool.imap_unordered(inheritable_thread_target(rows.sparkSession)(lambda _: next(fits)), range(len(maps))))
+    finally:
+        rows.unpersist()
+    return [PipelineModel([*assemble[c.scaled], found[i].setFeaturesCol("features")]) for i, c in enumerate(candidates)]
+
+
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     """M3: probability of class 1 as a double column; other columns kept. A scorecard's
     ``probability`` is that number already, an MLlib classifier's is a vector."""

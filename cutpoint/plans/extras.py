@@ -15,7 +15,7 @@ from cutpoint.plans import catalog as C
 from cutpoint.plans.common import ts_text
 from cutpoint.plans.inference import profile_table, run_inference
 from cutpoint.session import ensure_checkpoint_dir
-from cutpoint.sources import runlog
+from cutpoint.sources import quarantine, runlog
 from cutpoint.sources.contract import bad_score_counts
 from cutpoint.sources.tables import TXN_KEY, read_table, txn, txn_from_lineitem
 from cutpoint.streaming import event_time
@@ -160,6 +160,36 @@ def q_score_guard(spark, sf):
     return bad_score_counts(txn(spark, sf).select("l_returnflag", "score").unionByName(bad), by=["l_returnflag"])
 
 
+#: Every so many orders one row of the raw files is spoilt in one of three ways.
+SPOILT_EVERY = 50
+
+
+def raw_lines(rows: DataFrame) -> DataFrame:
+    """CSV lines of txn rows as a careless source writes them: a word for a number, a line that
+    breaks off, a label that is no class, a score that is missing."""
+    text = F.to_csv(F.struct("l_orderkey", "l_linenumber", "score", "label"))
+    k = F.col("l_orderkey") % SPOILT_EVERY
+    return rows.select(
+        F.when(k == 1, F.concat_ws(",", F.col("l_orderkey"), F.lit("first"), F.col("score"), F.col("label")))
+        .when(k == 2, F.concat_ws(",", F.col("l_orderkey"), F.col("l_linenumber")))
+        .when(k == 3, F.concat_ws(",", F.col("l_orderkey"), F.col("l_linenumber"), F.col("score"), F.lit("7")))
+        .when(k == 4, F.concat_ws(",", F.col("l_orderkey"), F.col("l_linenumber"), F.lit(""), F.col("label")))
+        .otherwise(text).alias("value"))
+
+
+def q_csv_quarantine(spark, sf):
+    """S1 + S2: raw files with spoilt lines are loaded with their schema and contract; per reason
+    the rows, and per good class the rows and the sum of scores that came through."""
+    path = _scratch(spark, "quarantine")
+    raw_lines(txn(spark, sf)).write.text(f"{path}/raw")
+    rules = {"label": F.col("label").isin(0, 1), "score": F.col("score").between(0.0, 1.0)}
+    load = quarantine.load_csv(spark, f"{path}/raw", "l_orderkey long, l_linenumber int, score double, label tinyint",
+                               f"{path}/loaded", rules, header=False)
+    good = load.good(spark).groupBy(F.concat(F.lit("class "), "label").alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("score").alias("score_sum"))
+    return load.counts(spark).withColumn("score_sum", F.lit(None).cast("double")).unionByName(good)
+
+
 def q_scored_export(spark, sf):
     """S1 + S3: scored rows written as CSV partitioned by decision (no
     coalesce), then read back with an explicit schema; the result is the
@@ -185,5 +215,6 @@ QUERIES = {
     "stream_event_time": q_stream_event_time,
     "review_runs": q_review_runs,
     "score_guard": q_score_guard,
+    "csv_quarantine": q_csv_quarantine,
     "scored_export": q_scored_export,
 }

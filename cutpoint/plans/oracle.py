@@ -7,10 +7,9 @@ rewrite must reproduce.
 
 from __future__ import annotations
 
-from cutpoint.sources.tables import TXN_FEATURES
-from cutpoint.functions.pairs import GRID_DEFAULTS, _arange_len
+from cutpoint.functions.pairs import GRID_DEFAULTS
 from cutpoint.plans import catalog as C
-from cutpoint.plans.extras import REVIEW_RUN_RATE, STREAM_DELAY
+from cutpoint.plans.extras import REVIEW_RUN_RATE, SPOILT_EVERY, STREAM_DELAY
 
 TXN_SQL = """txn AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -43,7 +42,8 @@ def values_pairs(pairs) -> str:
 
 
 def grid_pairs_sql(t1_min, t1_max, t2_min, t2_max, step) -> str:
-    n1, n2 = _arange_len(t1_min, t1_max, step), _arange_len(t2_min, t2_max, step)
+    # Both ends belong to a range; 1e-9 keeps its last value in spite of rounding.
+    n1, n2 = (f"CAST(ceil(({d(hi)} + 1e-9 - {d(lo)}) / {d(step)}) AS BIGINT)" for lo, hi in ((t1_min, t1_max), (t2_min, t2_max)))
     return f"""pairs AS (
   SELECT row_number() OVER (ORDER BY i, j) AS pair_no, t1, t2 FROM (
     SELECT i, j, round({d(t1_min)} + i * {d(step)}, 4) AS t1,
@@ -550,6 +550,12 @@ SELECT section, metric, round(value, 6) AS value FROM (
   UNION ALL SELECT 'label_quality', 'decline_precision', {ratio('fraud_declined', 'decline_count')} FROM m) u"""
     q["scored_export"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
 SELECT decision, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM scored GROUP BY decision"""
+    k = f"(l_orderkey % {SPOILT_EVERY})"
+    q["csv_quarantine"] = f"""WITH {TXN_SQL},
+w AS (SELECT *, CASE WHEN {k} IN (1, 2) THEN 'malformed' WHEN {k} = 3 THEN 'label' WHEN {k} = 4 THEN 'score'
+  ELSE 'loaded' END AS reason FROM txn)
+SELECT reason, count(*) AS rows, CAST(NULL AS DOUBLE) AS score_sum FROM w GROUP BY reason
+UNION ALL SELECT 'class ' || label, count(*), round(sum(score), 6) FROM w WHERE reason = 'loaded' GROUP BY label"""
     q["stream_daily_mix"] = f"""WITH {TXN_SQL}, {scored_sql(t1, t2)}
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS rows,
   count(*) FILTER (WHERE decision = 'approve') AS approve_count,
@@ -584,13 +590,6 @@ k AS (SELECT *, CAST(floor(n * {d(1 - ts_)}) AS BIGINT) AS c1 FROM o),
 k2 AS (SELECT *, c1 + CAST(floor((n - c1) * {d(cf_)}) AS BIGINT) AS c2 FROM k)
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, score,
   CAST(label AS BIGINT) AS label FROM k2 WHERE pos >= c2"""
-    stats = ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 6) AS mean_{c}, round(stddev_pop(CAST({c} AS DOUBLE)), 6) AS std_{c}"
-                      for c in TXN_FEATURES)
-    q["logreg_fit"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()}
-SELECT 'raw_logreg_c1.0' AS candidate, TRUE AS gradient_small, count(*) AS train_rows,
-  round(count(*) / (2.0 * count(*) FILTER (WHERE label = 1)), 6) AS weight_positive,
-  round(count(*) / (2.0 * count(*) FILTER (WHERE label = 0)), 6) AS weight_negative, {stats}
-FROM o WHERE pos < CAST(floor(n * {d(1 - ts_)}) AS BIGINT)"""
     # Isotonic fit by its min-max formula: at the k-th distinct score the largest over i <= k of
     # the smallest over j >= k of the mean label of the scores i to j; between scores linear.
     q["isotonic_calibration"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()},
@@ -620,7 +619,6 @@ SELECT 'train_baseline' AS run_name, metric, round(value, 6) AS value, '{params}
     q["bundle_roundtrip"] = f"""WITH {TXN_SQL}, {TIE_SQL}, {ordered_sql()}
 SELECT count(*) AS rows, 0.0::DOUBLE AS max_abs_diff, 'amount,l_discount,l_quantity,l_tax' AS feature_columns
 FROM o WHERE pos >= CAST(floor(n * {d(1 - ts_)}) AS BIGINT)"""
-    q["platt_calibration"] = "SELECT 'platt' AS method, TRUE AS gradient_small"
     return q
 
 
