@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cutpoint.functions.pairs import parse_pair_specs, parse_tag_specs
-from cutpoint.operators import curves, monitor
-from cutpoint.operators.prefix import exact_quantiles
+from cutpoint.operators import brackets, curves, monitor, sweep_line
 from cutpoint.plans import catalog as C
 from cutpoint.plans.common import ts_text
 from cutpoint.plans.inference import profile_table, run_inference
@@ -64,7 +63,7 @@ def year_specs(spark, sf) -> DataFrame:
     (median:p90 and p90:p99 are valid pairs; p99:median is reversed on
     purpose, and an empty token is skipped)."""
     t = txn(spark, sf).withColumn("year", F.year("ts").cast("long"))
-    qv = exact_quantiles(t, "score", [0.5, 0.9, 0.99], by=["year"])
+    qv = brackets.quantiles(t, "score", [0.5, 0.9, 0.99], by=["year"])
     w = qv.groupBy("year").pivot("q", [0.5, 0.9, 0.99]).agg(F.first("value"))
     f = lambda c: F.format_string("%.2f", F.round(F.col(f"`{c}`"), 2))
     spec = F.concat_ws(",", F.concat(f(0.5), F.lit(":"), f(0.9)), F.concat(f(0.9), F.lit(":"), f(0.99)),
@@ -76,6 +75,13 @@ def q_parse_pairs(spark, sf):
     return parse_pair_specs(year_specs(spark, sf), "spec", key_cols=["year"])
 
 
+def q_spec_sweep(spark, sf):
+    """F5 -> G5 / J3: the pairs that each ship year's spec names, evaluated on that year's rows."""
+    specs = parse_pair_specs(year_specs(spark, sf), "spec", key_cols=["year"]).where("error IS NULL")
+    rows = txn(spark, sf).withColumn("year", F.year("ts").cast("long"))
+    return sweep_line.evaluate_pairs(rows, specs.select("year", "pair_no", "t1", "t2"), by=["year"])
+
+
 def q_parse_tags(spark, sf):
     """F6 over tag strings built from each event (one malformed token when
     the event value exceeds 100)."""
@@ -208,6 +214,7 @@ QUERIES = {
     "profile_inference": q_profile_inference,
     "threshold_override": q_threshold_override,
     "parse_pairs": q_parse_pairs,
+    "spec_sweep": q_spec_sweep,
     "parse_tags": q_parse_tags,
     "run_log": q_run_log,
     "report_rows": q_report_rows,

@@ -519,6 +519,11 @@ p AS (SELECT year, CAST(pair_no AS BIGINT) AS pair_no, tok, CAST(split_part(tok,
   CAST(split_part(tok, ':', 2) AS DOUBLE) AS t2 FROM toks)
 SELECT year, pair_no, tok, t1, t2,
   CASE WHEN NOT (t1 >= 0 AND t1 < t2 AND t2 <= 1) THEN 'invalid thresholds' END AS error FROM p"""
+    body = COUNTS_SELECT.replace("{t1}", "p.t1").replace("{t2}", "p.t2")
+    q["spec_sweep"] = f"""WITH {TXN_SQL}, sp AS ({q['parse_pairs']}),
+counts AS (SELECT p.year, p.pair_no, p.t1 AS approve_threshold, p.t2 AS decline_threshold, {body}
+  FROM txn JOIN sp p ON p.year = year(ts) AND p.error IS NULL GROUP BY 1, 2, 3, 4)
+SELECT {policy_metrics_select('year, pair_no')} FROM counts"""
     q["parse_tags"] = """WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
 SELECT event_id, CAST((event_type IS NOT NULL)::INT + (user_id IS NOT NULL)::INT + (k IS NOT NULL)::INT AS BIGINT) AS n_tags,
   CAST(CASE WHEN value > 100 THEN 1 ELSE 0 END AS BIGINT) AS n_bad, event_type AS type_tag,
