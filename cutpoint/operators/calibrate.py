@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cutpoint.operators import isotonic
@@ -46,11 +45,14 @@ def fit_platt(cal: DataFrame, score: str = "score", label: str = "label", max_it
     return va, model
 
 
+def platt(fitted, score: Column) -> Column:
+    """The fitted probability as an expression."""
+    _, model = fitted
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(float(model.intercept)) + F.lit(float(model.coefficients[0])) * score)))
+
+
 def apply_platt(fitted, ev: DataFrame, score: str = "score") -> DataFrame:
-    va, model = fitted
-    cols = [c for c in ev.columns if c != score]
-    t = model.transform(va.transform(ev.withColumn(score, F.col(score).cast("double"))))
-    return t.select(*cols, vector_to_array("probability")[1].alias(score))
+    return ev.select(*[c for c in ev.columns if c != score], platt(fitted, F.col(score).cast("double")).alias(score))
 
 
 def fit_isotonic(cal: DataFrame, score: str = "score", label: str = "label", weight: str | None = None) -> DataFrame:

@@ -17,10 +17,9 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WEIGHT = "__w"
@@ -141,12 +140,28 @@ def fit_candidates(train: DataFrame, features: Sequence[str], candidates: Sequen
     return [PipelineModel([*assemble[c.scaled], found[i].setFeaturesCol("features")]) for i, c in enumerate(candidates)]
 
 
+def probability(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, Column]:
+    """(rows with the model's inputs, probability of class 1). A logistic model is applied as a
+    column expression over its inputs: no vectors, no function calls out of generated code, and
+    no model object in the plan (a fitted one drags its training summary, and so the session,
+    into every task). A scorecard's last stage gives the number itself."""
+    *stages, last = model.stages
+    if not hasattr(last, "coefficients"):
+        return model.transform(df), F.col("probability")
+    *stages, assembler = stages
+    for stage in stages:
+        df = stage.transform(df)
+    margin = F.lit(float(last.intercept))
+    for w, c in zip(last.coefficients.toArray(), assembler.getInputCols(), strict=True):
+        margin = margin + F.lit(float(w)) * F.col(c).cast("double")
+    return df, F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+
+
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
-    """M3: probability of class 1 as a double column; other columns kept. A scorecard's
-    ``probability`` is that number already, an MLlib classifier's is a vector."""
+    """M3: probability of class 1 as a double column; other columns kept. A null or NaN input
+    gives a score that every score operator refuses."""
     cols = df.columns
-    t = model.transform(df)
-    p = F.col("probability") if dict(t.dtypes)["probability"] == "double" else vector_to_array("probability")[1]
+    t, p = probability(model, df)
     return t.select(*cols, p.alias(out))
 
 
@@ -158,9 +173,8 @@ def gradient_check(model: PipelineModel, train: DataFrame, label: str = "label",
     lr = model.stages[-1]
     coef = [float(x) for x in lr.coefficients.toArray()]
     data = with_class_weights(train, label) if balanced else train.withColumn(WEIGHT, F.lit(1.0))
-    t = model.transform(data.withColumn(label, F.col(label).cast("double")))
-    p = vector_to_array("probability")[1]
-    x = vector_to_array("features")
+    t, p = probability(model, data.withColumn(label, F.col(label).cast("double")))
+    x = [F.col(c).cast("double") for c in model.stages[-2].getInputCols()]
     r = F.col(WEIGHT) * (p - F.col(label))
     aggs = [F.sum(r).alias("g0"), F.sum(WEIGHT).alias("n")]
     aggs += [F.sum(r * x[j]).alias(f"g{j + 1}") for j in range(len(coef))]

@@ -83,13 +83,11 @@ def q_model_sweep(spark, sf):
 def q_platt_calibration(spark, sf):
     """M5: the Platt fit on the calibration part satisfies optimality."""
     _, cal, _ = _parts(spark, sf)
-    va, m = calibrate.fit_platt(cal)
+    fitted = calibrate.fit_platt(cal)
+    _, m = fitted
     n = cal.count()
-    t = m.transform(va.transform(cal.select(F.col("score").cast("double").alias("score"),
-                                            F.col("label").cast("double").alias("label"))))
-    from pyspark.ml.functions import vector_to_array
-    p = vector_to_array("probability")[1]
-    r = p - F.col("label")
+    t = cal.select(F.col("score").cast("double").alias("score"), F.col("label").cast("double").alias("label"))
+    r = calibrate.platt(fitted, F.col("score")) - F.col("label")
     row = t.agg(F.sum(r).alias("g0"), F.sum(r * F.col("score")).alias("g1")).first()
     coef = float(m.coefficients[0])
     g = max(abs(row["g0"] / n), abs(row["g1"] / n + coef / n))

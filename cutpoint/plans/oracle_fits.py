@@ -12,10 +12,13 @@ from collections.abc import Sequence
 from cutpoint.functions.pairs import GRID_DEFAULTS
 from cutpoint.operators.model import default_candidates
 from cutpoint.operators.scorecard import INPUT_PLACES, POINT_PLACES, SCORE_PLACES
+from cutpoint.operators.monitor import psi_quantiles
 from cutpoint.plans import catalog as C
+from cutpoint.plans import oracle
 from cutpoint.plans.extras import PUBLISHED_PROFILES
 from cutpoint.plans.models import FIT_PLACES
 from cutpoint.plans.oracle import POINTS_SQL, TIE_SQL, TXN_SQL, annotate_sql, d, grid_pairs_sql, ordered_sql, ratio, recall_sql
+from cutpoint.plans.reports import COST, EXPERIMENT, LATENCY, SIMULATION, TARGET_P95
 from cutpoint.sources.policy_doc import FALLBACK, PRIMARY
 from cutpoint.sources.tables import TXN_FEATURES
 
@@ -204,6 +207,49 @@ SELECT method, method_no, approve_threshold, decline_threshold, round(total_cost
   round(flagged_fraud_capture, 6) AS flagged_fraud_capture, meets_guardrails, place = 1 AS is_best FROM best"""
 
 
+def long_sql(report: str, item: str, source: str, metrics: Sequence[str]) -> str:
+    """One row per row of the query ``source`` and metric."""
+    names = ", ".join(f"'{m}'" for m in metrics)
+    values = ", ".join(f"CAST({m} AS DOUBLE)" for m in metrics)
+    return f"SELECT '{report}' AS report, {item} AS item, unnest([{names}]) AS metric, unnest([{values}]) AS value FROM ({source}) x"
+
+
+def report_sections_sql(q: dict[str, str]) -> str:
+    """From the SQL of the queries behind the sections; observed sections are counted here."""
+    t1, t2 = d(C.T1), d(C.T2)
+    volume = f"""SELECT count(*) AS rows, count(*) FILTER (WHERE score < {t1}) AS approve_count,
+  count(*) FILTER (WHERE score >= {t1} AND score < {t2}) AS review_count, count(*) FILTER (WHERE score >= {t2}) AS decline_count,
+  round(avg(score), 6) AS mean_score, max(score) AS max_score FROM txn"""
+    errors = f"SELECT *, fpr AS realized_fpr, threshold AS selected_threshold, fp + fn AS exported_errors FROM ({q['confusion']}) c"
+    psi_bins = f"""SELECT bin, count(*) FILTER (WHERE pop = 'ref') AS r, count(*) FILTER (WHERE pop = 'cur') AS c FROM pop, edges
+  , LATERAL (SELECT len(list_filter(e, lambda v: v <= score)) AS bin) b GROUP BY bin"""
+    psi = f"""SELECT round(sum((cp - rp) * ln(cp / rp)), 6) AS psi,
+  CASE WHEN sum((cp - rp) * ln(cp / rp)) < 0.1 THEN 1 WHEN sum((cp - rp) * ln(cp / rp)) < 0.25 THEN 2 ELSE 3 END AS drift_level_no
+FROM (SELECT greatest(1e-8, coalesce(r, 0) / (SELECT count(*) FROM pop WHERE pop = 'ref')::DOUBLE) AS rp,
+  greatest(1e-8, coalesce(c, 0) / (SELECT count(*) FROM pop WHERE pop = 'cur')::DOUBLE) AS cp
+  FROM range(0, 10) g(bin) LEFT JOIN ({psi_bins}) h USING (bin))"""
+    fractions = "[" + ", ".join(d(x) for x in psi_quantiles(10)[1:-1]) + "]"
+    drift = f"SELECT count(*) AS differences, count(*) = 0 AS passed FROM ({q['policy_drift']}) p"
+    timed = f"SELECT *, p95 <= {d(TARGET_P95)} AS meets_target FROM ({q['duration_percentiles']}) t"
+    parts = [
+        long_sql("inference", "'all'", volume, ("rows", "approve_count", "review_count", "decline_count", "mean_score", "max_score")),
+        long_sql("error_analysis", "'all'", errors, ("tn", "fp", "fn", "tp", "recall", "precision", "realized_fpr", "selected_threshold",
+                                                      "exported_errors")),
+        long_sql("monitoring", "'reference'", psi, ("psi", "drift_level_no")),
+        long_sql("policy_simulation", "policy_id", q["policy_sweep"], SIMULATION),
+        long_sql("policy_simulation", "'recommended'", q["recommend_sim"], (*SIMULATION, "meets_guardrails")),
+        long_sql("cost_policy", "'recommended'", q["recommend_cost"], COST),
+        long_sql("policy_drift", "'registry'", drift, ("differences", "passed")),
+        long_sql("latency", "event_type", timed, (*LATENCY, "meets_target"))]
+    return f"""WITH {TXN_SQL},
+pop AS (SELECT 'ref' AS pop, score FROM txn UNION ALL SELECT 'cur', score FROM txn WHERE l_returnflag = 'R'),
+edges AS (SELECT quantile_cont(score, {fractions}) AS e FROM pop WHERE pop = 'ref')
+""" + "\nUNION ALL ".join(parts)
+
+
 def build() -> dict[str, str]:
-    return {"model_inference": model_inference_sql(), "logreg_fit": logreg_fit_sql(), "model_sweep": model_sweep_sql(),
-            "platt_calibration": platt_calibration_sql(), "optimizer_job": optimizer_job_sql()}
+    out = {"model_inference": model_inference_sql(), "logreg_fit": logreg_fit_sql(), "model_sweep": model_sweep_sql(),
+           "platt_calibration": platt_calibration_sql(), "optimizer_job": optimizer_job_sql()}
+    out["report_sections"] = report_sections_sql(oracle.build())
+    out["report_experiments"] = long_sql("experiments", "candidate", out["model_sweep"], EXPERIMENT)
+    return out

@@ -1,6 +1,6 @@
 """All registered queries, in one mapping."""
 
-from cutpoint.plans import catalog, extras, models, registry, serving
+from cutpoint.plans import catalog, extras, models, registry, reports, serving
 
 QUERIES = {**catalog.QUERIES, **registry.QUERIES, **models.QUERIES, **extras.QUERIES,
-           **serving.QUERIES}
+           **serving.QUERIES, **reports.QUERIES}
