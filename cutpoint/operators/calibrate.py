@@ -67,22 +67,21 @@ def apply_isotonic(fitted: DataFrame, ev: DataFrame, score: str = "score") -> Da
 
 def calibrated_union(cal: DataFrame, ev: DataFrame, methods=METHODS, score: str = "score",
                      label: str = "label", weight: str | None = None) -> DataFrame:
-    """Evaluation rows (or histogram rows) once per method, scores
-    mapped by that method."""
-    parts = []
+    """Evaluation rows (or histogram rows) once per method, scores mapped by that method. One
+    read of the rows: every method's score is a column of the row (the isotonic one looked up in
+    its segments), and one ``inline`` makes the rows."""
+    unknown = set(methods) - set(METHODS)
+    if unknown:
+        raise ValueError(f"no such calibration method: {sorted(unknown)}")
     if any(m != "none" for m in methods):
         require_both_classes(cal, label)
-    for i, m in enumerate(methods):
-        if m == "none":
-            out = calibrate_none(ev, score)
-        elif m == "platt":
-            out = apply_platt(fit_platt(cal, score, label, weight=weight), ev, score)
-        elif m == "isotonic":
-            out = apply_isotonic(fit_isotonic(cal, score, label, weight=weight), ev, score)
-        else:
-            raise ValueError(f"no such calibration method: {m}")
-        parts.append(out.withColumn("method", F.lit(m)).withColumn("method_no", F.lit(i + 1)))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    raw = F.col(score).cast("double")
+    rows, found = ev, {"none": raw}
+    if "platt" in methods:
+        found["platt"] = platt(fit_platt(cal, score, label, weight=weight), raw)
+    if "isotonic" in methods:
+        rows = apply_isotonic(fit_isotonic(cal, score, label, weight=weight), ev.withColumn("__iso", raw), "__iso")
+        found["isotonic"] = F.col("__iso")
+    each = [F.struct(found[m].alias(score), F.lit(m).alias("method"), F.lit(i).alias("method_no"))
+            for i, m in enumerate(methods, 1)]
+    return rows.select(*[c for c in ev.columns if c != score], F.inline(F.array(*each)))

@@ -18,7 +18,7 @@ from cutpoint.plans import oracle
 from cutpoint.plans.extras import PUBLISHED_PROFILES
 from cutpoint.plans.models import FIT_PLACES
 from cutpoint.plans.oracle import POINTS_SQL, TIE_SQL, TXN_SQL, annotate_sql, d, grid_pairs_sql, ordered_sql, ratio, recall_sql
-from cutpoint.plans.reports import COST, EXPERIMENT, LATENCY, SIMULATION, TARGET_P95
+from cutpoint.plans.reports import COST, EXPERIMENT, LATENCY, SHOWN, SIMULATION, TARGET_P95
 from cutpoint.sources.policy_doc import FALLBACK, PRIMARY
 from cutpoint.sources.tables import TXN_FEATURES
 
@@ -247,9 +247,16 @@ edges AS (SELECT quantile_cont(score, {fractions}) AS e FROM pop WHERE pop = 're
 """ + "\nUNION ALL ".join(parts)
 
 
+def report_text_sql(simulation: str) -> str:
+    rates = ", ".join(f"printf('%.2f%%', round({c}, 4) * 100) AS {c}" for c in SHOWN)
+    return f"""SELECT rank, policy_id, printf('%.4f', round(approve_threshold, 4)) AS t1, printf('%.4f', round(decline_threshold, 4)) AS t2,
+  {rates} FROM ({simulation}) s"""
+
+
 def build() -> dict[str, str]:
     out = {"model_inference": model_inference_sql(), "logreg_fit": logreg_fit_sql(), "model_sweep": model_sweep_sql(),
            "platt_calibration": platt_calibration_sql(), "optimizer_job": optimizer_job_sql()}
-    out["report_sections"] = report_sections_sql(oracle.build())
+    core = oracle.build()
+    out["report_sections"], out["report_text"] = report_sections_sql(core), report_text_sql(core["policy_sweep"])
     out["report_experiments"] = long_sql("experiments", "candidate", out["model_sweep"], EXPERIMENT)
     return out

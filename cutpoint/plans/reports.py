@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cutpoint.functions.bands import APPROVE, DECLINE, REVIEW, decision, is_bad, predicted_class
+from cutpoint.functions.text import fixed_text, pct_text
 from cutpoint.operators import monitor, ranking
 from cutpoint.plans import catalog as C
 from cutpoint.plans.extras import _scratch
@@ -41,7 +42,11 @@ def long_rows(df: DataFrame, report: str, item, metrics) -> DataFrame:
 def export_scored(scored: DataFrame, t1: float, t2: float, threshold: float, path: str, score: str = "score",
                   label: str = "label") -> DataFrame:
     """Write the scored rows with decision and predicted class to ``path`` (Parquet by decision) and
-    return the rows of the ``inference`` and ``error_analysis`` reports, observed on the way."""
+    return the rows of the ``inference`` and ``error_analysis`` reports, observed on the way.
+
+    Once a session has observed anything, Spark 4.1 can no longer ship an MLlib model that holds its
+    training summary (the summary holds the session). The library's own models are applied as
+    expressions and are not affected; other fitted models need a save and load first."""
     s, y = F.col(score).cast("double"), F.col(label)
     rows = scored.withColumn("decision", decision(s, t1, t2)).withColumn("predicted_class", predicted_class(s, threshold))
     d, p = F.col("decision"), F.col("predicted_class") == 1
@@ -110,4 +115,17 @@ def q_report_experiments(spark: SparkSession, sf: str) -> DataFrame:
     return long_rows(q_model_sweep(spark, sf), "experiments", F.col("candidate"), EXPERIMENT)
 
 
-QUERIES = {"report_sections": q_report_sections, "report_experiments": q_report_experiments}
+#: Rates of the simulation table as people read them.
+SHOWN = ("approve_rate", "review_rate", "decline_rate", "fraud_capture_decline", "fraud_capture_flagged", "decline_fpr")
+
+
+def q_report_text(spark: SparkSession, sf: str) -> DataFrame:
+    """the simulation's table as text: thresholds with four places, rates as percentages.
+    Values are rounded to what is shown before they are written, so halves print alike everywhere."""
+    t = C.sim_ranked(spark, sf)
+    return t.select("rank", "policy_id", fixed_text(F.round("approve_threshold", 4)).alias("t1"),
+                    fixed_text(F.round("decline_threshold", 4)).alias("t2"),
+                    *[pct_text(F.round(c, 4)).alias(c) for c in SHOWN])
+
+
+QUERIES = {"report_text": q_report_text, "report_sections": q_report_sections, "report_experiments": q_report_experiments}
