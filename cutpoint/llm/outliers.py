@@ -11,14 +11,19 @@ the solution of least determinant starts concentration steps over the whole grou
 aggregates: a histogram of distances finds the nearest ``SHARE`` of the rows, and their sums
 give the next mean and covariance. No group is gathered in one task.
 
-Estimates exist for each language and source, each language, and the whole table; a row uses
-the narrowest with ``MIN_ROWS`` rows. Every variance has a floor, so a statistic that hardly
-varies cannot reject a row by a trifle. The final distances are scaled so that their median
-is that of the chi-square law.
+Estimates exist for each language and source, each language, and the whole table, each scaled so that
+its group's median distance is that of the chi-square law. A row is judged by its language and
+source; with n rows that estimate has the weight n / (n + ``PRIOR_ROWS``), and the language's,
+weighted against the table's in the same way, has the rest: large groups stand on their own,
+small ones lean on their parent, and no row count changes the method. Every variance has a
+floor, so a statistic that hardly varies cannot reject a row by a trifle.
+
+``CUT`` lies far beyond the chi-square law's tail: texts of different length and kind are no normal
+sample, and ordinary long ones reach squared distances of some hundreds.
 
 Defined results: null and blank texts have no words and fail the base rules; null ``lang`` and
-``source`` are groups of their own; below ``MIN_ROWS`` rows in all there is no estimate and
-only the base rules decide; an empty table gives an empty table; repeated rows count as rows;
+``source`` are groups of their own; where no row passes the base rules there is no estimate (and
+none is needed); an empty table gives an empty table; repeated rows count as rows;
 a null ``doc_id`` is treated like any other; other columns are ignored.
 """
 
@@ -45,7 +50,8 @@ FLOORS = {"log_words": 1.0, "word_length": 0.25, "symbols": 0.1, "capitals": 0.1
 P = len(FLOORS)
 
 CHUNK_ROWS = 2000
-MIN_ROWS = 200
+#: Rows that a group's parent counts as against the group's own.
+PRIOR_ROWS = 200
 SHARE = 0.75
 STARTS = 30
 STEPS = 2
@@ -243,27 +249,61 @@ def concentrate(rows: DataFrame, sizes: DataFrame, estimate: DataFrame) -> DataF
     return moments.mapInArrow(solve, ESTIMATE)
 
 
+def _full(upper: list[float]) -> np.ndarray:
+    out = np.zeros((P, P))
+    out[UPPER] = upper
+    return out + np.triu(out, 1).T
+
+
+def blend(child: tuple[int, np.ndarray, np.ndarray], parent: tuple[np.ndarray, np.ndarray],
+          prior: int = PRIOR_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, covariance) of a group of n rows, leaning on its parent's."""
+    n, mean, cov = child
+    w = n / (n + prior)
+    return w * mean + (1 - w) * parent[0], w * cov + (1 - w) * parent[1]
+
+
+def leaning(final: DataFrame, parents: DataFrame) -> DataFrame:
+    """``ESTIMATE`` of every language and source, leaning on its language and the table.
+    ``final`` has ``key, mean, inverse, scale, n``; ``parents`` has ``key`` and the language's ``above``."""
+    top = final.where(F.col("key") == "0").first()                # one row of P + P (P + 1) / 2 numbers
+    if top is None:
+        return final.sparkSession.createDataFrame([], ESTIMATE)
+    # A scaled distance is one under the covariance over the scale.
+    table = (np.array(top["mean"]), np.linalg.inv(_full(top["inverse"])) / top["scale"])
+    values = F.struct("n", "mean", "inverse", "scale").alias("e")
+    pairs = (parents.join(final.select("key", values), "key")
+             .join(final.select(F.col("key").alias("above"), values.alias("up")), "above").select("key", "e", "up"))
+
+    def solve(batches):
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                own, up = ((e["n"], np.array(e["mean"]), np.linalg.inv(_full(e["inverse"])) / e["scale"]) for e in (r["e"], r["up"]))
+                out.append(_estimate(r["key"], *blend(own, blend(up, table))))
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.string()), ("mean", pa.list_(pa.float64())),
+                                                             ("inverse", pa.list_(pa.float64()))]))
+    return pairs.mapInArrow(solve, ESTIMATE)
+
+
 def judge(docs: DataFrame, cut: float = CUT) -> DataFrame:
     """One row per input row: ``doc_id``, the base counts, ``base_failed, kept`` and
     ``distance`` (null without an estimate)."""
     stats = store(statistics(docs).withColumn("base_failed", base_failed()), "statistics")
     keyed = stats.where("NOT base_failed").select(
         "x", F.explode(F.array(*group_keys())).alias("key"), F.abs(F.xxhash64("doc_id", "x")).alias("deal"))
-    sizes = store(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS), "sizes")
+    sizes = store(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
     estimate = store(chunk_starts(keyed, sizes), "start")
     for _ in range(STEPS):
         estimate = store(concentrate(keyed, sizes, estimate), "estimate")
     middle = _nearest(_bins(keyed, estimate), sizes, 0.5)
-    final = (estimate.join(middle, "key")
+    final = (estimate.join(middle, "key").join(sizes, "key")
              .withColumn("scale", F.lit(chi_square_median()) / F.pow(F.lit(2.0), F.col("last") / BINS)))
-    final = store(final.select("key", "mean", "inverse", "scale"), "final")
-
-    out = stats
-    for level, key in enumerate(group_keys()):
-        named = final.select(F.col("key").alias(f"_k{level}"), F.struct("mean", "inverse", "scale").alias(f"_e{level}"))
-        out = out.join(named, key == F.col(f"_k{level}"), "left")
-    out = (out.withColumn("_e", F.coalesce("_e0", "_e1", "_e2"))
-           .withColumn("distance", F.expr(f"_e.scale * ({squared_distance(mean='_e.mean', inverse='_e.inverse')})")))
+    final = store(final.select("key", "mean", "inverse", "scale", "n"), "final")
+    narrow, above, _ = group_keys()
+    parents = stats.where("NOT base_failed").select(narrow.alias("key"), above.alias("above")).distinct()
+    own = store(leaning(final, parents), "leaning").select(F.col("key").alias("of"), "mean", "inverse")
+    out = stats.join(own, narrow == F.col("of"), "left").withColumn("distance", F.expr(squared_distance()))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       kept.alias("kept"), "distance")

@@ -83,3 +83,44 @@ def test_verdict_against_labels(spark):
     fine = [r.kept for r in rows if r.y == 1 and not r.base_failed]
     junk = [r.kept for r in rows if r.y == 0]
     assert np.mean(fine) > 0.995 and np.mean(junk) < 0.05
+
+
+def by_hand(x, steps=outliers.STEPS):
+    """(rows, mean, covariance over the scale) of one group that fits a chunk."""
+    mean, cov = outliers.fast_mcd(x[np.lexsort(x.T)])
+    bins = lambda: np.floor(outliers.BINS * np.log2(outliers.distances(x, mean, cov) + 1e-9))
+    upto = lambda b, share: np.sort(b)[int(np.ceil(share * len(x))) - 1]
+    for _ in range(steps):
+        b = bins()
+        near = x[b <= upto(b, outliers.SHARE)]
+        mean, cov = near.mean(axis=0), outliers.covariance(near)
+    return len(x), mean, cov * 2.0 ** (upto(bins(), 0.5) / outliers.BINS) / outliers.chi_square_median()
+
+
+def test_distances_equal_brute_force(spark):
+    """Groups of 1 to 500 rows: each leans on its language, and that on the table."""
+    rng = random.Random(7)
+    groups = {("en", "a"): 500, ("en", "b"): 40, ("de", "a"): 150, ("fr", None): 1, (None, "z"): 12}
+    rows = []
+    for (lang, source), n in groups.items():
+        for _ in range(n):
+            text = " ".join("".join(rng.choices("abcdeF7#", k=rng.randrange(1, 9))) for _ in range(rng.randrange(10, 120)))
+            rows.append((len(rows), text, lang, source, "x", None))
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    x = outliers.vectors(outliers.counts([r[1].encode() for r in rows]))
+    ok = np.array([not got[r[0]].base_failed for r in rows])
+    assert ok.sum() > 600
+
+    def of(test):
+        at = np.array([test(r) for r in rows]) & ok
+        return by_hand(x[at]) if at.any() else None
+
+    table = of(lambda r: True)[1:]
+    for lang, source in groups:
+        up = outliers.blend(of(lambda r: r[2] == lang), table)
+        mean, cov = outliers.blend(of(lambda r: (r[2], r[3]) == (lang, source)), up)
+        for r, v, passed in zip(rows, x, ok):
+            if (r[2], r[3]) == (lang, source) and passed:
+                d = outliers.distances(v[None], mean, cov)[0]
+                assert abs(got[r[0]].distance - d) <= 1e-6 * max(1.0, d)
+                assert got[r[0]].kept == (d <= outliers.CUT)
