@@ -21,6 +21,7 @@ KEPT_PIECES = 200_000
 PLAIN = regex.compile("[!-~¡-įı-ſ]+")
 #: Marks that may follow a word and make one piece of their own.
 MARKS = ".,;:!?#*$%&|"
+MARK_BYTES = MARKS.encode()
 #: The file's own split rule.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -99,10 +100,15 @@ class WordIds:
         self.words = Generations(self._word, KEPT_WORDS)
 
     def _piece(self, piece: str) -> bytes:
-        shown = "".join([self.letters[b] for b in piece.encode()])
+        # Printable ASCII stands for itself.
+        shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
         return packed([t.id for t in self.model.tokenize(shown)])
 
     def _word(self, word: bytes) -> bytes:
+        core = word.rstrip(MARK_BYTES)
+        if core.isalpha():                      # of bytes: ASCII letters only
+            ids = self.pieces[core.lower().decode()]
+            return ids + self.pieces[word[len(core):].decode()] if len(core) < len(word) else ids
         s = word.decode()
         core = s.rstrip(MARKS)
         if core.isalpha() and max(core) <= "\u017f" and "\u0130" not in core:
