@@ -145,14 +145,13 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int = SIZE) -> DataFram
     return map_slices(docs.select("doc_id", "text"), run, "d1 long, d2 long, shingles array<long>")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int = SIZE) -> DataFrame:
-    """The linked ones of the candidate pairs ``u, v`` (class nodes, ``u < v``)."""
-    named = classes.select("node", "doc_id", "d1", "d2")
-    keyed = store(pairs.join(named.toDF("u", "udoc", "u1", "u2"), "u").join(named.toDF("v", "vdoc", "v1", "v2"), "v"), "pairs")
-    wanted = keyed.select(F.col("udoc").alias("doc_id"), F.col("u1").alias("d1")).union(keyed.select("vdoc", "v1")).distinct()
+def verify(docs: DataFrame, pairs: DataFrame, size: int = SIZE) -> DataFrame:
+    """The linked ones of the candidate pairs ``u, v`` (class nodes, ``u < v``), as
+    ``suffix_filter`` gives them."""
+    wanted = pairs.select(F.col("udoc").alias("doc_id"), F.col("u1").alias("d1")).union(pairs.select("vdoc", "v1")).distinct()
     # A centre may be in very many pairs: both joins shuffle both sides, so Spark can split it.
     sets = store(fetch_sets(docs, wanted, size), "sets")
-    both = (keyed.select("u", "u1", "u2", "v", "v1", "v2").join(sets.toDF("v1", "v2", "sv"), ["v1", "v2"])
+    both = (pairs.select("u", "u1", "u2", "v", "v1", "v2").join(sets.toDF("v1", "v2", "sv"), ["v1", "v2"])
             .join(sets.toDF("u1", "u2", "su"), ["u1", "u2"])
             .select("u", "v", F.size("su").alias("n"), F.size("sv").alias("m"),
                     F.size(F.array_intersect("su", "sv")).alias("both")))
@@ -160,12 +159,16 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int = SI
 
 
 def suffix_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Drop pairs whose range counts already differ too much for a link."""
-    one = classes.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("parts").alias("pu"))
-    two = classes.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("parts").alias("pv"))
+    """Drop pairs whose range counts already differ too much for a link. What stays carries the
+    document and the digest of both classes, so that verification looks up neither again."""
+    def side(x: str) -> DataFrame:
+        return classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parts").alias(f"p{x}"),
+                              F.col("doc_id").alias(f"{x}doc"), F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"))
+
     apart = F.aggregate(F.zip_with("pu", "pv", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, x: s + x)
-    return (pairs.join(one, "u").join(two, "v")
-            .where(apart <= F.expr(f"nu + nv - 2 * {needed('nu', 'nv')}")).select("u", "v"))
+    return (pairs.join(side("u"), "u").join(side("v"), "v")
+            .where(apart <= F.expr(f"nu + nv - 2 * {needed('nu', 'nv')}"))
+            .select("u", "v", "udoc", "u1", "u2", "vdoc", "v1", "v2"))
 
 
 def as_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -258,8 +261,9 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, Data
     near = star.select("x", F.explode(F.array("y", "z")).alias("y")).where("x <> y").distinct()
     near = near.join(members.toDF("y", "node"), "y").where("x <> node").select("x", F.col("node").alias("y"))
     near = as_pairs(near, "x", "y")
-    tried = store(suffix_filter(near, classes), "tried")
-    labels = components(verify(docs, tried, classes, size))
+    fresh = store(suffix_filter(near, classes), "tried")
+    tried = fresh.select("u", "v")
+    labels = components(verify(docs, fresh, size))
 
     live = star.where("y <> z").select("h", "x", "xn", "xpos", "before")
     for turn in range(MAX_STARS + 1):
@@ -270,8 +274,8 @@ def links(docs: DataFrame, size: int = SIZE) -> tuple[DataFrame, DataFrame, Data
         exhaustive = turn == MAX_STARS or pairs <= FEW_PAIRS * rows
         fresh = as_pairs(candidates(left, None if exhaustive else turn), "x", "y").join(tried, ["u", "v"], "left_anti")
         fresh = store(suffix_filter(fresh, classes), "tried")
-        tried = tried.union(fresh)
-        labels = extend(labels, store(verify(docs, fresh, classes, size), "links"))
+        tried = tried.union(fresh.select("u", "v"))
+        labels = extend(labels, store(verify(docs, fresh, size), "links"))
         if exhaustive:
             break
     return sets, members, labels
