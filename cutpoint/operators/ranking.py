@@ -60,6 +60,10 @@ def fallback_policy(ranked: DataFrame, recommended: DataFrame, by: Sequence[str]
     return _first(others, order, by)
 
 
+class PromotionError(ValueError):
+    """A promotion was asked for that the gate refuses."""
+
+
 def promotion_gate(recommended: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row (per group) saying whether promotion may proceed; the
     caller raises when ``require_feasible`` and ``gate_pass`` is false."""
@@ -69,7 +73,7 @@ def promotion_gate(recommended: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def enforce_promotion_gate(gate: DataFrame, require_feasible: bool) -> None:
     if require_feasible and not all(r["gate_pass"] for r in gate.collect()):
-        raise SystemExit("Promotion gate failed: no guardrail-feasible policy found for evaluated methods.")
+        raise PromotionError("nothing to promote: every recommended policy breaks a guardrail")
 
 
 def best_method(method_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:

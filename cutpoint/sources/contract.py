@@ -26,7 +26,7 @@ def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
 def require_columns(df: DataFrame, required: Iterable[str]) -> None:
     missing = missing_columns(df, required)
     if missing:
-        raise ContractError(f"Missing required columns: {missing}")
+        raise ContractError(f"the contract asks for columns that the table lacks: {missing}")
 
 
 def feature_columns(columns: Iterable[str], leakage: Iterable[str] = ("label",)) -> list[str]:

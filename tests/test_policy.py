@@ -118,7 +118,7 @@ def test_guardrail_flags_and_gate(spark):
     with pytest.raises(ValueError):
         guardrails.check_guardrails(1.5, 0.9, 0.02)
     gate = ranking.promotion_gate(spark.createDataFrame([(False,)], "meets_guardrails boolean"))
-    with pytest.raises(SystemExit):
+    with pytest.raises(ranking.PromotionError):
         ranking.enforce_promotion_gate(gate, True)
     ranking.enforce_promotion_gate(gate, False)
 
