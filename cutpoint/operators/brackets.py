@@ -161,6 +161,13 @@ def psi_bins(df: DataFrame, pop: str, qs: Sequence[float], score: str = "score")
     return grid.join(F.broadcast(binned), "bin", "left").na.fill(0, ["ref_n", "cur_n"])
 
 
+def _half_open(rows: DataFrame, cuts: Sequence[float]) -> DataFrame:
+    """Adds ``__p``: the number of the sorted ``cuts`` below ``__x``, so that ranges are (cut, cut]."""
+    # The negated value and cuts turn the half-open side round.
+    at = assign_range(rows.withColumn("__y", F.lit(0.0) - F.col("__x")), "__y", sorted(0.0 - c for c in cuts), "__p")
+    return at.withColumn("__p", F.lit(len(cuts)) - F.col("__p")).drop("__y")
+
+
 def ks(df: DataFrame, pop: str, score: str = "score", ranges: int = KS_RANGES, values: int = KS_VALUES) -> DataFrame:
     """``ks_stat, reference_rows, current_rows`` of the populations 'ref' and 'cur'.
 
@@ -169,8 +176,9 @@ def ks(df: DataFrame, pop: str, score: str = "score", ranges: int = KS_RANGES, v
     max(F + f - G, G + g - F); ranges below the largest gap at any bound are done. What remains is
     cut again until it holds few distinct values, and is then read value by value."""
     x = F.col(score).cast("double")
-    rows = df.where(F.col(pop).isin("ref", "cur")).select(
-        x.alias("__x"), F.when(F.col(pop) == "ref", 1).otherwise(0).alias("__r"))
+    # Two narrow columns, read by every count below.
+    rows = reuse(df.where(F.col(pop).isin("ref", "cur")).select(
+        x.alias("__x"), F.when(F.col(pop) == "ref", 1).otherwise(0).alias("__r")))
     fractions = [i / ranges for i in range(1, ranges)]
     top = rows.agg(F.sum("__r").alias("r"), F.count(F.lit(1)).alias("n"), F.count_if(is_bad(F.col("__x"))).alias("bad"),
                    F.percentile_approx("__x", fractions, max(10_000, 4 * ranges)).alias("b")).first()
@@ -178,16 +186,12 @@ def ks(df: DataFrame, pop: str, score: str = "score", ranges: int = KS_RANGES, v
         raise ValueError(f"{top['bad']} rows have a null or NaN score")
     nr, nc = int(top["r"] or 0), int(top["n"]) - int(top["r"] or 0)
     one, two, best = 1.0 / max(nr, 1), 1.0 / max(nc, 1), 0.0
-    # What is left to look at: (low, high] with the rows of both populations at or below low.
+    # What is left to look at: disjoint (low, high], in order, with the rows of both populations at or below low.
     todo, bounds = [(float("-inf"), float("inf"), 0, 0)], top["b"] or []
+    kept = rows
     while todo:
         cuts = sorted({*bounds, *[z for a, z, *_ in todo for z in (a, z) if abs(z) != float("inf")]})
-        inside = F.lit(False)
-        for a, z, *_ in todo:
-            inside = inside | ((F.col("__x") > a) & (F.col("__x") <= z))
-        kept = rows.where(inside) if todo != [(float("-inf"), float("inf"), 0, 0)] else rows
-        # Ranges are (bound, bound]: the negated value and bounds turn the half-open side round.
-        placed = assign_range(kept.withColumn("__y", F.lit(0.0) - F.col("__x")), "__y", sorted(0.0 - c for c in cuts), "__p")
+        placed = _half_open(kept, cuts)
         got = {r["__p"]: (int(r["r"]), int(r["c"]), r["lo"], r["hi"], int(r["d"])) for r in placed.groupBy("__p").agg(
             F.sum("__r").alias("r"), F.sum(1 - F.col("__r")).alias("c"), F.min("__x").alias("lo"), F.max("__x").alias("hi"),
             F.approx_count_distinct("__x").alias("d")).collect()}            # one row per range
@@ -199,7 +203,7 @@ def ks(df: DataFrame, pop: str, score: str = "score", ranges: int = KS_RANGES, v
                 a, z = ends[k], ends[k + 1]
                 if a < a0 or z > z0:
                     continue
-                gr, gc, lo, hi, d = got.get(len(cuts) - k, (0, 0, None, None, 0))
+                gr, gc, lo, hi, d = got.get(k, (0, 0, None, None, 0))
                 best = max(best, abs(r * one - c * two), abs((r + gr) * one - (c + gc) * two))
                 if gr + gc and lo != hi:
                     parts.append((max((r + gr) * one - c * two, (c + gc) * two - r * one), a, z, r, c, d))
@@ -208,22 +212,20 @@ def ks(df: DataFrame, pop: str, score: str = "score", ranges: int = KS_RANGES, v
         if not parts:
             break
         todo = [(a, z, r, c) for _, a, z, r, c, _ in parts]
-        inside = F.lit(False)
-        for a, z, *_ in todo:
-            inside = inside | ((F.col("__x") > a) & (F.col("__x") <= z))
+        edges = sorted({z for a, z, *_ in todo for z in (a, z) if abs(z) != float("inf")})
+        number = {a: i for i, (a, *_) in enumerate(todo)}
+        place = F.lit([number.get(a, -1) for a in [float("-inf"), *edges]])
+        # Each range between edges is one of ``todo`` or lies outside all: a lookup, however many there are.
+        kept = _half_open(rows, edges).withColumn("__p", place[F.col("__p")]).where("__p >= 0")
         few = sum(p[5] for p in parts) <= values
-        bounds = [] if few else rows.where(inside).agg(
-            F.percentile_approx("__x", fractions, max(10_000, 4 * ranges))).first()[0] or []
+        bounds = [] if few else kept.agg(F.percentile_approx("__x", fractions, max(10_000, 4 * ranges))).first()[0] or []
         if few or not any(a < b < z for b in bounds for a, z, *_ in todo):
-            base = F.lit(None).cast("int")
-            for i, (a, z, *_) in enumerate(todo):
-                base = F.when((F.col("__x") > a) & (F.col("__x") <= z), i).otherwise(base)
-            start = F.array(*[F.struct(F.lit(p[3]).alias("r"), F.lit(p[4]).alias("c")) for p in parts])
-            points = (rows.where(inside).groupBy(base.alias("__p"), "__x")
-                      .agg(F.sum("__r").alias("r"), F.sum(1 - F.col("__r")).alias("c")))
+            before = {n: F.lit([t[i] for t in todo]).cast("array<long>")[F.col("__p")] for n, i in (("r", 2), ("c", 3))}
+            points = kept.groupBy("__p", "__x").agg(F.sum("__r").alias("r"), F.sum(1 - F.col("__r")).alias("c"))
             run = Window.partitionBy("__p").orderBy("__x")                  # a few values of one range
-            gap = F.abs((start[F.col("__p")]["r"] + F.sum("r").over(run)) * one - (start[F.col("__p")]["c"] + F.sum("c").over(run)) * two)
+            gap = F.abs((before["r"] + F.sum("r").over(run)) * one - (before["c"] + F.sum("c").over(run)) * two)
             best = max(best, points.select(gap.alias("g")).agg(F.max("g")).first()[0] or 0.0)
             break
+        kept = kept.drop("__p")
     return df.sparkSession.range(1).select(F.lit(float(best)).alias("ks_stat"), F.lit(nr).cast("long").alias("reference_rows"),
                                            F.lit(nc).cast("long").alias("current_rows"))

@@ -87,3 +87,33 @@ def test_ks_matches_brute_force(spark, name, ref, cur, ranges, values):
     r = B.ks(both(spark, ref, cur), "pop", ranges=ranges, values=values).first()
     assert r["ks_stat"] == pytest.approx(np.abs(f - g).max(), abs=1e-12)
     assert (r["reference_rows"], r["current_rows"]) == (len(ref), len(cur))
+
+
+def test_ks_takes_ranges_by_lookup_however_many_are_left(spark):
+    """Equal populations leave all 512 ranges to look at: the plan must not grow with them."""
+    ref, cur = [k / 4000 for k in range(0, 4000, 2)], [k / 4000 for k in range(1, 4000, 2)]
+    df = both(spark, ref, cur)
+    aggregates = []
+    frame = type(df)
+    plain = frame.agg
+
+    def agg(self, *exprs):
+        aggregates.append(len(self._jdf.queryExecution().analyzed().toString()))
+        return plain(self, *exprs)
+
+    frame.agg = agg
+    try:
+        r = B.ks(df, "pop").first()
+    finally:
+        frame.agg = plain
+    assert r["ks_stat"] == pytest.approx(1 / 2000, abs=1e-12)
+    assert max(aggregates) < 20_000
+
+
+def test_ks_counts_rows_at_minus_infinity_in_every_round(spark):
+    ref = [float("-inf")] * 3 + [k / 50 for k in range(50)]
+    cur = [float("-inf")] + [k / 50 + 0.001 for k in range(50)]
+    at = np.array(sorted({*ref, *cur}))
+    f, g = (np.searchsorted(np.sort(x), at, side="right") / len(x) for x in (ref, cur))
+    r = B.ks(both(spark, ref, cur), "pop", ranges=3, values=4).first()
+    assert r["ks_stat"] == pytest.approx(np.abs(f - g).max(), abs=1e-12)
