@@ -41,7 +41,10 @@ def profile_table(spark: SparkSession, docs: DataFrame | None = None,
     else:
         rows = [("primary",) + PRIMARY, ("fallback",) + FALLBACK] + \
                [(k, float(a), float(b)) for k, (a, b) in (extra or {}).items()]
-        prof = spark.createDataFrame(rows, "profile string, approve_threshold double, decline_threshold double")
+        # Columns of one row: unlike rows handed over from Python, they have a size that Spark knows.
+        prof = spark.range(1).select(F.inline(F.array(*(
+            F.struct(F.lit(n).alias("profile"), F.lit(a).alias("approve_threshold"), F.lit(b).alias("decline_threshold"))
+            for n, a, b in rows))))
     t1, t2 = bands.artifact_thresholds(bundle_threshold)
     art = spark.range(1).select(F.lit(ARTIFACT).alias("profile"), t1.alias("approve_threshold"),
                                 t2.alias("decline_threshold"))

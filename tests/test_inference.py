@@ -97,3 +97,14 @@ def test_nan_score_fails_the_pass(spark):
     df = spark.createDataFrame([(0, 0.1), (1, float("nan"))], "id long, score double")
     with pytest.raises(Exception, match="null or NaN score"):
         run_inference(df, lambda d: d, profile_table(spark), "primary").collect()
+
+
+def test_default_profiles_are_joined_without_a_shuffle_of_the_rows(spark):
+    prof = profile_table(spark, extra={"phase2_guarded": (0.20, 0.80)})
+    rows = spark.range(1000).selectExpr("id / 1000D AS score", "if(id % 2 = 0, 'primary', 'artifact') AS p")
+    out = run_inference(rows, lambda d: d, prof, F.col("p"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert out.where("decision IS NULL").count() == 0
+    assert {tuple(r) for r in prof.collect()} == {("primary", 0.11, 0.45), ("fallback", 0.19, 0.8),
+                                                  ("phase2_guarded", 0.2, 0.8), ("artifact", 0.11, 0.45)}
