@@ -31,6 +31,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression
@@ -181,7 +182,6 @@ def _spread(line: str) -> str:
 
 
 def _words(text: str) -> list[str]:
-    import re
     return list(dict.fromkeys(re.findall("[a-z0-9]+", text.lower())))
 
 
@@ -271,14 +271,13 @@ def _verdict(model: Model, line: str) -> str:
     table = f"map_from_arrays({_array(names)}, array({', '.join(_numbers(model.weights[g]) for g in names)}))" if names else None
     start = _numbers(model.intercepts)
     scores = start if not names else (
-        f"aggregate({grams(line)}, {start}, (s, g) -> if(map_contains_key({table}, g), "
-        f"zip_with(s, element_at({table}, g), (a, b) -> a + b), s))")
+        f"aggregate(array_intersect({grams(line)}, {_array(names)}), {start}, "
+        f"(s, g) -> zip_with(s, element_at({table}, g), (a, b) -> a + b))")
     best = "array_max(slice(s, 2, size(s)))"
     return f"transform(array({scores}), s -> named_struct('family', array_position(s, {best}) - 1, 'margin', {best} - s[0]))[0]"
 
 
 def _pairs(text: str) -> list[str]:
-    import re
     w = re.findall("[a-z0-9]+", text.lower())
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))
 
@@ -299,25 +298,52 @@ def _templates(family: str) -> str:
 
 
 def _units(text: str) -> str:
-    """All lines of a text and all runs of two or more neighbouring lines with words (SQL): ``t``
-    (text), ``line`` and ``last`` (from 0)."""
-    ends = (f"aggregate(if(i + 1 < size(w) and size(w[i]) > 0, sequence(i + 1, least(i + {RUN_WORDS}, size(w) - 1)), cast(array() as array<int>)), "
+    """All lines of a text and all runs of two or more neighbouring lines with words that hold a word
+    pair of a template's own, without which a run is never confirmed and so never counts (SQL):
+    ``t`` (text), ``line`` and ``last`` (from 0)."""
+    own = _array(sorted({p for f, texts in TEMPLATES.items() for t in texts for p in _own(f, t)}))
+    # Whether an own pair starts in the line; its second word may be the next line's first.
+    starts = (f"transform(w, (x, i) -> if(size(x) = 0, false, coalesce(arrays_overlap(transform(sequence(1, size(x)), "
+              f"j -> concat(x[j - 1], ' ', if(j < size(x), x[j], get(get(w, i + 1), 0)))), {own}), false)))")
+    ends = (f"aggregate(if(i + 1 < size(w) and size(w[i]) > 0 and exists(slice(o, i + 1, {RUN_WORDS + 1}), z -> z), "
+            f"sequence(i + 1, least(i + {RUN_WORDS}, size(w) - 1)), cast(array() as array<int>)), "
             "named_struct('open', true, 'n', 0, 'ends', cast(array() as array<int>)), "
             "(s, k) -> if(not s.open or size(w[k]) = 0, named_struct('open', false, 'n', s.n, 'ends', s.ends), "
             f"named_struct('open', s.n + size(w[k]) < {RUN_WORDS}, 'n', s.n + size(w[k]), 'ends', concat(s.ends, array(k)))), s -> s.ends)")
+    held = f"filter({ends}, k -> exists(slice(o, i + 1, k - i + 1), z -> z))"
     first = f"slice(w[i], greatest(size(w[i]) - {RUN_WORDS - 1}, 1), {RUN_WORDS})"
     run = f"concat({first}, flatten(slice(w, i + 2, k - i - 1)), slice(w[k], 1, {RUN_WORDS}))"
-    runs = (f"transform(array(transform({text}, t -> {words('t')})), w -> flatten(transform(sequence(0, size(w) - 1), "
-            f"i -> transform({ends}, k -> named_struct('t', array_join({run}, ' '), 'line', i, 'last', k)))))[0]")
+    none = "cast(array() as array<struct<t: string, line: int, last: int>>)"
+    runs = (f"transform(array(transform({text}, t -> {words('t')})), w -> transform(array({starts}), o -> "
+            f"if(not exists(o, z -> z), {none}, flatten(transform(sequence(0, size(w) - 1), "
+            f"i -> transform({held}, k -> named_struct('t', array_join({run}, ' '), 'line', i, 'last', k))))))[0])[0]")
     return f"concat(transform({text}, (t, i) -> named_struct('t', t, 'line', i, 'last', i)), {runs})"
 
 
+def any_of(words: list[str]) -> str:
+    """A pattern for any of the words, with the beginnings that they share written once; what is no
+    plain word stands as it is."""
+    def shared(ends: list[str]) -> str:
+        heads = {e[0]: [] for e in ends if e}
+        for e in ends:
+            if e:
+                heads[e[0]].append(e[1:])
+        parts = [h + shared(rest) for h, rest in heads.items()]
+        if len(parts) == 1 and "" not in ends:
+            return parts[0]
+        return "(?:" + "|".join(parts) + ")" + ("?" if "" in ends else "") if parts else ""
+
+    plain = sorted({w for w in words if re.fullmatch("[a-z0-9]+", w)})
+    return "|".join([*([shared(plain)] if plain else []), *[w for w in words if w not in plain]])
+
+
 def findings(model: Model, text: str = "text") -> Column:
     """An array over the lines that the classifier names and the runs of lines that count: ``line``
     and ``last`` (from 0), ``family``, ``probability``, ``template`` (share of the best template
     found with a pair of its own), ``confirmed``."""
-    # As words are runs of a-z and 0-9, an underscore ends them too.
-    trigger = "(?<![a-z0-9])(?:" + "|".join(model.triggers) + ")(?![a-z0-9])" if model.triggers else "(?!)"
+    # As words are runs of a-z and 0-9, an underscore ends them too. Tried on the text after a blank:
+    # asking what stands before each place (a look behind) costs more than the words themselves.
+    trigger = f"[^a-z0-9](?:{any_of(model.triggers)})(?![a-z0-9])" if model.triggers else "(?!)"
     slope, shift = model.calibration
     names = _array(FAMILIES)
     share = (f"transform(array({grams('x.t')}), g -> array_max(transform({_templates('x.v.family')}, "
@@ -326,7 +352,7 @@ def findings(model: Model, text: str = "text") -> Column:
     none = f"cast(array() as {kind})"
     named = f"""
       transform(filter(transform(filter({_units(f"split({text}, '\\n')")},
-          x -> lower(x.t) rlike '{trigger}'),
+          x -> concat(' ', lower(x.t)) rlike '{trigger}'),
         x -> named_struct('t', x.t, 'line', x.line, 'last', x.last, 'v', {_verdict(model, 'x.t')})),
         x -> x.v.margin * {slope!r}D + {shift!r}D >= {math.log(MIN_KNOWN / (1 - MIN_KNOWN))!r}D),
         x -> transform(array({share}), c -> named_struct('line', x.line, 'last', x.last, 'family', {names}[int(x.v.family)],
@@ -342,7 +368,7 @@ def findings(model: Model, text: str = "text") -> Column:
             f"'kept', if({counts}, transform(s.kept, (v, f) -> if(f = {at}, x.last, v)), s.kept), "
             f"'runs', if({counts}, concat(s.runs, array(x)), s.runs)), s -> s.runs)")
     return F.expr(f"""
-      if(not lower({text}) rlike '{trigger}', {none},
+      if(not concat(' ', lower({text})) rlike '{trigger}', {none},
         transform(array(cast({named} as {kind})), a -> if(size(a) = 0, a,
           array_sort(concat(filter(a, x -> x.line = x.last), {runs}))))[0])""")
 

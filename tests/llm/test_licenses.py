@@ -133,3 +133,25 @@ def test_sampled_lines_are_whole_or_spread(spark):
     assert long in got and len(got) == 2
     [some] = got - {long}
     assert some.startswith("w0 w1 ") and some.endswith(" w39998 w39999") and len(some) == licenses.LINE_CHARS + licenses.PIECES - 1
+
+
+def test_any_of_shares_beginnings():
+    words = ["mit", "mi", "apache", "apart", "a", "0", "gpl", "gpl3"]
+    pattern = re.compile(f"[^a-z0-9](?:{licenses.any_of(words)})(?![a-z0-9])")
+    for w in [*words, "m", "mitt", "ap", "apar", "gp", "gpl33", "00", "xmit"]:
+        for text in (w, f"x {w}", f"x_{w}, y", f"{w} {w}"):
+            assert bool(pattern.search(" " + text)) == (w in words), text
+    assert licenses.any_of(["[a-z0-9]+"]) == "[a-z0-9]+"
+
+
+def test_only_runs_with_an_own_pair_are_joined(spark, model):
+    """Lines of plain words make no runs; a notice over lines makes those around its own pairs."""
+    def units(text):
+        df = frame(spark, [text])
+        return [tuple(r) for r in df.selectExpr(f"inline({licenses._units('split(text, chr(10))')})").collect()]
+
+    plain = "one word\n" * 40 + "and more"
+    assert [(a, b) for _, a, b in units(plain)] == [(i, i) for i in range(41)]
+    runs = [u for u in units("one word\nunder the mit\nlicense here\nend") if u[2] > u[1]]
+    assert sorted(u[1:] for u in runs) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3)]
+    assert ("under the mit license here", 1, 2) in runs
