@@ -12,6 +12,8 @@ logarithms of those conditional probabilities scores the document.
   corpus. Such a word's probability is its bucket's times ``(n + SMOOTH) / (bucket's n + SMOOTH *
   (bucket's words + 1))``; the one more is the outcome "a word never counted". Counts reach the
   documents by a join on the word, of one row per document and distinct word.
+* Texts are read twice: for the counts, and to be stored as numbers (two bytes a word), which all
+  rounds and the scores read.
 * Training: every place of every document is learned once. The places are dealt by hash over
   ``EVERY`` rounds; in a round every task runs stochastic descent over the round's places of all
   its documents, the tasks' networks are averaged by the places they saw, and the average starts
@@ -58,6 +60,12 @@ SMOOTH = 0.5
 HELD_WORDS = 1 << 20
 #: Tokens predicted at once.
 BLOCK = 1 << 14
+#: Rows of outputs handled while they are in the processor's cache.
+PART = 1 << 10
+#: Exponents beyond which a row of outputs is shifted before it is raised.
+SAFE = 60.0
+#: Places of a class up to which a step computes it together with other classes.
+FEW = 4
 
 
 class Net(NamedTuple):
@@ -137,9 +145,15 @@ class Vocabulary:
         self.sorted = np.append(ranked[order], np.uint64(2**64 - 1))
         self.ids = np.append(order, 0).astype(np.int32)
         self.known = len(ranked)
+        # Where the hashes that begin with each 16 bits lie, and how many at most begin alike.
+        edges = np.searchsorted(self.sorted[:-1], np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+        self.first = edges.astype(np.int32)
+        self.alike = int(np.diff(edges, append=self.known).max())
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.sorted[:-1], hashes)
+        at = self.first.take(hashes >> np.uint64(48))
+        for _ in range(self.alike):
+            at += self.sorted.take(at) < hashes
         hit = (self.sorted[at] == hashes) & (at < self.known)
         return np.where(hit, self.ids[at], KNOWN + (hashes & np.uint64(OTHERS - 1)).astype(np.int32))
 
@@ -166,7 +180,7 @@ def neighbours(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Ids of the SIDE places before and after each token, PAD outside its document."""
     n = len(ids)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    out = np.full((n, 2 * SIDE), PAD, np.int32)
+    out = np.full((n, 2 * SIDE), PAD, np.int16)
     for k, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         a, b = max(0, -step), n - max(0, step)
         if a < b:
@@ -175,73 +189,178 @@ def neighbours(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _bounded(z: np.ndarray) -> np.ndarray:
+    """``z``, its rows shifted in place where exp(z) could overflow or vanish: in a row only
+    differences matter."""
+    if not (z.max(initial=0) < SAFE and z.min(initial=0) > -SAFE):
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def _log_shares(z: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's share of its column ``own`` among exp(z); overwrites ``z``."""
+    total = _bounded(z).take(np.arange(len(z)) * z.shape[1] + own)
+    np.exp(z, out=z)
+    return total - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
 def log_probabilities(net: Net, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """The logarithm of each token's probability given its neighbours."""
     out = np.empty(len(ids))
     for a in range(0, len(ids), BLOCK):
-        own, near = ids[a:a + BLOCK], around[a:a + BLOCK]
-        h = np.tanh(net.embed[near].reshape(len(own), -1) @ net.hidden + net.hidden_shift)
-        kind, word = own // IN_CLASS, own % IN_CLASS
-        p = _log_softmax(h @ net.classes + net.class_shift)[np.arange(len(own)), kind].astype(np.float64)
+        # In the order of classes, so that each class's words are one run.
+        kind, word = np.divmod(ids[a:a + BLOCK].astype(np.int16), np.int16(IN_CLASS))
         order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        kind, word, near = kind[order], word[order], around[a:a + BLOCK][order]
+        p = np.empty(len(kind))
+        ends = np.searchsorted(kind, np.arange(CLASSES + 1))
+        h = np.empty((len(kind), HIDDEN), net.hidden.dtype)
+        for i in range(0, len(kind), PART):
+            j = i + PART
+            x = net.embed.take(near[i:j], axis=0).reshape(-1, 2 * SIDE * EMBED) @ net.hidden
+            x += net.hidden_shift
+            np.tanh(x, out=h[i:j])
+            z = h[i:j] @ net.classes
+            z += net.class_shift
+            p[i:j] = _log_shares(z, kind[i:j])
         for c in range(CLASSES):
-            rows = order[ends[c]:ends[c + 1]]
-            if len(rows):
-                p[rows] += _log_softmax(h[rows] @ net.words[c] + net.word_shift[c])[np.arange(len(rows)), word[rows]]
-        out[a:a + BLOCK] = p
+            for i in range(ends[c], ends[c + 1], PART):
+                j = min(i + PART, ends[c + 1])
+                z = h[i:j] @ net.words[c]
+                z += net.word_shift[c]
+                p[i:j] += _log_shares(z, word[i:j])
+        out[a + order] = p
     return out
 
 
+def _slots(x: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """The first rows of ``x`` at their slots, FEW a class; zero elsewhere."""
+    out = np.zeros((CLASSES * FEW, x.shape[1]), x.dtype)
+    out[slot] = x[:len(slot)]
+    return out.reshape(CLASSES, FEW, -1)
+
+
 def learn(net: Net, ids: np.ndarray, around: np.ndarray, rate: float) -> None:
     """One step of plain descent on a batch's mean loss, in place."""
     n = len(ids)
-    x = net.embed[around].reshape(n, -1)
-    h = np.tanh(x @ net.hidden + net.hidden_shift)
-    kind, word = ids // IN_CLASS, ids % IN_CLASS
-    dc = np.exp(_log_softmax(h @ net.classes + net.class_shift))
-    dc[np.arange(n), kind] -= 1
-    dc /= n
-    dh = dc @ net.classes.T
-    order = np.argsort(kind, kind="stable")
-    starts = np.flatnonzero(np.diff(kind[order], prepend=-1))
-    runs = list(zip(kind[order][starts].tolist(), starts.tolist(), [*starts[1:].tolist(), n], strict=True))
-    hs = h[order]
-    z = np.empty((n, IN_CLASS), hs.dtype)
+    # Places in the order of their classes: first those of classes with up to FEW places, which are
+    # computed together, FEW slots a class; then the others, one run a class.
+    kind = (ids // IN_CLASS).astype(np.int16)
+    counts = np.bincount(kind, minlength=CLASSES)
+    many = counts > FEW
+    ranked = np.argsort(many, kind="stable")
+    begin = np.empty(CLASSES, np.int64)
+    begin[ranked] = np.cumsum(counts[ranked]) - counts[ranked]
+    order = np.argsort(kind + many.take(kind) * np.int16(CLASSES), kind="stable")
+    kind, word, around = kind.take(order), ids.take(order) % IN_CLASS, around.take(order, axis=0)
+    large = np.flatnonzero(many)
+    few = int(n - counts[large].sum())
+    runs = list(zip(large.tolist(), begin[large].tolist(), (begin + counts)[large].tolist(), strict=True))
+    rows = np.arange(n)
+    slot = (np.arange(CLASSES) * FEW - begin).take(kind[:few]) + rows[:few]
+
+    x = net.embed.take(around, axis=0).reshape(n, -1)
+    h = x @ net.hidden
+    h += net.hidden_shift
+    np.tanh(h, out=h)
+    words, held = net.words, _slots(h, slot)
+    both = np.empty((2 * n, IN_CLASS), h.dtype)
+    kinds, z = both[:n], both[n:]
+    np.dot(h, net.classes, out=kinds)
+    kinds += net.class_shift
+    z[:few] = (held @ words).reshape(-1, IN_CLASS).take(slot, axis=0)
     for c, a, b in runs:
-        z[a:b] = hs[a:b] @ net.words[c] + net.word_shift[c]
-    dw = np.exp(_log_softmax(z))
-    dw[np.arange(n), word[order]] -= 1
-    dw /= n
-    back = np.empty_like(hs)
+        np.dot(h[a:b], words[c], out=z[a:b])
+    z += net.word_shift.take(kind, axis=0)
+
+    # From here on everything is a step: a gradient times the rate.
+    np.exp(_bounded(both), out=both)
+    both *= (rate / n / (both @ np.ones(IN_CLASS, h.dtype)))[:, None]
+    both.reshape(-1)[np.concatenate([rows * CLASSES + kind, (n + rows) * IN_CLASS + word])] -= rate / n
+    back, step, ones = kinds @ net.classes.T, _slots(z, slot), np.ones(n, h.dtype)
+    back[:few] += (step @ words.transpose(0, 2, 1)).reshape(-1, HIDDEN).take(slot, axis=0)
+    words_step, shift_step = held.transpose(0, 2, 1) @ step, step.sum(axis=1)
     for c, a, b in runs:
-        back[a:b] = dw[a:b] @ net.words[c].T
-        net.words[c] -= rate * hs[a:b].T @ dw[a:b]
-    dh[order] += back
-    net.word_shift[kind[order][starts]] -= rate * np.add.reduceat(dw, starts, axis=0)
-    net.classes[...] -= rate * h.T @ dc
-    net.class_shift[...] -= rate * dc.sum(0)
-    dh *= 1 - h * h
-    dx = (dh @ net.hidden.T).reshape(-1, EMBED)
-    net.hidden[...] -= rate * x.T @ dh
-    net.hidden_shift[...] -= rate * dh.sum(0)
+        back[a:b] += z[a:b] @ words[c].T
+        np.dot(h[a:b].T, z[a:b], out=words_step[c])
+        np.dot(ones[a:b], z[a:b], out=shift_step[c])
+    words -= words_step
+    net.word_shift[...] -= shift_step
+    net.classes[...] -= h.T @ kinds
+    net.class_shift[...] -= ones @ kinds
+    h *= h
+    back *= 1 - h
+    dx = (back @ net.hidden.T).reshape(-1, EMBED)
+    net.hidden[...] -= x.T @ back
+    net.hidden_shift[...] -= ones @ back
     # Rare words meet few batches: their embeddings move by the summed, not the mean, step.
-    near = around.ravel()
+    near = around.astype(np.int16).ravel()
     order = np.argsort(near, kind="stable")
-    starts = np.flatnonzero(np.diff(near[order], prepend=-1))
-    net.embed[near[order][starts]] -= rate * 4 * np.add.reduceat(dx[order], starts, axis=0)
+    near, dx = near.take(order), dx.take(order, axis=0)
+    first = np.ones(len(near), bool)
+    np.not_equal(near[1:], near[:-1], out=first[1:])
+    first = np.flatnonzero(first)
+    # Columns are summed in pairs, as complex numbers: half as many sums.
+    moved = np.add.reduceat(dx.view(np.result_type(dx, np.complex64)), first, axis=0).view(dx.dtype)
+    moved *= 4
+    net.embed[near.take(first)] -= moved
 
 
-def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, every: int = EVERY) -> Net:
+def in_documents(hashes: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words among ``others`` (a mask) of each document: words, times, bounds."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[others]
+    order = np.lexsort((hashes[others], doc))
+    doc, word = doc[order], hashes[others][order]
+    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))[:len(doc)])
+    return word[first], np.diff(np.append(first, len(doc))), np.searchsorted(doc[first], np.arange(len(bounds)))
+
+
+def code_type(every: int) -> str:
+    return "<u2" if PAD * every <= 1 << 16 else "<u8"
+
+
+def encode(docs: DataFrame, vocab: Vocabulary, every: int = EVERY) -> DataFrame:
+    """The texts as numbers, stored once for all rounds and the scores: ``row`` (a number of its
+    own), ``doc_id``, ``code`` (of each place, its word's id times ``every`` plus the place's turn)
+    and, where the vocabulary has a table, the distinct ``word``s in buckets with their ``times``."""
+    words = docs.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(s: pa.RecordBatch) -> pa.RecordBatch:
+        hashes, bounds = shingles.word_hashes(raw_texts(s))
+        ids = words.value(hashes)
+        place = (np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.uint64)
+        turn = shingles.mix(hashes ^ place) % np.uint64(every)
+        code = (ids.astype(np.uint64) * np.uint64(every) + turn).astype(code_type(every))
+        columns = {}
+        if words.value.table:
+            word, times, ends = in_documents(hashes, bounds, ids >= KNOWN)
+            ends = pa.array(ends.astype(np.int32))
+            columns = {"word": pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64))),
+                       "times": pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))}
+        ends = (bounds * code.itemsize).astype(np.int32)
+        data = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(code)])
+        return pa.RecordBatch.from_pydict({"doc_id": s.column(0), "code": data, **columns})
+
+    schema = "doc_id long, code binary" + (", word array<long>, times array<int>" if vocab.table else "")
+    coded = map_slices(docs.select("doc_id", "text"), run, schema)
+    return store(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
+
+
+def decode(batch: pa.RecordBatch, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, turns and bounds of a batch's places."""
+    texts = batch.column(batch.schema.get_field_index("code")).to_pylist()
+    code = np.frombuffer(b"".join(texts), code_type(every))
+    ids = code // code.dtype.type(every)
+    bounds = np.cumsum([0] + [len(x) // code.itemsize for x in texts])
+    return ids.astype(np.int32), code - ids * code.dtype.type(every), bounds
+
+
+def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, every: int = EVERY, coded: DataFrame | None = None) -> Net:
     """Rounds of descent in every task, averaged by the number of places seen; with fewer rounds
-    than ``every`` there are ``every`` of them, so that each place has its turn."""
+    than ``every`` there are ``every`` of them, so that each place has its turn. ``coded``: the
+    texts as ``encode`` stored them, with the same ``every``."""
     context, net = docs.sparkSession.sparkContext, start(vocab.counts)
-    words = context.broadcast(vocab)
+    places = (encode(docs, vocab, every) if coded is None else coded).select("code")
     for turn in range(max(rounds, every)):
         before = context.broadcast(flat(net))
 
@@ -249,12 +368,10 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, every: int =
             own, seen, held, size = shaped(before.value.copy()), 0, [], 0
             rate = RATE / (1 + turn)
             for b in batches:
-                for s in slices(b):
-                    hashes, bounds = shingles.word_hashes(raw_texts(s))
-                    ids = words.value(hashes)
-                    place = (np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.uint64)
-                    picked = shingles.mix(hashes ^ place) % np.uint64(every) == turn % every
-                    held.append((ids[picked], neighbours(ids, bounds)[picked]))
+                for s in slices(b, "code"):
+                    ids, turns, bounds = decode(s, every)
+                    picked = np.flatnonzero(turns == turn % every)
+                    held.append((ids.take(picked), neighbours(ids, bounds).take(picked, axis=0)))
                     size += len(held[-1][0])
                     if size >= 16 * BATCH:
                         ids, around = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -271,67 +388,50 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, every: int =
                 seen += size
             return np.append(flat(own).astype(np.float64) * seen, float(seen))
 
-        total = gather(docs.select("doc_id", "text"), fill, "<f4")
+        total = gather(places, fill, "<f4")
         if total[-1]:
             net = shaped(total[:-1] / total[-1])
     return net
 
 
-def in_documents(hashes: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words among ``others`` (a mask) of each document: words, times, bounds."""
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[others]
-    order = np.lexsort((hashes[others], doc))
-    doc, word = doc[order], hashes[others][order]
-    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))[:len(doc)])
-    return word[first], np.diff(np.append(first, len(doc))), np.searchsorted(doc[first], np.arange(len(bounds)))
-
-
-def score(docs: DataFrame, vocab: Vocabulary, net: Net) -> DataFrame:
-    """One row per input row: ``doc_id, n_tokens, log_likelihood, mean_log_probability, perplexity``."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
+def score(docs: DataFrame, vocab: Vocabulary, net: Net, coded: DataFrame | None = None, every: int = EVERY) -> DataFrame:
+    """One row per input row: ``doc_id, n_tokens, log_likelihood, mean_log_probability, perplexity``.
+    ``coded``: the texts as ``encode`` stored them, with the same ``every``."""
+    coded = encode(docs, vocab, every) if coded is None else coded
+    bucket = np.log(vocab.counts[KNOWN:] + SMOOTH * (vocab.distinct + 1)) if vocab.table else None
+    shared = docs.sparkSession.sparkContext.broadcast((net, bucket))
 
     def run(s: pa.RecordBatch) -> pa.RecordBatch:
-        words, own = shared.value
-        hashes, bounds = shingles.word_hashes(raw_texts(s))
-        ids = words(hashes)
+        own, bucket = shared.value
+        ids, _, bounds = decode(s, every)
         each = log_probabilities(own, ids, neighbours(ids, bounds))
-        columns = {}
-        if words.table:
-            bucket = np.log(words.counts[KNOWN:] + SMOOTH * (words.distinct + 1))
-            others = ids >= KNOWN
+        if bucket is not None:
+            others = np.flatnonzero(ids >= KNOWN)
             each[others] -= bucket[ids[others] - KNOWN]
-            word, times, ends = in_documents(hashes, bounds, others)
-            ends = pa.array(ends.astype(np.int32))
-            columns = {"word": pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64))),
-                       "times": pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))}
         each = np.concatenate([[0.0], np.cumsum(each)])
         return pa.RecordBatch.from_pydict({
-            "doc_id": s.column(0), "n_tokens": pa.array(np.diff(bounds).astype(np.int64)),
-            "log_likelihood": pa.array(each[bounds[1:]] - each[bounds[:-1]]), **columns})
+            "row": s.column(0), "doc_id": s.column(1), "n_tokens": pa.array(np.diff(bounds).astype(np.int64)),
+            "log_likelihood": pa.array(each[bounds[1:]] - each[bounds[:-1]])})
 
-    plain = "doc_id long, n_tokens long, log_likelihood double"
-    some = docs.select("doc_id", "text")
-    scored = (with_word_counts(map_slices(some, run, plain + ", word array<long>, times array<int>"), vocab.table)
-              if vocab.table else map_slices(some, run, plain))
+    scored = map_slices(coded.select("row", "doc_id", "code"), run, "row long, doc_id long, n_tokens long, log_likelihood double", "code")
+    scored = (with_word_counts(scored, coded, vocab.table) if vocab.table else scored).drop("row")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_probability", mean).withColumn("perplexity", F.exp(-mean))
 
 
-def with_word_counts(scored: DataFrame, table: str) -> DataFrame:
+def with_word_counts(scored: DataFrame, coded: DataFrame, table: str) -> DataFrame:
     """Adds the logarithm of each listed word's smoothed count, as often as it occurs, to its row."""
-    # Row numbers hold for both readings because the rows are stored with them.
-    rows = store(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    counts = rows.sparkSession.read.schema(WORDS).parquet(table)
-    listed = rows.select("row", F.inline(F.arrays_zip("word", "times")))
+    counts = scored.sparkSession.read.schema(WORDS).parquet(table)
+    listed = coded.select("row", F.inline(F.arrays_zip("word", "times")))
     parts = listed.join(counts, "word", "left").select(
         "row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
         (F.col("times") * F.log(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("log_likelihood"))
-    return (rows.select("row", "doc_id", "n_tokens", "log_likelihood").unionByName(parts).groupBy("row")
-            .agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("log_likelihood").alias("log_likelihood"))
-            .drop("row"))
+    return (scored.unionByName(parts).groupBy("row")
+            .agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("log_likelihood").alias("log_likelihood")))
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Vocabulary, training and scores, all from ``docs``."""
     vocab = vocabulary(docs)
-    return score(docs, vocab, train(docs, vocab))
+    coded = encode(docs, vocab)
+    return score(docs, vocab, train(docs, vocab, coded=coded), coded)

@@ -131,3 +131,85 @@ def test_every_word_has_a_probability_of_its_own(spark):
     # The words of a bucket and one never counted share the bucket's probability.
     for b in {place[w] for w in rare}:
         assert abs(sum(np.exp(within(w)) for w in rare if place[w] == b) + 0.5 / (sum(counts[w] for w in rare if place[w] == b) + 0.5 * (sum(place[w] == b for w in rare) + 1)) - 1) < 1e-9
+
+
+def plain_step(net, ids, around, rate):
+    """One step by the definition, one place at a time."""
+    grads = [np.zeros_like(w) for w in net]
+    e, hid, hs, cl, cs, wo, ws = grads
+    for own, near in zip(ids, around, strict=True):
+        x = net.embed[near].ravel()
+        h = np.tanh(x @ net.hidden + net.hidden_shift)
+        c, w = divmod(int(own), lm.IN_CLASS)
+        d = []
+        for z, k in ((h @ net.classes + net.class_shift, c), (h @ net.words[c] + net.word_shift[c], w)):
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            p[k] -= 1
+            d.append(p / len(ids))
+        back = (net.classes @ d[0] + net.words[c] @ d[1]) * (1 - h * h)
+        cl += np.outer(h, d[0])
+        cs += d[0]
+        wo[c] += np.outer(h, d[1])
+        ws[c] += d[1]
+        hid += np.outer(x, back)
+        hs += back
+        np.add.at(e, near, 4 * (net.hidden @ back).reshape(-1, lm.EMBED))
+    return lm.Net(*(w - rate * g for w, g in zip(net, grads, strict=True)))
+
+
+def test_a_step_equals_its_definition_whatever_the_classes():
+    rng = np.random.default_rng(3)
+    for n, most, scale in ((1, lm.PAD, 1), (7, 64, 1), (300, lm.PAD, 1), (300, 1, 1), (200, 500, 1), (64, lm.PAD, 300)):
+        net = small_net(rng)
+        net.word_shift[...] *= scale        # beyond the range of exp in one step
+        net.class_shift[...] *= scale
+        ids, around = rng.integers(0, most, n).astype(np.int32), rng.integers(0, lm.PAD + 1, (n, 4)).astype(np.int16)
+        want, moved = plain_step(net, ids, around, 0.5), lm.Net(*(w.copy() for w in net))
+        lm.learn(moved, ids, around, 0.5)
+        for k in net._fields:
+            assert np.allclose(getattr(moved, k), getattr(want, k), rtol=1e-9, atol=1e-10), (n, most, scale, k)
+        assert abs(lm.log_probabilities(net, ids, around).sum() - sum(
+            brute_place(net, i, a) for i, a in zip(ids, around, strict=True))) < 1e-6 * n
+
+
+def brute_place(net, own, near):
+    h = np.tanh(net.embed[near].ravel() @ net.hidden + net.hidden_shift)
+    c, w = divmod(int(own), lm.IN_CLASS)
+    total = 0.0
+    for z, k in ((h @ net.classes + net.class_shift, c), (h @ net.words[c] + net.word_shift[c], w)):
+        total += z[k] - z.max() - np.log(np.exp(z - z.max()).sum())
+    return total
+
+
+def test_texts_are_coded_once_for_rounds_and_scores(spark):
+    texts = [None, "", "the cat sat", " ", "a b c d e f the the", *(f"w{i} w{i % 7}" for i in range(50)), "the cat sat"]
+    docs = frame(spark, texts)
+    hashes, bounds = shingles.word_hashes([(t or "").encode() for t in texts])
+    vocab = lm.Vocabulary(np.unique(hashes)[::3], np.ones(lm.PAD))
+    for every in (2, 20):
+        coded = lm.encode(docs, vocab, every).orderBy("doc_id")
+        ids, turns, ends = lm.decode(coded.select("code").toArrow().combine_chunks().to_batches()[0], every)
+        place = np.concatenate([np.arange(n) for n in np.diff(bounds)]).astype(np.uint64)
+        assert ids.tolist() == vocab(hashes).tolist() and ends.tolist() == bounds.tolist()
+        assert turns.tolist() == (shingles.mix(hashes ^ place) % np.uint64(every)).tolist()
+    # Rounds and scores read the stored codes, not the texts.
+    coded, other = lm.encode(docs, vocab), frame(spark, ["something else"])
+    net = lm.train(other, vocab, coded=coded)
+    assert not np.array_equal(lm.flat(net), lm.flat(lm.start(vocab.counts)))
+    got = {r.doc_id: r for r in lm.score(other, vocab, net, coded).collect()}
+    assert [got[i].n_tokens for i in range(len(texts))] == np.diff(bounds).tolist()
+    assert lm.encode(frame(spark, [None, ""]), vocab).count() == 2
+
+
+def test_words_are_found_among_hashes_that_begin_alike():
+    rng = np.random.default_rng(4)
+    near = np.uint64(0xABCD) << np.uint64(48)
+    known = np.unique(np.concatenate([near + rng.integers(0, 50, 30).astype(np.uint64), rng.integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2),
+                                      np.array([0, 2**64 - 2], np.uint64)]))
+    ranked = rng.permutation(known)
+    asked = np.concatenate([known, near + np.arange(60, dtype=np.uint64), rng.integers(0, 2**63, 500).astype(np.uint64), np.array([2**64 - 1, 1], np.uint64)])
+    place = {int(h): i for i, h in enumerate(ranked)}
+    want = [place.get(int(h), lm.KNOWN + int(h) % lm.OTHERS) for h in asked]
+    assert lm.Vocabulary(ranked, np.ones(lm.PAD))(asked).tolist() == want
+    assert lm.Vocabulary(ranked[:0], np.ones(lm.PAD))(asked).tolist() == [lm.KNOWN + int(h) % lm.OTHERS for h in asked]
