@@ -62,6 +62,40 @@ def test_candidates_equal_single_fits(spark, fitted):
             [r["score"] for r in model.score(one, train).collect()], abs=1e-6)
 
 
+def test_candidates_share_their_passes(spark, fitted, tmp_path):
+    from pyspark.ml import PipelineModel
+    train, summary, _ = fitted
+    context = spark.sparkContext
+    jobs = []
+    for cands in (model.default_candidates(c_values=(1.0,))[1:], model.default_candidates(max_iter=500)):
+        context.setJobGroup(f"fits-{len(cands)}", "")
+        found = model.fit_candidates(train, ["a", "b"], cands, summary=summary)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"fits-{len(cands)}")))
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs[1] <= jobs[0] + 6, jobs         # five fits: at most a pass or two more than one
+    found[0].write().save(str(tmp_path / "raw"))
+    again = PipelineModel.load(str(tmp_path / "raw"))
+    assert again.stages[-1].coefficients == found[0].stages[-1].coefficients
+    assert again.transform(train).where("prediction = label").count() > 120
+
+
+def test_candidates_on_odd_rows_equal_single_fits(spark):
+    cands = [model.Candidate("raw", 0.5, False, 2000), model.Candidate("scaled", 0.5, True, 2000)]
+    rows = {"separable, one constant": [(float(i), 7.0, int(i > 30)) for i in range(60)],
+            "rare, far scales": [(float(i % 11), float(i * i % 97) * 1e4, int(i % 50 == 0)) for i in range(400)] * 2,
+            "all 1": [(1.0, 2.0, 1), (2.0, 5.0, 1)], "all 0": [(1.0, 2.0, 0), (2.0, 5.0, 0)]}
+    for name, some in rows.items():
+        train = spark.createDataFrame(some, "a double, b double, label int")
+        for c, m in zip(cands, model.fit_candidates(train, ["a", "b"], cands)):
+            one = model.fit_logistic(train, ["a", "b"], c_value=c.c_value, max_iter=c.max_iter, scaled=c.scaled)
+            assert [r["score"] for r in model.score(m, train).collect()] == pytest.approx(
+                [r["score"] for r in model.score(one, train).collect()], abs=1e-5), (name, c.name)
+    for bad in ((None, 1.0, 1), (float("nan"), 1.0, 0), (1.0, 1.0, None), (1.0, 1.0, 2)):
+        train = spark.createDataFrame([*rows["separable, one constant"], bad], "a double, b double, label int")
+        with pytest.raises(Exception, match="fit rejected"):
+            model.fit_candidates(train, ["a", "b"], cands)
+
+
 def test_scorecard_bundle_and_bare_model(spark, fitted, tmp_path):
     train, summary, m = fitted
     card = scorecard.from_model(m, ["a", "b"], summary)
