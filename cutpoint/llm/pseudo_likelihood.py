@@ -10,8 +10,9 @@ logarithms of those conditional probabilities scores the document.
   word's class, then the word within its class), so a token costs two short rows.
 * Words in buckets: the whole table of word counts belongs to the model, so it grows with the
   corpus. Such a word's probability is its bucket's times ``(n + SMOOTH) / (bucket's n + SMOOTH *
-  (bucket's words + 1))``; the one more is the outcome "a word never counted". Counts reach the
-  documents by a join on the word, of one row per document and distinct word.
+  (bucket's words + 1))``; the one more is the outcome "a word never counted". Counts of up to
+  ``FREQUENT`` words are known to every task; all others reach the documents by a join on the word,
+  of one row per document and distinct word.
 * Texts are read twice: for the counts, and to be stored as numbers (two bytes a word), which all
   rounds and the scores read.
 * Training: every place of every document is learned once. The places are dealt by hash over
@@ -56,6 +57,8 @@ RATE = 1.0
 SEED = 8
 #: Added to every word's count within its bucket.
 SMOOTH = 0.5
+#: Words, at most, whose counts every task holds: the most frequent ones.
+FREQUENT = 1 << 17
 #: Distinct words a task holds before it sends its counts on.
 HELD_WORDS = 1 << 20
 #: Tokens predicted at once.
@@ -134,31 +137,67 @@ def word_counts(docs: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
+class Places:
+    """Where words lie in a sorted list of hashes."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.sorted, self.known = np.append(hashes, np.uint64(2**64 - 1)), len(hashes)
+        # Where the hashes that begin with each 16 bits or more lie, and how many at most begin alike.
+        bits = max(16, self.known.bit_length())
+        self.rest = np.uint64(64 - bits)
+        edges = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.rest)
+        self.first = edges.astype(np.int32)
+        self.alike = int(np.diff(edges, append=self.known).max())
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place, and whether it is in the list at all."""
+        at = self.first.take(hashes >> self.rest)
+        for _ in range(self.alike):
+            at += self.sorted.take(at) < hashes
+        return at, (self.sorted[at] == hashes) & (at < self.known)
+
+
 class Vocabulary:
     """Ids of word hashes: rank by frequency for known words, a bucket for the others;
     ``counts`` has the corpus's count of each id, ``distinct`` the number of words of each bucket
-    and ``table`` the path of all words' counts (without it, buckets are scored as wholes)."""
+    and ``table`` the path of all words' counts (without it, buckets are scored as wholes).
+    ``frequent``: words, in ascending order, and their counts, which need not be looked up there."""
 
-    def __init__(self, ranked: np.ndarray, counts: np.ndarray, distinct: np.ndarray | None = None, table: str | None = None):
+    def __init__(self, ranked: np.ndarray, counts: np.ndarray, distinct: np.ndarray | None = None, table: str | None = None,
+                 frequent: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.int64))):
         self.counts, self.distinct, self.table = counts, distinct, table
         order = np.argsort(ranked)
-        self.sorted = np.append(ranked[order], np.uint64(2**64 - 1))
+        self.places = Places(ranked[order])
         self.ids = np.append(order, 0).astype(np.int32)
-        self.known = len(ranked)
-        # Where the hashes that begin with each 16 bits lie, and how many at most begin alike.
-        edges = np.searchsorted(self.sorted[:-1], np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
-        self.first = edges.astype(np.int32)
-        self.alike = int(np.diff(edges, append=self.known).max())
+        self.frequent = Places(frequent[0])
+        self.logs = np.append(np.log(frequent[1] + SMOOTH), 0.0)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = self.first.take(hashes >> np.uint64(48))
-        for _ in range(self.alike):
-            at += self.sorted.take(at) < hashes
-        hit = (self.sorted[at] == hashes) & (at < self.known)
+        at, hit = self.places(hashes)
         return np.where(hit, self.ids[at], KNOWN + (hashes & np.uint64(OTHERS - 1)).astype(np.int32))
 
+    def log_counts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logarithm of each frequent word's smoothed count, 0 for others; which are frequent."""
+        at, hit = self.frequent(hashes)
+        return np.where(hit, self.logs.take(at), 0.0), hit
 
-def vocabulary(docs: DataFrame, known: int = KNOWN) -> Vocabulary:
+
+def most_frequent(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``most`` words of a table of counts, in ascending order, and their counts: all words
+    from a count on, found by a short list of how many words have which size of count."""
+    level = F.floor(4 * F.log2("n"))
+    sizes = sorted(words.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect(), reverse=True)
+    total = np.cumsum([r.words for r in sizes])
+    taken = [r.level for r, n in zip(sizes, total, strict=True) if n <= most]
+    if not taken:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    found = words.where(level >= taken[-1]).toArrow()
+    word, n = found.column("word").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(word)
+    return word[order], n[order]
+
+
+def vocabulary(docs: DataFrame, known: int = KNOWN, frequent: int = FREQUENT) -> Vocabulary:
     spark, table = docs.sparkSession, shared_path(docs.sparkSession, "words")
     word_counts(docs).write.parquet(table)
     words = spark.read.schema(WORDS).parquet(table)
@@ -173,7 +212,7 @@ def vocabulary(docs: DataFrame, known: int = KNOWN) -> Vocabulary:
     own = (ranked & np.uint64(OTHERS - 1)).astype(np.int64)
     np.subtract.at(counts, KNOWN + own, counts[:len(top)])
     np.subtract.at(distinct, own, 1)
-    return Vocabulary(ranked, counts, distinct, table)
+    return Vocabulary(ranked, counts, distinct, table, most_frequent(words, frequent))
 
 
 def neighbours(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -322,7 +361,8 @@ def code_type(every: int) -> str:
 def encode(docs: DataFrame, vocab: Vocabulary, every: int = EVERY) -> DataFrame:
     """The texts as numbers, stored once for all rounds and the scores: ``row`` (a number of its
     own), ``doc_id``, ``code`` (of each place, its word's id times ``every`` plus the place's turn)
-    and, where the vocabulary has a table, the distinct ``word``s in buckets with their ``times``."""
+    and, where the vocabulary has a table, of the words in buckets: ``log_counts`` (the sum over
+    the frequent ones) and the other distinct ``word``s with their ``times``."""
     words = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(s: pa.RecordBatch) -> pa.RecordBatch:
@@ -333,15 +373,20 @@ def encode(docs: DataFrame, vocab: Vocabulary, every: int = EVERY) -> DataFrame:
         code = (ids.astype(np.uint64) * np.uint64(every) + turn).astype(code_type(every))
         columns = {}
         if words.value.table:
-            word, times, ends = in_documents(hashes, bounds, ids >= KNOWN)
+            others = ids >= KNOWN
+            logs, frequent = words.value.log_counts(hashes[others])
+            doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[others]
+            others[others] = ~frequent
+            word, times, ends = in_documents(hashes, bounds, others)
             ends = pa.array(ends.astype(np.int32))
-            columns = {"word": pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64))),
+            columns = {"log_counts": pa.array(np.bincount(doc, logs, len(bounds) - 1).astype(np.float64)),
+                       "word": pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64))),
                        "times": pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))}
         ends = (bounds * code.itemsize).astype(np.int32)
         data = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(code)])
         return pa.RecordBatch.from_pydict({"doc_id": s.column(0), "code": data, **columns})
 
-    schema = "doc_id long, code binary" + (", word array<long>, times array<int>" if vocab.table else "")
+    schema = "doc_id long, code binary" + (", log_counts double, word array<long>, times array<int>" if vocab.table else "")
     coded = map_slices(docs.select("doc_id", "text"), run, schema)
     return store(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
 
@@ -409,11 +454,15 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Net, coded: DataFrame | None
             others = np.flatnonzero(ids >= KNOWN)
             each[others] -= bucket[ids[others] - KNOWN]
         each = np.concatenate([[0.0], np.cumsum(each)])
+        total = each[bounds[1:]] - each[bounds[:-1]]
+        if bucket is not None:
+            total += s.column(3).to_numpy()
         return pa.RecordBatch.from_pydict({
             "row": s.column(0), "doc_id": s.column(1), "n_tokens": pa.array(np.diff(bounds).astype(np.int64)),
-            "log_likelihood": pa.array(each[bounds[1:]] - each[bounds[:-1]])})
+            "log_likelihood": pa.array(total)})
 
-    scored = map_slices(coded.select("row", "doc_id", "code"), run, "row long, doc_id long, n_tokens long, log_likelihood double", "code")
+    columns = ["row", "doc_id", "code", *(["log_counts"] if vocab.table else [])]
+    scored = map_slices(coded.select(*columns), run, "row long, doc_id long, n_tokens long, log_likelihood double", "code")
     scored = (with_word_counts(scored, coded, vocab.table) if vocab.table else scored).drop("row")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_probability", mean).withColumn("perplexity", F.exp(-mean))

@@ -213,3 +213,38 @@ def test_words_are_found_among_hashes_that_begin_alike():
     want = [place.get(int(h), lm.KNOWN + int(h) % lm.OTHERS) for h in asked]
     assert lm.Vocabulary(ranked, np.ones(lm.PAD))(asked).tolist() == want
     assert lm.Vocabulary(ranked[:0], np.ones(lm.PAD))(asked).tolist() == [lm.KNOWN + int(h) % lm.OTHERS for h in asked]
+
+
+def test_frequent_words_are_scored_without_the_join(spark):
+    # Counts 40, 20, 10, 5 and 1 (of 30 words); 3 ids of their own.
+    texts = ["a the cat sat " * 5, "a the cat " * 5, "a the " * 10, "a " * 20, " ".join(f"rare{i}" for i in range(30)), None, ""]
+    docs = frame(spark, texts)
+    asked = frame(spark, [*texts, "sat rare1 neverseen rare1 sat sat", "a neverseen"])
+    scores, listed = {}, {}
+    for frequent in (0, 3, 20, 34):
+        vocab = lm.vocabulary(docs, known=3, frequent=frequent)
+        coded = lm.encode(asked, vocab)
+        listed[frequent] = {r.doc_id: dict(zip(r.word, r.times, strict=True)) for r in coded.collect()}
+        scores[frequent] = {r.doc_id: r for r in lm.score(asked, vocab, lm.start(vocab.counts), coded).collect()}
+    own = {w: shingles.word_hashes([w.encode()])[0].view(np.int64)[0] for w in ("sat", "rare1", "neverseen")}
+    assert listed[0][7] == listed[3][7] == {own["sat"]: 3, own["rare1"]: 2, own["neverseen"]: 1}
+    assert listed[20][7] == {own["rare1"]: 2, own["neverseen"]: 1}
+    assert listed[34][7] == listed[34][8] == {own["neverseen"]: 1} and not listed[34][4]
+    for frequent in (3, 20, 34):
+        for i, r in scores[0].items():
+            got = scores[frequent][i]
+            assert got.n_tokens == r.n_tokens and abs(got.log_likelihood - r.log_likelihood) < 1e-9, (frequent, i)
+
+
+def test_frequent_words_are_bounded_and_exact(spark):
+    n = np.random.default_rng(5).zipf(1.3, 3000).clip(max=10**9)
+    words = spark.createDataFrame([(int(h), int(k)) for h, k in zip(lm.shingles.keys(1, 3000).view(np.int64), n, strict=True)], lm.WORDS)
+    of = {r.word: r.n for r in words.collect()}
+    for most in (0, 1, 10, 500, 2999, 3000, 10**6):
+        word, k = lm.most_frequent(words, most)
+        assert len(word) <= most and (np.diff(word.astype(object)) > 0).all()
+        assert [of.pop(w) if most == 10**6 else of[w] for w in word.view(np.int64).tolist()] == k.tolist()
+        rest = np.sort(n)[:3000 - len(word)]
+        assert not len(word) or not len(rest) or k.min() > rest.max()
+    assert not of
+    assert len(lm.most_frequent(words.limit(0), 10)[0]) == 0
